@@ -177,7 +177,7 @@ def _run_layers(spark: SparkSession, sf_dir: str, name: str) -> Layers:
            cast(coalesce(n.Completion_Date, b.Completion_Date) as varchar) as Completion_Date,
            case when coalesce(n.Completion_Time_Days, b.Completion_Time_Days) <= 90
                 then 'On-Time' else 'Delayed' end as Course_Completion_Rate,
-           'N/A' as Final_Grade, 0.0 as Attendance_Rate,
+           'N/A' as Final_Grade, cast(0 as double) as Attendance_Rate,
            coalesce(b.Processing_Date, n.Processing_Date) as Processing_Date
     from first_silver b full join second_silver n
     on b.Student_ID = n.Student_ID and b.Course_ID = n.Course_ID

@@ -77,7 +77,7 @@ def full_outer_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = later(spark, sf_dir).select(
         F.col("o_orderkey").alias("incoming_key"), F.col("o_totalprice").alias("incoming_price")
     )
-    return b.join(n, same_key([F.col("stored_key")], [F.col("incoming_key")]), "full_outer")
+    return b.join(n, same_key(["stored_key"], ["incoming_key"]), "full_outer")
 
 
 @query(UPSERTED)

@@ -71,7 +71,9 @@ def csv_scan_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
 def csv_scan_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The text of the lines that did not fit the schema."""
     path = _written(_text_orders(spark, sf_dir), "csv_scan_rejects")
-    rows = csv.scan(spark, path, _POSITIONAL, keep_corrupt=True)
+    landed = scratch_path(spark, "csv_scan_rejects_landed")
+    csv.scan(spark, path, _POSITIONAL, keep_corrupt=True).write.parquet(landed)
+    rows = spark.read.parquet(landed)
     return rows.filter(F.col(csv.CORRUPT).isNotNull()).select(
         "key", F.col(csv.CORRUPT).alias("line")
     )

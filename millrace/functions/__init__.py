@@ -2,7 +2,6 @@ from millrace.functions.columns import (
     date_of,
     days_between,
     parse_date,
-    prefer,
     stamp,
     threshold_label,
     weighted_score,
@@ -12,7 +11,6 @@ __all__ = [
     "date_of",
     "days_between",
     "parse_date",
-    "prefer",
     "stamp",
     "threshold_label",
     "weighted_score",

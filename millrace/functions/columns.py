@@ -57,7 +57,3 @@ def threshold_label(value: str | Column, limit: float, within: str, beyond: str)
     column = F.col(value) if isinstance(value, str) else value
     return F.when(column <= F.lit(limit), within).otherwise(beyond)
 
-
-def prefer(first: Column, second: Column) -> Column:
-    """The first of two values that is not null."""
-    return F.coalesce(first, second)

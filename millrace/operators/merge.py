@@ -3,21 +3,22 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from millrace.functions import prefer
 from millrace.session import broadcast_limit, estimated_bytes
 
+# Wide tables make many column expressions.  They are given as SQL text, which
+# reaches the JVM in one call per column.
+
 _NEW = "_new_"
 
 
-def same_key(left: Sequence[Column], right: Sequence[Column]) -> Column:
-    """Equality over a list of key columns; a null key equals nothing."""
-    return reduce(and_, [a == b for a, b in zip(left, right, strict=True)])
+def same_key(left: Sequence[str], right: Sequence[str]) -> Column:
+    """Equality over two lists of key columns; a null key equals nothing."""
+    return F.expr(" and ".join(f"`{a}` = `{b}`" for a, b in zip(left, right, strict=True)))
 
 
 def aligned(incoming: DataFrame, base: DataFrame) -> DataFrame:
@@ -28,14 +29,15 @@ def aligned(incoming: DataFrame, base: DataFrame) -> DataFrame:
     unknown = [c for c in incoming.columns if c not in base.columns]
     if unknown:
         raise ValueError(f"columns not in the table: {unknown}")
-    return incoming.select(
-        *[
-            (F.col(f.name) if f.name in incoming.columns else F.lit(None))
-            .cast(f.dataType)
-            .alias(f.name)
-            for f in base.schema.fields
-        ]
-    )
+    given = {f.name: f.dataType for f in incoming.schema.fields}
+
+    def column(name: str, kind: T.DataType) -> str:
+        if given.get(name) == kind:
+            return f"`{name}`"
+        value = f"`{name}`" if name in given else "null"
+        return f"cast({value} as {kind.simpleString()}) as `{name}`"
+
+    return incoming.selectExpr(*[column(f.name, f.dataType) for f in base.schema.fields])
 
 
 def merge(
@@ -70,25 +72,25 @@ def merge(
         small = estimated_bytes(incoming) <= broadcast_limit(base.sparkSession)
         strategy = "patch" if small else "full_outer"
 
-    renamed = incoming.select(
-        *[F.col(c).alias(_NEW + c) for c in incoming.columns], F.lit(True).alias(_NEW)
+    renamed = incoming.selectExpr(
+        *[f"`{c}` as `{_NEW}{c}`" for c in incoming.columns], f"true as `{_NEW}`"
     )
-    on = same_key([F.col(k) for k in keys], [F.col(_NEW + k) for k in keys])
+    on = same_key(keys, [_NEW + k for k in keys])
 
-    def resolve(name: str) -> Column:
-        old, new = F.col(name), F.col(_NEW + name)
+    def resolve(name: str) -> str:
+        old, new = f"`{name}`", f"`{_NEW}{name}`"
         if name in first_wins:
-            return prefer(old, new).alias(name)
+            return f"coalesce({old}, {new}) as {old}"
         if null_policy == "overwrite" and name not in keys:
-            return F.when(F.col(_NEW), new).otherwise(old).alias(name)
-        return prefer(new, old).alias(name)
+            return f"if(`{_NEW}`, {new}, {old}) as {old}"
+        return f"coalesce({new}, {old}) as {old}"
 
     resolved = [resolve(c) for c in base.columns]
     if strategy == "full_outer":
-        return base.join(renamed, on, "full_outer").select(*resolved)
+        return base.join(renamed, on, "full_outer").selectExpr(*resolved)
     if strategy != "patch":
         raise ValueError(f"unknown strategy {strategy!r}")
-    patched = base.join(renamed, on, "left_outer").select(*resolved)
+    patched = base.join(renamed, on, "left_outer").selectExpr(*resolved)
     return patched.unionByName(without_keys_of(incoming, matched_keys(base, incoming, keys), keys))
 
 

@@ -22,8 +22,9 @@ def rows_for(df: DataFrame, spec: TableSpec) -> DataFrame:
     order = [c for c in spec.newest_by if c not in spec.schema.names]
     newest = [F.col(c).desc_nulls_last() for c in spec.newest_by]
     narrow = df.select(*spec.schema.names, *order)
-    return dedup_by_key(narrow, spec.keys, newest).select(
-        *[F.col(f.name).cast(f.dataType).alias(f.name) for f in spec.schema.fields]
+    one = dedup_by_key(narrow, spec.keys, newest)
+    return one.selectExpr(
+        *[f"cast(`{f.name}` as {f.dataType.simpleString()}) as `{f.name}`" for f in spec.schema]
     )
 
 

@@ -28,7 +28,9 @@ def scan(
     """Read drops with a declared schema, in one scan over all paths.
 
     Columns bind by position, and a malformed number becomes null.  With
-    ``keep_corrupt`` the raw text of such a line is kept in ``_corrupt_record``.
+    ``keep_corrupt`` the raw text of such a line is kept in ``_corrupt_record``;
+    store the rows before filtering on it, since a scan that is pruned to some
+    columns judges a line by those alone.
     With ``check_header`` header names that differ from the schema are an error.
     """
     reader = spark.read.option("header", True).option("pathGlobFilter", "*.csv")

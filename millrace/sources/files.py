@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,6 +26,29 @@ def glob(spark: SparkSession, pattern: str) -> list[str]:
     return [status.getPath().toString() for status in found] if found else []
 
 
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file as text."""
+    hadoop_path, fs = _path(spark, path)
+    stream = fs.open(hadoop_path)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def publish_text(spark: SparkSession, path: str, text: str) -> None:
+    """Make a small file appear under a new name, complete or not at all."""
+    hadoop_path, fs = _path(spark, path)
+    if fs.exists(hadoop_path):
+        raise FileExistsError(path)
+    hidden, _ = _path(spark, f"{path.rpartition('/')[0]}/_{uuid.uuid4().hex}")
+    stream = fs.create(hidden)
+    stream.write(bytearray(text, "utf-8"))
+    stream.close()
+    if not fs.rename(hidden, hadoop_path):
+        raise FileExistsError(path)
+
+
 def delete(spark: SparkSession, path: str) -> None:
     hadoop_path, fs = _path(spark, path)
     fs.delete(hadoop_path, True)

@@ -3,37 +3,31 @@
 Layout below the table's path::
 
     data/v=3/Processing_Date=2024-01-15/part-*.parquet   rows written by version 3
-    commits/v=3/part-*.json                              what version 3 consists of
+    commits/v=3.json                                     what version 3 consists of
 
 A version's commit lists the data folders it is made of, most of them written
-by earlier versions, plus the batches merged so far.  Spark's job committer
-adds the commit's ``_SUCCESS`` marker last, and readers take the newest commit
-that has one: a job that dies leaves files no reader looks at, and its retry
-overwrites them.  Data and run ledger change together because they are in the
-same commit.  One writer per table at a time is assumed, any number of readers.
+by earlier versions, plus the batches merged so far.  It is published by a
+rename after Spark's job has written all rows, and readers take the newest
+one: a job that dies leaves files no reader looks at, and its retry overwrites
+them.  Data and run ledger change together because they are in the same
+commit.  One writer per table at a time is assumed, any number of readers; a
+second writer fails when it publishes.
 """
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Iterable, Sequence
-from dataclasses import dataclass, field, replace
+from dataclasses import asdict, dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.operators.merge import merge
+from millrace.operators.merge import aligned, merge
 from millrace.sources import files
 
-_COMMIT = T.StructType(
-    [
-        T.StructField("kind", T.StringType()),  # folder, or a ledger of the snapshot
-        T.StructField("name", T.StringType()),
-        T.StructField("number", T.LongType()),
-    ]
-)
-
 
 @dataclass(frozen=True)
 class Snapshot:
@@ -52,10 +46,6 @@ class Snapshot:
     used: dict[str, int] = field(default_factory=dict)
     stream: dict[str, int] = field(default_factory=dict)
 
-    def rows(self) -> list[tuple[str, str, int]]:
-        ledgers = [(kind, name, n) for kind in _LEDGERS for name, n in getattr(self, kind).items()]
-        return [*(("folder", f, _version_of(f)) for f in self.folders), *ledgers]
-
 
 @dataclass(frozen=True)
 class Origin:
@@ -66,9 +56,6 @@ class Origin:
     stream: tuple[str, int] | None = None  # stream name and micro-batch number
 
 
-_LEDGERS = ("first", "last", "used", "stream")
-
-
 def _version_of(path: str) -> int:
     return int(re.search(r"\bv=(\d+)", path).group(1))
 
@@ -96,16 +83,11 @@ class Table:
 
     def snapshot(self) -> Snapshot:
         """The newest committed version; version 0 is the empty table."""
-        marks = files.glob(self.spark, f"{self.path}/commits/v=*/_SUCCESS")
-        if not marks:
+        found = files.glob(self.spark, f"{self.path}/commits/v=*.json")
+        if not found:
             return Snapshot()
-        newest = max(_version_of(m.rsplit("/commits/", 1)[1]) for m in marks)
-        rows = self.spark.read.schema(_COMMIT).json(f"{self.path}/commits/v={newest}").collect()
-        return Snapshot(
-            version=newest,
-            folders=tuple(sorted(r.name for r in rows if r.kind == "folder")),
-            **{kind: {r.name: r.number for r in rows if r.kind == kind} for kind in _LEDGERS},
-        )
+        newest = max(found, key=lambda path: _version_of(path.rsplit("/", 1)[1]))
+        return Snapshot(**json.loads(files.read_text(self.spark, newest)))
 
     def exists(self) -> bool:
         return self.snapshot().version > 0
@@ -200,9 +182,11 @@ class Table:
         touched = set(now.folders)
         if self.partition_by:
             touched = self._partitions_with(now, incoming, keys)
-        merged = merge(
-            self._rows(sorted(touched)), incoming, keys, first_wins, null_policy, strategy
-        )
+        old = self._rows(sorted(touched))
+        if touched:
+            merged = merge(old, incoming, keys, first_wins, null_policy, strategy)
+        else:
+            merged = aligned(incoming, old)
         written = self._write(merged, now.version + 1, balance=True)
         kept = [f for f in now.folders if f not in touched]
         self._commit(_next(now, [*kept, *written], origin))
@@ -247,11 +231,8 @@ class Table:
         return [f"v={version}/" + f.rstrip("/").rsplit("/", 1)[1] for f in found]
 
     def _commit(self, snapshot: Snapshot) -> None:
-        target = f"{self.path}/commits/v={snapshot.version}"
-        if files.exists(self.spark, f"{target}/_SUCCESS"):
-            raise RuntimeError(f"version {snapshot.version} of {self.path} was written meanwhile")
-        rows = self.spark.createDataFrame(snapshot.rows(), _COMMIT)
-        rows.coalesce(1).write.mode("overwrite").json(target)
+        target = f"{self.path}/commits/v={snapshot.version}.json"
+        files.publish_text(self.spark, target, json.dumps(asdict(snapshot), indent=1))
 
 
 def _done(now: Snapshot, origin: Origin) -> bool:
