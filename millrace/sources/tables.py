@@ -2,8 +2,8 @@
 
 Layout below the table's path::
 
-    data/v=3/Processing_Date=2024-01-15/part-*.parquet   rows written by version 3
-    commits/v=3.json                                     what version 3 consists of
+    data/_version=3/Processing_Date=2024-01-15/part-*.parquet   rows written by version 3
+    commits/_version=3.json                     what version 3 consists of
 
 A version's commit lists the data folders it is made of, most of them written
 by earlier versions, plus the batches merged so far.  It is published by a
@@ -20,6 +20,7 @@ import json
 import re
 from collections.abc import Iterable, Sequence
 from dataclasses import asdict, dataclass, field, replace
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +29,8 @@ from pyspark.sql import types as T
 from millrace.operators.merge import aligned, merge
 from millrace.sources import files
 
+_VERSION = "_version"
+
 
 @dataclass(frozen=True)
 class Snapshot:
@@ -57,11 +60,15 @@ class Origin:
 
 
 def _version_of(path: str) -> int:
-    return int(re.search(r"\bv=(\d+)", path).group(1))
+    return int(re.search(rf"{_VERSION}=(\d+)", path).group(1))
 
 
 def _partition_of(folder: str) -> str:
-    return folder.partition("/")[2]
+    return unquote(folder.partition("/")[2])
+
+
+def _partition_name(column: str, value: str | None) -> str:
+    return f"{column}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}"
 
 
 class Table:
@@ -74,6 +81,8 @@ class Table:
         schema: T.StructType,
         partition_by: str | None = None,
     ):
+        if _VERSION in schema.names:
+            raise ValueError(f"column name {_VERSION} is taken")
         self.spark = spark
         self.path = path.rstrip("/")
         self.schema = schema
@@ -83,11 +92,12 @@ class Table:
 
     def snapshot(self) -> Snapshot:
         """The newest committed version; version 0 is the empty table."""
-        found = files.glob(self.spark, f"{self.path}/commits/v=*.json")
+        found = files.glob(self.spark, f"{self.path}/commits/{_VERSION}=*.json")
         if not found:
             return Snapshot()
         newest = max(found, key=lambda path: _version_of(path.rsplit("/", 1)[1]))
-        return Snapshot(**json.loads(files.read_text(self.spark, newest)))
+        content = json.loads(files.read_text(self.spark, newest))
+        return Snapshot(**content | {"folders": tuple(content["folders"])})
 
     def exists(self) -> bool:
         return self.snapshot().version > 0
@@ -156,7 +166,7 @@ class Table:
         now = self.snapshot()
         written = self._write(df, now.version + 1, balance=True)
         gone = {_partition_of(f) for f in written}
-        gone |= {f"{self.partition_by}={value}" for value in emptied}
+        gone |= {_partition_name(self.partition_by, value) for value in emptied}
         kept = [f for f in now.folders if self.partition_by and _partition_of(f) not in gone]
         self._commit(_next(now, [*kept, *written], origin))
 
@@ -210,7 +220,7 @@ class Table:
             .distinct()
             .collect()
         )
-        names = {f"{column}={r[0]}" for r in hits}
+        names = {_partition_name(column, row[0]) for row in hits}
         return {f for f in now.folders if _partition_of(f) in names}
 
     def _write(self, df: DataFrame, version: int, balance: bool) -> list[str]:
@@ -219,19 +229,19 @@ class Table:
         ``balance`` spreads a partition over as many files as its size asks
         for; Spark splits large ones and joins small ones at run time.
         """
-        target = f"{self.path}/data/v={version}"
+        target = f"{self.path}/data/{_VERSION}={version}"
         df = df.select(*self.schema.names)
         if not self.partition_by:
             df.write.mode("overwrite").parquet(target)
-            return [f"v={version}"]
+            return [f"{_VERSION}={version}"]
         if balance:
             df = df.hint("rebalance", F.col(self.partition_by))
         df.write.mode("overwrite").partitionBy(self.partition_by).parquet(target)
         found = files.glob(self.spark, f"{target}/{self.partition_by}=*")
-        return [f"v={version}/" + f.rstrip("/").rsplit("/", 1)[1] for f in found]
+        return [f"{_VERSION}={version}/" + f.rstrip("/").rsplit("/", 1)[1] for f in found]
 
     def _commit(self, snapshot: Snapshot) -> None:
-        target = f"{self.path}/commits/v={snapshot.version}.json"
+        target = f"{self.path}/commits/{_VERSION}={snapshot.version}.json"
         files.publish_text(self.spark, target, json.dumps(asdict(snapshot), indent=1))
 
 

@@ -1,0 +1,65 @@
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from millrace.operators import quality
+
+SCHEMA = "id string, age int, score double, status string"
+ROWS = [("1", 5, 1.5, "Done"), (None, None, None, None), ("3", None, 2.0, None), (None, 1, 1.0, "x")]
+
+
+@pytest.fixture
+def df(spark):
+    return spark.createDataFrame(ROWS, SCHEMA)
+
+
+def test_missing_keys_drop_and_split(df, rows):
+    kept, rejected = quality.split_missing(df, ["id", "age"])
+    assert rows(kept) == rows(quality.drop_missing(df, ["id", "age"])) == [("1", 5, 1.5, "Done")]
+    assert kept.count() + rejected.count() == df.count()
+
+
+def test_defaults(df, rows):
+    filled = quality.fill_defaults(df, {"age": 0, "score": 0.0, "status": "In-progress"})
+    assert rows(filled) == sorted(
+        [("1", 5, 1.5, "Done"), (None, 0, 0.0, "In-progress"), ("3", 0, 2.0, "In-progress"), (None, 1, 1.0, "x")],
+        key=repr,
+    )
+    assert filled.dtypes == df.dtypes
+    assert not filled.schema["age"].nullable
+
+
+@pytest.mark.parametrize("policy", [{"age": "none"}, {"status": 0}, {"age": 0.5}, {"nope": 0}, {"score": True}])
+def test_policy_is_checked_against_the_schema(df, policy):
+    with pytest.raises(ValueError, match="default"):
+        quality.fill_defaults(df, policy)
+
+
+def test_consistency_keeps_and_rejects_every_row_once(spark, rows):
+    day = dt.date
+    data = [
+        (1, day(2024, 1, 1), day(2024, 1, 1)),
+        (2, day(2024, 1, 2), day(2024, 1, 1)),
+        (3, None, day(2024, 1, 1)),
+        (4, day(2024, 1, 1), None),
+    ]
+    df = spark.createDataFrame(data, "id int, a date, b date")
+    rule = quality.in_order("a", "b")
+    assert rows(quality.keep_consistent(df, rule)) == [data[0]]
+    assert rows(quality.reject_inconsistent(df, rule)) == data[1:]
+
+
+def test_enforce_not_null(df):
+    assert quality.enforce_not_null(df.filter("age is not null"), ["age"]).count() == 2
+    with pytest.raises(Exception, match="null in mandatory column age"):
+        quality.enforce_not_null(df, ["age"]).collect()
+
+
+def test_audit_counts_in_one_pass(df, plan):
+    rules = {"no_age": F.col("age").isNull(), "high": F.col("score") > 1.2}
+    result = quality.audit(df, rules)
+    assert result.first().asDict() == {"n_rows": 4, "no_age": 2, "high": 2}
+    watched, watch = quality.observed(df, rules)
+    watched.write.format("noop").mode("overwrite").save()
+    assert watch.get == {"n_rows": 4, "no_age": 2, "high": 2}
