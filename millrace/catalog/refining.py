@@ -200,18 +200,28 @@ RAW_ENROLMENTS = f"""
 
 
 def raw_enrolments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    priority = F.col("o_orderpriority")
-    return enrolments(spark, sf_dir).select(
+    """One raw row per line.
+
+    Repeated lines go before the join with the order, which they share: fewer
+    rows reach the join, and the line number spreads an order of many lines.
+    """
+    lines = read(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice",
         F.nullif(F.col("l_tax"), F.lit(0.0)).alias("l_tax"),
         F.nullif(F.col("l_linestatus"), F.lit("F")).alias("l_linestatus"),
+        F.when(F.col("l_returnflag") != "N", F.date_format("l_shipdate", "M/d/yyyy"))
+        .alias("l_shipdate"),
+    )
+    priority = F.col("o_orderpriority")
+    orders = read(spark, sf_dir, "orders").select(
+        "o_orderkey",
         F.when((F.col("o_orderstatus") == "P") & (priority == "5-LOW"), None)
         .when(priority == "4-NOT SPECIFIED", "unknown")
         .otherwise(F.date_format("o_orderdate", "M/d/yyyy"))
         .alias("o_orderdate"),
-        F.when(F.col("l_returnflag") != "N", F.date_format("l_shipdate", "M/d/yyyy"))
-        .alias("l_shipdate"),
     )
+    once = dedup.dedup_by_key(lines, LINE_KEYS)
+    return once.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).drop("o_orderkey")
 
 
 RAW_DEDUPED = f"""
@@ -240,8 +250,7 @@ CONFORMED = f"""
 
 
 def conformed_enrolments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = dedup.dedup_by_key(raw_enrolments(spark, sf_dir), LINE_KEYS)
-    return conforming.conform(rows, SPEC)
+    return conforming.conform(raw_enrolments(spark, sf_dir), SPEC, unique=True)
 
 
 @query(f"""
@@ -260,6 +269,22 @@ def refine_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(f"""
+    select count(*) as n_rows,
+           count(*) filter (where coalesce(l_shipdate >= o_orderdate, false)) as n_kept,
+           count(*) filter (where start_text is null) as n_missing,
+           count(*) filter (where start_text is not null
+                            and not coalesce(l_shipdate >= o_orderdate, false)) as n_inconsistent
+    from (select o_orderdate as start_text,
+                 try_strptime(o_orderdate, '%m/%d/%Y') as o_orderdate,
+                 try_strptime(coalesce(l_shipdate, '12/31/9999'), '%m/%d/%Y') as l_shipdate
+          from ({RAW_DEDUPED}))
+""")
+def refine_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many rows ``refine_end_to_end`` keeps and rejects, in one pass."""
+    return conforming.audit(raw_enrolments(spark, sf_dir), SPEC)
+
+
 @query(f"""
     select l_orderkey, l_linenumber, l_partkey,
            case when o_orderdate is null then 'missing critical value'
@@ -271,7 +296,6 @@ def refine_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
 """)
 def refine_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What ``refine_end_to_end`` leaves out, with the reason."""
-    rows = dedup.dedup_by_key(raw_enrolments(spark, sf_dir), LINE_KEYS)
-    return conforming.rejects(rows, SPEC).select(
+    return conforming.rejects(raw_enrolments(spark, sf_dir), SPEC).select(
         *LINE_KEYS, "l_partkey", F.col(conforming.REASON).alias("reason")
     )

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.plans.specs import ConformSpec
+from millrace.session import tune
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,7 +21,10 @@ def query(sql: str) -> Callable[[Query], Query]:
     """Register a function under its own name, with the SQL that must agree with it."""
 
     def register(run: Query) -> Query:
-        QUERIES[run.__name__] = run
+        def tuned(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return run(tune(spark), sf_dir)
+
+        QUERIES[run.__name__] = tuned
         ORACLES[run.__name__] = sql
         return run
 

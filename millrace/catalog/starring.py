@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.catalog.refining import CONFORMED, conformed_enrolments
 from millrace.catalog.registry import query, read
+from millrace.operators.dedup import dedup_by_key
 from millrace.plans import star
 from millrace.plans.specs import TableSpec, schema_of
 
@@ -55,14 +56,18 @@ FACT = TableSpec(
     from stored b full join (select * from incoming where rn = 1) n on b.c_custkey = n.c_custkey
 """)
 def dim_build(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers from order rows: many rows per customer, merged into all customers."""
+    """Customers from order rows: many rows per customer, merged into all customers.
+
+    The newest order of each customer is picked before the join, so a customer
+    with a large share of the orders brings one row to it.
+    """
     customer = read(spark, sf_dir, "customer")
-    facts = read(spark, sf_dir, "orders").join(
-        customer, F.col("o_custkey") == F.col("c_custkey")
-    ).select(
-        "c_custkey", "c_name", "c_mktsegment", "o_orderdate",
+    orders = read(spark, sf_dir, "orders").select(
+        "o_custkey", "o_orderdate",
         F.nullif(F.col("o_orderpriority"), F.lit("4-NOT SPECIFIED")).alias("latest_priority"),
     )
+    newest = dedup_by_key(orders, ["o_custkey"], [F.col("o_orderdate").desc_nulls_last()])
+    facts = newest.join(customer, F.col("o_custkey") == F.col("c_custkey"))
     stored = customer.select(
         "c_custkey", "c_name",
         F.lit("UNKNOWN").alias("c_mktsegment"), F.lit("9-NONE").alias("latest_priority"),
@@ -76,9 +81,10 @@ def dim_build(spark: SparkSession, sf_dir: str) -> DataFrame:
 """)
 def dim_build_first_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts from line-item rows, into a dimension that does not exist yet."""
-    facts = read(spark, sf_dir, "lineitem").select("l_partkey", "l_shipdate").join(
-        read(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey")
+    newest = read(spark, sf_dir, "lineitem").groupBy("l_partkey").agg(
+        F.max("l_shipdate").alias("l_shipdate")
     )
+    facts = newest.join(read(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
     return star.build(spark.createDataFrame([], PART.schema), facts, PART)
 
 

@@ -51,9 +51,13 @@ def reject_reason(spec: ConformSpec) -> Column:
     )
 
 
-def conform(df: DataFrame, spec: ConformSpec) -> DataFrame:
-    """The rows that pass, conformed."""
-    rows = dedup_rows(df)
+def conform(df: DataFrame, spec: ConformSpec, unique: bool = False) -> DataFrame:
+    """The rows that pass, conformed.
+
+    Repeated rows count once.  Input that is known to be unique, such as rows
+    of a merged table, goes through without a shuffle.
+    """
+    rows = df if unique else dedup_rows(df)
     rows = quality.drop_missing(rows, spec.critical)
     rows = quality.fill_defaults(rows, spec.defaults)
     rows = with_dates(rows, spec)
@@ -62,6 +66,19 @@ def conform(df: DataFrame, spec: ConformSpec) -> DataFrame:
     return quality.enforce_not_null(rows, spec.mandatory)
 
 
+def audit(df: DataFrame, spec: ConformSpec) -> DataFrame:
+    """Counts of raw rows by fate, as one row from one pass."""
+    reason = reject_reason(spec)
+    return quality.audit(
+        df,
+        {
+            "n_kept": reason.isNull(),
+            "n_missing": reason == MISSING,
+            "n_inconsistent": reason == INCONSISTENT,
+        },
+    )
+
+
 def rejects(df: DataFrame, spec: ConformSpec) -> DataFrame:
     """The rows that do not pass, as they came, with the reason."""
     return dedup_rows(df.withColumn(REASON, reject_reason(spec)).filter(F.col(REASON).isNotNull()))

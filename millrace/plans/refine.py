@@ -142,17 +142,27 @@ def silver(
     batch_date: Date,
     spec: ConformSpec = lms.CONFORM,
 ) -> None:
-    """Conform the bronze rows a batch brought or changed, and merge them."""
+    """Conform the bronze rows a batch brought or changed, and merge them.
+
+    Bronze has one row per key, so there are no repeated rows to remove.
+    """
     day = date_of(batch_date).isoformat()
     revision = bronze_table.snapshot().last.get(day)
     batch = batch_of(bronze_table.read_batch(day), day, lms.LAST_BATCH)
     _replace_rejects(rejects, conforming.rejects(batch, spec), "silver", day)
-    with staged(conforming.conform(batch, spec), "silver") as incoming:
+    with staged(conforming.conform(batch, spec, unique=True), "silver") as incoming:
         table.merge(
             incoming, lms.KEYS, first_wins=[lms.BATCH], origin=Origin(batch=day, used=revision)
         )
 
 
+def audit(bronze_table: Table, batch_date: Date, spec: ConformSpec = lms.CONFORM) -> DataFrame:
+    """How many rows of a batch silver keeps, and how many it rejects by reason."""
+    day = date_of(batch_date).isoformat()
+    batch = batch_of(bronze_table.read_batch(day), day, lms.LAST_BATCH)
+    return conforming.audit(batch, spec)
+
+
 def gold(silver_table: Table, tables: dict[str, Table], batch_date: Date) -> None:
     """Merge a batch of silver rows into the dimensions, then into the fact."""
     day = date_of(batch_date).isoformat()

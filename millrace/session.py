@@ -11,16 +11,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 from millrace.sources import files
 
-# Settings worth having on the cluster.  All but the time zone are Spark's
-# defaults; they are spelled out because the plans lean on them: skewed joins
-# are split at run time, and small sides are broadcast only under Spark's own
-# size check.
+# Settings the plans lean on.  Small sides are broadcast only under Spark's own
+# size check, and skew is dealt with at run time.  All are Spark's defaults but
+# the third, which lets a skewed join be split even if an operator above it
+# then needs a shuffle of its own.
 RECOMMENDED = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
-    "spark.sql.session.timeZone": "UTC",
 }
 
 

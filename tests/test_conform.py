@@ -54,6 +54,8 @@ def test_every_input_row_is_kept_or_rejected_once(spark):
         row("9", Completion_Date="9/1/2023"),
     ]
     df = frame(spark, *data, data[0])
+    counts = conform.audit(df, lms.CONFORM).first().asDict()
+    assert counts == {"n_rows": 10, "n_kept": 4, "n_missing": 3, "n_inconsistent": 3}
     kept = {r.Student_ID for r in conform.conform(df, lms.CONFORM).collect()}
     rejected = {(r.Student_ID, r.Reason) for r in conform.rejects(df, lms.CONFORM).collect()}
     assert kept == {"1", "2", "9"}
@@ -74,4 +76,6 @@ def test_schema_fits_the_silver_table(spark):
 
 def test_conform_is_one_narrow_pass(spark, plan):
     # The whole-row duplicate removal is the only shuffle.
-    assert plan(conform.conform(frame(spark, row()), lms.CONFORM)).count("Exchange") == 1
+    df = frame(spark, row())
+    assert plan(conform.conform(df, lms.CONFORM)).count("Exchange") == 1
+    assert plan(conform.conform(df, lms.CONFORM, unique=True)).count("Exchange") == 0
