@@ -9,7 +9,7 @@ from millrace.catalog.merging import KEYS, UPSERTED, later, orders, stored
 from millrace.catalog.registry import query, read
 from millrace.operators.incremental import batch_of
 from millrace.plans.specs import schema_of
-from millrace.session import scratch_path, staged
+from millrace.session import scratch_path
 from millrace.sources import csv
 from millrace.sources.tables import Origin, Table
 
@@ -120,6 +120,6 @@ def table_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = dated(stored(spark, sf_dir), "1998-12-31")
     table = Table(spark, scratch_path(spark, "table_upsert"), first.schema, "batch_date")
     table.append(first, Origin(batch="1998-12-31"))
-    with staged(dated(later(spark, sf_dir), "2001-08-01")) as incoming:
-        table.merge(incoming, KEYS, ["batch_date"], origin=Origin(batch="2001-08-01"))
+    incoming = dated(later(spark, sf_dir), "2001-08-01")
+    table.merge(incoming, KEYS, ["batch_date"], origin=Origin(batch="2001-08-01"))
     return table.read()

@@ -27,7 +27,6 @@ from millrace.operators.quality import split_missing
 from millrace.plans import conform as conforming
 from millrace.plans import lms, star
 from millrace.plans.specs import ConformSpec
-from millrace.session import staged
 from millrace.sources import csv, files
 from millrace.sources.tables import Origin, Table
 
@@ -129,10 +128,7 @@ def bronze(landing: Table, table: Table, rejects: Table, batch_date: Date) -> No
 
     rows = dedup_by_key(keyed, lms.KEYS, newest_file_first())
     rows = stamp_batch(rows.drop(csv.SOURCE_FILE, csv.SOURCE_MODIFIED), day, lms.LAST_BATCH)
-    with staged(rows, "bronze") as incoming:
-        table.merge(
-            incoming, lms.KEYS, first_wins=[lms.BATCH], origin=Origin(batch=day, used=revision)
-        )
+    table.merge(rows, lms.KEYS, first_wins=[lms.BATCH], origin=Origin(batch=day, used=revision))
 
 
 def silver(
@@ -150,10 +146,8 @@ def silver(
     revision = bronze_table.snapshot().last.get(day)
     batch = batch_of(bronze_table.read_batch(day), day, lms.LAST_BATCH)
     _replace_rejects(rejects, conforming.rejects(batch, spec), "silver", day)
-    with staged(conforming.conform(batch, spec, unique=True), "silver") as incoming:
-        table.merge(
-            incoming, lms.KEYS, first_wins=[lms.BATCH], origin=Origin(batch=day, used=revision)
-        )
+    rows = conforming.conform(batch, spec, unique=True)
+    table.merge(rows, lms.KEYS, first_wins=[lms.BATCH], origin=Origin(batch=day, used=revision))
 
 
 def audit(bronze_table: Table, batch_date: Date, spec: ConformSpec = lms.CONFORM) -> DataFrame:

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from millrace.operators.dedup import dedup_by_key
 from millrace.operators.merge import aligned, merge
 from millrace.plans.specs import TableSpec
-from millrace.session import staged
 from millrace.sources.tables import Origin, Table
 
 
@@ -36,5 +35,4 @@ def build(stored: DataFrame, df: DataFrame, spec: TableSpec, strategy: str = "au
 
 def merge_into(table: Table, df: DataFrame, spec: TableSpec, origin: Origin = Origin()) -> None:
     """Merge new rows into a stored table."""
-    with staged(rows_for(df, spec), spec.name) as incoming:
-        table.merge(incoming, spec.keys, spec.first_wins, origin=origin)
+    table.merge(rows_for(df, spec), spec.keys, spec.first_wins, origin=origin)

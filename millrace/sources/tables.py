@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.operators.merge import aligned, merge
+from millrace.session import staged
 from millrace.sources import files
 
 _VERSION = "_version"
@@ -90,13 +91,18 @@ class Table:
 
     # -- reading -----------------------------------------------------------
 
-    def snapshot(self) -> Snapshot:
-        """The newest committed version; version 0 is the empty table."""
+    def _versions(self) -> list[int]:
         found = files.glob(self.spark, f"{self.path}/commits/{_VERSION}=*.json")
-        if not found:
+        return sorted(_version_of(path.rpartition("/commits/")[2]) for path in found)
+
+    def snapshot(self, version: int | None = None) -> Snapshot:
+        """A committed version, by default the newest; version 0 is the empty table."""
+        if version is None:
+            version = max(self._versions(), default=0)
+        if version == 0:
             return Snapshot()
-        newest = max(found, key=lambda path: _version_of(path.rsplit("/", 1)[1]))
-        content = json.loads(files.read_text(self.spark, newest))
+        text = files.read_text(self.spark, f"{self.path}/commits/{_VERSION}={version}.json")
+        content = json.loads(text)
         return Snapshot(**content | {"folders": tuple(content["folders"])})
 
     def exists(self) -> bool:
@@ -182,35 +188,55 @@ class Table:
         """Upsert a batch and rewrite only the partitions that hold its keys.
 
         Those are found by a scan of the key columns alone; rows with new keys
-        go to new folders.  ``incoming`` must be unique on ``keys`` and is read
-        several times, so pass a ``staged`` frame when it is costly.  Merging
-        the same batch again changes nothing.
+        go to new folders.  ``incoming`` must be unique on ``keys``.  A first
+        load is written as it is; after that the batch is read several times,
+        so it is staged once.  Merging the same batch again changes nothing.
+
+        A batch without stored keys is written without a shuffle, which suits
+        a batch of one date; load many dates with ``append(balance=True)``.
         """
         now = self.snapshot()
         if _done(now, origin):
             return False
-        touched = set(now.folders)
-        if self.partition_by:
-            touched = self._partitions_with(now, incoming, keys)
-        old = self._rows(sorted(touched))
-        if touched:
-            merged = merge(old, incoming, keys, first_wins, null_policy, strategy)
-        else:
-            merged = aligned(incoming, old)
-        written = self._write(merged, now.version + 1, balance=True)
+        incoming = aligned(incoming, self._rows(()))
+        if not now.folders:
+            written = self._write(incoming, now.version + 1, balance=False)
+            self._commit(_next(now, written, origin))
+            return True
+        with staged(incoming) as batch:
+            touched = self._partitions_with(now, batch, keys) if self.partition_by else now.folders
+            if touched:
+                old = self._rows(touched)
+                batch = merge(old, batch, keys, first_wins, null_policy, strategy)
+            written = self._write(batch, now.version + 1, balance=bool(touched))
         kept = [f for f in now.folders if f not in touched]
         self._commit(_next(now, [*kept, *written], origin))
         return True
 
+    def remove_unused(self, keep: int = 1) -> int:
+        """Delete data folders that none of the newest ``keep`` versions uses.
+
+        Rewritten partitions leave their old folders behind; readers that are
+        still on an older version than those kept lose them.  Returns how many
+        folders went.
+        """
+        if keep < 1:
+            raise ValueError("keep at least one version")
+        used = {f for version in self._versions()[-keep:] for f in self.snapshot(version).folders}
+        depth = "/*=*" if self.partition_by else ""
+        found = files.glob(self.spark, f"{self.path}/data/{_VERSION}=*{depth}")
+        stale = [path for path in found if path.rpartition("/data/")[2] not in used]
+        for path in stale:
+            files.delete(self.spark, path)
+        return len(stale)
+
     def _partitions_with(
         self, now: Snapshot, incoming: DataFrame, keys: Sequence[str]
-    ) -> set[str]:
+    ) -> tuple[str, ...]:
         """Folders of the partitions in which a key of the batch is stored.
 
         Only distinct partition values reach the driver: one per batch date.
         """
-        if not now.folders:
-            return set()
         column = self.partition_by
         hits = (
             self._rows(now.folders)
@@ -221,7 +247,7 @@ class Table:
             .collect()
         )
         names = {_partition_name(column, row[0]) for row in hits}
-        return {f for f in now.folders if _partition_of(f) in names}
+        return tuple(f for f in now.folders if _partition_of(f) in names)
 
     def _write(self, df: DataFrame, version: int, balance: bool) -> list[str]:
         """Write the rows of a version and list the folders that came out.

@@ -18,7 +18,6 @@ from millrace.operators.dedup import dedup_by_key
 from millrace.operators.quality import drop_missing
 from millrace.plans import lms
 from millrace.plans.refine import Date, landed_rows
-from millrace.session import staged
 from millrace.sources import csv
 from millrace.sources.tables import Origin, Table
 
@@ -68,8 +67,8 @@ def merging_into(
 
     def handle(df: DataFrame, number: int) -> None:
         rows = dedup_by_key(drop_missing(df, keys), keys, order_by)
-        with staged(rows.select(*[c for c in df.columns if c in table.schema.names])) as incoming:
-            table.merge(incoming, keys, first_wins, origin=Origin(stream=(name, number)))
+        incoming = rows.select(*[c for c in df.columns if c in table.schema.names])
+        table.merge(incoming, keys, first_wins, origin=Origin(stream=(name, number)))
 
     return handle
 

@@ -133,3 +133,16 @@ def test_partition_values_with_special_characters(table, make, rows):
     assert rows(table.read()) == sorted([(1, "a", "x=1/y z"), (2, "b", None)], key=repr)
     table.merge(make((1, "A", "d"), (2, "B", "d")), ["k"], ["day"])
     assert rows(table.read()) == sorted([(1, "A", "x=1/y z"), (2, "B", "d")], key=repr)
+
+
+def test_unused_folders_can_be_removed(spark, table, make, rows, tmp_path):
+    table.append(make((1, "a", "d1"), (2, "b", "d2")), balance=True)
+    table.merge(make((1, "A", "d3"), (3, "c", "d3")), ["k"], ["day"])
+    before = rows(table.read())
+    assert table.remove_unused(keep=2) == 0
+    assert table.remove_unused() == 1  # the old d1
+    assert rows(table.read()) == before == [(1, "A", "d1"), (2, "b", "d2"), (3, "c", "d3")]
+    dim = Table(spark, str(tmp_path / "dim"), SCHEMA)
+    for v in "xyz":
+        dim.merge(make((1, v, "d")), ["k"])
+    assert dim.remove_unused() == 2 and rows(dim.read()) == [(1, "z", "d")]
