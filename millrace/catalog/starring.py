@@ -72,7 +72,7 @@ def dim_build(spark: SparkSession, sf_dir: str) -> DataFrame:
         "c_custkey", "c_name",
         F.lit("UNKNOWN").alias("c_mktsegment"), F.lit("9-NONE").alias("latest_priority"),
     )
-    return star.build(stored, facts, CUSTOMER)
+    return star.build(stored, facts, CUSTOMER, unique_on=CUSTOMER.keys)
 
 
 @query("""
@@ -85,7 +85,8 @@ def dim_build_first_load(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.max("l_shipdate").alias("l_shipdate")
     )
     facts = newest.join(read(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
-    return star.build(spark.createDataFrame([], PART.schema), facts, PART)
+    stored = spark.createDataFrame([], PART.schema)
+    return star.build(stored, facts, PART, unique_on=PART.keys)
 
 
 _FACT_COLUMNS = "l_orderkey, l_linenumber, l_partkey, l_linestatus, days, score, label"
@@ -115,4 +116,6 @@ def fact_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     incoming = rows.filter(day >= F.lit("1998-01-01").cast("date"))
     stored = stored.withColumn("processing_date", F.lit("1998-12-31"))
     incoming = incoming.withColumn("processing_date", F.lit("2001-08-01"))
-    return star.build(stored.select(*FACT.schema.names), incoming, FACT)
+    return star.build(
+        stored.select(*FACT.schema.names), incoming, FACT, unique_on=FACT.keys
+    )

@@ -79,6 +79,7 @@ def audit(df: DataFrame, spec: ConformSpec) -> DataFrame:
     )
 
 
-def rejects(df: DataFrame, spec: ConformSpec) -> DataFrame:
+def rejects(df: DataFrame, spec: ConformSpec, unique: bool = False) -> DataFrame:
     """The rows that do not pass, as they came, with the reason."""
-    return dedup_rows(df.withColumn(REASON, reject_reason(spec)).filter(F.col(REASON).isNotNull()))
+    rows = df.withColumn(REASON, reject_reason(spec)).filter(F.col(REASON).isNotNull())
+    return rows if unique else dedup_rows(rows)

@@ -145,7 +145,7 @@ def silver(
     day = date_of(batch_date).isoformat()
     revision = bronze_table.snapshot().last.get(day)
     batch = batch_of(bronze_table.read_batch(day), day, lms.LAST_BATCH)
-    _replace_rejects(rejects, conforming.rejects(batch, spec), "silver", day)
+    _replace_rejects(rejects, conforming.rejects(batch, spec, unique=True), "silver", day)
     rows = conforming.conform(batch, spec, unique=True)
     table.merge(rows, lms.KEYS, first_wins=[lms.BATCH], origin=Origin(batch=day, used=revision))
 
@@ -162,8 +162,9 @@ def gold(silver_table: Table, tables: dict[str, Table], batch_date: Date) -> Non
     day = date_of(batch_date).isoformat()
     revision = silver_table.snapshot().last.get(day)
     batch = batch_of(silver_table.read_batch(day), day, lms.LAST_BATCH)
+    origin = Origin(batch=day, used=revision)
     for spec in (*lms.STAR.dimensions, lms.STAR.fact):
-        star.merge_into(tables[spec.name], batch, spec, Origin(batch=day, used=revision))
+        star.merge_into(tables[spec.name], batch, spec, origin, unique_on=lms.KEYS)
 
 
 def _replace_rejects(table: Table, rows: DataFrame, stage: str, day: str) -> None:

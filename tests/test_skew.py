@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 
 from millrace.operators.dedup import dedup_by_key
 from millrace.operators.incremental import min_rows_guard, unseen
+from millrace.plans.specs import schema_of
+from millrace.sources.tables import Table
 
 N = 400_000
 
@@ -64,3 +66,19 @@ def test_dedup_and_unseen_shuffle_one_row_per_task_and_key(facts, spark, setting
     text = plan(unseen(listing, facts, ["k"]))
     assert "HashAggregate" in text[text.rindex("Exchange hashpartitioning"):]
     assert {r.k for r in unseen(listing, facts, ["k"]).collect()} == set(range(5000, 5010))
+
+
+def test_rewrite_of_a_heavy_date_is_spread_over_tasks(spark, tmp_path, settings):
+    settings(spark__sql__adaptive__advisoryPartitionSizeInBytes="1m")
+    schema = schema_of("k bigint, pad string, day string")
+    table = Table(spark, str(tmp_path / "t"), schema, "day")
+    day = F.when(F.col("id") % 3 < 2, "heavy").otherwise(F.concat(F.lit("d"), F.col("id") % 5))
+    rows = spark.range(N).select(
+        F.col("id").alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("pad"), day.alias("day")
+    )
+    table.append(rows, balance=True)
+    table.merge(rows.filter("k % 1000 = 0").withColumn("pad", F.lit("new")), ["k"], ["day"])
+    assert table.read().count() == N
+    assert table.read().filter("pad = 'new'").count() == N // 1000
+    heavy = [f for f in table.read().inputFiles() if "_version=2/day=heavy" in f]
+    assert len(heavy) > 4
