@@ -103,13 +103,14 @@ def ingest(
     are skipped; 2 also skips files of one row.  Returns the number of files.
     Only file names pass through the driver, as in any scan of a path list.
     """
+    day = date_of(batch_date).isoformat()
     found = files.listing(spark, paths)
     seen = table.read().select(F.col(csv.SOURCE_FILE).alias("path"))
     new = [row.path for row in unseen(found, seen, ["path"]).collect()]
     if new:
-        drops = csv.with_source(csv.scan(spark, new, schema))
-        rows = landed_rows(drops, batch_date, schema, min_rows)
-        table.append(rows, Origin(batch=date_of(batch_date).isoformat()))
+        drops = csv.with_source(csv.scan(spark, [files.exact(path) for path in new], schema))
+        rows = landed_rows(drops, day, schema, min_rows)
+        table.append(rows, Origin(batch=day))
     return len(new)
 
 

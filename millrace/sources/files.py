@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,11 +56,17 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(hadoop_path, True)
 
 
+def exact(path: str) -> str:
+    """A listed path in the form a reader takes: decoded, pattern characters escaped."""
+    return re.sub(r"([*?{}\[\]\\])", r"\\\1", unquote(path))
+
+
 def listing(
     spark: SparkSession, places: str | Sequence[str], name_glob: str = "*.csv"
 ) -> DataFrame:
     """Files below the given places as rows: ``path``, ``modified``, ``length``.
 
+    Paths are as in ``_metadata.file_path`` (URL-encoded); see ``exact``.
     Names that do not match ``name_glob`` are left out.  Only file metadata is
     read; the content column is pruned away.
     """

@@ -126,6 +126,15 @@ def test_order_of_drops_does_not_matter(spark, tmp_path, drops, rows):
     assert {r[1] for r in results[0][-3]} == {"New", "B"}
 
 
+def test_odd_file_names(spark, layers, drops):
+    names = ["a b.csv", "c%20d.csv", "e[1].csv", "g{x}.csv", "h*i.csv", "hi.csv", "ü.csv"]
+    for n, name in enumerate(names):
+        drops(name, row(str(n)))
+    assert land(spark, layers, drops) == len(names)
+    assert sorted(r.Student_ID for r in layers.landing.read().collect()) == list("0123456")
+    assert land(spark, layers, drops) == 0
+
+
 def test_small_files(spark, tmp_path, drops):
     drops("none.csv")
     drops("one.csv", row("1"))
