@@ -111,6 +111,12 @@ def drop_missing_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.drop_missing(_gappy_events(spark, sf_dir), ["user_id", "event_type"])
 
 
+@query(f"select * from ({_GAPPY}) where user_id is null or event_type is null")
+def missing_key_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The complement of ``drop_missing_keys``."""
+    return quality.split_missing(_gappy_events(spark, sf_dir), ["user_id", "event_type"])[1]
+
+
 @query(f"""
     select event_id, coalesce(user_id, 0) as user_id,
            coalesce(event_type, 'Unknown') as event_type, coalesce(value, 0.0) as value

@@ -96,6 +96,24 @@ def partition_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return batch_of(table.read(), "2024-01-15", "batch_date")
 
 
+@query("""
+    select event_id, user_id, event_type,
+           case when cast(ts as date) = date '2024-01-15' then value + 1 else value end as value,
+           cast(cast(ts as date) as varchar) as batch_date
+    from events
+""")
+def partition_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events stored by date; one date delivered again, twice, replaces its partition."""
+    table = Table(spark, scratch_path(spark, "partition_overwrite"), _EVENTS, "batch_date")
+    day = F.date_format("ts", "yyyy-MM-dd").alias("batch_date")
+    events = read(spark, sf_dir, "events").select("*", day)
+    again = batch_of(events, "2024-01-15", "ts").withColumn("value", F.col("value") + 1)
+    table.append(events, balance=True)
+    for _ in range(2):
+        table.overwrite(again)
+    return table.read()
+
+
 @query("""
     select c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment from customer
 """)

@@ -21,12 +21,12 @@ def same_key(left: Sequence[str], right: Sequence[str]) -> Column:
     return F.expr(" and ".join(f"`{a}` = `{b}`" for a, b in zip(left, right, strict=True)))
 
 
-def aligned(incoming: DataFrame, base: DataFrame) -> DataFrame:
-    """``incoming`` with the base table's columns, types and column order.
+def aligned(incoming: DataFrame, schema: T.StructType) -> DataFrame:
+    """``incoming`` with a table's columns, types and column order.
 
     A column the batch does not bring is null; one the table lacks is an error.
     """
-    unknown = [c for c in incoming.columns if c not in base.columns]
+    unknown = [c for c in incoming.columns if c not in schema.names]
     if unknown:
         raise ValueError(f"columns not in the table: {unknown}")
     given = {f.name: f.dataType for f in incoming.schema.fields}
@@ -37,7 +37,7 @@ def aligned(incoming: DataFrame, base: DataFrame) -> DataFrame:
         value = f"`{name}`" if name in given else "null"
         return f"cast({value} as {kind.simpleString()}) as `{name}`"
 
-    return incoming.selectExpr(*[column(f.name, f.dataType) for f in base.schema.fields])
+    return incoming.selectExpr(*[column(f.name, f.dataType) for f in schema.fields])
 
 
 def merge(
@@ -67,7 +67,7 @@ def merge(
     """
     if null_policy not in ("keep_old", "overwrite"):
         raise ValueError(f"unknown null_policy {null_policy!r}")
-    incoming = aligned(incoming, base)
+    incoming = aligned(incoming, base.schema)
     if strategy == "auto":
         small = estimated_bytes(incoming) <= broadcast_limit(base.sparkSession)
         strategy = "patch" if small else "full_outer"
@@ -106,5 +106,5 @@ def without_keys_of(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> Dat
 
 def delete_then_append(base: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Replace whole rows: drop the stored rows of the batch's keys, add the batch."""
-    incoming = aligned(incoming, base)
+    incoming = aligned(incoming, base.schema)
     return without_keys_of(base, incoming, keys).unionByName(incoming)

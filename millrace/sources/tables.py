@@ -2,22 +2,23 @@
 
 Layout below the table's path::
 
-    data/_version=3/Processing_Date=2024-01-15/part-*.parquet   rows written by version 3
-    commits/_version=3.json                     what version 3 consists of
+    data/_version=3-5f0c/Processing_Date=2024-01-15/part-*.parquet   rows written by version 3
+    commits/_version=3.json                                          what version 3 consists of
 
 A version's commit lists the data folders it is made of, most of them written
 by earlier versions, plus the batches merged so far.  It is published by a
 rename after Spark's job has written all rows, and readers take the newest
-one: a job that dies leaves files no reader looks at, and its retry overwrites
-them.  Data and run ledger change together because they are in the same
-commit.  One writer per table at a time is assumed, any number of readers; a
-second writer fails when it publishes.
+one: a job that dies leaves a folder no reader looks at.  Data and run ledger
+change together because they are in the same commit.  Each attempt writes into
+a folder of its own, and a version can be published once, so of two writers
+the later one fails and has changed nothing.
 """
 
 from __future__ import annotations
 
 import json
 import re
+import uuid
 from collections.abc import Iterable, Sequence
 from dataclasses import asdict, dataclass, field, replace
 from urllib.parse import unquote
@@ -198,7 +199,7 @@ class Table:
         now = self.snapshot()
         if _done(now, origin):
             return False
-        incoming = aligned(incoming, self._rows(()))
+        incoming = aligned(incoming, self.schema)
         if not now.folders:
             written = self._write(incoming, now.version + 1, balance=False)
             self._commit(_next(now, written, origin))
@@ -217,15 +218,18 @@ class Table:
         """Delete data folders that none of the newest ``keep`` versions uses.
 
         Rewritten partitions leave their old folders behind; readers that are
-        still on an older version than those kept lose them.  Returns how many
-        folders went.
+        still on an older version than those kept lose them.  What a running
+        write has put down so far stays.  Returns how many folders went.
         """
         if keep < 1:
             raise ValueError("keep at least one version")
-        used = {f for version in self._versions()[-keep:] for f in self.snapshot(version).folders}
+        versions = self._versions()
+        used = {f for version in versions[-keep:] for f in self.snapshot(version).folders}
         depth = "/*=*" if self.partition_by else ""
         found = files.glob(self.spark, f"{self.path}/data/{_VERSION}=*{depth}")
-        stale = [path for path in found if path.rpartition("/data/")[2] not in used]
+        names = {path.rpartition("/data/")[2]: path for path in found}
+        newest = max(versions, default=0)
+        stale = [p for name, p in names.items() if name not in used and _version_of(name) <= newest]
         for path in stale:
             files.delete(self.spark, path)
         return len(stale)
@@ -255,16 +259,17 @@ class Table:
         ``balance`` spreads a partition over as many files as its size asks
         for; Spark splits large ones and joins small ones at run time.
         """
-        target = f"{self.path}/data/{_VERSION}={version}"
+        folder = f"{_VERSION}={version}-{uuid.uuid4().hex[:8]}"
+        target = f"{self.path}/data/{folder}"
         df = df.select(*self.schema.names)
         if not self.partition_by:
-            df.write.mode("overwrite").parquet(target)
-            return [f"{_VERSION}={version}"]
+            df.write.parquet(target)
+            return [folder]
         if balance:
             df = df.hint("rebalance", F.col(self.partition_by))
-        df.write.mode("overwrite").partitionBy(self.partition_by).parquet(target)
+        df.write.partitionBy(self.partition_by).parquet(target)
         found = files.glob(self.spark, f"{target}/{self.partition_by}=*")
-        return [f"{_VERSION}={version}/" + f.rstrip("/").rsplit("/", 1)[1] for f in found]
+        return [f"{folder}/" + f.rstrip("/").rsplit("/", 1)[1] for f in found]
 
     def _commit(self, snapshot: Snapshot) -> None:
         target = f"{self.path}/commits/{_VERSION}={snapshot.version}.json"
