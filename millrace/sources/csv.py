@@ -42,14 +42,18 @@ def scan(
     return reader.schema(schema).csv(paths)
 
 
-def scan_stream(spark: SparkSession, directory: str, schema: T.StructType) -> DataFrame:
-    """The streaming twin of ``scan``: each file of the directory is read once."""
-    return (
-        spark.readStream.option("header", True)
-        .option("pathGlobFilter", "*.csv")
-        .schema(schema)
-        .csv(directory)
-    )
+def scan_stream(
+    spark: SparkSession, directory: str, schema: T.StructType, max_files: int | None = None
+) -> DataFrame:
+    """The streaming twin of ``scan``: each file of the directory is read once.
+
+    Oldest files come first.  ``max_files`` bounds a micro-batch, so that a
+    large backlog is taken in several commits instead of one.
+    """
+    reader = spark.readStream.option("header", True).option("pathGlobFilter", "*.csv")
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return reader.schema(schema).csv(directory)
 
 
 def with_source(df: DataFrame) -> DataFrame:

@@ -81,7 +81,8 @@ def land_available(
     checkpoint: str,
     schema: T.StructType = lms.EXTRACT,
     min_rows: int = 1,
+    max_files: int | None = None,
 ) -> None:
     """Land every drop of a directory that has not been landed by this checkpoint."""
-    drops = csv.with_source(csv.scan_stream(spark, directory, schema))
+    drops = csv.with_source(csv.scan_stream(spark, directory, schema, max_files))
     run_available(drops, landing_into(table, batch_date, schema, min_rows), checkpoint)

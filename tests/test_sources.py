@@ -1,3 +1,5 @@
+from types import SimpleNamespace
+
 import pytest
 from pyspark.sql import types as T
 
@@ -71,6 +73,28 @@ def test_shared_dir_follows_the_session(spark):
     assert session.scratch_path(spark, "x") != session.scratch_path(spark, "x")
 
 
+def test_without_a_shared_folder_only_a_local_session_runs():
+    class Context:
+        def __init__(self, master):
+            self.master, self.folder = master, None
+
+        def getCheckpointDir(self):
+            return self.folder
+
+        def setCheckpointDir(self, folder):
+            self.folder = folder
+
+    def fake(master, **conf):
+        return SimpleNamespace(conf=conf, sparkContext=Context(master))
+
+    local = fake("local[2]")
+    assert session.shared_dir(local) == session.shared_dir(local) == local.sparkContext.folder
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_dir(fake("yarn"))
+    cluster = fake("yarn", **{"spark.checkpoint.dir": "hdfs:///shared/"})
+    assert session.shared_dir(cluster) == "hdfs:///shared"
+
+
 def test_staged_copy_is_exact_and_goes_away(spark):
     with session.staged(spark.range(5).selectExpr("id", "id * 2 as v")) as copy:
         path = copy.inputFiles()[0].rsplit("/", 1)[0]

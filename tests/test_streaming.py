@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -23,8 +25,8 @@ def folder(tmp_path):
     return write
 
 
-def run(spark, folder, handler):
-    drops = csv.with_source(csv.scan_stream(spark, folder.path, SCHEMA))
+def run(spark, folder, handler, **options):
+    drops = csv.with_source(csv.scan_stream(spark, folder.path, SCHEMA, **options))
     streaming.run_available(drops, handler, folder.checkpoint)
 
 
@@ -64,6 +66,16 @@ def test_failed_micro_batch_is_taken_again(spark, tmp_path, folder, rows):
     assert table.snapshot().version == version == 1  # the replay was recognised
 
 
+def test_backlog_in_bounded_micro_batches_oldest_first(spark, tmp_path, folder, rows):
+    table = Table(spark, str(tmp_path / "t"), SCHEMA)
+    for n, name in enumerate(["c.csv", "b.csv", "a.csv"]):
+        folder(name, f"x,{name},{n}")
+        os.utime(f"{folder.path}/{name}", (1_700_000_000 + n, 1_700_000_000 + n))
+    run(spark, folder, streaming.merging_into(table, ["k"]), max_files=1)
+    assert table.snapshot().version == 3
+    assert rows(table.read()) == [("x", "a.csv", 2)]
+
+
 def test_landing_stream_feeds_the_layers(spark, tmp_path):
     source = tmp_path / "in"
     source.mkdir()
