@@ -62,15 +62,13 @@ def merge(
     ``strategy="patch"`` streams the base past the batch without shuffling it,
     given that the batch is small enough for Spark to broadcast.
     ``"full_outer"`` is a single shuffled join for batches beyond that.
-    ``"auto"`` picks by the optimizer's size of the batch, against the
-    session's broadcast limit.
+    ``"auto"`` is ``pick_strategy``.
     """
     if null_policy not in ("keep_old", "overwrite"):
         raise ValueError(f"unknown null_policy {null_policy!r}")
     incoming = aligned(incoming, base.schema)
     if strategy == "auto":
-        small = estimated_bytes(incoming) <= broadcast_limit(base.sparkSession)
-        strategy = "patch" if small else "full_outer"
+        strategy = pick_strategy(incoming)
 
     renamed = incoming.selectExpr(
         *[f"`{c}` as `{_NEW}{c}`" for c in incoming.columns], f"true as `{_NEW}`"
@@ -94,6 +92,12 @@ def merge(
     return patched.unionByName(without_keys_of(incoming, matched_keys(base, incoming, keys), keys))
 
 
+def pick_strategy(incoming: DataFrame) -> str:
+    """By the optimizer's size of the batch, against the session's broadcast limit."""
+    small = estimated_bytes(incoming) <= broadcast_limit(incoming.sparkSession)
+    return "patch" if small else "full_outer"
+
+
 def matched_keys(base: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys of the base that the batch brings again: no larger than the batch."""
     return base.select(*keys).join(incoming.select(*keys), list(keys), "left_semi")

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.operators.merge import aligned, merge
+from millrace.operators.merge import aligned, merge, pick_strategy
 from millrace.session import staged
 from millrace.sources import files
 
@@ -193,8 +193,11 @@ class Table:
         load is written as it is; after that the batch is read several times,
         so it is staged once.  Merging the same batch again changes nothing.
 
-        A batch without stored keys is written without a shuffle, which suits
-        a batch of one date; load many dates with ``append(balance=True)``.
+        A small batch causes no shuffle at all: rewritten rows stay in the
+        splits they were read in.  The shuffled join scatters dates over its
+        tasks, so its output is gathered by date again.  A batch without stored
+        keys is written as it is, which suits a batch of one date; load many
+        dates with ``append(balance=True)``.
         """
         now = self.snapshot()
         if _done(now, origin):
@@ -206,10 +209,13 @@ class Table:
             return True
         with staged(incoming) as batch:
             touched = self._partitions_with(now, batch, keys) if self.partition_by else now.folders
+            balance = False
             if touched:
+                strategy = pick_strategy(batch) if strategy == "auto" else strategy
                 old = self._rows(touched)
                 batch = merge(old, batch, keys, first_wins, null_policy, strategy)
-            written = self._write(batch, now.version + 1, balance=bool(touched))
+                balance = strategy == "full_outer"
+            written = self._write(batch, now.version + 1, balance)
         kept = [f for f in now.folders if f not in touched]
         self._commit(_next(now, [*kept, *written], origin))
         return True

@@ -68,8 +68,12 @@ def test_dedup_and_unseen_shuffle_one_row_per_task_and_key(facts, spark, setting
     assert {r.k for r in unseen(listing, facts, ["k"]).collect()} == set(range(5000, 5010))
 
 
-def test_rewrite_of_a_heavy_date_is_spread_over_tasks(spark, tmp_path, settings):
-    settings(spark__sql__adaptive__advisoryPartitionSizeInBytes="1m")
+@pytest.mark.parametrize("strategy", ["patch", "full_outer"])
+def test_rewrite_of_a_heavy_date_is_spread_over_tasks(spark, tmp_path, settings, strategy):
+    # A heavy partition can be split into as many parts as there are tasks before it.
+    settings(
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="1m", spark__sql__shuffle__partitions="16"
+    )
     schema = schema_of("k bigint, pad string, day string")
     table = Table(spark, str(tmp_path / "t"), schema, "day")
     day = F.when(F.col("id") % 3 < 2, "heavy").otherwise(F.concat(F.lit("d"), F.col("id") % 5))
@@ -77,7 +81,7 @@ def test_rewrite_of_a_heavy_date_is_spread_over_tasks(spark, tmp_path, settings)
         F.col("id").alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("pad"), day.alias("day")
     )
     table.append(rows, balance=True)
-    table.merge(rows.filter("k % 1000 = 0").withColumn("pad", F.lit("new")), ["k"], ["day"])
+    table.merge(rows.filter("k % 1000 = 0").withColumn("pad", F.lit("new")), ["k"], ["day"], strategy=strategy)
     assert table.read().count() == N
     assert table.read().filter("pad = 'new'").count() == N // 1000
     heavy = [f for f in table.read().inputFiles() if "_version=2-" in f and "day=heavy" in f]
