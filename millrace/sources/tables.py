@@ -151,15 +151,18 @@ class Table:
             self._commit(Snapshot(version=1))
 
     def append(self, df: DataFrame, origin: Origin = Origin(), balance: bool = False) -> bool:
-        """Add rows in new folders.  A micro-batch that is in already is skipped.
+        """Add rows in new folders, and tell whether there were any.
 
-        Rows of one batch date are written where they are; ask for ``balance``
-        when the frame spans many partitions, or each task writes into all.
+        A micro-batch that is in already is skipped.  Rows of one batch date
+        are written where they are; ask for ``balance`` when the frame spans
+        many partitions, or each task writes into all.
         """
         now = self.snapshot()
         if _done(now, origin):
             return False
         written = self._write(df, now.version + 1, balance)
+        if not written:
+            return False
         self._commit(_next(now, [*now.folders, *written], origin))
         return True
 

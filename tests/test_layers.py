@@ -126,6 +126,18 @@ def test_order_of_drops_does_not_matter(spark, tmp_path, drops, rows):
     assert {r[1] for r in results[0][-3]} == {"New", "B"}
 
 
+def test_drops_without_rows_leave_no_batch_behind(spark, layers, drops):
+    drops("empty.csv")
+    land(spark, layers, drops)
+    assert pending(layers.landing, layers.bronze) == []
+    drops("a.csv", row("1"))
+    land(spark, layers, drops)
+    layers.refresh_pending()
+    land(spark, layers, drops)
+    assert pending(layers.landing, layers.bronze) == []
+    assert layers.fact.read().count() == 1
+
+
 def test_odd_file_names(spark, layers, drops):
     names = ["a b.csv", "c%20d.csv", "e[1].csv", "g{x}.csv", "h*i.csv", "hi.csv", "ü.csv"]
     for n, name in enumerate(names):
