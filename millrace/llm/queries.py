@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, mixing, pii, sharding
+from millrace.llm import chat, jaccard, mixing, pii, sharding
 from millrace.llm.common import read, tune_text
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -65,3 +65,35 @@ def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
         "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(whole, 256).alias("turns_sha256"),
         F.length("loss_text").cast("long").alias("loss_chars"), F.sha2("loss_text", 256).alias("loss_sha256"),
         "formatted_chars")
+
+
+@query
+def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(read(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+ORACLES["op10_jaccard"] = r"""
+    with recursive words as (
+        select doc_id, regexp_extract_all(
+            translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w
+        from documents
+    ), sets as (
+        select doc_id, list_distinct(list_transform(
+            range(0, greatest(1, len(w) - 4)), lambda i: array_to_string(w[i + 1:i + 5], ' '))) as s
+        from words where len(w) > 0
+    ), sized as (
+        select doc_id, unnest(s) as g, len(s) as n from sets
+    ), links as (
+        select a.doc_id as a, b.doc_id as b
+        from sized a join sized b on a.g = b.g and a.doc_id <> b.doc_id
+        group by a.doc_id, b.doc_id, a.n, b.n
+        having 100 * count(*) >= 80 * (a.n + b.n - count(*))
+    ), reach as (
+        select doc_id as a, doc_id as b from documents
+        union
+        select reach.a, links.b from reach join links on reach.b = links.a
+    )
+    select d.doc_id, coalesce(len(s), 0) as n_shingles, min(r.b) as component_id
+    from documents d left join sets using (doc_id) join reach r on r.a = d.doc_id
+    group by d.doc_id, s
+"""
