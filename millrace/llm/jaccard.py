@@ -11,7 +11,8 @@ compared.
 
 Only components are asked for, so large groups of copies need not be
 multiplied out.  A first product takes neighbours in size order within each
-column; the pairs it links join into components.  The second takes every pair
+column, and of each document's the one with most overlaps; the pairs it links
+join into components.  The second takes every pair
 of a column whose components still differ, in blocks of ``BLOCK`` by ``BLOCK``
 entries.  No pair is left out but those whose ends are known to be connected.
 """
@@ -226,7 +227,8 @@ def near_duplicates(docs: DataFrame, size: int = SIZE, threshold: tuple[int, int
     )
     first = stored(
         shared.where("prev is not null").groupBy(F.col("prev").alias("a"), F.col("node").alias("b"), F.col("prev_n").alias("x"), F.col("n").alias("y"))
-        .agg(F.count(F.lit(1)).alias("count")).where(_can_reach(F.col("count"), F.col("x"), F.col("y"), threshold)),
+        .agg(F.count(F.lit(1)).alias("count")).where(_can_reach(F.col("count"), F.col("x"), F.col("y"), threshold))
+        .groupBy("b").agg(F.max_by("a", F.struct("count", "a")).alias("a")),
         "jaccard-first",
     )
 
