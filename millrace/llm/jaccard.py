@@ -33,7 +33,9 @@ from millrace.llm.components import components
 SIZE = 5
 THRESHOLD = (80, 100)
 BLOCK = 1024
-SKETCH_BITS = 18
+SKETCH_BITS = 21
+#: Counters of the sketch that are added up together.
+SLICE = 1 << 16
 _SHIFT = np.uint64(64 - SKETCH_BITS)
 
 Batches = Iterator[pa.RecordBatch]
@@ -52,11 +54,11 @@ def node_of(values: np.ndarray) -> int:
 
 
 def _profiles(size: int) -> Callable[[Batches], Batches]:
-    """Per document: its set's name and size; per task one more row, with the sketch."""
+    """Per document: its set's name and size; per task the slices of its sketch, with n = -1."""
 
     def run(batches: Batches) -> Batches:
-        hashes, sketch = WordHashes(), np.zeros(1 << SKETCH_BITS, np.int64)
-        schema = pa.schema([("doc_id", pa.int64()), ("node", pa.int64()), ("n", pa.int64()), ("sketch", pa.list_(pa.int64()))])
+        hashes, sketch = WordHashes(), np.zeros(1 << SKETCH_BITS, np.uint32)
+        schema = pa.schema([("doc_id", pa.int64()), ("node", pa.int64()), ("n", pa.int64()), ("counts", pa.binary())])
         for batch in batches:
             nodes, counts = [], []
             for text in batch.column(1).to_pylist():
@@ -65,13 +67,23 @@ def _profiles(size: int) -> Callable[[Batches], Batches]:
                 nodes.append(node_of(values))
                 counts.append(len(values))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(nodes, pa.int64()), pa.array(counts, pa.int64()), pa.nulls(len(nodes), pa.list_(pa.int64()))], schema=schema)
-        yield pa.RecordBatch.from_arrays(
-            [pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([-1], pa.int64()), pa.array([sketch.tolist()], pa.list_(pa.int64()))], schema=schema)
+                [batch.column(0), pa.array(nodes, pa.int64()), pa.array(counts, pa.int64()), pa.nulls(len(nodes), pa.binary())], schema=schema)
+        slices = [part.tobytes() for part in sketch.reshape(-1, SLICE)]
+        none = pa.nulls(len(slices), pa.int64())
+        yield pa.RecordBatch.from_arrays([none, pa.array(range(len(slices)), pa.int64()), pa.array([-1] * len(slices), pa.int64()), pa.array(slices, pa.binary())], schema=schema)
 
     return run
 
 
+def _added(key: tuple, batches: Batches) -> Batches:
+    """The sum of one slice of all sketches."""
+    total = np.zeros(SLICE, np.uint32)
+    for batch in batches:
+        for counts in batch.column(1).to_pylist():
+            total += np.frombuffer(counts, np.uint32)
+    yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int64()), pa.array([total.tobytes()], pa.binary())], names=["slice", "counts"])
+
+
 def _prefixes(size: int, threshold: tuple[int, int], sketch) -> Callable[[Batches], Batches]:
     """The entries of each different document that a partner must touch."""
     over, of = threshold
@@ -211,13 +223,13 @@ def near_duplicates(docs: DataFrame, size: int = SIZE, threshold: tuple[int, int
     """
     spark = docs.sparkSession
     docs = docs.select("doc_id", F.col("text").cast("binary").alias("bytes"))
-    profiles = stored(docs.mapInArrow(_profiles(size), "doc_id long, node long, n long, sketch array<long>"), "jaccard-profiles")
-    counts = profiles.where("n < 0").select(F.posexplode("sketch").alias("k", "c")).groupBy("k").agg(F.sum("c").alias("c")).collect()
-    sketch = np.zeros(1 << SKETCH_BITS, np.int64)
-    for k, c in counts:
-        sketch[k] = c
+    profiles = stored(docs.mapInArrow(_profiles(size), "doc_id long, node long, n long, counts binary"), "jaccard-profiles")
+    summed = profiles.where("n < 0").select(F.col("node").alias("slice"), "counts").groupBy("slice").applyInArrow(_added, "slice long, counts binary")
+    sketch = np.zeros(1 << SKETCH_BITS, np.uint32)
+    for k, counts in summed.collect():
+        sketch[k * SLICE : (k + 1) * SLICE] = np.frombuffer(counts, np.uint32)
     held = spark.sparkContext.broadcast(sketch)
-    rows = profiles.where("n >= 0").drop("sketch")
+    rows = profiles.where("n >= 0").drop("counts")
     classes = stored(rows.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("first_doc"), F.count(F.lit(1)).alias("rows")), "jaccard-classes")
     shared = stored(
         docs.select("bytes").mapInArrow(_prefixes(size, threshold, held), "shingle long, node long, n int, place int")
