@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, jaccard, mixing, pii, sharding
-from millrace.llm.common import read, tune_text
+from millrace.llm import chat, decontaminate, jaccard, mixing, nearest, pii, sharding, toxicity
+from millrace.llm.common import crc_bucket, read, tune_text
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -97,3 +97,25 @@ ORACLES["op10_jaccard"] = r"""
     from documents d left join sets using (doc_id) join reach r on r.a = d.doc_id
     group by d.doc_id, s
 """
+
+
+@query
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    held_out = crc_bucket("doc_id", 5) == 0
+    scored = toxicity.with_toxicity(docs.select("doc_id", "text"), labels.where(~held_out), into="score")
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document and benchmark item found in it."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.with_hits(docs, read(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", F.explode("hits").alias("hit")).select("doc_id", "hit.item_id", "hit.start", "hit.distance")
+
+
+@query
+def op9_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return nearest.search(vectors, vectors.where("vec_id % 100 = 0"))
