@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, decontaminate, jaccard, mixing, nearest, pii, sharding, toxicity
+from millrace.llm import chat, decontaminate, jaccard, lines, mixing, nearest, pii, sharding, toxicity
 from millrace.llm.common import crc_bucket, read, tune_text
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -119,3 +119,15 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = read(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return nearest.search(vectors, vectors.where("vec_id % 100 = 0"))
+
+
+@query
+def op5_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What line dedup deletes from each document, and the checksum of what it keeps."""
+    cleaned = lines.dedup_lines(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cleaned.select(
+        "doc_id",
+        F.size(F.split("text", "\n", -1)).cast("long").alias("n_lines"),
+        F.array_join(F.transform("ranges", lambda r: F.concat_ws("-", r["low"].cast("string"), r["high"].cast("string"))), ",").alias("deleted"),
+        F.length("kept").cast("long").alias("kept_chars"),
+        F.crc32(F.col("kept").cast("binary")).alias("kept_crc32"))
