@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, decontaminate, jaccard, lines, mixing, nearest, pii, sharding, toxicity
+from millrace.llm import chat, decontaminate, jaccard, lines, mixing, nearest, pii, scoring, sharding, toxicity
 from millrace.llm.common import crc_bucket, read, tune_text
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -131,3 +131,10 @@ def op5_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_join(F.transform("ranges", lambda r: F.concat_ws("-", r["low"].cast("string"), r["high"].cast("string"))), ",").alias("deleted"),
         F.length("kept").cast("long").alias("kept_chars"),
         F.crc32(F.col("kept").cast("binary")).alias("kept_crc32"))
+
+
+@query
+def op4_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = scoring.score_texts(docs, crc_bucket("doc_id", 10) == 0)
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
