@@ -126,11 +126,11 @@ class Index:
 
     @staticmethod
     def _needed(items: list[np.ndarray], seed: int) -> int:
-        """Walks for the target recall, from items with the most edits allowed, 400 trials at most."""
+        """Walks for the target recall, from items with the most edits allowed, in 400 trials."""
         rng = np.random.default_rng(seed)
-        some = [items[k] for k in rng.permutation(len(items))[:400]]
-        if not some:
+        if not items:
             return 1
+        some = [items[k] for k in np.resize(rng.permutation(len(items)), 400)]
         others = []
         for item in some:
             changed = list(item)
