@@ -259,7 +259,8 @@ def with_hits(docs: DataFrame, benchmark: DataFrame, into: str = "hits") -> Data
         mine = rows.where(F.pmod(F.xxhash64("item_id"), F.lit(slices)) == part).collect()
         held = docs.sparkSession.sparkContext.broadcast(Index.of([(r[0], bytes(r[1]) if r[1] is not None else None) for r in sorted(mine, key=lambda r: (r[0], r[1] or b""))]))
 
-        flat = F.pandas_udf(_searching(held), "array<bigint>")(F.col("text").cast("binary"))
+        # Not to be evaluated once more for a filter that the optimizer derives.
+        flat = F.pandas_udf(_searching(held), "array<bigint>").asNondeterministic()(F.col("text").cast("binary"))
         columns.append(flat)
     spare = "_hits"
     while spare in docs.columns:
