@@ -43,7 +43,7 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        if not context.master.startswith("local"):
+        if context.master != "local" and not context.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="millrace-"))
     return context.getCheckpointDir()
