@@ -28,6 +28,11 @@ def main(arguments: Sequence[str] | None = None, spark: SparkSession | None = No
         command.add_argument("tables")
         command.add_argument("date", help="batch date, as YYYY-MM-DD")
         command.add_argument("--min-rows", type=int, default=1)
+        command.add_argument(
+            "--by-position", action="store_true", help="do not compare header names with the schema"
+        )
+        if name == "stream":
+            command.add_argument("--max-files", type=int, help="files a micro-batch takes at most")
     commands.add_parser("refresh").add_argument("tables")
     given = parser.parse_args(arguments)
 
@@ -36,11 +41,15 @@ def main(arguments: Sequence[str] | None = None, spark: SparkSession | None = No
     if given.command == "refresh":
         layers.refresh_pending()
     elif given.command == "ingest":
-        ingest(spark, given.drops, layers.landing, given.date, min_rows=given.min_rows)
+        ingest(
+            spark, given.drops, layers.landing, given.date,
+            min_rows=given.min_rows, check_header=not given.by_position,
+        )
     else:
         checkpoint = f"{given.tables.rstrip('/')}/_checkpoints/landing"
         land_available(
-            spark, given.drops, layers.landing, given.date, checkpoint, min_rows=given.min_rows
+            spark, given.drops, layers.landing, given.date, checkpoint,
+            min_rows=given.min_rows, max_files=given.max_files, check_header=not given.by_position,
         )
 
 

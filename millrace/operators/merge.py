@@ -47,6 +47,8 @@ def merge(
     first_wins: Sequence[str] = (),
     null_policy: str = "keep_old",
     strategy: str = "auto",
+    newest_by: str | None = None,
+    touched_by: str | None = None,
 ) -> DataFrame:
     """Upsert ``incoming`` into ``base``.
 
@@ -59,6 +61,12 @@ def merge(
     ``null_policy="keep_old"`` a null in the batch never overwrites a value;
     with ``"overwrite"`` it does.
 
+    ``newest_by`` names a column that ranks rows, such as the date of their
+    batch.  Where the stored row ranks higher, the incoming one is late: it
+    fills gaps and overwrites nothing (with ``"overwrite"`` it does nothing at
+    all).  The higher rank is kept.  ``touched_by`` names a column that says
+    what changed a row last; a late row that fills no gap leaves it alone.
+
     ``strategy="patch"`` streams the base past the batch without shuffling it,
     given that the batch is small enough for Spark to broadcast.
     ``"full_outer"`` is a single shuffled join for batches beyond that.
@@ -75,12 +83,23 @@ def merge(
     )
     on = same_key(keys, [_NEW + k for k in keys])
 
+    late = f"coalesce(`{newest_by}` > `{_NEW}{newest_by}`, false)" if newest_by else "false"
+    fixed = {*keys, *first_wins, newest_by, touched_by}
+    gaps = [f"(`{c}` is null and `{_NEW}{c}` is not null)" for c in base.columns if c not in fixed]
+    fills = f"({' or '.join(gaps)})" if gaps and null_policy == "keep_old" else "false"
+
     def resolve(name: str) -> str:
         old, new = f"`{name}`", f"`{_NEW}{name}`"
+        if newest_by and name == newest_by:
+            return f"greatest({old}, {new}) as {old}"
+        if newest_by and name == touched_by:
+            return f"if({late} and not {fills}, {old}, coalesce({new}, {old})) as {old}"
         if name in first_wins:
             return f"coalesce({old}, {new}) as {old}"
         if null_policy == "overwrite" and name not in keys:
-            return f"if(`{_NEW}`, {new}, {old}) as {old}"
+            return f"if(`{_NEW}` and not {late}, {new}, {old}) as {old}"
+        if newest_by and name not in keys:
+            return f"if({late}, coalesce({old}, {new}), coalesce({new}, {old})) as {old}"
         return f"coalesce({new}, {old}) as {old}"
 
     resolved = [resolve(c) for c in base.columns]

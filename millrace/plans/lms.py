@@ -25,7 +25,8 @@ EXTRACT = schema_of("""
 KEYS = ("Student_ID", "Course_ID")
 CRITICAL = ("Student_ID", "Course_ID", "Enrollment_Date")
 BATCH = "Processing_Date"
-LAST_BATCH = "Last_Batch_Date"
+LAST_BATCH = "Last_Batch_Date"  # the batch that changed the row last, whichever its date
+NEWEST_BATCH = "Newest_Batch_Date"  # the newest batch that brought the row
 
 DEFAULTS = {
     "Age": 0,
@@ -125,8 +126,9 @@ _RETYPED = {
 }
 
 LANDING = _with(EXTRACT, f"Source_File string, Source_Modified timestamp, {BATCH} string")
-BRONZE = _with(EXTRACT, f"{BATCH} string, {LAST_BATCH} string")
+BRONZE = _with(EXTRACT, f"{BATCH} string, {LAST_BATCH} string, {NEWEST_BATCH} string")
 SILVER = T.StructType(
     [T.StructField(f.name, _RETYPED.get(f.name, f.dataType)) for f in BRONZE.fields]
 )
 REJECTS = _with(EXTRACT, f"Stage string, Reason string, {BATCH} string")
+LINE_REJECTS = schema_of(f"Source_File string, Line string, Reason string, {BATCH} string")

@@ -2,13 +2,16 @@
 
 Each step reads its input from the layer above, writes one new version of its
 own table and records the batch in that version's commit.  A step that fails
-raises and records nothing; a step that is run again changes nothing.
+raises and records nothing; a step whose input was taken already does nothing.
+Days may come late or out of order: a row that a newer batch brought keeps its
+values, and an older batch only fills its gaps.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +30,7 @@ from millrace.operators.quality import split_missing
 from millrace.plans import conform as conforming
 from millrace.plans import lms, star
 from millrace.plans.specs import ConformSpec
+from millrace.session import staged
 from millrace.sources import csv, files
 from millrace.sources.tables import Origin, Table
 
@@ -96,40 +100,85 @@ def ingest(
     batch_date: Date,
     schema: T.StructType = lms.EXTRACT,
     min_rows: int = 1,
+    check_header: bool = True,
 ) -> int:
     """Land the drops under ``paths`` that have not landed yet, in one scan.
 
     Only ``*.csv`` names count.  Files with fewer than ``min_rows`` data rows
     are skipped; 2 also skips files of one row.  Returns the number of files.
     Only file names pass through the driver, as in any scan of a path list.
+
+    Header names that differ from the schema are an error; without
+    ``check_header`` columns bind by position.  A line that does not fit the
+    schema lands with nulls, and its text goes to ``rejects_of(table)`` from
+    the same scan.  A run that dies between the two commits leaves that text
+    there twice rather than not at all.
     """
     day = date_of(batch_date).isoformat()
     found = files.listing(spark, paths)
     seen = table.read().select(F.col(csv.SOURCE_FILE).alias("path"))
     new = [row.path for row in unseen(found, seen, ["path"]).collect()]
     if new:
-        drops = csv.with_source(csv.scan(spark, [files.exact(path) for path in new], schema))
-        rows = landed_rows(drops, day, schema, min_rows)
-        table.append(rows, Origin(batch=day))
+        paths = [files.exact(path) for path in new]
+        drops = csv.with_source(csv.scan(spark, paths, schema, keep_corrupt=True, check_header=check_header))
+        land(drops, table, day, schema, min_rows)
     return len(new)
 
 
+def rejects_of(table: Table) -> Table:
+    """Where the text of rows goes that a table could not take whole: beside the table."""
+    return Table(table.spark, f"{table.path}_rejects", lms.LINE_REJECTS)
+
+
+def land(
+    drops: DataFrame,
+    table: Table,
+    day: str,
+    schema: T.StructType,
+    min_rows: int = 1,
+    stream: tuple[str, int] | None = None,
+) -> None:
+    """Append scanned drops to a landing table, and the text of malformed lines to its rejects."""
+    with staged(drops, "drops") as rows:
+        bad = rows.filter(F.col(csv.CORRUPT).isNotNull()).select(
+            csv.SOURCE_FILE, F.col(csv.CORRUPT).alias("Line"), F.lit("malformed line").alias("Reason")
+        )
+        if not bad.isEmpty():
+            rejected = stamp_batch(bad, day, lms.BATCH)
+            rejects_of(table).append(rejected, Origin(batch=day, stream=stream))
+        table.append(landed_rows(rows, day, schema, min_rows), Origin(batch=day, stream=stream))
+
+
 def newest_file_first() -> list:
     """Survivor order of repeated keys within a batch."""
     return [F.col(csv.SOURCE_MODIFIED).desc_nulls_last(), F.col(csv.SOURCE_FILE).desc_nulls_last()]
 
 
 def bronze(landing: Table, table: Table, rejects: Table, batch_date: Date) -> None:
-    """Merge a landed batch into bronze: one row per key, first-seen date kept."""
+    """Merge a landed batch into bronze: one row per key, first-seen date kept.
+
+    A late file makes its day be read again.  Rows that a newer batch has
+    brought since then keep their values; those the late rows complete are
+    marked with this batch, so that the layers below take them.
+    """
     day = date_of(batch_date).isoformat()
     revision = landing.snapshot().last.get(day)
+    if _taken(table, day, revision):
+        return
     batch = batch_of(landing.read_batch(day), day, lms.BATCH)
     keyed, unkeyed = split_missing(batch, lms.KEYS)
     _replace_rejects(rejects, unkeyed.withColumn("Reason", F.lit("missing key")), "bronze", day)
 
     rows = dedup_by_key(keyed, lms.KEYS, newest_file_first())
     rows = stamp_batch(rows.drop(csv.SOURCE_FILE, csv.SOURCE_MODIFIED), day, lms.LAST_BATCH)
-    table.merge(rows, lms.KEYS, first_wins=[lms.BATCH], origin=Origin(batch=day, used=revision))
+    table.merge(
+        stamp_batch(rows, day, lms.NEWEST_BATCH),
+        lms.KEYS,
+        first_wins=[lms.BATCH],
+        origin=Origin(batch=day, used=revision),
+        newest_by=lms.NEWEST_BATCH,
+        touched_by=lms.LAST_BATCH,
+    )
 
 
 def silver(
@@ -145,6 +194,8 @@ def silver(
     """
     day = date_of(batch_date).isoformat()
     revision = bronze_table.snapshot().last.get(day)
+    if _taken(table, day, revision):
+        return
     batch = batch_of(bronze_table.read_batch(day), day, lms.LAST_BATCH)
     _replace_rejects(rejects, conforming.rejects(batch, spec, unique=True), "silver", day)
     rows = conforming.conform(batch, spec, unique=True)
@@ -159,13 +210,31 @@ def audit(bronze_table: Table, batch_date: Date, spec: ConformSpec = lms.CONFORM
 
 
 def gold(silver_table: Table, tables: dict[str, Table], batch_date: Date) -> None:
-    """Merge a batch of silver rows into the dimensions, then into the fact."""
+    """Merge a batch of silver rows into the dimensions, then into the fact.
+
+    A dimension row is that of the newest batch.  When newer batches are in
+    already, the rows of this one cannot tell, so the dimension keys it brings
+    are looked up among all silver rows.
+    """
     day = date_of(batch_date).isoformat()
-    revision = silver_table.snapshot().last.get(day)
+    known = silver_table.snapshot().last
+    revision = known.get(day)
     batch = batch_of(silver_table.read_batch(day), day, lms.LAST_BATCH)
     origin = Origin(batch=day, used=revision)
+    overtaken = any(other > day for other in known)
     for spec in (*lms.STAR.dimensions, lms.STAR.fact):
-        star.merge_into(tables[spec.name], batch, spec, origin, unique_on=lms.KEYS)
+        if _taken(tables[spec.name], day, revision):
+            continue
+        rows = batch
+        if overtaken and spec is not lms.STAR.fact:
+            rows = silver_table.read().join(batch.select(*spec.keys), list(spec.keys), "left_semi")
+        spec = replace(spec, newest_by=(lms.NEWEST_BATCH, *spec.newest_by))
+        star.merge_into(tables[spec.name], rows, spec, origin, unique_on=lms.KEYS)
+
+
+def _taken(table: Table, day: str, revision: int | None) -> bool:
+    """Whether a table has taken this very version of a batch, or there is none."""
+    return table.snapshot().used.get(day) == revision
 
 
 def _replace_rejects(table: Table, rows: DataFrame, stage: str, day: str) -> None:

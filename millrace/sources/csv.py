@@ -43,7 +43,12 @@ def scan(
 
 
 def scan_stream(
-    spark: SparkSession, directory: str, schema: T.StructType, max_files: int | None = None
+    spark: SparkSession,
+    directory: str,
+    schema: T.StructType,
+    max_files: int | None = None,
+    keep_corrupt: bool = False,
+    check_header: bool = False,
 ) -> DataFrame:
     """The streaming twin of ``scan``: each file of the directory is read once.
 
@@ -53,6 +58,11 @@ def scan_stream(
     reader = spark.readStream.option("header", True).option("pathGlobFilter", "*.csv")
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
+    if keep_corrupt:
+        schema = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+        reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
+    if check_header:
+        reader = reader.option("enforceSchema", False)
     return reader.schema(schema).csv(directory)
 
 

@@ -40,7 +40,7 @@ class Snapshot:
 
     ``first`` and ``last`` give, per batch, the versions that merged it first
     and last; ``used`` gives the upstream version a batch was taken from;
-    ``stream`` gives the last micro-batch of a stream.  The size follows the
+    ``stream`` gives the last micro-batch by the id of the stream.  The size follows the
     number of partitions and batch dates, not of rows.
     """
 
@@ -58,7 +58,7 @@ class Origin:
 
     batch: str | None = None
     used: int | None = None  # upstream version the batch was taken from
-    stream: tuple[str, int] | None = None  # stream name and micro-batch number
+    stream: tuple[str, int] | None = None  # stream id and micro-batch number
 
 
 def _version_of(path: str) -> int:
@@ -188,6 +188,8 @@ class Table:
         null_policy: str = "keep_old",
         strategy: str = "auto",
         origin: Origin = Origin(),
+        newest_by: str | None = None,
+        touched_by: str | None = None,
     ) -> bool:
         """Upsert a batch and rewrite only the partitions that hold its keys.
 
@@ -216,7 +218,9 @@ class Table:
             if touched:
                 strategy = pick_strategy(batch) if strategy == "auto" else strategy
                 old = self._rows(touched)
-                batch = merge(old, batch, keys, first_wins, null_policy, strategy)
+                batch = merge(
+                    old, batch, keys, first_wins, null_policy, strategy, newest_by, touched_by
+                )
                 balance = strategy == "full_outer"
             written = self._write(batch, now.version + 1, balance)
         kept = [f for f in now.folders if f not in touched]

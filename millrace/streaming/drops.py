@@ -3,7 +3,10 @@
 A checkpoint remembers which files were read, so each file is taken once, a
 failed micro-batch is taken again, and files that arrive late are taken by the
 next run.  The tables record the micro-batch number in the commit of the data,
-so a micro-batch that is replayed after a crash is not applied twice.
+so a micro-batch that is replayed after a crash is not applied twice.  Numbers
+are kept by the query id that Spark stores in the checkpoint: streams with
+checkpoints of their own may feed one table, and a rebuilt checkpoint counts
+as a new stream, which reads its files again.
 """
 
 from __future__ import annotations
@@ -11,14 +14,16 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions import date_of
 from millrace.operators.dedup import dedup_by_key
-from millrace.operators.quality import drop_missing
+from millrace.operators.quality import split_missing
 from millrace.plans import lms
-from millrace.plans.refine import Date, landed_rows
+from millrace.plans.refine import Date, land, rejects_of
 from millrace.sources import csv
+from millrace.session import staged
 from millrace.sources.tables import Origin, Table
 
 Handler = Callable[[DataFrame, int], None]
@@ -35,19 +40,25 @@ def run_available(stream: DataFrame, handler: Handler, checkpoint: str) -> None:
     query.awaitTermination()
 
 
+def stream_id(df: DataFrame) -> str:
+    """Id of the stream a micro-batch belongs to, the same across restarts from one checkpoint."""
+    found = df.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    if not found:
+        raise RuntimeError("not a micro-batch of a running stream")
+    return found
+
+
 def landing_into(
     table: Table,
     batch_date: Date,
     schema: T.StructType = lms.EXTRACT,
     min_rows: int = 1,
-    name: str = "landing",
 ) -> Handler:
-    """Append each micro-batch of scanned drops to a landing table."""
+    """Append each micro-batch of scanned drops to a landing table, as ``refine.land`` does."""
     day = date_of(batch_date).isoformat()
 
     def handle(df: DataFrame, number: int) -> None:
-        rows = landed_rows(df, day, schema, min_rows)
-        table.append(rows, Origin(batch=day, stream=(name, number)))
+        land(df, table, day, schema, min_rows, (stream_id(df), number))
 
     return handle
 
@@ -57,18 +68,32 @@ def merging_into(
     keys: Sequence[str],
     order_by: Sequence[Column] = (),
     first_wins: Sequence[str] = (),
-    name: str = "merge",
 ) -> Handler:
     """Upsert each micro-batch into a table, one row per key.
 
     ``order_by`` picks the survivor among rows of one key; columns the table
-    does not have may be used for that and are dropped afterwards.
+    does not have may be used for that and are dropped afterwards.  Rows
+    without a key go to ``rejects_of(table)``, as JSON.
     """
 
     def handle(df: DataFrame, number: int) -> None:
-        rows = dedup_by_key(drop_missing(df, keys), keys, order_by)
-        incoming = rows.select(*[c for c in df.columns if c in table.schema.names])
-        table.merge(incoming, keys, first_wins, origin=Origin(stream=(name, number)))
+        origin = Origin(stream=(stream_id(df), number))
+        with staged(df, "micro-batch") as batch:
+            keyed, unkeyed = split_missing(batch, keys)
+            if not unkeyed.isEmpty():
+                source = F.col(csv.SOURCE_FILE) if csv.SOURCE_FILE in df.columns else F.lit(None).cast("string")
+                rejects_of(table).append(
+                    unkeyed.select(
+                        source.alias(csv.SOURCE_FILE),
+                        F.to_json(F.struct("*")).alias("Line"),
+                        F.lit("missing key").alias("Reason"),
+                        F.lit(None).cast("string").alias(lms.BATCH),
+                    ),
+                    origin,
+                )
+            rows = dedup_by_key(keyed, keys, order_by)
+            incoming = rows.select(*[c for c in df.columns if c in table.schema.names])
+            table.merge(incoming, keys, first_wins, origin=origin)
 
     return handle
 
@@ -82,7 +107,10 @@ def land_available(
     schema: T.StructType = lms.EXTRACT,
     min_rows: int = 1,
     max_files: int | None = None,
+    check_header: bool = True,
 ) -> None:
     """Land every drop of a directory that has not been landed by this checkpoint."""
-    drops = csv.with_source(csv.scan_stream(spark, directory, schema, max_files))
+    drops = csv.with_source(
+        csv.scan_stream(spark, directory, schema, max_files, keep_corrupt=True, check_header=check_header)
+    )
     run_available(drops, landing_into(table, batch_date, schema, min_rows), checkpoint)

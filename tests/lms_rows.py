@@ -38,7 +38,7 @@ def frame(spark, *rows, day="2024-01-15"):
     casts = {"double": float, "int": int, "string": str}
     data = [
         [None if r[f.name] is None else casts[f.dataType.simpleString()](r[f.name]) for f in lms.EXTRACT]
-        + [day, day]
+        + [day, day, day]
         for r in rows
     ]
     return spark.createDataFrame(data, lms.BRONZE)

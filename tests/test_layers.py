@@ -3,7 +3,7 @@ import os
 import pytest
 
 from millrace.plans import lms
-from millrace.plans.refine import Layers, bronze, ingest, pending
+from millrace.plans.refine import Layers, bronze, ingest, pending, rejects_of
 from tests.lms_rows import csv_text, row
 
 DAY1, DAY2 = "2024-01-15", "2024-01-16"
@@ -205,3 +205,52 @@ def test_rows_before_the_first_batch(layers):
     assert pending(layers.landing, layers.bronze) == []
     layers.refresh(DAY1)
     assert layers.fact.read().count() == 0
+
+
+def test_late_file_fills_gaps_and_reverts_nothing(spark, layers, drops, rows):
+    drops("a.csv", row("1", Final_Grade="C", Name="Old"), row("2"))
+    land(spark, layers, drops)
+    layers.refresh_pending()
+    drops("b.csv", row("1", Final_Grade="A", Name="New", Grade_Level=None), row("4", Course_Name=None))
+    land(spark, layers, drops, DAY2)
+    layers.refresh_pending()
+    drops("late.csv", row("1", "C9", Name="Late", Enrollment_Date="9/9/2023"), row("3"), row("4", Course_Name="Filled", Final_Grade="F"))
+    land(spark, layers, drops, DAY1)
+    layers.refresh_pending()
+    got = fact(layers)
+    assert set(got) == {("1", "C071"), ("1", "C9"), ("2", "C071"), ("3", "C071"), ("4", "C071")}
+    assert got["1", "C071"].Final_Grade == "A"
+    assert got["4", "C071"].Final_Grade == "A-"
+    stored = {(r.Student_ID, r.Course_ID): r for r in layers.silver.read().collect()}
+    assert stored["4", "C071"].Course_Name == "Filled"  # the gap travelled
+    assert (stored["1", "C071"].Newest_Batch_Date, stored["1", "C071"].Last_Batch_Date) == (DAY2, DAY2)
+    assert (stored["4", "C071"].Newest_Batch_Date, stored["4", "C071"].Last_Batch_Date) == (DAY2, DAY1)
+    names = {r.Student_ID: r.Name for r in layers.star["dim_student"].read().collect()}
+    assert names["1"] == "New"
+    before = snapshot_rows(layers, rows)
+    for day in (DAY2, DAY1, DAY2):
+        layers.refresh(day)
+    assert snapshot_rows(layers, rows) == before
+
+
+def test_malformed_lines_keep_their_text(spark, layers, drops):
+    path = drops("a.csv", row("1", Age="sixteen"), row("2"))
+    with open(path, "a") as file:
+        file.write("3,short line\r\n")
+    land(spark, layers, drops)
+    assert layers.landing.read().count() == 3
+    got = {r.Line.split(",")[0]: r for r in rejects_of(layers.landing).read().collect()}
+    assert set(got) == {"1", "3"}
+    assert ",sixteen," in got["1"].Line and got["1"].Source_File.endswith("a.csv")
+
+
+def test_headers_are_compared_with_the_schema(spark, layers, drops):
+    path = drops("a.csv", row("1"))
+    with open(path) as file:
+        text = file.read().replace("Student_ID,Name", "Name,Student_ID")
+    with open(path, "w") as file:
+        file.write(text)
+    with pytest.raises(Exception, match="(?i)header"):
+        land(spark, layers, drops)
+    assert layers.landing.read().count() == 0
+    assert land(spark, layers, drops, check_header=False) == 1

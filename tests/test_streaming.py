@@ -3,7 +3,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.plans.refine import Layers
+from millrace.plans.refine import Layers, rejects_of
 from millrace.plans.specs import schema_of
 from millrace.sources import csv
 from millrace.sources.tables import Table
@@ -99,3 +99,41 @@ def test_landing_stream_feeds_the_layers(spark, tmp_path):
         "3": ("A-", "2024-01-15"), "4": ("A-", "2024-01-16"),
     }
     assert layers.landing.read().count() == 5
+
+
+def test_streams_with_own_checkpoints_feed_one_table(spark, tmp_path, rows):
+    merged = Table(spark, str(tmp_path / "merged"), SCHEMA)
+    layers = Layers(spark, str(tmp_path / "tables"))
+    for n in ("1", "2"):
+        (tmp_path / n).mkdir()
+        (tmp_path / n / "k.csv").write_text(f"k,v,n\nx{n},v,1\n")
+        stream = csv.scan_stream(spark, str(tmp_path / n), SCHEMA)
+        streaming.run_available(stream, streaming.merging_into(merged, ["k"]), str(tmp_path / f"c{n}"))
+        (tmp_path / f"drops{n}").mkdir()
+        (tmp_path / f"drops{n}" / "a.csv").write_text(csv_text(row(n)))
+        streaming.land_available(
+            spark, str(tmp_path / f"drops{n}"), layers.landing, "2024-01-15", str(tmp_path / f"l{n}")
+        )
+    assert rows(merged.read()) == [("x1", "v", 1), ("x2", "v", 1)]
+    assert sorted(r.Student_ID for r in layers.landing.read().collect()) == ["1", "2"]
+
+
+def test_rebuilt_checkpoint_reads_again_and_merges_the_same(spark, tmp_path, folder, rows):
+    table = Table(spark, str(tmp_path / "t"), SCHEMA)
+    folder("a.csv", "x,1,1", ",no key,1")
+    for n in range(2):
+        folder.checkpoint = str(tmp_path / f"checkpoint{n}")
+        run(spark, folder, streaming.merging_into(table, ["k"]))
+    folder("b.csv", "y,2,1")
+    run(spark, folder, streaming.merging_into(table, ["k"]))
+    assert rows(table.read()) == [("x", "1", 1), ("y", "2", 1)]
+
+
+def test_rows_without_a_key_are_kept_as_rejects(spark, tmp_path, folder, rows):
+    table = Table(spark, str(tmp_path / "t"), SCHEMA)
+    folder("a.csv", "x,1,1", ",no key,1", ",no key,1")
+    run(spark, folder, streaming.merging_into(table, ["k"]))
+    rejected = rejects_of(table).read().collect()
+    assert [r.Reason for r in rejected] == ["missing key"] * 2
+    assert '"v":"no key"' in rejected[0].Line and rejected[0].Source_File.endswith("a.csv")
+    assert table.read().count() == 1
