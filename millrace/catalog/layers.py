@@ -13,7 +13,7 @@ from millrace.catalog.registry import ENROLMENTS, enrolments, query, read
 from millrace.functions import parse_date
 from millrace.operators.dedup import dedup_by_key
 from millrace.plans import lms
-from millrace.plans.refine import Layers, ingest
+from millrace.plans.refine import Layers, ingest, rejects_of
 from millrace.session import scratch_path
 from millrace.sources import csv
 from millrace.sources.tables import Table
@@ -41,6 +41,38 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.read()
 
 
+@query(UPSERTED)
+def stream_two_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The two deliveries in folders of their own, each read by its own stream into one table."""
+    root = scratch_path(spark, "stream_two_sources")
+    first = stored(spark, sf_dir)
+    table = Table(spark, f"{root}/orders", first.schema)
+    for name, delivery in (("first", first), ("later", later(spark, sf_dir))):
+        delivery.write.parquet(f"{root}/{name}")
+        rows = spark.readStream.schema(first.schema).parquet(f"{root}/{name}")
+        drops.run_available(rows, drops.merging_into(table, KEYS), f"{root}/checkpoint-{name}")
+    return table.read()
+
+
+@query("""
+    select o_orderkey as id, case when o_orderstatus = 'P' then 'missing key' else 'kept' end as fate
+    from orders
+""")
+def stream_key_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders in progress come without their key; each order is either merged or kept as a reject."""
+    root = scratch_path(spark, "stream_key_rejects")
+    key = F.when(F.col("o_orderstatus") != "P", F.col("o_orderkey"))
+    rows = read(spark, sf_dir, "orders").select(key.alias("key"), F.col("o_orderkey").alias("id"))
+    rows.write.parquet(f"{root}/drops")
+    table = Table(spark, f"{root}/orders", rows.schema)
+    stream = spark.readStream.schema(rows.schema).parquet(f"{root}/drops")
+    drops.run_available(stream, drops.merging_into(table, ["key"]), f"{root}/checkpoint")
+    lost = F.get_json_object("Line", "$.id").cast(rows.schema["id"].dataType)
+    return table.read().select("id", F.lit("kept").alias("fate")).unionByName(
+        rejects_of(table).read().select(lost.alias("id"), F.col("Reason").alias("fate"))
+    )
+
+
 # Enrolments in the layout of the learning-management extract, as two drops
 # that overlap by a year and together cover every line item.  Columns without
 # a counterpart stay empty for the null policy to fill.
@@ -147,14 +179,19 @@ def _drop_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _run_layers(spark: SparkSession, sf_dir: str, name: str) -> Layers:
+def _run_layers(spark: SparkSession, sf_dir: str, name: str, late: str | None = None) -> Layers:
+    """Two days of drops through the layers; those of the first day's ``late`` segment come after both."""
     root = scratch_path(spark, name)
     layers = Layers(spark, root, replace(lms.CONFORM, exact_score=T.DecimalType(18, 2)))
     rows, day = _drop_rows(spark, sf_dir), F.col("o_orderdate")
-    for batch_date, delivery in (
-        ("2024-01-15", rows.filter(day < F.lit("1999-01-01").cast("date"))),
-        ("2024-01-16", rows.filter(day >= F.lit("1998-01-01").cast("date"))),
-    ):
+    first = rows.filter(day < F.lit("1999-01-01").cast("date"))
+    second = rows.filter(day >= F.lit("1998-01-01").cast("date"))
+    deliveries = [("2024-01-15", first), ("2024-01-16", second)]
+    if late is not None:
+        is_late = F.col("Demographic_Group") == late
+        deliveries = [("2024-01-15", first.filter(~is_late)), ("2024-01-16", second)]
+        deliveries.append(("2024-01-15", first.filter(is_late)))
+    for n, (batch_date, delivery) in enumerate(deliveries):
         once = dedup_by_key(delivery.drop("o_orderdate").select(*_COLUMNS), lms.KEYS)
         extract = once.select(
             *[
@@ -163,14 +200,14 @@ def _run_layers(spark: SparkSession, sf_dir: str, name: str) -> Layers:
                 for f in lms.EXTRACT.fields
             ]
         )
-        extract.write.option("header", True).csv(f"{root}/drops/{batch_date}")
-        ingest(spark, f"{root}/drops/{batch_date}", layers.landing, batch_date)
+        extract.write.option("header", True).csv(f"{root}/drops/{n}")
+        ingest(spark, f"{root}/drops/{n}", layers.landing, batch_date)
         layers.refresh_pending()
     return layers
 
 
-@query(f"""
-    {_LAYERS}
+def _fact_sql(before: str, after: str) -> str:
+    return f"""
     select coalesce(n.Student_ID, b.Student_ID) as Student_ID,
            coalesce(n.Course_ID, b.Course_ID) as Course_ID,
            {', '.join(f'coalesce(n.{c}, b.{c}) as {c}' for c in _FACT[2:])},
@@ -179,17 +216,49 @@ def _run_layers(spark: SparkSession, sf_dir: str, name: str) -> Layers:
                 then 'On-Time' else 'Delayed' end as Course_Completion_Rate,
            'N/A' as Final_Grade, cast(0 as double) as Attendance_Rate,
            coalesce(b.Processing_Date, n.Processing_Date) as Processing_Date
-    from first_silver b full join second_silver n
+    from {before} b full join {after} n
     on b.Student_ID = n.Student_ID and b.Course_ID = n.Course_ID
-""")
-def layered_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two drops through all stored layers; the fact table at the end."""
-    return _run_layers(spark, sf_dir, "layered_fact").fact.read().select(
+    """
+
+
+def _fact_rows(layers: Layers) -> DataFrame:
+    return layers.fact.read().select(
         *_FACT, F.col("Completion_Date").cast("string").alias("Completion_Date"),
         "Course_Completion_Rate", "Final_Grade", "Attendance_Rate", "Processing_Date",
     )
 
 
+@query(_LAYERS + _fact_sql("first_silver", "second_silver"))
+def layered_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two drops through all stored layers; the fact table at the end."""
+    return _fact_rows(_run_layers(spark, sf_dir, "layered_fact"))
+
+
+# The late segment's keys of the second drop: first conformed without the
+# first drop's values, then once more with their gaps filled.
+_LATE = f"""
+    {_LAYERS},
+    alone as ({_conformed("""select *, date '2024-01-16' as Processing_Date from second_drop
+                             where Demographic_Group = 'BUILDING'""")}),
+    before as (
+        select * from alone
+        union all by name
+        select f.* from first_silver f left join second_drop s
+        on f.Student_ID = s.Student_ID and f.Course_ID = s.Course_ID
+        where f.Demographic_Group <> 'BUILDING' or s.Student_ID is null),
+    after as (
+        select * replace (case when Demographic_Group = 'BUILDING' then date '2024-01-16'
+                               else Processing_Date end as Processing_Date)
+        from second_silver)
+"""
+
+
+@query(_LATE + _fact_sql("before", "after"))
+def layered_late_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One segment of the first day lands after the second day, and reverts nothing; the fact table."""
+    return _fact_rows(_run_layers(spark, sf_dir, "layered_late_file", late="BUILDING"))
+
+
 def _newest_student(silver: str) -> str:
     return f"""
         (select Student_ID, Name, Demographic_Group from (
