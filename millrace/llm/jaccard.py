@@ -14,7 +14,9 @@ multiplied out.  A first product takes neighbours in size order within each
 column, and of each document's the one with most overlaps; the pairs it links
 join into components.  The second takes every pair
 of a column whose components still differ, in blocks of ``BLOCK`` by ``BLOCK``
-entries.  No pair is left out but those whose ends are known to be connected.
+entries.  No pair is left out but those whose ends are known to be connected, or
+whose sets differ in too many n-grams: each set has the parity of its n-grams in
+``64 * MARKS`` bins, and bins of unlike parity hold one differing n-gram at least.
 """
 
 from __future__ import annotations
@@ -34,6 +36,8 @@ SIZE = 5
 THRESHOLD = (80, 100)
 BLOCK = 1024
 SKETCH_BITS = 21
+#: Longs of a set's parity bins.
+MARKS = 8
 #: Counters of the sketch that are added up together.
 SLICE = 1 << 16
 _SHIFT = np.uint64(64 - SKETCH_BITS)
@@ -53,24 +57,34 @@ def node_of(values: np.ndarray) -> int:
     return int(mixed(total).view(np.int64)[0])
 
 
+def marks_of(values: np.ndarray) -> np.ndarray:
+    """The parity of a set's n-grams in each of ``64 * MARKS`` bins."""
+    bins = np.bincount((values & np.uint64(64 * MARKS - 1)).astype(np.int64), minlength=64 * MARKS)
+    return np.packbits((bins & 1).astype(np.uint8)).view(np.int64)
+
+
 def _profiles(size: int) -> Callable[[Batches], Batches]:
-    """Per document: its set's name and size; per task the slices of its sketch, with n = -1."""
+    """Per document: its set's name, size and parities; per task the slices of its sketch, with n = -1."""
 
     def run(batches: Batches) -> Batches:
         hashes, sketch = WordHashes(), np.zeros(1 << SKETCH_BITS, np.uint32)
-        schema = pa.schema([("doc_id", pa.int64()), ("node", pa.int64()), ("n", pa.int64()), ("counts", pa.binary())])
+        names = [f"m{k}" for k in range(MARKS)]
+        schema = pa.schema([("doc_id", pa.int64()), ("node", pa.int64()), ("n", pa.int64()), ("counts", pa.binary()), *((m, pa.int64()) for m in names)])
         for batch in batches:
-            nodes, counts = [], []
+            nodes, counts, marks = [], [], []
             for text in batch.column(1).to_pylist():
                 values = set_of(text, size, hashes)
                 np.add.at(sketch, (values >> _SHIFT).astype(np.int64), 1)
                 nodes.append(node_of(values))
                 counts.append(len(values))
+                marks.append(marks_of(values))
+            columns = np.array(marks, np.int64).reshape(-1, MARKS).T
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(nodes, pa.int64()), pa.array(counts, pa.int64()), pa.nulls(len(nodes), pa.binary())], schema=schema)
+                [batch.column(0), pa.array(nodes, pa.int64()), pa.array(counts, pa.int64()), pa.nulls(len(nodes), pa.binary()), *map(pa.array, columns)], schema=schema)
         slices = [part.tobytes() for part in sketch.reshape(-1, SLICE)]
         none = pa.nulls(len(slices), pa.int64())
-        yield pa.RecordBatch.from_arrays([none, pa.array(range(len(slices)), pa.int64()), pa.array([-1] * len(slices), pa.int64()), pa.array(slices, pa.binary())], schema=schema)
+        yield pa.RecordBatch.from_arrays(
+            [none, pa.array(range(len(slices)), pa.int64()), pa.array([-1] * len(slices), pa.int64()), pa.array(slices, pa.binary()), *[none] * MARKS], schema=schema)
 
     return run
 
@@ -187,9 +201,11 @@ def _whole_sets(docs: DataFrame, nodes: DataFrame, classes: DataFrame, size: int
     return texts.mapInArrow(run, "node long, values array<long>").dropDuplicates(["node"])
 
 
-def _products(shared: DataFrame, parts: DataFrame, threshold: tuple[int, int]) -> DataFrame:
+def _products(shared: DataFrame, parts: DataFrame, classes: DataFrame, threshold: tuple[int, int]) -> DataFrame:
     """Pairs (a, b) in different parts whose counted overlaps can reach what is needed."""
-    rows = shared.select("shingle", "node", "n", "place").join(parts, "node", "left").withColumn("part", F.coalesce("root", "node")).drop("root")
+    marks = [f"m{k}" for k in range(MARKS)]
+    nodes = classes.join(parts, "node", "left").select("node", F.coalesce("root", "node").alias("part"), *marks)
+    rows = shared.select("shingle", "node", "n", "place").join(nodes, "node")
     mixed_columns = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("c"), F.min("part").alias("p0"), F.max("part").alias("p1")).where("p0 != p1")
     rows = stored(rows.join(mixed_columns.select("shingle", "c"), "shingle"), "product-rows")
     ranked = rows.where(F.col("c") > BLOCK).withColumn(
@@ -198,15 +214,16 @@ def _products(shared: DataFrame, parts: DataFrame, threshold: tuple[int, int]) -
     few = rows.where(F.col("c") <= BLOCK).withColumn("block", F.lit(0).cast("long"))
     rows = few.unionByName(ranked)
     left = rows.withColumn("other", F.explode(F.sequence(F.col("block"), blocks - 1))).select(
-        "shingle", F.col("block").alias("i"), F.col("other").alias("j"), F.col("node").alias("a"), F.col("n").alias("x"), F.col("place").alias("px"), F.col("part").alias("pa"))
+        "shingle", F.col("block").alias("i"), F.col("other").alias("j"), F.col("node").alias("a"), F.col("n").alias("x"), F.col("place").alias("px"), F.col("part").alias("pa"), *[F.col(m).alias(f"a{m}") for m in marks])
     right = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("block")))).select(
-        "shingle", F.col("other").alias("i"), F.col("block").alias("j"), F.col("node").alias("b"), F.col("n").alias("y"), F.col("place").alias("py"), F.col("part").alias("pb"))
+        "shingle", F.col("other").alias("i"), F.col("block").alias("j"), F.col("node").alias("b"), F.col("n").alias("y"), F.col("place").alias("py"), F.col("part").alias("pb"), *[F.col(m).alias(f"b{m}") for m in marks])
     over, of = threshold
     x, y = F.col("x"), F.col("y")
     most = F.least("px", "py") + 1 + F.least(x - F.col("px") - 1, y - F.col("py") - 1)
+    differ = sum((F.bit_count(F.col(f"a{m}").bitwiseXOR(F.col(f"b{m}"))) for m in marks), F.lit(0))
     pairs = left.join(right, ["shingle", "i", "j"]).where(
         ((x < y) | ((x == y) & (F.col("a") < F.col("b")))) & (F.col("pa") != F.col("pb"))
-        & (of * x >= over * y) & (most >= _needed(x, y, threshold)))
+        & (of * x >= over * y) & (most >= _needed(x, y, threshold)) & (differ <= x + y - 2 * _needed(x, y, threshold)))
     return pairs.groupBy("a", "b", "x", "y").agg(F.count(F.lit(1)).alias("count")).where(
         _can_reach(F.col("count"), x, y, threshold))
 
@@ -223,14 +240,15 @@ def near_duplicates(docs: DataFrame, size: int = SIZE, threshold: tuple[int, int
     """
     spark = docs.sparkSession
     docs = docs.select("doc_id", F.col("text").cast("binary").alias("bytes"))
-    profiles = stored(docs.mapInArrow(_profiles(size), "doc_id long, node long, n long, counts binary"), "jaccard-profiles")
+    marks = [f"m{k}" for k in range(MARKS)]
+    profiles = stored(docs.mapInArrow(_profiles(size), "doc_id long, node long, n long, counts binary, " + ", ".join(f"{m} long" for m in marks)), "jaccard-profiles")
     summed = profiles.where("n < 0").select(F.col("node").alias("slice"), "counts").groupBy("slice").applyInArrow(_added, "slice long, counts binary")
     sketch = np.zeros(1 << SKETCH_BITS, np.uint32)
     for k, counts in summed.collect():
         sketch[k * SLICE : (k + 1) * SLICE] = np.frombuffer(counts, np.uint32)
     held = spark.sparkContext.broadcast(sketch)
     rows = profiles.where("n >= 0").drop("counts")
-    classes = stored(rows.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("first_doc"), F.count(F.lit(1)).alias("rows")), "jaccard-classes")
+    classes = stored(rows.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("first_doc"), F.count(F.lit(1)).alias("rows"), *[F.first(m).alias(m) for m in marks]), "jaccard-classes")
     shared = stored(
         docs.select("bytes").mapInArrow(_prefixes(size, threshold, held), "shingle long, node long, n int, place int")
         .repartition("shingle").dropDuplicates(["shingle", "node"]).sortWithinPartitions("shingle", "n", "node")
@@ -249,14 +267,14 @@ def near_duplicates(docs: DataFrame, size: int = SIZE, threshold: tuple[int, int
 
     links = stored(_linked(first, _whole_sets(docs, ends(first), classes, size), threshold), "jaccard-links")
     parts = stored(components(links), "jaccard-parts")
-    second = stored(_products(shared, parts, threshold), "jaccard-second")
+    second = stored(_products(shared, parts, classes, threshold), "jaccard-second")
     if not second.isEmpty():
         more = _linked(second, _whole_sets(docs, ends(second), classes, size), threshold)
         links = stored(links.unionByName(more), "jaccard-links")
         parts = stored(components(links), "jaccard-parts")
-    named = classes.join(parts, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    named = classes.select("node", "first_doc", "rows").join(parts, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = named.groupBy("root").agg(F.min("first_doc").alias("component_id"), F.sum("rows").alias("component_size"))
     named = stored(named.select("node", "root").join(least, "root").select("node", "component_id", "component_size"), "jaccard-named")
-    some = rows.where("n > 0").join(named, "node").select("doc_id", F.col("n").alias("n_shingles"), "component_id", "component_size")
+    some = rows.where("n > 0").select("doc_id", "node", "n").join(named, "node").select("doc_id", F.col("n").alias("n_shingles"), "component_id", "component_size")
     none = rows.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(1).cast("long").alias("component_size"))
     return some.unionByName(none)
