@@ -5,6 +5,8 @@ from __future__ import annotations
 import random
 from collections import defaultdict
 
+import numpy as np
+
 from millrace.llm import jaccard
 from millrace.llm.components import components
 from millrace.llm.jaccard import near_duplicates
@@ -77,3 +79,14 @@ def test_components(text_spark):
     got = {r["node"]: r["root"] for r in components(text_spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {**{k: 0 for k in range(31)}, 100: 100, 101: 100, -5: -5, 200: -5}
     assert components(text_spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_unlike_bins_never_exceed_the_difference():
+    rng = np.random.default_rng(4)
+    for size in (0, 1, 40, 3000):
+        both = rng.integers(0, 1 << 63, size, np.uint64)
+        for extra in (0, 1, 25, 700):
+            x, y = (np.unique(np.concatenate([both, rng.integers(0, 1 << 63, extra, np.uint64)])) for _ in range(2))
+            bins = sum(int(m).bit_count() for m in (jaccard.marks_of(x) ^ jaccard.marks_of(y)).view(np.uint64))
+            assert bins <= len(np.setxor1d(x, y))
+            assert extra or bins == 0
