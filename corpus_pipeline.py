@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import decontaminate, jaccard, mixing, sharding, toxicity
-from millrace.llm.common import crc_bucket, read, stored, tune_text
+from millrace.llm.common import WORD, crc_bucket, read, stored, text_or_empty, tune_text
 
 SHARDS = 24
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -19,11 +19,14 @@ def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest id; documents without words stay, one of each id."""
+    """Of each group of near duplicates the document with the smallest id, null last, then the smallest hash of its text; all documents without words stay."""
     tune_text(spark)
-    ids = jaccard.near_duplicates(docs).where("n_shingles = 0 or doc_id <=> component_id").select(F.col("doc_id").alias("d")).distinct()
-    kept = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("d"))).select(*COLUMNS)
-    return kept.dropDuplicates(["doc_id"])
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
+    groups = jaccard.near_duplicates(docs).where("n_shingles > 0").groupBy("root").agg(F.min(order).alias("least"))
+    least = groups.select(F.col("least.doc_id").alias("d"), F.col("least.text_hash").alias("h")).distinct()
+    hashed = docs.withColumn("text_hash", jaccard.text_hash())
+    kept = hashed.join(least, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_hash") == F.col("h"))).dropDuplicates(["doc_id", "text_hash"])
+    return kept.select(*COLUMNS).unionByName(docs.where(~text_or_empty().rlike(WORD)).select(*COLUMNS))
 
 
 def not_leaked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,10 +35,11 @@ def not_leaked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it; ids are unique here, as the stage of near duplicates left them."""
+    """Each document as often as the mix takes it; the draw goes by a hash of the whole row, as ids may repeat or be null."""
     tune_text(spark)
-    mix = mixing.mix(docs).where("copies > 0").select(F.col("doc_id").alias("d"), "copies")
-    copied = docs.join(mix, F.col("doc_id").eqNullSafe(F.col("d")))
+    keyed = docs.select(*COLUMNS).withColumn("row_hash", F.xxhash64(*COLUMNS, *[F.col(c).isNull() for c in COLUMNS]))
+    mix = mixing.mix(keyed.drop("doc_id").withColumnRenamed("row_hash", "doc_id")).groupBy(F.col("doc_id").alias("row_hash")).agg(F.sum("copies").alias("copies"))
+    copied = keyed.dropDuplicates(["row_hash"]).join(mix.where("copies > 0"), "row_hash")
     return copied.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select(*COLUMNS)
 
 

@@ -45,6 +45,10 @@ _SHIFT = np.uint64(64 - SKETCH_BITS)
 Batches = Iterator[pa.RecordBatch]
 
 
+def text_hash() -> Column:
+    return F.xxhash64(F.col("text").cast("binary"))
+
+
 def set_of(text: bytes | None, size: int, hashes: WordHashes) -> np.ndarray:
     return np.unique(shingles(hashes.of(words_of(text)), size))
 
@@ -69,7 +73,7 @@ def _profiles(size: int) -> Callable[[Batches], Batches]:
     def run(batches: Batches) -> Batches:
         hashes, sketch = WordHashes(), np.zeros(1 << SKETCH_BITS, np.uint32)
         names = [f"m{k}" for k in range(MARKS)]
-        schema = pa.schema([("doc_id", pa.int64()), ("node", pa.int64()), ("n", pa.int64()), ("counts", pa.binary()), *((m, pa.int64()) for m in names)])
+        schema = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("node", pa.int64()), ("n", pa.int64()), ("counts", pa.binary()), *((m, pa.int64()) for m in names)])
         for batch in batches:
             nodes, counts, marks = [], [], []
             for text in batch.column(1).to_pylist():
@@ -80,11 +84,11 @@ def _profiles(size: int) -> Callable[[Batches], Batches]:
                 marks.append(marks_of(values))
             columns = np.array(marks, np.int64).reshape(-1, MARKS).T
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(nodes, pa.int64()), pa.array(counts, pa.int64()), pa.nulls(len(nodes), pa.binary()), *map(pa.array, columns)], schema=schema)
+                [batch.column(0), batch.column(2), pa.array(nodes, pa.int64()), pa.array(counts, pa.int64()), pa.nulls(len(nodes), pa.binary()), *map(pa.array, columns)], schema=schema)
         slices = [part.tobytes() for part in sketch.reshape(-1, SLICE)]
         none = pa.nulls(len(slices), pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [none, pa.array(range(len(slices)), pa.int64()), pa.array([-1] * len(slices), pa.int64()), pa.array(slices, pa.binary()), *[none] * MARKS], schema=schema)
+            [none, none, pa.array(range(len(slices)), pa.int64()), pa.array([-1] * len(slices), pa.int64()), pa.array(slices, pa.binary()), *[none] * MARKS], schema=schema)
 
     return run
 
@@ -229,7 +233,7 @@ def _products(shared: DataFrame, parts: DataFrame, classes: DataFrame, threshold
 
 
 def near_duplicates(docs: DataFrame, size: int = SIZE, threshold: tuple[int, int] = THRESHOLD) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, and component_size in rows.
+    """One row per document: doc_id, text_hash, n_shingles, component_id, component_size in rows, and root.
 
     Two documents are linked when their sets of ``size``-word n-grams have a
     Jaccard similarity of ``threshold`` (a fraction) or more; a text of fewer
@@ -237,11 +241,13 @@ def near_duplicates(docs: DataFrame, size: int = SIZE, threshold: tuple[int, int
     links, itself included.  Null, empty and blank texts have no n-grams and are
     linked with nothing.  Repeated rows are linked with one another like any
     copies.  A null doc_id never is the smallest but where there is no other.
+    ``root`` names the component even where ids repeat or are null, and is null
+    without n-grams; doc_id and ``text_hash`` lead back to the document.
     """
     spark = docs.sparkSession
-    docs = docs.select("doc_id", F.col("text").cast("binary").alias("bytes"))
+    docs = docs.select("doc_id", F.col("text").cast("binary").alias("bytes"), text_hash().alias("text_hash"))
     marks = [f"m{k}" for k in range(MARKS)]
-    profiles = stored(docs.mapInArrow(_profiles(size), "doc_id long, node long, n long, counts binary, " + ", ".join(f"{m} long" for m in marks)), "jaccard-profiles")
+    profiles = stored(docs.mapInArrow(_profiles(size), "doc_id long, text_hash long, node long, n long, counts binary, " + ", ".join(f"{m} long" for m in marks)), "jaccard-profiles")
     summed = profiles.where("n < 0").select(F.col("node").alias("slice"), "counts").groupBy("slice").applyInArrow(_added, "slice long, counts binary")
     sketch = np.zeros(1 << SKETCH_BITS, np.uint32)
     for k, counts in summed.collect():
@@ -274,7 +280,10 @@ def near_duplicates(docs: DataFrame, size: int = SIZE, threshold: tuple[int, int
         parts = stored(components(links), "jaccard-parts")
     named = classes.select("node", "first_doc", "rows").join(parts, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = named.groupBy("root").agg(F.min("first_doc").alias("component_id"), F.sum("rows").alias("component_size"))
-    named = stored(named.select("node", "root").join(least, "root").select("node", "component_id", "component_size"), "jaccard-named")
-    some = rows.where("n > 0").select("doc_id", "node", "n").join(named, "node").select("doc_id", F.col("n").alias("n_shingles"), "component_id", "component_size")
-    none = rows.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(1).cast("long").alias("component_size"))
+    named = stored(named.select("node", "root").join(least, "root").select("node", "root", "component_id", "component_size"), "jaccard-named")
+    some = rows.where("n > 0").select("doc_id", "text_hash", "node", "n").join(named, "node").select(
+        "doc_id", "text_hash", F.col("n").alias("n_shingles"), "component_id", "component_size", "root")
+    none = rows.where("n = 0").select(
+        "doc_id", "text_hash", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(1).cast("long").alias("component_size"),
+        F.lit(None).cast("long").alias("root"))
     return some.unionByName(none)

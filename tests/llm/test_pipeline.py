@@ -38,3 +38,23 @@ def test_empty_table(text_spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = corpus_pipeline.stored(stage(text_spark, docs, SF), "test-stage")
         assert docs.count() == 0
+
+
+WORDS = {name: " ".join(f"{name}{k}" for k in range(12)) for name in "abcdefgh"}
+
+
+def test_repeated_and_null_ids_lose_no_text(documents, text_spark):
+    """One row of each text is left, whatever the ids; doc 7's copy of doc 3 goes and its other text stays."""
+    rows = [(3, WORDS["a"], "s"), (7, WORDS["a"], "s"), (7, WORDS["b"], "s"), (7, WORDS["c"], "t"), (7, WORDS["c"], "t"),
+            (None, WORDS["d"], "s"), (None, WORDS["e"], "s"), (None, WORDS["e"], "s"), (None, WORDS["b"], "s"), (None, " ", "s"), (None, "", "s"), (9, None, "s")]
+    got = corpus_pipeline.one_of_each(text_spark, documents(rows), SF).collect()
+    assert {(r["doc_id"], r["text"]) for r in got} == {
+        (3, WORDS["a"]), (7, WORDS["b"]), (7, WORDS["c"]), (None, WORDS["d"]), (None, WORDS["e"]), (None, " "), (None, ""), (9, None)}
+    assert len(got) == 8
+
+
+def test_mix_of_repeated_ids(documents, text_spark):
+    """A single source is its own target: each row is taken once, however many rows share its id."""
+    rows = [(7, WORDS[name], "s") for name in "abcd"] + [(None, WORDS[name], "s") for name in "efgh"] + [(7, WORDS["a"], "s")]
+    got = sorted((r["doc_id"] or 0, r["text"]) for r in corpus_pipeline.mixed(text_spark, documents(rows), SF).collect())
+    assert got == sorted((d or 0, t) for d, t, _ in rows)
