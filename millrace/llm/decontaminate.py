@@ -5,19 +5,21 @@ bit of (step, symbol).  Two strings under one walk agree in most outputs if
 their edit distance is small, so edit distance becomes Hamming distance, and a
 few sampled outputs make a hash that close strings share.  The walk is repeated
 with other bits as often as a trial with the most edits allowed says is needed
-for the target recall.  Symbols are words.
+for the target recall, in a trial for each class of item lengths.  Symbols are words.
 
 A text is read in windows of every item length in use.  A window can only lie
 within the allowed distance of an item if it begins with one of the item's first
 words (the first that is kept) and holds enough of them, and enough pairs of neighbours (running counts tell), so
 other windows are never walked; no match is lost by that.  Windows that share a hash with an item are
-compared by exact edit distance.
+compared by exact edit distance.  Lengths for which ``MOST_WALKS`` do not reach the
+target are not walked: their windows are compared with every item of the length
+that has the window's first word among its first.
 """
 
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -29,7 +31,9 @@ from millrace.llm.common import mixed
 
 ALLOWED = 0.2
 SAMPLED = 3
-RECALL, MOST_WALKS = 0.98, 64
+RECALL, MOST_WALKS, TRIALS = 0.98, 64, 400
+#: Lengths of one class differ by less than this factor.
+CLASS = 1.1
 #: Bytes of benchmark text that tasks hold at once; a larger benchmark is taken in slices.
 SLICE = 32 << 20
 _EDGES = b".,;:!?\"'()[]{}"
@@ -91,15 +95,19 @@ def walk_hashes(symbols: np.ndarray, lengths: np.ndarray, walks: int, seed: int
 
 @dataclass
 class Index:
-    """Items as word numbers, and which items have a hash."""
+    """Items as word numbers, and which items have a hash.
+
+    ``walks`` are by length; lengths with none have their items by (length, one of the first words) in ``heads``.
+    """
 
     vocabulary: dict[bytes, int]
     items: list[tuple[int, np.ndarray]]
     lengths: list[int]
     pairs: np.ndarray
     firsts: np.ndarray
-    walks: int
+    walks: dict[int, int]
     table: dict[int, list[int]]
+    heads: dict[tuple[int, int], list[int]]
 
     @classmethod
     def of(cls, items: list[tuple[int, bytes | None]], seed: int = 11) -> Index:
@@ -110,27 +118,45 @@ class Index:
             if words:
                 coded.append((item_id, np.array([vocabulary.setdefault(w, len(vocabulary) + 1) for w in words], np.int64)))
         lengths = np.array([len(s) for _, s in coded], np.int64)
-        walks = cls._needed([s for _, s in coded], seed)
+        walks = cls._walks([s for _, s in coded], seed)
         table: dict[int, list[int]] = defaultdict(list)
-        for at in range(0, len(coded), 1024):
-            some = slice(at, at + 1024)
-            for k, hashes in enumerate(walk_hashes(padded([s for _, s in coded[some]]), lengths[some], walks).tolist(), at):
-                for h in hashes:
-                    table[h].append(k)
+        heads: dict[tuple[int, int], list[int]] = defaultdict(list)
+        for many in sorted(set(walks.values())):
+            mine = [k for k, (_, s) in enumerate(coded) if walks[len(s)] == many]
+            for at in range(0, len(mine), 1024):
+                some = mine[at : at + 1024]
+                if many:
+                    for k, hashes in zip(some, walk_hashes(padded([coded[k][1] for k in some]), lengths[some], many).tolist(), strict=True):
+                        for h in hashes:
+                            table[h].append(k)
+                for k in [] if many else some:
+                    symbols = coded[k][1]
+                    for symbol in set(symbols[: allowed(len(symbols)) + 1].tolist()):
+                        heads[len(symbols), symbol].append(k)
         pairs = np.unique(np.concatenate([s[:-1] * PAIR + s[1:] for _, s in coded])) if coded else lengths
         classes = sorted(set(lengths.tolist()))
         firsts = np.zeros((len(vocabulary) + 1, len(classes)), bool)
         for _, symbols in coded:
             firsts[symbols[: allowed(len(symbols)) + 1], classes.index(len(symbols))] = True
-        return cls(vocabulary, coded, classes, pairs, firsts, walks, dict(table))
+        return cls(vocabulary, coded, classes, pairs, firsts, walks, dict(table), dict(heads))
+
+    @classmethod
+    def _walks(cls, items: list[np.ndarray], seed: int) -> dict[int, int]:
+        """Walks for the target recall by length, from a trial of each class of lengths; none where the target is out of reach."""
+        classes: dict[int, list[np.ndarray]] = defaultdict(list)
+        for item in items:
+            classes[int(np.log(len(item)) / np.log(CLASS))].append(item)
+        out = {}
+        for mine in classes.values():
+            needed = cls._needed(mine, seed)
+            out |= {len(item): needed for item in mine}
+        return out
 
     @staticmethod
     def _needed(items: list[np.ndarray], seed: int) -> int:
-        """Walks for the target recall, from items with the most edits allowed, in 400 trials."""
+        """Walks for the target recall, from items with the most edits allowed; 0 if ``MOST_WALKS`` do not reach it."""
         rng = np.random.default_rng(seed)
-        if not items:
-            return 1
-        some = [items[k] for k in np.resize(rng.permutation(len(items)), 400)]
+        some = [items[k] for k in np.resize(rng.permutation(len(items)), TRIALS)]
         others = []
         for item in some:
             changed = list(item)
@@ -144,9 +170,12 @@ class Index:
                     changed[at] = 0
             others.append(np.array((changed + [_NONE] * len(item))[: len(item)], np.int64))
         lengths = np.array([len(x) for x in some], np.int64)
-        same = walk_hashes(padded(some), lengths, MOST_WALKS) == walk_hashes(padded(others), lengths, MOST_WALKS)
-        met = [same[:, :walks].any(1).mean() for walks in range(1, MOST_WALKS + 1)]
-        return next((walks for walks, share in enumerate(met, 1) if share >= RECALL), MOST_WALKS)
+        for most in (MOST_WALKS // 2, MOST_WALKS):
+            same = walk_hashes(padded(some), lengths, most) == walk_hashes(padded(others), lengths, most)
+            met = np.logical_or.accumulate(same, 1).mean(0)
+            if met[-1] >= RECALL:
+                return int(np.argmax(met >= RECALL)) + 1
+        return 0
 
 
 def padded(rows: list[np.ndarray]) -> np.ndarray:
@@ -216,18 +245,30 @@ class Finder:
     def _walk(self, held: list[tuple[int, int, int, np.ndarray]], found: list[dict[int, tuple[int, int]]]) -> None:
         if not held:
             return
-        windows = padded([symbols[start : start + length] for _, start, length, symbols in held])
-        lengths = np.array([length for _, _, length, _ in held], np.int64)
-        for row, hashes in enumerate(walk_hashes(windows, lengths, self.index.walks).tolist()):
-            n, start, length, symbols = held[row]
-            for k in {k for h in hashes for k in self.index.table.get(h, ())}:
-                item, edit = self.index.items[k][1], allowed(length)
-                text = symbols[start : start + length + edit]
-                if len(item) != length or np.isin(text, item).sum() < length - edit:
-                    continue
-                distance = edits(item, text)
-                if distance <= edit and (k not in found[n] or (distance, start) < found[n][k]):
-                    found[n][k] = (distance, start)
+        groups: dict[int, list[tuple[int, int, int, np.ndarray]]] = defaultdict(list)
+        for window in held:
+            groups[self.index.walks[window[2]]].append(window)
+        for walks, mine in groups.items():
+            if not walks:
+                for window in mine:
+                    self._compare(window, self.index.heads.get((window[2], int(window[3][window[1]])), ()), found)
+                continue
+            windows = padded([symbols[start : start + length] for _, start, length, symbols in mine])
+            lengths = np.array([length for _, _, length, _ in mine], np.int64)
+            for window, hashes in zip(mine, walk_hashes(windows, lengths, walks).tolist(), strict=True):
+                self._compare(window, {k for h in hashes for k in self.index.table.get(h, ())}, found)
+
+    def _compare(self, window: tuple[int, int, int, np.ndarray], items: Iterable[int], found: list[dict[int, tuple[int, int]]]) -> None:
+        n, start, length, symbols = window
+        edit = allowed(length)
+        text = symbols[start : start + length + edit]
+        for k in items:
+            item = self.index.items[k][1]
+            if len(item) != length or np.isin(text, item).sum() < length - edit:
+                continue
+            distance = edits(item, text)
+            if distance <= edit and (k not in found[n] or (distance, start) < found[n][k]):
+                found[n][k] = (distance, start)
 
 
 def _searching(held):

@@ -64,3 +64,19 @@ def test_odd_rows(documents, text_spark):
     assert found == [(1, [4], [0]), (1, [4], [0]), (2, [4], [20_000]), (3, [], []), (4, [], []), (5, [], []), (99, [4], [0])]
     assert with_hits(documents([]), bench).collect() == []
     assert with_hits(documents(rows[:2]), bench.limit(0)).select("hits").first()["hits"] == []
+
+
+def test_long_items_among_short_ones():
+    """Every length has the target recall, not only the lengths that most items have."""
+    rnd = random.Random(4)
+    items = [(k, text(rnd.randint(8, 20), rnd)) for k in range(300)] + [(1000 + k, text(n, rnd)) for k, n in enumerate([150, 200, 300, 400])]
+    index = Index.of([(k, t.encode()) for k, t in items])
+    docs, want = [], []
+    for item_id, t in items[300:] * 6:
+        words = t.split()
+        for at in rnd.sample(range(1, len(words)), allowed(len(words))):
+            words[at] = "NEW"
+        docs.append(" ".join(["clean"] * 30 + words + ["clean"] * 30).encode())
+        want.append(item_id)
+    got = [set(x[::3]) for x in Finder(index).hits(docs)]
+    assert sum(w in g for g, w in zip(got, want, strict=True)) >= 0.95 * len(want)
