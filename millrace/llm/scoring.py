@@ -1,18 +1,18 @@
 """Code length of texts by context-tree weighting over bytes.
 
 A byte is eight binary decisions; each of the 255 places in that decision tree
-has a context tree of its own over the ``DEPTH`` bytes before.  A node holds
+has a context tree of its own over the bytes before, as many as the depth says.  A node holds
 how often 0 and 1 followed its context; the Krichevsky-Trofimov estimate of
 these and the product of its children's weighted probabilities are mixed half
 and half.  The probability of a bit, given all training texts, is then a
 mixture of the estimates along its context, from the root down.
 
 Texts are dealt by hash of their id into chunks of about ``CHUNK`` bytes.  A
-chunk lists its distinct byte strings of ``DEPTH + 1`` with their training
+chunk lists its distinct strings of a context and its byte with their training
 counts, zeros included, and likewise its words.  These lists are added up,
 turned into probabilities, and joined back to the chunks that asked, so the
-model is never held whole: trees are worked on by the last two bytes of the
-context, and what lies above, at most 256 times 255 rows, is broadcast.
+model is never held whole: trees are worked on by the last ``SUFFIX`` bytes of
+the context, and what lies above by place.
 """
 
 from __future__ import annotations
@@ -21,13 +21,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import WordHashes, stored, words_of
+from millrace.llm.common import WordHashes, mixed, stored, words_of
 
-DEPTH = 4
+DEPTH = 8
+#: Last bytes of a context by which trees are dealt to tasks.
+SUFFIX = 3
 CHUNK = 32 << 20
+#: Strings whose trees a task works on at once, and those of one more suffix.
+HELD = 100_000
 BEFORE, END = 0xFE, 0xFF
 #: A token no text holds, after the last word.
 END_WORD = b"\n"
@@ -36,14 +41,37 @@ WORD_KIND, BYTE_KIND = 0, 1
 Batches = Iterator[pa.RecordBatch]
 
 
-def strings_of(text: bytes | None) -> np.ndarray:
-    """Each byte of the lower-cased text, and its end, with the ``DEPTH`` bytes before it, as one number."""
-    data = np.frombuffer(bytes([BEFORE]) * DEPTH + (text or b"").lower() + bytes([END]), np.uint8)
-    total = len(data) - DEPTH
-    out = np.zeros(total, np.int64)
-    for k in range(DEPTH + 1):
-        out = (out << 8) | data[k : k + total]
-    return out
+def strings_of(text: bytes | None, depth: int) -> np.ndarray:
+    """Each byte of the lower-cased text, and its end, in a row with the ``depth`` bytes before it."""
+    data = np.frombuffer(bytes([BEFORE]) * depth + (text or b"").lower() + bytes([END]), np.uint8)
+    return np.lib.stride_tricks.sliding_window_view(data, depth + 1)
+
+
+def hashes_of(strings: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each row of bytes."""
+    value = np.zeros(len(strings), np.uint64)
+    for column in strings.T:
+        value *= np.uint64(0x9E3779B97F4A7C15)
+        value += column
+        value += np.uint64(1)
+    return mixed(value).view(np.int64)
+
+
+def packed(strings: np.ndarray) -> pa.Array:
+    """Rows of bytes as binary values."""
+    ends = pa.array(np.arange(len(strings) + 1, dtype=np.int32) * strings.shape[1])
+    return pa.Array.from_buffers(pa.binary(), len(strings), [None, ends.buffers()[1], pa.py_buffer(np.ascontiguousarray(strings).tobytes())])
+
+
+def unpacked(column: pa.ChunkedArray, width: int) -> np.ndarray:
+    """Binary values of ``width`` bytes each, none of them null, as rows of bytes."""
+    parts = [np.empty(0, np.uint8)]
+    for chunk in column.chunks:
+        chunk = chunk.cast(pa.large_binary())
+        if len(chunk):
+            start = np.frombuffer(chunk.buffers()[1], np.int64)[chunk.offset]
+            parts.append(np.frombuffer(chunk.buffers()[2], np.uint8, len(chunk) * width, start))
+    return np.concatenate(parts).reshape(-1, width)
 
 
 def log_gamma(x: np.ndarray) -> np.ndarray:
@@ -60,7 +88,7 @@ def log_kt(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
 
 
 class Level:
-    """Counts and weights of all nodes of one depth; nodes are context * 256 + place."""
+    """Counts and weights of all nodes of one depth; nodes are numbers of contexts * 256 + place."""
 
     def __init__(self, nodes: np.ndarray, zeros: np.ndarray, ones: np.ndarray, below: np.ndarray | None) -> None:
         self.nodes, self.zeros, self.ones = nodes, zeros, ones
@@ -77,19 +105,37 @@ class Level:
 
 def bits_of(strings: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The eight places and bits of each string's last byte."""
-    byte = strings & 0xFF
+    byte = strings[:, -1].astype(np.int64)
     t = np.arange(8)
     return (1 << t) | (byte[:, None] >> (8 - t)), (byte[:, None] >> (7 - t)) & 1
 
 
+def suffixes_of(strings: np.ndarray, top: int) -> np.ndarray:
+    """The last ``top`` context bytes of each string as one number."""
+    out = np.zeros(len(strings), np.int64)
+    for column in strings[:, -1 - top : -1].T:
+        out = (out << 8) | column
+    return out
+
+
 def levels_of(strings: np.ndarray, counts: np.ndarray, top: int) -> tuple[list[tuple[Level, np.ndarray]], np.ndarray]:
-    """Levels from ``DEPTH`` up to ``top``, each with every (string, bit)'s node in it, and the bits."""
+    """Levels from the strings' depth up to ``top``, each with every (string, bit)'s node in it, and the bits.
+
+    The nodes of the last level are by the number that ``suffixes_of`` gives.
+    """
     place, bit = bits_of(strings)
     weight = np.repeat(counts, 8).astype(np.float64)
     flat_bit, out, below = bit.ravel(), [], None
-    for depth in range(DEPTH, top - 1, -1):
-        context = (strings >> 8) & ((1 << (8 * depth)) - 1)
-        nodes, at = np.unique((context[:, None] * 256 + place).ravel(), return_inverse=True)
+    contexts = []
+    number = suffixes_of(strings, top)
+    for depth in range(top, strings.shape[1]):
+        if depth > top:
+            # A context goes on from its shorter one by one byte further back.
+            number = np.unique(number * 256 + strings[:, -1 - depth], return_inverse=True)[1].reshape(-1)
+        contexts.append(number)
+    for number in reversed(contexts):
+        nodes, at = np.unique((number[:, None] * 256 + place).ravel(), return_inverse=True)
+        at = at.reshape(-1)
         ones = np.bincount(at, weight * flat_bit, len(nodes))
         zeros = np.bincount(at, weight * (1 - flat_bit), len(nodes))
         summed = None
@@ -104,29 +150,63 @@ def levels_of(strings: np.ndarray, counts: np.ndarray, top: int) -> tuple[list[t
     return out, flat_bit
 
 
-def _subtrees(key: tuple, batches: Batches) -> Batches:
-    """Of one pair of last context bytes: the counts and weights of its nodes, for the levels above."""
-    strings, counts = _columns(batches, 1, 2)
-    level, _ = levels_of(strings, counts, 2)[0][-1]
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(level.nodes & 0xFF), pa.array(level.nodes >> 8), pa.array(level.zeros), pa.array(level.ones), pa.array(level.weighted)],
-        names=["place", "pair", "zeros", "ones", "weighted"])
+def _by_suffix(batches: Batches) -> Iterator[pa.Table]:
+    """Rows in order of their suffix, the first column, in tables that no suffix is split over."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not len(batch):
+            continue
+        if sum(map(len, held)) >= HELD:
+            suffix = batch.column(0).to_numpy()
+            new = np.flatnonzero(suffix != held[-1].column(0)[-1].as_py())
+            cut = int(new[0]) if len(new) else len(batch)
+            held.append(batch.slice(0, cut))
+            if len(new):
+                yield pa.Table.from_batches(held)
+                held = [batch.slice(cut)]
+        else:
+            held.append(batch)
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _subtrees(depth: int, top: int):
+    """The counts and weights of the nodes at ``top``, for the levels above."""
+
+    def run(batches: Batches) -> Batches:
+        for table in _by_suffix(batches):
+            strings = unpacked(table.column("key"), depth + 1)
+            level, _ = levels_of(strings, table.column("c").to_numpy(), top)[0][-1]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(level.nodes & 0xFF), pa.array(level.nodes >> 8), pa.array(level.zeros), pa.array(level.ones), pa.array(level.weighted)],
+                names=["place", "suffix", "zeros", "ones", "weighted"])
 
+    return run
 
-def _tops(key: tuple, batches: Batches) -> Batches:
-    """Of one place: per last context byte what the two upper levels give to 0 and to 1, and what they leave."""
-    pair, zeros, ones, weighted = _columns(batches, 1, 2, 3, 4)
-    last, at = np.unique(pair & 0xFF, return_inverse=True)
-    add = lambda values: np.bincount(at, values, len(last))
-    first = Level(last, add(zeros), add(ones), add(weighted))
-    total = lambda values: np.array([values.sum()])
-    root = Level(np.array([0]), total(zeros), total(ones), total(first.weighted))
-    here, zero = np.arange(len(last)), np.zeros(len(last), np.int64)
-    none = np.zeros(len(last))
-    given = [root.mix(zero, np.full(len(last), bit), first.mix(here, np.full(len(last), bit), none)) for bit in (0, 1)]
-    left = (1 - root.share[0]) * (1 - first.share)
-    place = np.full(len(last), key[0].as_py(), np.int64)
-    yield pa.RecordBatch.from_arrays([pa.array(x) for x in (place, last, *given, left)], names=["place", "last", "g0", "g1", "rest"])
+
+def _tops(top: int):
+    """Of one place: per suffix what the levels above it give to 0 and to 1, and what they leave."""
+
+    def run(key: tuple, batches: Batches) -> Batches:
+        suffix, zeros, ones, weighted = _columns(batches, 1, 2, 3, 4)
+        given, rest = [np.zeros(len(suffix)) for _ in range(2)], np.ones(len(suffix))
+        levels, nodes, at = [], suffix, np.arange(len(suffix))
+        for depth in range(top - 1, -1, -1):
+            nodes, up = np.unique(nodes & ((1 << 8 * depth) - 1), return_inverse=True)
+            up = up.reshape(-1)
+            zeros, ones, weighted = (np.bincount(up, values, len(nodes)) for values in (zeros, ones, weighted))
+            level, at = Level(nodes, zeros, ones, weighted), up[at]
+            weighted = level.weighted
+            levels.append((level, at))
+        for level, at in reversed(levels):
+            for bit in (0, 1):
+                own = level.mix(at, np.full(len(at), bit), None)
+                given[bit] += rest * level.share[at] * own
+            rest = rest * (1 - level.share[at])
+        place = np.full(len(suffix), key[0].as_py(), np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (suffix, place, *given, rest)], names=["suffix", "place", "g0", "g1", "rest"])
+
+    return run
 
 
 def _columns(batches: Batches, *which: int) -> list[np.ndarray]:
@@ -134,74 +214,95 @@ def _columns(batches: Batches, *which: int) -> list[np.ndarray]:
     return [np.concatenate(p) for p in zip(*parts, strict=True)]
 
 
-def _probabilities(held):
-    def run(key: tuple, batches: Batches) -> Batches:
-        strings, counts = _columns(batches, 1, 2)
-        levels, bit = levels_of(strings, counts, 2)
-        deeper = None
-        for level, at in levels:
-            deeper = level.mix(at, bit, deeper)
-        place, _ = bits_of(strings)
-        g0, g1, rest = held.value
-        row = (((strings >> 8) & 0xFF)[:, None] * 256 + place).ravel()
-        chance = np.where(bit == 1, g1[row], g0[row]) + rest[row] * deeper
-        logs = np.log10(chance).reshape(-1, 8).sum(1)
-        yield pa.RecordBatch.from_arrays([pa.array(strings), pa.array(logs)], names=["key", "value"])
+def _probabilities(depth: int, top: int):
+    def run(batches: Batches) -> Batches:
+        for table in _by_suffix(batches):
+            own = table.filter(pc.is_valid(table.column("key")))
+            above = table.filter(pc.is_null(table.column("key")))
+            strings = unpacked(own.column("key"), depth + 1)
+            levels, bit = levels_of(strings, own.column("c").to_numpy(), top)
+            deeper = None
+            for level, at in levels:
+                deeper = level.mix(at, bit, deeper)
+            # The last level has the nodes of the rows from above.
+            order = np.argsort(above.column("suffix").to_numpy() * 256 + above.column("place").to_numpy())
+            g0, g1, rest = (above.column(name).to_numpy()[order][at] for name in ("g0", "g1", "rest"))
+            chance = np.where(bit == 1, g1, g0) + rest * deeper
+            logs = np.log10(chance).reshape(-1, 8).sum(1)
+            yield pa.RecordBatch.from_arrays([packed(strings), pa.array(logs)], names=["key", "value"])
 
     return run
 
 
-def _lists(key: tuple, batches: Batches) -> Batches:
+def _lists(depth: int):
     """The distinct words and byte strings of a chunk with their training counts."""
-    hashes = WordHashes()
-    held: dict[int, list] = {WORD_KIND: [], BYTE_KIND: []}
 
-    def merged(parts: list) -> tuple[np.ndarray, np.ndarray]:
-        keys, at = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
-        return keys, np.bincount(at, np.concatenate([p[1] for p in parts]), len(keys)).astype(np.int64)
+    def words_in(texts: list, hashes: WordHashes) -> np.ndarray:
+        found = np.concatenate([hashes.of([*words_of(t), END_WORD]) for t in texts])
+        return found.view(np.uint8).reshape(-1, 8)
 
-    for batch in batches:
-        for train in (True, False):
-            texts = [t for t, h in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True) if h != train]
-            for at in range(0, len(texts), 200):
-                some = texts[at : at + 200]
-                for kind, of in ((WORD_KIND, lambda t: hashes.of([*words_of(t), END_WORD]).view(np.int64)), (BYTE_KIND, strings_of)):
-                    keys, counts = np.unique(np.concatenate([of(t) for t in some]), return_counts=True)
-                    held[kind].append((keys, counts if train else np.zeros(len(keys))))
-                    if len(held[kind]) >= 16:
-                        held[kind] = [merged(held[kind])]
-    for kind, parts in held.items():
-        if parts:
-            keys, counts = merged(parts)
-            for at in range(0, len(keys), 100_000):
-                some = slice(at, at + 100_000)
-                n = len(keys[some])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(n, key[0].as_py(), np.int64)), pa.array(np.full(n, kind, np.int32)), pa.array(keys[some]), pa.array(counts[some])],
-                    names=["chunk", "kind", "key", "count"])
-
-
-def _scored(total: int, distinct: int):
+    def merged(parts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        names, first, at = np.unique(np.concatenate([p[0] for p in parts]), return_index=True, return_inverse=True)
+        counts = np.bincount(at.reshape(-1), np.concatenate([p[1] for p in parts]), len(names)).astype(np.int64)
+        return names, counts, np.concatenate([p[2] for p in parts])[first]
+
+    def slices(parts: list) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """The parts merged a sixteenth of all names at a time, so that little is held twice."""
+        bounds = np.array([(-1 << 63) + (k << 60) for k in range(1, 16)], np.int64)
+        cuts = [[0, *np.searchsorted(p[0], bounds), len(p[0])] for p in parts]
+        for k in range(16):
+            yield merged([tuple(x[c[k] : c[k + 1]] for x in p) for p, c in zip(parts, cuts, strict=True)])
+
+    def run(key: tuple, batches: Batches) -> Batches:
+        hashes = WordHashes()
+        held: dict[int, list] = {WORD_KIND: [], BYTE_KIND: []}
+        for batch in batches:
+            for train in (True, False):
+                texts = [t for t, h in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True) if h != train]
+                for at in range(0, len(texts), 200):
+                    some = texts[at : at + 200]
+                    for kind in (WORD_KIND, BYTE_KIND):
+                        rows = words_in(some, hashes) if kind == WORD_KIND else np.concatenate([strings_of(t, depth) for t in some])
+                        names, first, counts = np.unique(hashes_of(rows), return_index=True, return_counts=True)
+                        held[kind].append((names, counts if train else np.zeros(len(names), np.int64), rows[first]))
+                        if len(held[kind]) >= 16:
+                            held[kind] = [tuple(np.concatenate(x) for x in zip(*slices(held[kind]), strict=True))]
+        for kind, parts in held.items():
+            for _, counts, rows in slices(parts) if parts else ():
+                # Strings with one beginning next to one another take less room.
+                order = np.lexsort(rows[:, :4].T[::-1])
+                for at in range(0, len(order), 100_000):
+                    some = order[at : at + 100_000]
+                    n = len(some)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(n, key[0].as_py(), np.int64)), pa.array(np.full(n, kind, np.int32)), packed(rows[some]), pa.array(counts[some])],
+                        names=["chunk", "kind", "key", "count"])
+
+    return run
+
+
+def _scored(total: int, distinct: int, depth: int):
     def run(docs: pa.Table, values: pa.Table) -> pa.Table:
         hashes = WordHashes()
-        kind, keys, value = (values.column(n).to_numpy() for n in ("kind", "key", "value"))
         sorted_of = {}
-        for k in (WORD_KIND, BYTE_KIND):
-            mine = np.flatnonzero(kind == k)
-            mine = mine[np.argsort(keys[mine])]
-            sorted_of[k] = keys[mine], value[mine]
+        for k, width in ((WORD_KIND, 8), (BYTE_KIND, depth + 1)):
+            mine = values.filter(pc.equal(values.column("kind"), k))
+            keys = hashes_of(unpacked(mine.column("key"), width))
+            order = np.argsort(keys)
+            sorted_of[k] = keys[order], mine.column("value").to_numpy()[order]
         names = ("n_tokens", "n_known", "base_score", "score")
         out: dict[str, list] = {n: [] for n in names}
         bottom = total + 0.1 * (distinct + 1)
         for batch in docs.select(["bytes"]).to_batches(max_chunksize=256):
             for text in batch.column(0).to_pylist():
                 known_keys, known = sorted_of[WORD_KIND]
-                counts = known[np.searchsorted(known_keys, hashes.of([*words_of(text), END_WORD]).view(np.int64))]
+                words = hashes.of([*words_of(text), END_WORD]).view(np.uint8).reshape(-1, 8)
+                counts = known[np.searchsorted(known_keys, hashes_of(words))]
                 out["n_tokens"].append(len(counts))
                 out["n_known"].append(int((counts > 0).sum()))
                 out["base_score"].append(float(np.log10((counts + 0.1) / bottom).sum()))
                 known_keys, known = sorted_of[BYTE_KIND]
-                out["score"].append(float(known[np.searchsorted(known_keys, strings_of(text))].sum()))
+                out["score"].append(float(known[np.searchsorted(known_keys, hashes_of(strings_of(text, depth)))].sum()))
         kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64())
         return pa.table([docs.column("doc_id"), docs.column("held_out"), *[pa.array(out[n], t) for n, t in zip(names, kinds, strict=True)]],
                         names=["doc_id", "held_out", *names])
@@ -217,32 +318,29 @@ def score_texts(docs: DataFrame, held_out: Column, depth: int = DEPTH) -> DataFr
     length in decimal digits, negated.  ``base_score`` is the smoothed
     unigram score of its words and end.  A null text counts as empty and has its
     end alone.  Repeated rows are scored, and teach, each.  Without training rows
-    every bit is even.  An empty table gives an empty table.
+    every bit is even.  An empty table gives an empty table.  Contexts are of up
+    to ``depth`` bytes.
     """
-    if depth != DEPTH:
-        raise ValueError(f"texts are cut for contexts of {DEPTH} bytes")
-    spark = docs.sparkSession
+    top = min(SUFFIX, depth)
     rows = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("bytes"), held_out.alias("held_out"))
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     chunk = F.pmod(F.xxhash64("doc_id", F.length("bytes")), F.lit(max(1, -(-size // CHUNK)))).alias("chunk")
     rows = rows.select(chunk, "bytes", "held_out", "doc_id")
     lists = stored(
-        rows.select("chunk", "bytes", "held_out").groupBy("chunk").applyInArrow(_lists, "chunk long, kind int, key long, count long"), "ctw-lists")
+        rows.select("chunk", "bytes", "held_out").groupBy("chunk").applyInArrow(_lists(depth), "chunk long, kind int, key binary, count long"), "ctw-lists")
     words = stored(lists.where(F.col("kind") == WORD_KIND).groupBy("key").agg(F.sum("count").alias("c")), "ctw-words")
     total, distinct = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.when(F.col("c") > 0, 1))).first()
+    suffix = F.coalesce(F.conv(F.hex(F.substring("key", depth - top + 1, top)), 16, 10).cast("long"), F.lit(0)).alias("suffix")
     strings = stored(
-        lists.where(F.col("kind") == BYTE_KIND).groupBy("key").agg(F.sum("count").alias("c"))
-        .select(F.shiftright("key", 8).bitwiseAND(F.lit(0xFFFF)).alias("pair"), "key", "c"), "ctw-strings")
-    below = strings.groupBy("pair").applyInArrow(_subtrees, "place long, pair long, zeros double, ones double, weighted double")
-    tops = below.groupBy("place").applyInArrow(_tops, "place long, last long, g0 double, g1 double, rest double").collect()
-    table = np.zeros((3, 256 * 256))
-    for r in tops:
-        table[:, r["last"] * 256 + r["place"]] = r["g0"], r["g1"], r["rest"]
-    held = spark.sparkContext.broadcast(table)
-    chances = stored(strings.groupBy("pair").applyInArrow(_probabilities(held), "key long, value double"), "ctw-chances")
+        lists.where(F.col("kind") == BYTE_KIND).groupBy("key").agg(F.sum("count").alias("c")).select(suffix, "key", "c"), "ctw-strings")
+    dealt = lambda rows: rows.repartition("suffix").sortWithinPartitions("suffix")
+    below = dealt(strings).mapInArrow(_subtrees(depth, top), "place long, suffix long, zeros double, ones double, weighted double")
+    tops = below.groupBy("place").applyInArrow(_tops(top), "suffix long, place long, g0 double, g1 double, rest double")
+    chances = stored(
+        dealt(strings.unionByName(tops, allowMissingColumns=True)).mapInArrow(_probabilities(depth, top), "key binary, value double"), "ctw-chances")
     known = words.select(F.lit(WORD_KIND).alias("kind"), "key", F.col("c").cast("double").alias("value")).unionByName(
         chances.select(F.lit(BYTE_KIND).alias("kind"), "key", "value"))
     values = lists.select("chunk", "kind", "key").join(known, ["kind", "key"]).select("chunk", "kind", "key", "value")
     scored = rows.groupBy("chunk").cogroup(values.groupBy("chunk")).applyInArrow(
-        _scored(total, distinct), "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
+        _scored(total, distinct, depth), "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
     return scored.withColumn("train_tokens", F.lit(total).cast("long"))

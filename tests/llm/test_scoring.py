@@ -93,3 +93,20 @@ def test_empty_and_untaught(documents):
     assert score_texts(documents([]), F.lit(False)).collect() == []
     row = score_texts(documents([(1, "ab", "s")]), F.lit(True)).first()
     assert row["score"] == pytest.approx(-24 * math.log10(2)) and row["train_tokens"] == 0
+
+
+@pytest.mark.parametrize("depth", [0, 2, 11])
+def test_depth_is_free(documents, monkeypatch, depth):
+    monkeypatch.setattr(f"{__name__}.DEPTH", depth)
+    got = score_texts(documents([(k, t, "s") for k, t in enumerate(TEXTS)]), F.col("doc_id").isin(6, 8), depth).collect()
+    plain = Plain([(t or "").encode() for k, t in enumerate(TEXTS) if k not in (6, 8)])
+    for r in got:
+        assert r["score"] == pytest.approx(plain.log10((TEXTS[r["doc_id"]] or "").encode()), rel=1e-9)
+
+
+def test_contexts_reach_over_a_word(documents):
+    """What follows depends on the fifth to eighth byte before it, which a passage seen in training shows."""
+    seen = ["abcd----x", "efgh----y"] * 20
+    rows = [(k, t, "s") for k, t in enumerate([*seen, "abcd----x", "abcd----y"])]
+    got = {r["doc_id"]: r["score"] for r in score_texts(documents(rows), F.col("doc_id") >= 40).collect()}
+    assert got[40] > got[41] + 1
