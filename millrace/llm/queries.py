@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, decontaminate, jaccard, lines, mixing, nearest, pii, scoring, sharding, toxicity
+from millrace.llm import chat, decontaminate, jaccard, lines, mixing, nearest, pii, repair, scoring, sharding, toxicity
 from millrace.llm.common import crc_bucket, read, tune_text
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -138,3 +138,92 @@ def op4_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     scored = scoring.score_texts(docs, crc_bucket("doc_id", 10) == 0)
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query
+def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair(repair.damage(read(spark, sf_dir, "conversations")))
+
+
+# crc32 bit by bit over the bytes of an ASCII key: a byte, then eight shifts (-1).
+_CRC = """xor(list_reduce(list_prepend(4294967295::bigint, flatten(list_transform(string_split({key}, ''),
+            lambda ch: [ascii(ch)::bigint, -1, -1, -1, -1, -1, -1, -1, -1]))),
+            lambda c, b: case when b >= 0 then xor(c, b) else xor(c >> 1, 3988292384 * (c & 1)) end), 4294967295::bigint)"""
+
+ORACLES["op12_repair"] = rf"""
+    with recursive keyed as (
+        select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+               coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ') as key
+        from conversations
+    ), harmed as (
+        select *, {_CRC.format(key="key")} % 20 as harm from keyed
+    ), damaged as (
+        select conv_id, turn, case when harm = 4 then 'user' else role end as role,
+               case when harm = 1 then '' when harm = 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text,
+               unnest(range(case when harm = 3 then 2 else 1 end)) as copy
+        from harmed where harm <> 0
+    ), laid as (
+        select *, row_number() over (partition by conv_id order by turn nulls first, role, text) as k from damaged
+    ), placed as (
+        select *, row_number() over (partition by conv_id, role, text order by k) as nth,
+               rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) as kept
+        from laid
+    ), faulty as (
+        select *, left(role, 1) as i, kept = '' as blank, kept <> '' and nth > 1 as duplicate,
+               kept <> '' and nth = 1 and right(kept, 1) not in ('.', '!', '?') as truncated,
+               lag(left(role, 1)) over (partition by conv_id order by k) as before
+        from placed
+    ), counted as (
+        select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0)::bigint as gaps,
+               count(*) filter (blank) as blank, count(*) filter (duplicate) as duplicate, count(*) filter (truncated) as truncated,
+               count(*) filter (before is not null and before || i not in ('su', 'ua', 'au')) as illegal, max(k) as n
+        from faulty group by conv_id
+    ), ways as (
+        -- the best cost and letters by role state: nothing, after system, after user, after a pair
+        select conv_id, 0::bigint as k, '00000000' as w0, null::varchar as w1, null::varchar as w2, null::varchar as w3 from counted
+        union all
+        select conv_id, k,
+               lpad((left(w0, 8)::bigint + 2)::varchar, 8, '0') || substr(w0, 9) || 'D',
+               least(lpad((left(w1, 8)::bigint + 2)::varchar, 8, '0') || substr(w1, 9) || 'D',
+                     case when kept and i = 's' then lpad((left(w0, 8)::bigint + late)::varchar, 8, '0') || substr(w0, 9) || 'K' end),
+               least(lpad((left(o2, 8)::bigint + 2)::varchar, 8, '0') || substr(o2, 9) || 'D',
+                     case when kept and i = 'u' then lpad((left(least(w0, w1, o3), 8)::bigint + late)::varchar, 8, '0') || substr(least(w0, w1, o3), 9) || 'K'
+                          when kept then lpad((left(least(w0, w1, o3), 8)::bigint + late + 1)::varchar, 8, '0') || substr(least(w0, w1, o3), 9) || 'R' end),
+               least(lpad((left(o3, 8)::bigint + 2)::varchar, 8, '0') || substr(o3, 9) || 'D',
+                     case when kept and i = 'a' then lpad((left(o2, 8)::bigint + late)::varchar, 8, '0') || substr(o2, 9) || 'K'
+                          when kept then lpad((left(o2, 8)::bigint + late + 1)::varchar, 8, '0') || substr(o2, 9) || 'R' end)
+        from (
+            select conv_id, k, w0, w1, i, kept, late, o2,
+                   least(w3, lpad((left(o2, 8)::bigint + 5)::varchar, 8, '0') || substr(o2, 9) || 'I') as o3
+            from (
+                select w.conv_id, f.k, w0, w1, w3, f.i, not f.blank and not f.duplicate as kept, case when f.truncated then 5 else 0 end as late,
+                       least(w2, lpad((left(least(w0, w1, w3), 8)::bigint + 5)::varchar, 8, '0') || substr(least(w0, w1, w3), 9) || 'I') as o2
+                from ways w join faulty f on w.conv_id is not distinct from f.conv_id and f.k = w.k + 1
+            )
+        )
+    ), best as (
+        select conv_id, least(w0, w3, lpad((left(w2, 8)::bigint + 5)::varchar, 8, '0') || substr(w2, 9) || 'I',
+                              lpad((left(w1, 8)::bigint + 10)::varchar, 8, '0') || substr(w1, 9) || 'II') as way
+        from ways join counted using (conv_id) where ways.k = counted.n
+    ), letters as (
+        select conv_id, unnest(string_split(substr(way, 9), '')) as e, unnest(range(length(way) - 8)) as p from best where length(way) > 8
+    ), edits as (
+        select *, sum((e <> 'I')::int) over (partition by conv_id order by p) as k from letters
+    ), lines as (
+        select t.conv_id, p, e, f.role, case when e = 'I' then '' else f.text end as text,
+               row_number() over (partition by t.conv_id order by p) as o,
+               bool_or(e = 'K' and f.i = 's') over (partition by t.conv_id) as led
+        from edits t left join faulty f on t.conv_id is not distinct from f.conv_id and t.k = f.k and e <> 'I' where e <> 'D'
+    ), told as (
+        select conv_id, string_agg(case when e = 'K' then role when (o + led::int) % 2 = 1 then 'user' else 'assistant' end || ':' || text,
+                                   chr(10) order by p) as told
+        from lines group by conv_id
+    )
+    select c.conv_id, coalesce(gaps, 0) as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate,
+           coalesce(truncated, 0) as truncated, coalesce(illegal, 0) as illegal, coalesce(left(way, 8)::bigint, 0) as cost,
+           coalesce(substr(way, 9), '') as audit, sha256(coalesce(told, '')) as repaired_sha256
+    from (select distinct conv_id from conversations) c
+    left join counted n on c.conv_id is not distinct from n.conv_id
+    left join best b on c.conv_id is not distinct from b.conv_id
+    left join told t on c.conv_id is not distinct from t.conv_id
+"""
