@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, decontaminate, jaccard, lines, mixing, nearest, pii, repair, scoring, sharding, toxicity
+from millrace.llm import chat, collocations, decontaminate, jaccard, licenses, lines, mixing, nearest, pii, repair, scoring, sharding, toxicity
 from millrace.llm.common import crc_bucket, read, tune_text
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -227,3 +227,66 @@ ORACLES["op12_repair"] = rf"""
     left join best b on c.conv_id is not distinct from b.conv_id
     left join told t on c.conv_id is not distinct from t.conv_id
 """
+
+
+@query
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read(spark, sf_dir, "documents"))
+
+
+ORACLES["op11_collocations"] = r"""
+    with texts as (
+        select coalesce(lang, 'und') as lang, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t
+        from documents where text is not null
+    ), pieces as (
+        select lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) as piece from texts
+    ), words as (
+        select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from pieces
+    ), sizes as (
+        select unnest([1, 2, 3]) as size
+    ), grams as (
+        select lang, size, unnest(list_transform(range(1, greatest(len(w) - size + 2, 1)), lambda i: array_to_string(w[i:i + size - 1], ' '))) as phrase
+        from words, sizes
+    ), counts as materialized (
+        select lang, size, phrase, count(*) as n from grams group by all
+    ), candidates as materialized (
+        select lang, size, phrase, n as a, string_split(phrase, ' ') as w from counts where size >= 2 and n >= 10
+    ), halves as materialized (
+        select lang, size, phrase, a, w, 1 as k, w[1] as one, array_to_string(w[2:size], ' ') as two from candidates
+        union all select lang, size, phrase, a, w, 2, array_to_string(w[1:2], ' '), w[3] from candidates where size = 3
+    ), cuts as (
+        select c.*, x.n as l, y.n as r, (1000000::hugeint * a * a) // (x.n::hugeint * y.n) as score
+        from halves c
+        join counts x on x.lang = c.lang and x.size = c.k and x.phrase = c.one
+        join counts y on y.lang = c.lang and y.size = c.size - c.k and y.phrase = c.two
+    ), lowest as (
+        select * from cuts qualify row_number() over (partition by lang, phrase order by score, k) = 1
+    ), parts as (
+        select lang, array_to_string(w[1:2], ' ') as phrase, a from candidates where size = 3
+        union all select lang, array_to_string(w[2:3], ' '), a from candidates where size = 3
+    ), held as (
+        select lang, phrase, max(a) as most from parts group by all
+    ), kept as (
+        select s.* from lowest s left join held h using (lang, phrase) where h.most is null or size = 3 or 100 * h.most < 50 * s.a
+    ), ranked as (
+        select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from kept
+    )
+    select lang, rank, phrase, a, l, r, n::bigint as n, score::bigint as score
+    from ranked join (select lang, sum(n) as n from counts where size = 1 group by lang) total using (lang)
+    where rank <= 2000
+"""
+
+
+@query
+def op13_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scanned = licenses.with_licenses(read(spark, sf_dir, "documents").select("doc_id", "text"), into="found")
+    base = F.filter("found.spans", lambda s: s["phrase"])
+    starts = F.transform(base, lambda s: s["first"])
+    labels = lambda spans: F.array_join(F.array_sort(F.array_distinct(F.transform(spans, lambda s: s["label"]))), ",")
+    return scanned.select(
+        "doc_id", "found.n_words", F.size(base).cast("long").alias("n_base"),
+        F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"),
+        labels(base).alias("base_labels"), labels(F.col("found.spans")).alias("labels"),
+        F.coalesce(F.array_max(F.transform("found.spans", lambda s: s["share"])), F.lit(0.0)).alias("score"),
+        F.array_join(F.transform(F.filter("found.spans", lambda s: ~s["phrase"]), lambda s: F.concat_ws(
+            ":", s["label"], s["first"].cast("string"), (s["last"] + 1).cast("string"))), ",").alias("spans"))

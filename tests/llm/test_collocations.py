@@ -1,0 +1,94 @@
+from __future__ import annotations
+
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from millrace.llm import collocations
+
+COLUMNS = ("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
+def plain(rows, least, top, covered=50):
+    """The report by counting every phrase of every piece."""
+    counts: dict[str, Counter] = {}
+    for lang, text in rows:
+        per = counts.setdefault("und" if lang is None else lang, Counter())
+        low = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", low):
+            words = re.findall(r"[^\x20\x09]+", piece)
+            for size in (1, 2, 3):
+                per.update(tuple(words[i : i + size]) for i in range(len(words) - size + 1))
+    out = []
+    for lang, per in counts.items():
+        total = sum(n for phrase, n in per.items() if len(phrase) == 1)
+        longer = {p: n for p, n in per.items() if len(p) == 3 and n >= least}
+        held: Counter = Counter()
+        for phrase, n in longer.items():
+            for part in (phrase[:2], phrase[1:]):
+                held[part] = max(held[part], n)
+        found = []
+        for phrase, a in per.items():
+            if len(phrase) < 2 or a < least or (len(phrase) == 2 and held[phrase] and 100 * held[phrase] >= covered * a):
+                continue
+            cuts = [(1_000_000 * a * a // (per[phrase[:k]] * per[phrase[k:]]), k) for k in range(1, len(phrase))]
+            score, k = min(cuts)
+            found.append((-score, -a, " ".join(phrase).encode(), per[phrase[:k]], per[phrase[k:]]))
+        for rank, (score, a, phrase, left, right) in enumerate(sorted(found)[:top], 1):
+            out.append((lang, rank, phrase.decode(), -a, left, right, total, -score))
+    return sorted(out, key=repr)
+
+
+def texts(draw: random.Random, n: int):
+    words = ["the", "The", "of", "New", "york", "City", "Ärger", " x", "a\x1fb", "'q'", *[f"w{k}" for k in range(40)]]
+    weights = [30, 5, 20, 12, 12, 10, 5, 3, 3, 3, *[1] * 40]
+    gaps, rows = [" ", " ", " ", "  ", "\t", ". ", ",", "\n", "\r", "\x0b"], []
+    for _ in range(n):
+        parts = []
+        for word in draw.choices(words, weights, k=draw.randrange(0, 60)):
+            parts += ["new york city" if draw.random() < 0.1 else word, draw.choice(gaps)]
+        rows.append((draw.choice(["en", "en", "en", "de", None]), "".join(parts)))
+    return rows
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(*row, 1, "x") for row in rows], "lang string, text string, n long, phrase string")
+
+
+@pytest.mark.parametrize("head, bits", [(1 << 16, 24), (3, 6)])
+def test_report_equals_plain_counting(text_spark, rows, head, bits):
+    table = [*texts(random.Random(4), 400), (None, None), ("fr", ""), ("it", "one two " * 30)]
+    for least, top in ((3, 20), (10, 2000)):
+        got = collocations.collocations(frame(text_spark, table).repartition(7), least, top, head=head, bits=bits)
+        assert rows(got.select(*COLUMNS)) == plain(table, least, top)
+
+
+def test_empty_table_and_no_candidates(text_spark):
+    assert collocations.collocations(frame(text_spark, [])).count() == 0
+    assert collocations.collocations(frame(text_spark, [("en", "one two three"), (None, None)])).count() == 0
+
+
+def test_repeated_rows_count_again(text_spark, rows):
+    got = collocations.collocations(frame(text_spark, [("en", "in spite of")] * 12))
+    assert rows(got.select("phrase", "a", "l", "r", "n", "score")) == [("in spite of", 12, 12, 12, 36, 1_000_000)]
+
+
+def test_dense_and_sparse_tiles_count_alike():
+    draw = np.random.default_rng(1)
+    first = np.concatenate([draw.integers(0, 900, 700_000), draw.integers(0, 1 << 18, 50_000), np.full(5, collocations.TILE)])
+    second = np.concatenate([draw.integers(0, 900, 700_000), draw.integers(0, 1 << 18, 50_000), np.full(5, 0)])
+    one, two, times = collocations.count_tiles(first, second)
+    cells, expected = np.unique(first << 32 | second, return_counts=True)
+    order = np.argsort(one << 32 | two)
+    assert ((one << 32 | two)[order] == cells).all() and (times[order] == expected).all()
+    assert len(collocations.count_tiles(first[:0], second[:0])[0]) == 0
+
+
+def test_scores_stay_exact_beyond_64_bits(text_spark):
+    a, left, right = 987_654_321_987, 1_234_567_890_123, 999_999_999_989
+    row = text_spark.range(1).select(collocations._score(F.lit(a), F.lit(left), F.lit(right)).alias("s")).first()
+    assert row["s"] == 1_000_000 * a * a // (left * right)
