@@ -283,3 +283,43 @@ def _newest_student(silver: str) -> str:
 def layered_dim_student(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two drops through all stored layers; one row per student at the end."""
     return _run_layers(spark, sf_dir, "layered_dim_student").star["dim_student"].read()
+
+
+def _newest_course(silver: str) -> str:
+    return f"""
+        (select Course_ID, Course_Name, Grade_Level from (
+            select *, row_number() over (
+                partition by Course_ID
+                order by Enrollment_Date desc, Course_Name, Grade_Level) as rn
+            from {silver})
+         where rn = 1)
+    """
+
+
+@query(f"""
+    {_LAYERS}
+    select coalesce(n.Course_ID, b.Course_ID) as Course_ID, coalesce(n.Course_Name, b.Course_Name) as Course_Name,
+           coalesce(n.Grade_Level, b.Grade_Level) as Grade_Level
+    from {_newest_course('first_silver')} b full join {_newest_course('second_silver')} n
+    on b.Course_ID = n.Course_ID
+""")
+def layered_dim_course(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two drops through all stored layers; one row per course at the end."""
+    return _run_layers(spark, sf_dir, "layered_dim_course").star["dim_course"].read()
+
+
+def _counts(layer: str, day: str, read_rows: str, kept: str) -> str:
+    return f"""
+        select '{layer}' as layer, '{day}' as batch, (select count(*) from {read_rows}) as n_read, (select count(*) from {kept}) as n_kept,
+               (select count(*) from {read_rows}) - (select count(*) from {kept}) as n_rejected
+    """
+
+
+@query(_LAYERS + " union all ".join([
+    _counts("bronze", "2024-01-15", "first_drop", "first_drop"), _counts("silver", "2024-01-15", "first_drop", "first_silver"),
+    _counts("bronze", "2024-01-16", "second_drop", "second_drop"), _counts("silver", "2024-01-16", "second_bronze", "second_silver"),
+]))
+def layered_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two drops through all stored layers; what each step counted as read, kept and rejected while it ran."""
+    layers = _run_layers(spark, sf_dir, "layered_audit")
+    return layers.audits["bronze"].latest().unionByName(layers.audits["silver"].latest())

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from itertools import permutations
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.catalog.registry import query, read
 from millrace.operators.merge import delete_then_append as replace_rows
+from millrace.operators.lastwriter import RANKS, ranked
 from millrace.operators.merge import merge, same_key
 
 KEYS = ["o_orderkey"]
@@ -164,3 +167,52 @@ def merge_update_only(spark: SparkSession, sf_dir: str) -> DataFrame:
 """)
 def delete_then_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replace_rows(stored(spark, sf_dir), later(spark, sf_dir), KEYS)
+
+
+# Three deliveries, each with gaps of its own.  The last writer of a column is
+# the newest day that has a value for it, whichever order the days come in.
+
+_DAYS = {
+    1: f"select o_orderkey, o_orderstatus, o_totalprice, o_orderpriority from ({ORDERS}) where o_orderdate < date '2000-01-01'",
+    2: f"""select o_orderkey, nullif(o_orderstatus, 'F') as o_orderstatus, o_totalprice + 100 as o_totalprice,
+                  nullif(o_orderpriority, '4-NOT SPECIFIED') as o_orderpriority from ({ORDERS}) where o_orderdate >= date '1996-01-01'""",
+    3: f"""select o_orderkey, 'X' as o_orderstatus, case when o_orderstatus = 'O' then o_totalprice + 200 end as o_totalprice,
+                  cast(null as varchar) as o_orderpriority from ({ORDERS}) where month(o_orderdate) <= 6""",
+}
+_COLUMNS = ("o_orderstatus", "o_totalprice", "o_orderpriority")
+
+
+def _days(spark: SparkSession, sf_dir: str) -> dict[int, DataFrame]:
+    rows, date = orders(spark, sf_dir), F.col("o_orderdate")
+    days = {
+        1: rows.filter(date < F.lit("2000-01-01").cast("date")),
+        2: corrected(rows.filter(date >= F.lit("1996-01-01").cast("date"))).withColumn(
+            "o_orderstatus", F.nullif(F.col("o_orderstatus"), F.lit("F"))),
+        3: rows.filter(F.month(date) <= 6).withColumns({
+            "o_totalprice": F.when(F.col("o_orderstatus") == "O", F.col("o_totalprice") + 200),
+            "o_orderpriority": F.lit(None).cast("string"), "o_orderstatus": F.lit("X")}),
+    }
+    return {day: ranked(df.select(*KEYS, *_COLUMNS), _COLUMNS, F.lit(day)) for day, df in days.items()}
+
+
+@query(f"""
+    select arrival, o_orderkey,
+           {', '.join(f'coalesce(c.{c}, b.{c}, a.{c}) as {c}' for c in _COLUMNS)},
+           case when c.o_totalprice is not null then 3 when b.o_totalprice is not null then 2
+                when a.o_totalprice is not null then 1 end as price_day
+    from ({_DAYS[1]}) a full join ({_DAYS[2]}) b using (o_orderkey) full join ({_DAYS[3]}) c using (o_orderkey),
+         (select unnest(['123', '132', '213', '231', '312', '321']) as arrival)
+""")
+def merge_any_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three deliveries merged in all six orders: six times the same rows."""
+    days, results = _days(spark, sf_dir), []
+    for arrival in permutations(days):
+        table = days[arrival[0]]
+        for day in arrival[1:]:
+            table = merge(table, days[day], KEYS, ranks=RANKS)
+        results.append(table.select(
+            F.lit("".join(map(str, arrival))).alias("arrival"), *KEYS, *_COLUMNS, F.col(f"{RANKS}.o_totalprice").alias("price_day")))
+    every = results[0]
+    for more in results[1:]:
+        every = every.unionByName(more)
+    return every

@@ -35,3 +35,18 @@ def dedup_rows(df: DataFrame) -> DataFrame:
 
 def distinct_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.select(*keys).distinct()
+
+
+def require_unique(df: DataFrame, keys: Sequence[str], complete: bool = True) -> None:
+    """Raise ValueError if a key comes more than once, or with ``complete`` if a row has none.
+
+    One map-side combined count; a single offending key reaches the driver.
+    """
+    if not complete:
+        df = df.na.drop(how="any", subset=list(keys))
+    missing = " or ".join(f"`{k}` is null" for k in keys)
+    offending = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_times")).filter(f"_times > 1 or {missing}").limit(1).collect()
+    if offending:
+        row = offending[0].asDict()
+        times = row.pop("_times")
+        raise ValueError(f"key {row} comes {times} times in a batch" if times > 1 else f"row without a key: {row}")

@@ -31,6 +31,23 @@ def batch_of(
     return df.filter(name == value)
 
 
+def batches_of(df: DataFrame, dates: DataFrame, column: str) -> DataFrame:
+    """Rows of a list of batch dates, in one pass.
+
+    ``dates`` is a small table with the same column.  On a partition column its
+    dates become a filter at run time (dynamic partition pruning), so only the
+    partitions listed are read, without a job per date.  Spark prunes only by
+    a side that is filtered itself, so the first and the last date, looked up
+    once, go in as a plain range on both sides.
+    """
+    ends = dates.agg(F.min(column).alias("low"), F.max(column).alias("high")).first()
+    if ends["low"] is None:
+        return df.filter(F.lit(False))
+    within = F.col(column).between(F.lit(ends["low"]), F.lit(ends["high"]))
+    wanted = dates.filter(within).select(column).distinct()
+    return df.filter(within).join(wanted, column, "left_semi").select(*df.columns)
+
+
 def unseen(listing: DataFrame, seen: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of a listing whose key has not been seen before, one per key.
 

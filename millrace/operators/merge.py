@@ -8,12 +8,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.operators.lastwriter import writes
 from millrace.session import broadcast_limit, estimated_bytes
 
 # Wide tables make many column expressions.  They are given as SQL text, which
 # reaches the JVM in one call per column.
 
 _NEW = "_new_"
+_WRITES = "_writes_"
 
 
 def same_key(left: Sequence[str], right: Sequence[str]) -> Column:
@@ -49,6 +51,7 @@ def merge(
     strategy: str = "auto",
     newest_by: str | None = None,
     touched_by: str | None = None,
+    ranks: str | None = None,
 ) -> DataFrame:
     """Upsert ``incoming`` into ``base``.
 
@@ -67,6 +70,10 @@ def merge(
     all).  The higher rank is kept.  ``touched_by`` names a column that says
     what changed a row last; a late row that fills no gap leaves it alone.
 
+    ``ranks`` names a struct with the rank of the last writer of each column it
+    has a field for (see ``lastwriter``).  For these columns the higher rank
+    wins, whatever the order in which batches come; a null never does.
+
     ``strategy="patch"`` streams the base past the batch without shuffling it,
     given that the batch is small enough for Spark to broadcast.
     ``"full_outer"`` is a single shuffled join for batches beyond that.
@@ -84,12 +91,20 @@ def merge(
     on = same_key(keys, [_NEW + k for k in keys])
 
     late = f"coalesce(`{newest_by}` > `{_NEW}{newest_by}`, false)" if newest_by else "false"
-    fixed = {*keys, *first_wins, newest_by, touched_by}
+    by_rank = base.schema[ranks].dataType.names if ranks else []
+    fixed = {*keys, *first_wins, newest_by, touched_by, ranks}
     gaps = [f"(`{c}` is null and `{_NEW}{c}` is not null)" for c in base.columns if c not in fixed]
+    if ranks:
+        gaps = [f"`{_WRITES}{c}`" for c in by_rank]
     fills = f"({' or '.join(gaps)})" if gaps and null_policy == "keep_old" else "false"
 
     def resolve(name: str) -> str:
         old, new = f"`{name}`", f"`{_NEW}{name}`"
+        if name in by_rank:
+            return f"if(`{_WRITES}{name}`, {new}, {old}) as {old}"
+        if name == ranks:
+            fields = [f"'{c}', if(`{_WRITES}{c}`, {new}.`{c}`, {old}.`{c}`)" for c in by_rank]
+            return f"named_struct({', '.join(fields)}) as {old}"
         if newest_by and name == newest_by:
             return f"greatest({old}, {new}) as {old}"
         if newest_by and name == touched_by:
@@ -102,12 +117,14 @@ def merge(
             return f"if({late}, coalesce({old}, {new}), coalesce({new}, {old})) as {old}"
         return f"coalesce({new}, {old}) as {old}"
 
-    resolved = [resolve(c) for c in base.columns]
-    if strategy == "full_outer":
-        return base.join(renamed, on, "full_outer").selectExpr(*resolved)
-    if strategy != "patch":
+    if strategy not in ("patch", "full_outer"):
         raise ValueError(f"unknown strategy {strategy!r}")
-    patched = base.join(renamed, on, "left_outer").selectExpr(*resolved)
+    met = base.join(renamed, on, "full_outer" if strategy == "full_outer" else "left_outer")
+    if ranks:
+        met = met.selectExpr("*", *[f"{writes(c, ranks, _NEW)} as `{_WRITES}{c}`" for c in by_rank])
+    patched = met.selectExpr(*[resolve(c) for c in base.columns])
+    if strategy == "full_outer":
+        return patched
     return patched.unionByName(without_keys_of(incoming, matched_keys(base, incoming, keys), keys))
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+from millrace.operators.lastwriter import RANKS, ranks_type
 from millrace.plans.specs import ConformSpec, StarSpec, TableSpec, schema_of
 
 # Column names, types, defaults, weights, labels and date format
@@ -119,6 +120,8 @@ def _with(schema: T.StructType, ddl: str) -> T.StructType:
     return T.StructType([*schema.fields, *schema_of(ddl).fields])
 
 
+FOLDED = tuple(f.name for f in EXTRACT.fields if f.name not in KEYS)
+
 _RETYPED = {
     "Enrollment_Date": T.DateType(),
     "Completion_Date": T.DateType(),
@@ -130,5 +133,7 @@ BRONZE = _with(EXTRACT, f"{BATCH} string, {LAST_BATCH} string, {NEWEST_BATCH} st
 SILVER = T.StructType(
     [T.StructField(f.name, _RETYPED.get(f.name, f.dataType)) for f in BRONZE.fields]
 )
+#: What bronze stores: of each column also the rank of the drop that wrote it last.
+BRONZE_STORED = T.StructType([*BRONZE.fields, T.StructField(RANKS, ranks_type(FOLDED, T.LongType()))])
 REJECTS = _with(EXTRACT, f"Stage string, Reason string, {BATCH} string")
 LINE_REJECTS = schema_of(f"Source_File string, Line string, Reason string, {BATCH} string")

@@ -3,38 +3,33 @@
 Each step reads its input from the layer above, writes one new version of its
 own table and records the batch in that version's commit.  A step that fails
 raises and records nothing; a step whose input was taken already does nothing.
-Days may come late or out of order: a row that a newer batch brought keeps its
-values, and an older batch only fills its gaps.
+Days and files may come late or out of order: each column of a row keeps the
+value of its newest writer.
 """
 
 from __future__ import annotations
 
-import datetime as dt
-from collections.abc import Sequence
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions import date_of
-from millrace.operators.dedup import dedup_by_key
-from millrace.operators.incremental import (
-    batch_of,
-    min_rows_guard,
-    pending_batches,
-    stamp_batch,
-    unseen,
-)
-from millrace.operators.quality import split_missing
+from millrace.operators.incremental import batch_of, pending_batches, stamp_batch
+from millrace.operators.lastwriter import RANKS, fold, ranked
+from millrace.operators.quality import is_missing
+from millrace.operators.rejects import settle
 from millrace.plans import conform as conforming
 from millrace.plans import lms, star
+from millrace.plans.audits import Audits, counted
+from millrace.plans.landing import Date, ingest, land, rejects_of
 from millrace.plans.specs import ConformSpec
 from millrace.session import staged
-from millrace.sources import csv, files
+from millrace.sources import csv
 from millrace.sources.tables import Origin, Table
 
-Date = str | dt.date
+__all__ = ["Date", "Layers", "audit", "bronze", "gold", "ingest", "land", "pending", "rejects_of", "silver"]
 
 
 class Layers:
@@ -49,10 +44,11 @@ class Layers:
             return Table(spark, f"{root}/{name}", schema, partition_by)
 
         self.landing = table("landing", lms.LANDING)
-        self.bronze = table("bronze_data", lms.BRONZE)
+        self.bronze = table("bronze_data", lms.BRONZE_STORED)
         self.bronze_rejects = table("bronze_rejects", lms.REJECTS)
         self.silver = table("silver_data", lms.SILVER)
         self.silver_rejects = table("silver_rejects", lms.REJECTS)
+        self.audits = {"bronze": audits_of(self.bronze), "silver": audits_of(self.silver)}
         self.star = {
             s.name: table(s.name, s.schema, s.partition_by)
             for s in (*lms.STAR.dimensions, lms.STAR.fact)
@@ -84,100 +80,40 @@ def pending(upstream: Table, downstream: Table) -> list[str]:
     return [row.batch for row in waiting.select("batch").orderBy("batch").collect()]
 
 
-def landed_rows(
-    df: DataFrame, batch_date: Date, schema: T.StructType, min_rows: int = 1
-) -> DataFrame:
-    """Scanned drops as landing rows: source columns, size guard, batch date."""
-    rows = df.select(*schema.names, csv.SOURCE_FILE, csv.SOURCE_MODIFIED)
-    rows = min_rows_guard(rows, [csv.SOURCE_FILE], min_rows)
-    return stamp_batch(rows, batch_date, lms.BATCH)
-
-
-def ingest(
-    spark: SparkSession,
-    paths: str | Sequence[str],
-    table: Table,
-    batch_date: Date,
-    schema: T.StructType = lms.EXTRACT,
-    min_rows: int = 1,
-    check_header: bool = True,
-) -> int:
-    """Land the drops under ``paths`` that have not landed yet, in one scan.
-
-    Only ``*.csv`` names count.  Files with fewer than ``min_rows`` data rows
-    are skipped; 2 also skips files of one row.  Returns the number of files.
-    Only file names pass through the driver, as in any scan of a path list.
-
-    Header names that differ from the schema are an error; without
-    ``check_header`` columns bind by position.  A line that does not fit the
-    schema lands with nulls, and its text goes to ``rejects_of(table)`` from
-    the same scan.  A run that dies between the two commits leaves that text
-    there twice rather than not at all.
-    """
-    day = date_of(batch_date).isoformat()
-    found = files.listing(spark, paths)
-    seen = table.read().select(F.col(csv.SOURCE_FILE).alias("path"))
-    new = [row.path for row in unseen(found, seen, ["path"]).collect()]
-    if new:
-        paths = [files.exact(path) for path in new]
-        drops = csv.with_source(csv.scan(spark, paths, schema, keep_corrupt=True, check_header=check_header))
-        land(drops, table, day, schema, min_rows)
-    return len(new)
-
-
-def rejects_of(table: Table) -> Table:
-    """Where the text of rows goes that a table could not take whole: beside the table."""
-    return Table(table.spark, f"{table.path}_rejects", lms.LINE_REJECTS)
-
-
-def land(
-    drops: DataFrame,
-    table: Table,
-    day: str,
-    schema: T.StructType,
-    min_rows: int = 1,
-    stream: tuple[str, int] | None = None,
-) -> None:
-    """Append scanned drops to a landing table, and the text of malformed lines to its rejects."""
-    with staged(drops, "drops") as rows:
-        bad = rows.filter(F.col(csv.CORRUPT).isNotNull()).select(
-            csv.SOURCE_FILE, F.col(csv.CORRUPT).alias("Line"), F.lit("malformed line").alias("Reason")
-        )
-        if not bad.isEmpty():
-            rejected = stamp_batch(bad, day, lms.BATCH)
-            rejects_of(table).append(rejected, Origin(batch=day, stream=stream))
-        table.append(landed_rows(rows, day, schema, min_rows), Origin(batch=day, stream=stream))
-
-
-def newest_file_first() -> list:
-    """Survivor order of repeated keys within a batch."""
-    return [F.col(csv.SOURCE_MODIFIED).desc_nulls_last(), F.col(csv.SOURCE_FILE).desc_nulls_last()]
+def drop_rank(day: str) -> Column:
+    """The rank of a landed row: by batch date, then by the time its file was last changed."""
+    millis = F.unix_millis(F.coalesce(F.col(csv.SOURCE_MODIFIED), F.lit("1970-01-01 00:00:00").cast("timestamp")))
+    return F.lit(date_of(day).toordinal()).cast("long") * F.lit(1 << 43) + millis
 
 
 def bronze(landing: Table, table: Table, rejects: Table, batch_date: Date) -> None:
     """Merge a landed batch into bronze: one row per key, first-seen date kept.
 
-    A late file makes its day be read again.  Rows that a newer batch has
-    brought since then keep their values; those the late rows complete are
-    marked with this batch, so that the layers below take them.
+    Each column keeps the value of its last writer (by batch date, then by file
+    time), so days and files may come in any order.  Rows that a late batch
+    changes are marked with it, so that the layers below take them.
     """
     day = date_of(batch_date).isoformat()
     revision = landing.snapshot().last.get(day)
     if _taken(table, day, revision):
         return
     batch = batch_of(landing.read_batch(day), day, lms.BATCH)
-    keyed, unkeyed = split_missing(batch, lms.KEYS)
-    _replace_rejects(rejects, unkeyed.withColumn("Reason", F.lit("missing key")), "bronze", day)
-
-    rows = dedup_by_key(keyed, lms.KEYS, newest_file_first())
-    rows = stamp_batch(rows.drop(csv.SOURCE_FILE, csv.SOURCE_MODIFIED), day, lms.LAST_BATCH)
+    reason = F.when(is_missing(lms.KEYS), "missing key")
+    _take_rejects(rejects, batch.withColumn("Reason", reason), "bronze", day, audits_of(table))
+    keyed = batch.filter(reason.isNull())
+    # Where a key comes twice, each column takes the value of the newest file that has one.
+    rows = fold(ranked(keyed, lms.FOLDED, drop_rank(day)), lms.KEYS)
+    for column in (lms.BATCH, lms.LAST_BATCH, lms.NEWEST_BATCH):
+        rows = stamp_batch(rows, day, column)
     table.merge(
-        stamp_batch(rows, day, lms.NEWEST_BATCH),
+        rows,
         lms.KEYS,
         first_wins=[lms.BATCH],
         origin=Origin(batch=day, used=revision),
         newest_by=lms.NEWEST_BATCH,
         touched_by=lms.LAST_BATCH,
+        ranks=RANKS,
+        unique=True,
     )
 
 
@@ -196,19 +132,26 @@ def silver(
     revision = bronze_table.snapshot().last.get(day)
     if _taken(table, day, revision):
         return
-    batch = batch_of(bronze_table.read_batch(day), day, lms.LAST_BATCH)
-    _replace_rejects(rejects, conforming.rejects(batch, spec, unique=True), "silver", day)
+    batch = batch_of(bronze_table.read_batch(day), day, lms.LAST_BATCH).drop(RANKS)
+    judged = batch.withColumn(conforming.REASON, conforming.reject_reason(spec))
+    _take_rejects(rejects, judged, "silver", day, audits_of(table))
     rows = conforming.conform(batch, spec, unique=True)
-    table.merge(rows, lms.KEYS, first_wins=[lms.BATCH], origin=Origin(batch=day, used=revision))
+    _settle(rejects, batch.filter(conforming.reject_reason(spec).isNull()), day)
+    table.merge(rows, lms.KEYS, first_wins=[lms.BATCH], origin=Origin(batch=day, used=revision), unique=True)
 
 
 def audit(bronze_table: Table, batch_date: Date, spec: ConformSpec = lms.CONFORM) -> DataFrame:
     """How many rows of a batch silver keeps, and how many it rejects by reason."""
     day = date_of(batch_date).isoformat()
-    batch = batch_of(bronze_table.read_batch(day), day, lms.LAST_BATCH)
+    batch = batch_of(bronze_table.read_batch(day), day, lms.LAST_BATCH).drop(RANKS)
     return conforming.audit(batch, spec)
 
 
+def audits_of(table: Table) -> Audits:
+    """The counts of the steps that fill a table: beside it."""
+    return Audits(table.spark, f"{table.path}_audits")
+
+
 def gold(silver_table: Table, tables: dict[str, Table], batch_date: Date) -> None:
     """Merge a batch of silver rows into the dimensions, then into the fact.
 
@@ -237,6 +180,26 @@ def _taken(table: Table, day: str, revision: int | None) -> bool:
     return table.snapshot().used.get(day) == revision
 
 
-def _replace_rejects(table: Table, rows: DataFrame, stage: str, day: str) -> None:
-    rows = stamp_batch(rows.withColumn("Stage", F.lit(stage)), day, lms.BATCH)
-    table.overwrite(rows, emptied=[day])
+def _take_rejects(table: Table, judged: DataFrame, stage: str, day: str, audits: Audits) -> None:
+    """Replace a day's rejects by the rows with a reason; the same pass counts rows read, kept and rejected.
+
+    Where there are none, and were none before, nothing is committed.
+    """
+    rejected = F.col("Reason").isNotNull()
+    counted_rows, watch = counted(judged, rejected)
+    rows = stamp_batch(counted_rows.filter(rejected).withColumn("Stage", F.lit(stage)), day, lms.BATCH)
+    with staged(rows.select(*table.schema.names), "rejects") as found:
+        counts = watch.get
+        if counts["n_rejected"] or table.exists():
+            table.overwrite(found, emptied=[day])
+    audits.record(stage, day, counts)
+
+
+def _settle(table: Table, entered: DataFrame, day: str) -> None:
+    """Rows that pass now leave the rejects of earlier days."""
+    if not table.exists():
+        return
+    waiting = table.read().filter(F.col(lms.BATCH) != day)
+    days = [row[0] for row in waiting.join(entered.select(*lms.KEYS), list(lms.KEYS), "left_semi").select(lms.BATCH).distinct().collect()]
+    if days:
+        table.overwrite(settle(waiting.filter(F.col(lms.BATCH).isin(days)), entered, lms.KEYS), emptied=days)

@@ -51,4 +51,4 @@ def merge_into(
 ) -> None:
     """Merge new rows into a stored table."""
     incoming = rows_for(df, spec, unique_on)
-    table.merge(incoming, spec.keys, spec.first_wins, origin=origin)
+    table.merge(incoming, spec.keys, spec.first_wins, origin=origin, unique=True)

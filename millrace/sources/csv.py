@@ -66,6 +66,15 @@ def scan_stream(
     return reader.schema(schema).csv(directory)
 
 
+def names_stream(spark: SparkSession, directory: str, max_files: int | None = None) -> DataFrame:
+    """The drops of a directory as a stream of ``path``, ``modified``: names only, each once, oldest first."""
+    reader = spark.readStream.format("binaryFile").option("pathGlobFilter", "*.csv")
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    listed = reader.schema("path string, modificationTime timestamp, length long, content binary").load(directory)
+    return listed.select(F.col("_metadata.file_path").alias("path"), F.col("modificationTime").alias("modified"))
+
+
 def with_source(df: DataFrame) -> DataFrame:
     """Add the file a row came from and the time that file was last changed."""
     return df.select(

@@ -38,6 +38,17 @@ def read_text(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
+def first_line(spark: SparkSession, path: str) -> str:
+    """The first line of a listed file, empty if it has none; no more than a buffer of it is read."""
+    hadoop_path, fs = _path(spark, unquote(path))
+    java = spark._jvm.java.io
+    reader = java.BufferedReader(java.InputStreamReader(fs.open(hadoop_path), "UTF-8"))
+    try:
+        return reader.readLine() or ""
+    finally:
+        reader.close()
+
+
 def publish_text(spark: SparkSession, path: str, text: str) -> None:
     """Make a small file appear under a new name, complete or not at all."""
     hadoop_path, fs = _path(spark, path)

@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.operators.dedup import require_unique
 from millrace.operators.merge import aligned, merge, pick_strategy
 from millrace.session import staged
 from millrace.sources import files
@@ -190,13 +191,16 @@ class Table:
         origin: Origin = Origin(),
         newest_by: str | None = None,
         touched_by: str | None = None,
+        ranks: str | None = None,
+        unique: bool = False,
     ) -> bool:
         """Upsert a batch and rewrite only the partitions that hold its keys.
 
         Those are found by a scan of the key columns alone; rows with new keys
-        go to new folders.  ``incoming`` must be unique on ``keys``.  A first
-        load is written as it is; after that the batch is read several times,
-        so it is staged once.  Merging the same batch again changes nothing.
+        go to new folders.  A doubled key in ``incoming`` raises and changes
+        nothing; callers that have made the keys ``unique`` themselves say so.
+        The batch is read several times, so it is staged once (a unique first
+        load is written as it is).  Merging the same batch again changes nothing.
 
         A small batch causes no shuffle at all: rewritten rows stay in the
         splits they were read in.  The shuffled join scatters dates over its
@@ -208,18 +212,22 @@ class Table:
         if _done(now, origin):
             return False
         incoming = aligned(incoming, self.schema)
-        if not now.folders:
+        if not now.folders and unique:
             written = self._write(incoming, now.version + 1, balance=False)
             self._commit(_next(now, written, origin))
             return True
         with staged(incoming) as batch:
-            touched = self._partitions_with(now, batch, keys) if self.partition_by else now.folders
+            if not unique:
+                require_unique(batch, keys, complete=False)
+            touched = now.folders
+            if touched and self.partition_by:
+                touched = self._partitions_with(now, batch, keys)
             balance = False
             if touched:
                 strategy = pick_strategy(batch) if strategy == "auto" else strategy
                 old = self._rows(touched)
                 batch = merge(
-                    old, batch, keys, first_wins, null_policy, strategy, newest_by, touched_by
+                    old, batch, keys, first_wins, null_policy, strategy, newest_by, touched_by, ranks
                 )
                 balance = strategy == "full_outer"
             written = self._write(batch, now.version + 1, balance)

@@ -21,7 +21,7 @@ from millrace.functions import date_of
 from millrace.operators.dedup import dedup_by_key
 from millrace.operators.quality import split_missing
 from millrace.plans import lms
-from millrace.plans.refine import Date, land, rejects_of
+from millrace.plans.landing import Date, land_new, rejects_of
 from millrace.sources import csv
 from millrace.session import staged
 from millrace.sources.tables import Origin, Table
@@ -53,12 +53,17 @@ def landing_into(
     batch_date: Date,
     schema: T.StructType = lms.EXTRACT,
     min_rows: int = 1,
+    check_header: bool = True,
 ) -> Handler:
-    """Append each micro-batch of scanned drops to a landing table, as ``refine.land`` does."""
+    """Land the files that a micro-batch of names lists, as ``landing.ingest`` does.
+
+    The manifest knows the files that are in, so a micro-batch taken again
+    lands nothing twice, and a file that cannot be read does not stop the stream.
+    """
     day = date_of(batch_date).isoformat()
 
     def handle(df: DataFrame, number: int) -> None:
-        land(df, table, day, schema, min_rows, (stream_id(df), number))
+        land_new(df, table, day, schema, min_rows, check_header)
 
     return handle
 
@@ -93,7 +98,7 @@ def merging_into(
                 )
             rows = dedup_by_key(keyed, keys, order_by)
             incoming = rows.select(*[c for c in df.columns if c in table.schema.names])
-            table.merge(incoming, keys, first_wins, origin=origin)
+            table.merge(incoming, keys, first_wins, origin=origin, unique=True)
 
     return handle
 
@@ -109,8 +114,6 @@ def land_available(
     max_files: int | None = None,
     check_header: bool = True,
 ) -> None:
-    """Land every drop of a directory that has not been landed by this checkpoint."""
-    drops = csv.with_source(
-        csv.scan_stream(spark, directory, schema, max_files, keep_corrupt=True, check_header=check_header)
-    )
-    run_available(drops, landing_into(table, batch_date, schema, min_rows), checkpoint)
+    """Land every drop of a directory that is new to this checkpoint and to the table's manifest."""
+    names = csv.names_stream(spark, directory, max_files)
+    run_available(names, landing_into(table, batch_date, schema, min_rows, check_header), checkpoint)
