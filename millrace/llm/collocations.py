@@ -47,8 +47,8 @@ def pieces_of(text: bytes | None) -> list[bytes]:
 
 
 def code_of(lang: str, word: bytes) -> int:
-    """The 64-bit code of a word of a language."""
-    return xxhash.xxh3_64_intdigest(word, xxhash.xxh3_64_intdigest(lang)) - (1 << 63)
+    """The code of a word of a language beyond the head: a hash, below zero.  Words of the head have their rank."""
+    return (xxhash.xxh3_64_intdigest(word, xxhash.xxh3_64_intdigest(lang)) >> 1) - (1 << 63)
 
 
 def bit_of(codes: list[np.ndarray], bits: int) -> np.ndarray:
@@ -84,13 +84,13 @@ def count_tiles(first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.n
 
 
 def _word_counts(batches: Batches) -> Batches:
-    names, counts = ["lang", "word", "code", "n"], {}
+    names, counts = ["lang", "word", "n"], {}
 
     def out() -> pa.RecordBatch:
-        rows = [(lang, word, code_of(lang, word), n) for lang, per in counts.items() for word, n in per.items() if word and word != _END]
+        rows = [(lang, word, n) for lang, per in counts.items() for word, n in per.items() if word and word != _END]
         counts.clear()
-        columns = list(zip(*rows, strict=True)) if rows else [[]] * 4
-        kinds = [pa.string(), pa.binary(), pa.int64(), pa.int64()]
+        columns = list(zip(*rows, strict=True)) if rows else [[]] * 3
+        kinds = [pa.string(), pa.binary(), pa.int64()]
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=names)
 
     for batch in batches:
@@ -114,7 +114,7 @@ class Model:
             langs: dict[str, dict[bytes, int]] = {}
             for number, (lang, word) in enumerate(self.words):
                 langs.setdefault(lang, {_END: -1})[word] = number
-            self._head = langs, [code_of(*word) for word in self.words], [lang for lang, _ in self.words]
+            self._head = langs, list(range(len(self.words))), [lang for lang, _ in self.words]
         return self._head
 
     def named(self, codes: list[np.ndarray]) -> np.ndarray:
@@ -123,6 +123,21 @@ class Model:
         return (self.bitmaps[len(codes) - 1][bit >> 3] >> (bit & 7).astype(np.uint8) & 1).astype(bool)
 
 
+def _coded(model: Callable[[], Model]) -> Callable[[Batches], Batches]:
+    """Adds the code of each word."""
+
+    def run(batches: Batches) -> Batches:
+        langs, _, _ = model().head()
+        for batch in batches:
+            codes = [langs.get(lang, {}).get(word) for lang, word in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)]
+            rows = zip(codes, batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
+            whole = [code_of(lang, word) if code is None else code for code, lang, word in rows]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(whole, pa.int64()), batch.column(1).cast(pa.string()), batch.column(2)],
+                                             names=["lang", "w0", "word", "n"])
+
+    return run
+
+
 class _Numbers:
     """Numbers of words in a task: those of the head are ranks, others by first use; -1 for rare ones."""
 
@@ -281,16 +296,21 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, covered: i
     empty table.  Neither ``head`` nor ``bits`` changes any result.
     """
     texts = docs.select(F.coalesce("lang", F.lit(_NO_LANG)).alias("lang"), F.col("text").cast("binary").alias("text")).where("text is not null")
-    counted = texts.mapInArrow(_word_counts, "lang string, word binary, code long, n long")
-    counted = stored(counted.groupBy("lang", "word", "code").agg(F.sum("n").alias("n")), "word-counts")
+    context = docs.sparkSession.sparkContext
+    counted = texts.mapInArrow(_word_counts, "lang string, word binary, n long")
+    counted = stored(counted.groupBy("lang", "word").agg(F.sum("n").alias("n")), "word-counts")
     total = counted.groupBy("lang").agg(F.sum("n").alias("n"))
-    words = stored(counted.where(F.col("n") >= least).select("lang", F.col("code").alias("w0"), F.decode("word", "utf-8").alias("word"), "n"), "words")
-    best = words.orderBy(F.desc("n"), "lang", "word").limit(head).select("lang", "word").collect()
-    model = Model([(row["lang"], row["word"].encode()) for row in best], [_bitmap(words, 1, bits)], None, bits)
+    frequent = counted.where(F.col("n") >= least)
+    best = frequent.orderBy(F.desc("n"), "lang", "word").limit(head).select("lang", "word").collect()
+    model = Model([(row["lang"], bytes(row["word"])) for row in best], [], None, bits)
+    shared = context.broadcast(model)
+    words = stored(frequent.mapInArrow(_coded(lambda: shared.value), "lang string, w0 long, word string, n long"), "words")
+    shared.destroy()
+    model = Model(model.words, [_bitmap(words, 1, bits)], None, bits)
 
     tables = [words]
     for size in range(2, WORDS + 1):
-        shared = docs.sparkSession.sparkContext.broadcast(model)
+        shared = context.broadcast(model)
         names = [f"w{k}" for k in range(size)]
         schema = f"lang string, {', '.join(f'{name} long' for name in names)}, n long"
         made = texts.mapInArrow(_phrase_counts(size, lambda shared=shared: shared.value), schema)
