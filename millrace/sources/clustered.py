@@ -33,15 +33,18 @@ def write_clustered(
 
 
 def key_ranges(batch: DataFrame, key: str, most: int = 32) -> list[tuple]:
-    """At most ``most`` closed ranges that hold every key of a batch, no two of them overlapping.
+    """About ``most`` closed ranges that hold every key of a batch, no two of them overlapping.
 
-    Numeric keys are cut at their approximate quantiles; other keys make one
+    Numeric keys are cut at approximate quantiles and halfway between these, so
+    that a wide gap between keys falls between two ranges; other keys make one
     range.  One row per range reaches the driver.
     """
     keys = batch.select(F.col(key).alias("k")).filter("k is not null")
     if batch.schema[key].dataType.typeName() in ("integer", "long", "short", "byte", "double", "float"):
-        cuts = keys.agg(F.percentile_approx("k", [n / most for n in range(1, most)]).alias("cuts")).first()["cuts"] or []
-        steps = [F.when(F.col("k") > cut, 1).otherwise(0) for cut in sorted(set(cuts))]
+        shares = [n / (most // 2) for n in range(most // 2 + 1)]
+        cuts = sorted(set(keys.agg(F.percentile_approx("k", shares).alias("cuts")).first()["cuts"] or []))
+        cuts = sorted({*cuts, *((a + b) / 2 for a, b in zip(cuts, cuts[1:]))})
+        steps = [F.when(F.col("k") > cut, 1).otherwise(0) for cut in cuts]
         part: Column = reduce(lambda a, b: a + b, steps, F.lit(0))
     else:
         part = F.lit(0)
