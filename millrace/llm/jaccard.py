@@ -10,11 +10,12 @@ still reach the overlap that its sizes ask for, and then whole sets are
 compared.
 
 Only components are asked for, so large groups of copies need not be
-multiplied out.  A first product takes neighbours in size order within each
-column, and of each document's the one with most overlaps; the pairs it links
-join into components.  The second takes every pair
-of a column whose components still differ, in blocks of ``BLOCK`` by ``BLOCK``
-entries.  No pair is left out but those whose ends are known to be connected, or
+multiplied out.  First products take neighbours within each column, in size
+order and then in ``ROUNDS`` random orders, and of each document's neighbours in
+other components the one met most often; the pairs that whole sets confirm join
+components.  Each costs no more than the entries there are.  The last product
+takes every pair of a column whose components still differ, in blocks of
+``BLOCK`` by ``BLOCK`` entries.  No pair is left out but those whose ends are known to be connected, or
 whose sets differ in too many n-grams: each set has the parity of its n-grams in
 ``64 * MARKS`` bins, and bins of unlike parity hold one differing n-gram at least.
 """
@@ -35,6 +36,8 @@ from millrace.llm.components import components
 SIZE = 5
 THRESHOLD = (80, 100)
 BLOCK = 1024
+#: Random orders in which neighbours are tried before all pairs are.
+ROUNDS = 4
 SKETCH_BITS = 21
 #: Longs of a set's parity bins.
 MARKS = 8
@@ -205,10 +208,35 @@ def _whole_sets(docs: DataFrame, nodes: DataFrame, classes: DataFrame, size: int
     return texts.mapInArrow(run, "node long, values array<long>").dropDuplicates(["node"])
 
 
+def _neighbours(shared: DataFrame, parts: DataFrame, turn: int) -> DataFrame:
+    """For each document the one of another part that stands before it most often, with columns in random order.
+
+    Only columns with several parts count; long ones are cut into chunks of
+    about ``BLOCK`` entries, others in each turn.
+    """
+    rows = shared.select("shingle", "node").join(parts.withColumnRenamed("root", "part"), "node")
+    columns = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("c"), F.min("part").alias("p0"), F.max("part").alias("p1")).where("p0 != p1")
+    order = F.xxhash64("node", F.lit(turn))
+    chunk = F.pmod(F.xxhash64("node", F.lit(-turn)), F.ceil(F.col("c") / BLOCK))
+    dealt = rows.join(columns.select("shingle", "c"), "shingle").withColumns({"chunk": chunk, "order": order})
+    before = Window.partitionBy("shingle", "chunk").orderBy("order")
+    met = dealt.withColumns({"a": F.lag("node").over(before), "other": F.lag("part").over(before)}).where(F.col("other") != F.col("part"))
+    counts = met.groupBy("a", F.col("node").alias("b")).agg(F.count(F.lit(1)).alias("count"))
+    return counts.groupBy("b").agg(F.max_by("a", F.struct("count", "a")).alias("a"))
+
+
+def _joined(parts: DataFrame, links: DataFrame) -> DataFrame:
+    """Parts (node, root) after their links: components of the roots, not of all documents again."""
+    of = lambda end: parts.select(F.col("node").alias(end), F.col("root").alias(f"{end}_root"))
+    roots = links.join(of("a"), "a").join(of("b"), "b").select(F.col("a_root").alias("a"), F.col("b_root").alias("b"))
+    moved = components(roots).select(F.col("root").alias("to"), F.col("node").alias("root"))
+    return stored(parts.join(moved, "root", "left").select("node", F.coalesce("to", "root").alias("root")), "jaccard-parts")
+
+
 def _products(shared: DataFrame, parts: DataFrame, classes: DataFrame, threshold: tuple[int, int]) -> DataFrame:
     """Pairs (a, b) in different parts whose counted overlaps can reach what is needed."""
     marks = [f"m{k}" for k in range(MARKS)]
-    nodes = classes.join(parts, "node", "left").select("node", F.coalesce("root", "node").alias("part"), *marks)
+    nodes = classes.join(parts, "node").select("node", F.col("root").alias("part"), *marks)
     rows = shared.select("shingle", "node", "n", "place").join(nodes, "node")
     mixed_columns = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("c"), F.min("part").alias("p0"), F.max("part").alias("p1")).where("p0 != p1")
     rows = stored(rows.join(mixed_columns.select("shingle", "c"), "shingle"), "product-rows")
@@ -261,23 +289,19 @@ def near_duplicates(docs: DataFrame, size: int = SIZE, threshold: tuple[int, int
         .mapInArrow(_shared, "shingle long, node long, n int, place int, prev long, prev_n int"),
         "jaccard-shared",
     )
-    first = stored(
-        shared.where("prev is not null").groupBy(F.col("prev").alias("a"), F.col("node").alias("b"), F.col("prev_n").alias("x"), F.col("n").alias("y"))
-        .agg(F.count(F.lit(1)).alias("count")).where(_can_reach(F.col("count"), F.col("x"), F.col("y"), threshold))
-        .groupBy("b").agg(F.max_by("a", F.struct("count", "a")).alias("a")),
-        "jaccard-first",
-    )
-
-    def ends(pairs: DataFrame) -> DataFrame:
-        return pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-
-    links = stored(_linked(first, _whole_sets(docs, ends(first), classes, size), threshold), "jaccard-links")
-    parts = stored(components(links), "jaccard-parts")
-    second = stored(_products(shared, parts, classes, threshold), "jaccard-second")
-    if not second.isEmpty():
-        more = _linked(second, _whole_sets(docs, ends(second), classes, size), threshold)
-        links = stored(links.unionByName(more), "jaccard-links")
-        parts = stored(components(links), "jaccard-parts")
+    sets = stored(_whole_sets(docs, shared.select("node").distinct(), classes, size), "jaccard-sets")
+    parts = stored(shared.select("node", F.col("node").alias("root")).distinct(), "jaccard-parts")
+    pairs = shared.where("prev is not null").groupBy(F.col("prev").alias("a"), F.col("node").alias("b")).agg(F.count(F.lit(1)).alias("count"))
+    pairs = pairs.groupBy("b").agg(F.max_by("a", F.struct("count", "a")).alias("a"))
+    for turn in range(1, ROUNDS + 2):
+        links = stored(_linked(pairs, sets, threshold), "jaccard-links")
+        if links.isEmpty() and turn > 1:
+            break
+        parts = _joined(parts, links)
+        pairs = _neighbours(shared, parts, turn)
+    last = stored(_linked(_products(shared, parts, classes, threshold), sets, threshold), "jaccard-links")
+    if not last.isEmpty():
+        parts = _joined(parts, last)
     named = classes.select("node", "first_doc", "rows").join(parts, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = named.groupBy("root").agg(F.min("first_doc").alias("component_id"), F.sum("rows").alias("component_size"))
     named = stored(named.select("node", "root").join(least, "root").select("node", "root", "component_id", "component_size"), "jaccard-named")
