@@ -62,6 +62,16 @@ def forget() -> None:
 atexit.register(forget)
 
 
+def spare_names(df: DataFrame, many: int) -> list[str]:
+    """Column names that the frame does not have, whatever their case."""
+    taken, names, k = {c.lower() for c in df.columns}, [], 0
+    while len(names) < many:
+        if f"_spare{k}" not in taken:
+            names.append(f"_spare{k}")
+        k += 1
+    return names
+
+
 def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 

@@ -9,9 +9,14 @@ A fingerprint is joined with the places of its like, and the match is extended
 line by line in both directions as far as a place before it goes on alike: for
 each length the run of lines has a hash, and the first place of each hash is
 one grouped minimum, so no pairs within a group are made.  Extension stops
-after ``WORDS`` words, where the next fingerprint takes over.  Runs of ``WORDS``
-words or more that some earlier place (by document, then line) has too are
-deleted; their first copy stays.
+after ``WORDS`` words, where the next fingerprint takes over.  What matches
+forwards and what matches backwards count together only if they have the same
+first place, so a deleted run of ``WORDS`` words or more always stands whole at
+an earlier place (by document, then line); its first copy stays.  A repeated
+run of ``2 * WORDS`` words has one side of ``WORDS`` alone, so it is found.
+
+Whole lines are compared: a passage that begins or ends inside a line, or that
+is wrapped differently in its copy, counts only as far as whole lines agree.
 """
 
 from __future__ import annotations
@@ -26,10 +31,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.common import mixed, stored
+from millrace.llm.common import mixed, spare_names, stored
 
 WORDS = 25
-_SCHEMA = "doc_id long, version long, at int, way int, reach int, low int, high int, words int, run long"
+_SCHEMA = "doc_id long, version long, at int, way int, reach int, low int, high int, words int, own int, run long"
 
 
 def fingerprints(words: np.ndarray, hashes: np.ndarray, least: int) -> np.ndarray:
@@ -50,8 +55,8 @@ def fingerprints(words: np.ndarray, hashes: np.ndarray, least: int) -> np.ndarra
 
 def _runs(least: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc_id", "version", "at", "way", "reach", "low", "high", "words", "run"]
-        kinds = [pa.int64(), pa.int64(), *[pa.int32()] * 6, pa.int64()]
+        names = ["doc_id", "version", "at", "way", "reach", "low", "high", "words", "own", "run"]
+        kinds = [pa.int64(), pa.int64(), *[pa.int32()] * 7, pa.int64()]
         schema = pa.schema(list(zip(names, kinds, strict=True)))
         for batch in batches:
             out: list[tuple] = []
@@ -70,7 +75,7 @@ def _runs(least: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Record
                             run_hash = xxhash.xxh3_64_intdigest(named[k].to_bytes(8, "little"), run_hash)
                             total += int(counts[k])
                             low, high = (places[p], places[k]) if way == 0 else (places[k], places[p])
-                            out.append((doc, version, places[p], way, reach, low, high, total, run_hash - (1 << 63)))
+                            out.append((doc, version, places[p], way, reach, low, high, total, int(counts[p]), run_hash - (1 << 63)))
                             if total - counts[p] >= least:
                                 break
                             k, reach = k + step, reach + 1
@@ -91,11 +96,12 @@ def repeated_lines(docs: DataFrame, least: int = WORDS) -> DataFrame:
     # A run read forwards and one read backwards have different hashes, as their seeds differ.
     first = rows.groupBy("run").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     again = rows.join(first, "run").where(F.col("first") < place)
-    per = again.groupBy("doc_id", "version", "at").agg(
-        F.min("low").alias("low"), F.max("high").alias("high"),
-        F.max(F.when(F.col("way") == 0, F.col("words"))).alias("forth"), F.max(F.when(F.col("way") == 1, F.col("words"))).alias("back"),
-        F.min("words").alias("own"))
-    whole = per.where(F.coalesce("forth", F.lit(0)) + F.coalesce("back", F.lit(0)) - F.col("own") >= least)
+    # Both ways from one fingerprint, as far as they go on alike at one and the same earlier place.
+    forth, back = (F.max(F.when(F.col("way") == way, F.struct("words", "low", "high"))) for way in (0, 1))
+    per = again.groupBy("doc_id", "version", "at", "first").agg(F.min("own").alias("own"), forth.alias("forth"), back.alias("back"))
+    words = F.coalesce("forth.words", "own") + F.coalesce("back.words", "own") - F.col("own")
+    whole = per.where(words >= least).select(
+        "doc_id", "version", F.coalesce("back.low", "at").alias("low"), F.coalesce("forth.high", "at").alias("high"))
     return whole.groupBy("doc_id", "version").agg(F.array_sort(F.collect_set(F.struct("low", "high"))).alias("ranges"))
 
 
@@ -120,9 +126,10 @@ def dedup_lines(docs: DataFrame, least: int = WORDS) -> DataFrame:
     both without ranges.  Null ids come last in the order.  A run repeated within
     one text loses its later copies too.  Other columns stay as they are.
     """
-    found = repeated_lines(docs, least).select(F.col("doc_id").alias("d"), F.col("version").alias("v"), "ranges")
     spare = docs.drop("ranges", "kept")
-    joined = spare.join(found, F.col("doc_id").eqNullSafe(F.col("d")) & (F.xxhash64("text") == F.col("v")), "left").drop("d", "v")
+    d, v = spare_names(spare, 2)
+    found = repeated_lines(docs, least).select(F.col("doc_id").alias(d), F.col("version").alias(v), "ranges")
+    joined = spare.join(found, F.col("doc_id").eqNullSafe(F.col(d)) & (F.xxhash64("text") == F.col(v)), "left").drop(d, v)
     shape = "array<struct<low:int,high:int>>"
     part = lambda name: F.transform("ranges", lambda r: r[name])
     return joined.withColumn("kept", _without("text", part("low"), part("high"))).withColumn(

@@ -4,54 +4,50 @@ from __future__ import annotations
 
 import random
 
-import numpy as np
-import xxhash
-
-from millrace.llm.common import mixed
-from millrace.llm.lines import dedup_lines, fingerprints
+from millrace.llm.lines import dedup_lines
 
 
 def line(rnd, n):
     return " ".join(f"w{rnd.randrange(10**6)}" for _ in range(n))
 
 
-def plain(rows, least=25):
-    """Ranges by comparing each fingerprint with all earlier places."""
-    docs = []
-    for d, text, _ in rows:
-        lines = [(k, x.split()) for k, x in enumerate((text or "").split("\n"))]
-        docs.append((d, xxh(text), [(k, tuple(w)) for k, w in lines if w]))
-    docs.sort(key=lambda x: (x[0] is None, x[0] or 0, x[1]))
-    docs = [x for k, x in enumerate(docs) if k == 0 or x[:2] != docs[k - 1][:2]]
-    prints = []
-    for n, (_, _, lines) in enumerate(docs):
-        counts = np.array([len(w) for _, w in lines])
-        hashes = mixed(np.array([xxhash.xxh3_64_intdigest(" ".join(w).encode()) for _, w in lines], np.uint64))
-        prints += [(n, p) for p in (fingerprints(counts, hashes, least) if len(lines) else [])]
-    out = {}
-    for n, p in prints:
-        lines, best = docs[n][2], {}
-        for step in (1, -1):
-            total = 0
-            reach = p
-            while 0 <= reach < len(lines):
-                total += len(lines[reach][1])
-                run = [lines[k][1] for k in range(p, reach + step, step)]
-                if not any(((m, q) < (n, p)) and run == [docs[m][2][k][1] for k in range(q, q + step * len(run), step) if 0 <= k < len(docs[m][2])]
-                           for m, q in prints):
-                    break
-                best[step] = (reach, total)
-                if total - len(lines[p][1]) >= least:
-                    break
-                reach += step
-        if 1 in best and -1 in best and best[1][1] + best[-1][1] - len(lines[p][1]) >= least:
-            out.setdefault((docs[n][0], docs[n][1]), set()).add((lines[best[-1][0]][0], lines[best[1][0]][0]))
-    return {k: sorted(v) for k, v in out.items()}
-
-
-def xxh(text):
-    """Spark's xxhash64 is not needed here: any fixed order of two texts of one id will do, and ids differ."""
-    return text or ""
+def docs_of(rows):
+    """Documents in order, one per id and text, as lists of (line number, words) without blank lines."""
+    docs = sorted({(d is None, d or 0, text or "") for d, text, _ in rows})
+    return [((None if none else d), [(k, tuple(x.split())) for k, x in enumerate(text.split("\n")) if x.split()]) for none, d, text in docs]
+
+
+def runs_before(docs, n):
+    """Whether a run of lines of document n stands whole at an earlier place."""
+    lines = docs[n][1]
+
+    def stands(a, b):
+        run = [w for _, w in lines[a : b + 1]]
+        for m in range(n + 1):
+            other = [w for _, w in docs[m][1]]
+            for q in range(len(other) - len(run) + 1):
+                if (m, q) < (n, a) and other[q : q + len(run)] == run:
+                    return True
+        return False
+
+    return stands
+
+
+def check_deletions(rows, got, least=25):
+    """Nothing goes that is not whole at an earlier place, and repeated runs of twice the words go."""
+    docs = docs_of(rows)
+    for n, (d, lines) in enumerate(docs):
+        place, stands = {k: i for i, (k, _) in enumerate(lines)}, runs_before(docs, n)
+        gone = set()
+        for low, high in got[d]["ranges"]:
+            a, b = place[low], place[high]
+            assert sum(len(w) for _, w in lines[a : b + 1]) >= least and stands(a, b)
+            gone.update(range(a, b + 1))
+        for a in range(len(lines)):
+            for b in range(a, len(lines)):
+                long = sum(len(w) for _, w in lines[a : b + 1]) >= 2 * least
+                if long and sum(len(w) for _, w in lines[a:b]) < 2 * least and stands(a, b):
+                    assert any(k in gone for k in range(a, b + 1))
 
 
 def test_plain_version_and_guarantee(documents):
@@ -65,8 +61,7 @@ def test_plain_version_and_guarantee(documents):
         body[3:3] = block[a:a + rnd.randint(2, 6)] + [""]
         rows.append((k, "\n".join(body), "s"))
     got = {r["doc_id"]: r for r in dedup_lines(documents(rows)).collect()}
-    want = {k[0]: v for k, v in plain(rows).items()}
-    assert {d: [tuple(x) for x in r["ranges"]] for d, r in got.items() if r["ranges"]} == want
+    check_deletions(rows, got)
     # A run of 50 words or more seen before is gone, and unrelated lines stay.
     first = {}
     for d, text, _ in rows:
@@ -80,6 +75,27 @@ def test_plain_version_and_guarantee(documents):
             first.setdefault(x, d)
 
 
+def test_parts_from_different_places_do_not_add_up(documents):
+    """A F, F B and A F B: the last is in no other document, so nothing goes."""
+    rnd, rows = random.Random(9), []
+    for k in range(60):
+        a, f, b = line(rnd, 8), line(rnd, 10), line(rnd, 8)
+        rows += [(3 * k, f"{a}\n{f}", "s"), (3 * k + 1, f"{f}\n{b}", "s"), (3 * k + 2, f"{a}\n{f}\n{b}", "s")]
+    got = {r["doc_id"]: r for r in dedup_lines(documents(rows)).collect()}
+    assert not any(r["ranges"] for r in got.values())
+    check_deletions(rows, got)
+
+
+def test_random_shared_runs(documents):
+    rnd = random.Random(12)
+    pool, rows = [line(rnd, rnd.choice([3, 8, 12, 30])) for _ in range(14)], []
+    for k in range(50):
+        a = rnd.randrange(10)
+        rows.append((k, "\n".join(pool[a : a + rnd.randint(1, 5)] + [line(rnd, 6)] + pool[rnd.randrange(14):][:3]), "s"))
+    got = {r["doc_id"]: r for r in dedup_lines(documents(rows).withColumnRenamed("lang", "d").withColumnRenamed("source", "v")).collect()}
+    check_deletions(rows, got)
+
+
 def test_odd_rows(documents):
     long = " ".join(f"p{k}" for k in range(60))
     rows = [(1, long + "\nown one", "s"), (2, "x\n\n" + long + "\ny", "s"), (3, None, "s"), (4, "", "s"), (5, "short", "s"), (6, "short", "s"),
