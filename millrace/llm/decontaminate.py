@@ -36,6 +36,10 @@ RECALL, MOST_WALKS, TRIALS = 0.98, 64, 400
 CLASS = 1.1
 #: Bytes of benchmark text that tasks hold at once; a larger benchmark is taken in slices.
 SLICE = 32 << 20
+#: Numbers of walks that windows are walked in together; a window's hash in a walk does not depend on how many there are.
+TIERS = (0, 8, 16, 32, MOST_WALKS)
+#: Windows walked at once.
+HELD = 4096
 _EDGES = b".,;:!?\"'()[]{}"
 _NONE = -1
 #: More than the words of a slice of the benchmark.
@@ -101,7 +105,7 @@ class Index:
     """
 
     vocabulary: dict[bytes, int]
-    items: list[tuple[int, np.ndarray]]
+    items: list[tuple[int | None, np.ndarray]]
     lengths: list[int]
     pairs: np.ndarray
     firsts: np.ndarray
@@ -185,90 +189,113 @@ def padded(rows: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+class Codes(dict):
+    """Numbers of words as they stand in texts, each looked up once."""
+
+    LIMIT = 400_000
+
+    def __init__(self, vocabulary: dict[bytes, int]) -> None:
+        super().__init__()
+        self.vocabulary = vocabulary
+
+    def __missing__(self, word: bytes) -> int:
+        code = self[word] = self.vocabulary.get(normal(word), 0)
+        return code
+
+
 class Finder:
     """Matches of texts with the items of an index."""
 
     def __init__(self, index: Index) -> None:
         self.index = index
-        self.codes: dict[bytes, int] = {}
+        self.codes = Codes(index.vocabulary)
+        self.lengths = np.array(index.lengths, np.int64)
+        self.edit = np.array([allowed(n) for n in index.lengths], np.int64)
+        self.begins = index.firsts.any(axis=1)
+        self.fewest = int((self.lengths - self.edit).min(initial=1 << 30))
+        self.fewest_pairs = int((self.lengths - 1 - 2 * self.edit).min(initial=1 << 30))
 
     def coded(self, text: bytes | None) -> np.ndarray:
-        if len(self.codes) > 400_000:
+        if len(self.codes) > Codes.LIMIT:
             self.codes.clear()
-        codes, known = self.codes, self.index.vocabulary
         words = text.lower().split() if text else []
-        return np.array([codes[w] if w in codes else codes.setdefault(w, known.get(normal(w), 0)) for w in words], np.int64)
+        return np.fromiter(map(self.codes.__getitem__, words), np.int64, len(words))
 
     def likely(self, symbols: np.ndarray) -> list[tuple[int, int]]:
         """(start, length) of the windows that can lie within the allowed distance of an item."""
         known = symbols > 0
-        if known.sum() < min(x - allowed(x) for x in self.index.lengths):
-            return []
         count = np.concatenate([[0], np.cumsum(known)])
-        codes = symbols[:-1] * PAIR + symbols[1:]
+        if count[-1] < self.fewest:
+            return []
         both = np.flatnonzero(known[:-1] & known[1:])
-        at = np.minimum(np.searchsorted(self.index.pairs, codes[both]), max(0, len(self.index.pairs) - 1))
         paired = np.zeros(len(symbols), np.int64)
         if len(self.index.pairs):
-            paired[both] = self.index.pairs[at] == codes[both]
+            codes = symbols[both] * PAIR + symbols[both + 1]
+            at = np.minimum(np.searchsorted(self.index.pairs, codes), len(self.index.pairs) - 1)
+            paired[both] = self.index.pairs[at] == codes
         pairs = np.concatenate([[0], np.cumsum(paired)])
-        lengths = np.array(self.index.lengths)
-        edit = np.array([allowed(n) for n in self.index.lengths])
-        if pairs[-1] < (lengths - 1 - 2 * edit).min():
+        if pairs[-1] < self.fewest_pairs:
             return []
-        at, kind = np.nonzero(self.index.firsts[symbols])
-        size = lengths[kind]
+        begins = np.flatnonzero(self.begins[symbols])
+        at, kind = np.nonzero(self.index.firsts[symbols[begins]])
+        at = begins[at]
+        size, edit = self.lengths[kind], self.edit[kind]
         ends = np.minimum(at + size, len(symbols))
-        enough = (count[ends] - count[at] >= size - edit[kind]) & (pairs[ends - 1] - pairs[at] >= size - 1 - 2 * edit[kind])
+        enough = (count[ends] - count[at] >= size - edit) & (pairs[ends - 1] - pairs[at] >= size - 1 - 2 * edit)
         return list(zip(at[enough].tolist(), size[enough].tolist(), strict=True))
 
     def hits(self, texts: list[bytes | None]) -> list[list[int]]:
         """Per text (item_id, start word, distance) of each item found, its closest and first place, one after another."""
         found: list[dict[int, tuple[int, int]]] = [{} for _ in texts]
-        held: list[tuple[int, int, int, np.ndarray]] = []
+        # Equal windows, of one text or several, are walked once; each text keeps its first.
+        held: dict[tuple[int, bytes], list[tuple[int, int]]] = {}
         if self.index.items:
             for n, text in enumerate(texts):
-                symbols, seen = self.coded(text), set()
+                symbols = self.coded(text)
                 for start, length in self.likely(symbols):
-                    content = (length, symbols[start : start + length + allowed(length)].tobytes())
-                    if content in seen:
-                        continue
-                    seen.add(content)
-                    held.append((n, start, length, symbols))
-                    if len(held) >= 4096:
-                        self._walk(held, found)
-                        held = []
+                    places = held.setdefault((length, symbols[start : start + length + allowed(length)].tobytes()), [])
+                    if not places or places[-1][0] != n:
+                        places.append((n, start))
+                if len(held) >= HELD:
+                    self._walk(held, found)
+                    held = {}
             self._walk(held, found)
         ids = self.index.items
-        return [[x for k, (distance, start) in sorted(f.items(), key=lambda y: (ids[y[0]][0], y[0])) for x in (ids[k][0], start, distance)] for f in found]
-
-    def _walk(self, held: list[tuple[int, int, int, np.ndarray]], found: list[dict[int, tuple[int, int]]]) -> None:
-        if not held:
-            return
-        groups: dict[int, list[tuple[int, int, int, np.ndarray]]] = defaultdict(list)
-        for window in held:
-            groups[self.index.walks[window[2]]].append(window)
-        for walks, mine in groups.items():
-            if not walks:
-                for window in mine:
-                    self._compare(window, self.index.heads.get((window[2], int(window[3][window[1]])), ()), found)
+        order = lambda k: (ids[k][0] is None, ids[k][0] or 0, k)
+        return [[x for k in sorted(f, key=order) for x in (ids[k][0], f[k][1], f[k][0])] for f in found]
+
+    def _walk(self, held: dict[tuple[int, bytes], list[tuple[int, int]]], found: list[dict[int, tuple[int, int]]]) -> None:
+        groups: dict[int, list[tuple[int, np.ndarray, list[tuple[int, int]]]]] = defaultdict(list)
+        for (length, content), places in held.items():
+            walks = self.index.walks[length]
+            tier = next(t for t in TIERS if t >= walks)
+            groups[tier].append((length, np.frombuffer(content, np.int64), places))
+        for tier, mine in groups.items():
+            if not tier:
+                for length, text, places in mine:
+                    self._compare(length, text, places, self.index.heads.get((length, int(text[0])), ()), found)
                 continue
-            windows = padded([symbols[start : start + length] for _, start, length, symbols in mine])
-            lengths = np.array([length for _, _, length, _ in mine], np.int64)
-            for window, hashes in zip(mine, walk_hashes(windows, lengths, walks).tolist(), strict=True):
-                self._compare(window, {k for h in hashes for k in self.index.table.get(h, ())}, found)
-
-    def _compare(self, window: tuple[int, int, int, np.ndarray], items: Iterable[int], found: list[dict[int, tuple[int, int]]]) -> None:
-        n, start, length, symbols = window
+            for k in range(0, len(mine), HELD):
+                some = mine[k : k + HELD]
+                lengths = np.array([length for length, _, _ in some], np.int64)
+                windows = padded([text[:length] for length, text, _ in some])
+                for (length, text, places), hashes in zip(some, walk_hashes(windows, lengths, tier).tolist(), strict=True):
+                    hashes = hashes[: self.index.walks[length]]
+                    self._compare(length, text, places, {k for h in hashes for k in self.index.table.get(h, ())}, found)
+
+    def _compare(
+        self, length: int, text: np.ndarray, places: list[tuple[int, int]], items: Iterable[int], found: list[dict[int, tuple[int, int]]]
+    ) -> None:
         edit = allowed(length)
-        text = symbols[start : start + length + edit]
         for k in items:
             item = self.index.items[k][1]
             if len(item) != length or np.isin(text, item).sum() < length - edit:
                 continue
             distance = edits(item, text)
-            if distance <= edit and (k not in found[n] or (distance, start) < found[n][k]):
-                found[n][k] = (distance, start)
+            if distance <= edit:
+                for n, start in places:
+                    if k not in found[n] or (distance, start) < found[n][k]:
+                        found[n][k] = (distance, start)
 
 
 def _searching(held):
@@ -289,16 +316,16 @@ def with_hits(docs: DataFrame, benchmark: DataFrame, into: str = "hits") -> Data
     at most a fifth of its length.  Words are compared in lower case (A-Z) without
     punctuation at their ends.  ``start`` counts words from 0.  Null and empty
     texts have no hits; items without words are never found.  Repeated items are
-    each found.  Null item ids are left out.
+    each found; an item without an id is found under a null one.
     """
-    rows = benchmark.where(F.col("item_id").isNotNull()).select("item_id", F.col("text").cast("binary").alias("text"))
+    rows = benchmark.select("item_id", F.col("text").cast("binary").alias("text"))
     size = rows.agg(F.sum(F.length("text"))).first()[0] or 0
     slices = max(1, -(-size // SLICE))
     shape = "array<struct<item_id:bigint,start:bigint,distance:bigint>>"
     columns = []
     for part in range(slices):
-        mine = rows.where(F.pmod(F.xxhash64("item_id"), F.lit(slices)) == part).collect()
-        held = docs.sparkSession.sparkContext.broadcast(Index.of([(r[0], bytes(r[1]) if r[1] is not None else None) for r in sorted(mine, key=lambda r: (r[0], r[1] or b""))]))
+        mine = rows.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(slices)) == part).collect()
+        held = docs.sparkSession.sparkContext.broadcast(Index.of([(r[0], bytes(r[1]) if r[1] is not None else None) for r in sorted(mine, key=lambda r: (r[0] is None, r[0] or 0, r[1] or b""))]))
 
         # Not to be evaluated once more for a filter that the optimizer derives.
         flat = F.pandas_udf(_searching(held), "array<bigint>").asNondeterministic()(F.col("text").cast("binary"))

@@ -6,7 +6,7 @@ import random
 
 import numpy as np
 
-from millrace.llm.decontaminate import Finder, Index, allowed, edits, with_hits
+from millrace.llm.decontaminate import Finder, Index, allowed, edits, walk_hashes, with_hits
 
 RND = random.Random(8)
 VOCABULARY = [f"v{k}" for k in range(400)] + ["the", "of", "and"] * 40
@@ -80,3 +80,15 @@ def test_long_items_among_short_ones():
         want.append(item_id)
     got = [set(x[::3]) for x in Finder(index).hits(docs)]
     assert sum(w in g for g, w in zip(got, want, strict=True)) >= 0.95 * len(want)
+
+
+def test_items_without_an_id_are_found(documents, text_spark):
+    bench = text_spark.createDataFrame([(None, ITEMS[3][1]), (None, ITEMS[5][1]), (7, ITEMS[4][1])], "item_id long, text string")
+    rows = [(1, "so " + ITEMS[3][1], "s"), (2, ITEMS[4][1] + " " + ITEMS[5][1], "s"), (3, "clean words only", "s")]
+    got = with_hits(documents(rows), bench).collect()
+    assert {r["doc_id"]: [(h["item_id"], h["distance"]) for h in r["hits"]] for r in got} == {1: [(None, 0)], 2: [(7, 0), (None, 0)], 3: []}
+
+
+def test_hashes_do_not_depend_on_the_number_of_walks():
+    symbols, lengths = np.arange(40).reshape(2, 20), np.array([20, 13])
+    assert (walk_hashes(symbols, lengths, 8) == walk_hashes(symbols, lengths, 64)[:, :8]).all()
