@@ -4,21 +4,25 @@ A word enters as its own vector and as the element-wise maximum over vectors of
 its character n-grams, ends marked; both tables are hashed, so the model's size
 is fixed.  Two gated recurrent layers read a window of ``WINDOW`` words from
 either end, attention pools their states, and the pool gives a logit.  Windows
-overlap by half and cover the whole text; a text scores as its highest window.
+begin at every ``STEP``-th word, so they overlap by half and cover the whole
+text; a text scores as its highest window.
 
-Training is numpy on the driver, over a sample of at most ``TOXIC`` and
-``CLEAN`` labelled texts of at most ``LONGEST`` bytes, taken in hash order.
+Training is numpy in one task, over a sample of at most ``TOXIC`` and ``CLEAN``
+labelled texts of at most ``LONGEST`` bytes, taken in hash order; the driver
+sees the weights alone, whose size is fixed.
 Labels belong to texts, so each round picks every text's highest window and
 then learns from these.  Vectors start with the log odds of their bucket.
 """
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -42,6 +46,31 @@ def grams_of(word: bytes) -> list[int]:
     return [xxhash.xxh3_64_intdigest(part, 5) % BUCKETS for part in parts]
 
 
+@dataclass
+class Buckets:
+    """Of each word its own bucket, and those of its n-grams one after another, from ``starts`` on."""
+
+    rows: np.ndarray
+    flat: np.ndarray
+    starts: np.ndarray
+
+    @classmethod
+    def of(cls, words: list[bytes]) -> Buckets:
+        rows = np.fromiter((xxhash.xxh3_64_intdigest(w, 7) % BUCKETS for w in words), np.int32, len(words))
+        flat, starts = array("i"), np.zeros(len(words) + 1, np.int64)
+        for k, word in enumerate(words):
+            flat.extend(grams_of(word))
+            starts[k + 1] = len(flat)
+        return cls(rows, np.frombuffer(flat, np.int32) if len(flat) else np.empty(0, np.int32), starts)
+
+    def taken(self, numbers: np.ndarray) -> Buckets:
+        """Those of some words, by their places."""
+        sizes = self.starts[numbers + 1] - self.starts[numbers]
+        starts = np.concatenate([[0], np.cumsum(sizes)])
+        at = np.arange(starts[-1]) - np.repeat(starts[:-1] - self.starts[numbers], sizes)
+        return Buckets(self.rows[numbers], self.flat[at], starts)
+
+
 class Words:
     """Distinct words seen, with their buckets; numbers count from 1 without gaps."""
 
@@ -81,21 +110,18 @@ class Net:
                   f"a{d}": draw(STATE), f"v{d}": draw(STATE)}
         return cls(p)
 
-    def features(self, words: list[bytes], trace: bool = False):
+    def features(self, words: list[bytes] | Buckets, trace: bool = False):
         """Vectors of words; with ``trace`` also their buckets, for the way back."""
-        rows = np.array([xxhash.xxh3_64_intdigest(w, 7) % BUCKETS for w in words], np.int64)
-        lists = [grams_of(w) for w in words]
-        starts = np.cumsum([0, *map(len, lists)])[:-1]
-        flat = np.array([g for x in lists for g in x], np.int64)
-        if not len(words):
+        own = words if isinstance(words, Buckets) else Buckets.of(words)
+        if not len(own.rows):
             return np.zeros((0, 2 * WIDTH), np.float32), None
-        deep = self.p["gram"][flat]
-        top = np.maximum.reduceat(deep, starts, axis=0)
-        x = np.concatenate([self.p["word"][rows], top], axis=1)
+        deep = self.p["gram"][own.flat]
+        top = np.maximum.reduceat(deep, own.starts[:-1], axis=0)
+        x = np.concatenate([self.p["word"][own.rows], top], axis=1)
         if not trace:
             return x, None
-        owner = np.repeat(np.arange(len(words)), np.diff([*starts, len(flat)]))
-        return x, (rows, flat, owner, deep == top[owner])
+        owner = np.repeat(np.arange(len(own.rows)), np.diff(own.starts))
+        return x, (own.rows, own.flat, owner, deep == top[owner])
 
     def inputs(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """What words give to the gates of either layer; row 0 is no word."""
@@ -129,7 +155,7 @@ class Net:
         logit = (weight * value).sum(1) + self.p["b"][0]
         return (logit, (weight, value, traces)) if keep else logit
 
-    def gradients(self, windows: np.ndarray, labels: np.ndarray, words: list[bytes], kept: np.ndarray) -> dict[str, np.ndarray]:
+    def gradients(self, windows: np.ndarray, labels: np.ndarray, words: list[bytes] | Buckets, kept: np.ndarray) -> dict[str, np.ndarray]:
         """Of the mean log loss; ``windows`` numbers ``words`` from 1, ``kept`` tells which use their own vector."""
         x, (rows, flat, owner, at_top) = self.features(words, trace=True)
         x[:, :WIDTH] *= kept[:, None]
@@ -139,7 +165,7 @@ class Net:
         out["b"][0] = d_logit.sum()
         pooled = (weight * value).sum(1, keepdims=True)
         d_value, d_energy = d_logit[:, None] * weight, d_logit[:, None] * weight * (value - pooled)
-        d_x = np.zeros((len(words) + 1, 2 * WIDTH), np.float32)
+        d_x = np.zeros((len(rows) + 1, 2 * WIDTH), np.float32)
         x0 = np.concatenate([np.zeros((1, 2 * WIDTH), np.float32), x])
         for d in "fr":
             W, U, a, v = (self.p[f"{k}{d}"] for k in "WUav")
@@ -183,16 +209,16 @@ def train(examples: list[tuple[bytes | None, int]], seed: int = 3) -> Net:
         net.p["b"][0] = 8.0 if len(labels) and labels[0] else -8.0
         return net
     toxic, clean = labels.sum(), len(labels) - labels.sum()
-    buckets = {"word": [np.array([xxhash.xxh3_64_intdigest(w, 7) % BUCKETS]) for w in words.words],
-               "gram": [np.array(grams_of(w)) for w in words.words]}
-    for name, of in buckets.items():
-        seen = np.zeros((2, BUCKETS))
-        for numbers, y in zip(texts, labels, strict=True):
-            if len(numbers):
-                here = np.unique(np.concatenate([of[n - 1] for n in np.unique(numbers)]))
-                seen[int(y), here] += 1
-        share = toxic / (toxic + clean)
-        likely = (seen[1] + DOUBT * share) / (seen.sum(0) + DOUBT)
+    buckets = Buckets.of(words.words)
+    seen = {name: np.zeros((2, BUCKETS)) for name in ("word", "gram")}
+    for numbers, y in zip(texts, labels, strict=True):
+        if len(numbers):
+            own = buckets.taken(np.unique(numbers) - 1)
+            seen["word"][int(y), np.unique(own.rows)] += 1
+            seen["gram"][int(y), np.unique(own.flat)] += 1
+    share = toxic / (toxic + clean)
+    for name, counts in seen.items():
+        likely = (counts[1] + DOUBT * share) / (counts.sum(0) + DOUBT)
         odds = np.log(likely / (1 - likely)) - np.log(share / (1 - share))
         net.p[name][:, 0] = np.clip(odds / 2, -2, 2)
     every = [windows_of(x) for x in texts]
@@ -201,7 +227,7 @@ def train(examples: list[tuple[bytes | None, int]], seed: int = 3) -> Net:
     rng = np.random.default_rng(seed)
     first, second, turn = {k: np.zeros_like(v) for k, v in net.p.items()}, {k: np.zeros_like(v) for k, v in net.p.items()}, 0
     for round_ in range(ROUNDS):
-        x, _ = net.features(words.words)
+        x, _ = net.features(buckets)
         if round_:
             scores = best_logits(net, net.inputs(x), flat)
         else:
@@ -215,8 +241,9 @@ def train(examples: list[tuple[bytes | None, int]], seed: int = 3) -> Net:
                 used, inverse = np.unique(flat[best[some]], return_inverse=True)
                 shift = 0 if used[0] == 0 else 1
                 local = inverse.reshape(len(some), WINDOW).astype(np.int32) + shift
-                known = [words.words[n - 1] for n in used if n]
-                grads = net.gradients(local, labels[some], known, (rng.random(len(known)) >= DROPPED) / np.float32(1 - DROPPED))
+                known = used[used > 0] - 1
+                kept = (rng.random(len(known)) >= DROPPED) / np.float32(1 - DROPPED)
+                grads = net.gradients(local, labels[some], buckets.taken(known), kept)
                 turn += 1
                 rate = RATE * np.sqrt(1 - 0.999**turn) / (1 - 0.9**turn)
                 for name, g in grads.items():
@@ -272,20 +299,39 @@ class Scorer:
         return 1 / (1 + np.exp(-np.clip(top.astype(np.float64), -30, 30)))
 
 
-def sample(docs: DataFrame, labels: DataFrame, toxic: int = TOXIC, clean: int = CLEAN, longest: int = LONGEST) -> list[tuple[bytes | None, int]]:
-    """At most ``toxic`` and ``clean`` labelled texts of at most ``longest`` bytes, in hash order of doc_id.
+def sample(docs: DataFrame, labels: DataFrame, toxic: int = TOXIC, clean: int = CLEAN, longest: int = LONGEST) -> DataFrame:
+    """At most ``toxic`` and ``clean`` labelled texts of at most ``longest`` bytes, first in hash order of doc_id.
 
-    Rows without a label or id are left out.  Labels are chosen first, twice as
-    many as asked for, so the side that is broadcast is bounded by the parameters.
+    Columns are label, key, doc_id, text.  Rows without a label or id are left
+    out.  Ids are chosen among documents that are there and short enough, so
+    the side that is broadcast is bounded by the parameters.
     """
-    out = []
     key = F.xxhash64("doc_id")
+    fitting = docs.where(F.col("doc_id").isNotNull() & (F.coalesce(F.octet_length("text"), F.lit(0)) <= longest)).select("doc_id", "text")
+    out = []
     for label, most in ((1, toxic), (0, clean)):
-        chosen = labels.where((F.col("toxic") == label) & F.col("doc_id").isNotNull()).select("doc_id").distinct().orderBy(key, "doc_id").limit(2 * most)
-        found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").where(
-            F.coalesce(F.octet_length("text"), F.lit(0)) <= longest).orderBy(key, "doc_id", "text").limit(most)
-        out += [(r["text"].encode() if r["text"] is not None else None, label) for r in found.select("text").collect()]
-    return out
+        marked = labels.where(F.col("toxic") == label).select("doc_id").distinct()
+        chosen = fitting.select("doc_id").join(marked, "doc_id", "left_semi").distinct().orderBy(key, "doc_id").limit(most)
+        found = fitting.join(F.broadcast(chosen), "doc_id").select(F.lit(label).alias("label"), key.alias("key"), "doc_id", F.col("text").cast("binary").alias("text"))
+        out.append(found.orderBy("key", "doc_id", "text").limit(most))
+    return out[0].unionByName(out[1])
+
+
+def fitted(docs: DataFrame, labels: DataFrame) -> Net:
+    """A net trained in one task on the bounded sample; only its weights come to the driver."""
+
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns), strict=True)]
+        rows.sort(key=lambda r: (-r[0], r[1], r[2], r[3] or b""))
+        net = train([(text, label) for label, _, _, text in rows])
+        names = list(net.p)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(names), pa.array([list(net.p[n].shape) for n in names], pa.list_(pa.int32())),
+             pa.array([net.p[n].astype(np.float32).tobytes() for n in names], pa.binary())], names=["name", "shape", "data"])
+
+    made = sample(docs, labels).repartition(1).mapInArrow(fit, "name string, shape array<int>, data binary").collect()
+    # Without examples Spark may start no task at all.
+    return Net({row["name"]: np.frombuffer(row["data"], np.float32).reshape(row["shape"]).copy() for row in made}) if made else train([])
 
 
 def score(docs: DataFrame, net: Net) -> Column:
@@ -309,5 +355,5 @@ def with_toxicity(docs: DataFrame, labels: DataFrame, into: str = "toxicity") ->
     texts score alike; scores depend on nothing but the text.  With no labels, or
     one kind only, every text scores near the label seen, or near 0.
     """
-    net = train(sample(docs, labels.select("doc_id", "toxic")))
+    net = fitted(docs, labels.select("doc_id", "toxic"))
     return docs.withColumn(into, score(docs, net))
