@@ -13,6 +13,11 @@ about ``BUCKET``; each bucket ends with one document that is still fractional;
 those go on to the next level, where there are a ``BUCKET``-th as many.  A
 source with a third of all rows is thus split over its buckets, and no task
 sees more than a bucket of it at a time.
+
+The document left at a source's root may be a long one, and rounding it leaves
+words over or short.  These are carried on from long to short texts: of each
+size class (a factor of two) at most ``CARRIERS`` documents may give or take
+one copy, so what is left in the end is less than a short text.
 """
 
 from __future__ import annotations
@@ -24,6 +29,7 @@ from millrace.llm.common import WORD, stored, text_or_empty
 
 BUCKET = 16
 CAP = 3
+CARRIERS = 2
 WEIGHTS = (1, 2, 3)
 NEARLY = 1e-9
 
@@ -96,6 +102,36 @@ def _paired(items: Column, seed: int) -> Column:
     return F.aggregate(items, start, step)
 
 
+def _carried(units: DataFrame, cap: int, seed: int) -> DataFrame:
+    """Rounded documents with the words a source is over or short given to few others, from long to short.
+
+    Of each source and size class the first ``CARRIERS`` documents in hash order
+    that can take (or give) a copy are asked, the longest first; one is taken if
+    it does not overshoot.  No copies pass 0 or ``cap``.
+    """
+    words = F.col("copies") * F.col("size")
+    rest = units.groupBy(F.col("source").alias("of")).agg((F.first("target") - F.sum(words)).alias("rest"))
+    able = units.join(rest, F.col("source").eqNullSafe(F.col("of"))).where(
+        (F.col("size") > 0) & (F.col("size") <= F.abs("rest"))
+        & F.when(F.col("rest") > 0, F.col("copies") < cap * F.col("rows")).otherwise(F.col("copies") > 0))
+    order = Window.partitionBy("of", F.floor(F.log2("size"))).orderBy(F.xxhash64(F.lit(seed), "doc_id", "size"), "doc_id", "size")
+    few = able.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= CARRIERS)
+    asked = few.groupBy("of").agg(F.first("rest").alias("rest"), F.sort_array(F.collect_list(F.struct("size", "doc_id")), asc=False).alias("asked"))
+    kind = "array<struct<size:bigint,doc_id:bigint>>"
+
+    def step(state: Column, item: Column) -> Column:
+        fits = item["size"] <= state["left"]
+        return F.struct(
+            F.when(fits, state["left"] - item["size"]).otherwise(state["left"]).alias("left"),
+            F.when(fits, F.concat(state["taken"], F.array(item))).otherwise(state["taken"]).alias("taken"))
+
+    start = F.struct(F.abs("rest").alias("left"), F.array().cast(kind).alias("taken"))
+    moved = asked.select("of", F.signum("rest").cast("long").alias("sign"), F.explode(F.aggregate("asked", start, step, lambda s: s["taken"])).alias("item")).select(
+        "of", "sign", F.col("item.size").alias("s"), F.col("item.doc_id").alias("d"))
+    same = F.col("source").eqNullSafe(F.col("of")) & (F.col("size") == F.col("s")) & F.col("doc_id").eqNullSafe(F.col("d"))
+    return units.join(moved, same, "left").withColumn("copies", F.col("copies") + F.coalesce("sign", F.lit(0))).drop("of", "sign", "s", "d")
+
+
 def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: int = CAP, seed: int = 17) -> DataFrame:
     """One row per document: doc_id, source, size, source_size, target, copies, taken.
 
@@ -106,7 +142,8 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: int = CAP, s
     texts, have size 0 and 0 copies; a null source is a source; null ids count as
     equal.  An empty table gives an empty table.  The draw depends on ids, sizes
     and the seed alone, so reruns agree.  The one document per source left
-    fractional at the root goes to the nearer whole number.
+    fractional at the root goes to the nearer whole number, and a few shorter
+    documents make up for it.
     """
     units = stored(
         docs.select("doc_id", "source", word_count().alias("size"))
@@ -156,7 +193,9 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: int = CAP, s
     result = last
     for part in finished:
         result = result.unionByName(part)
-    copies = F.col("whole") + F.round("part").cast("long")
+    result = result.withColumn("copies", F.col("whole") + F.round("part").cast("long")).drop("whole", "part")
+    result = _carried(stored(result, "mix-rounded"), cap, seed)
+    copies = F.col("copies")
     even = F.floor(copies / F.col("rows")).cast("long")
     mine = even + F.when(F.col("row") < copies - even * F.col("rows"), 1).otherwise(0)
     return (

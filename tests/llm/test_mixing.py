@@ -74,3 +74,25 @@ def test_expected_copies_are_what_is_due(documents):
             total[r["doc_id"] < 100] += r["copies"]
     assert total[True] / runs == pytest.approx(40, abs=1.0)
     assert total[False] / runs == pytest.approx(80, abs=1.0)
+
+
+def test_every_source_is_near_its_target(text_spark):
+    """Within two per cent, or half of the source's shortest text, whatever the texts' lengths."""
+    got = QUERIES["op1_mixing"](text_spark, SF.replace("0.001", "0.01")).collect()
+    taken, shortest = Counter(), {}
+    for r in got:
+        taken[r["source"]] += r["taken"]
+        shortest[r["source"]] = min(shortest.get(r["source"], 1 << 30), r["size"] or 1 << 30)
+    for r in got:
+        assert abs(taken[r["source"]] - r["target"]) <= max(0.02 * r["target"], shortest[r["source"]]), r["source"]
+
+
+def test_a_long_text_left_at_the_root_is_made_up_for(documents):
+    rows = [(k, "w " * (3000 if k < 3 else 40 if k < 30 else 3), "a") for k in range(200)] + [(1000 + k, "w " * 30, "b") for k in range(400)]
+    got = mix(documents(rows)).collect()
+    check(got, rows)
+    taken, target = Counter(), {}
+    for r in got:
+        taken[r["source"]] += r["taken"]
+        target[r["source"]] = r["target"]
+    assert all(abs(taken[s] - t) <= 30 for s, t in target.items())
