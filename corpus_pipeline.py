@@ -21,12 +21,13 @@ def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates the document with the smallest id, null last, then the smallest hash of its text; all documents without words stay."""
     tune_text(spark)
+    docs = docs.select(*COLUMNS)
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
     groups = jaccard.near_duplicates(docs).where("n_shingles > 0").groupBy("root").agg(F.min(order).alias("least"))
     least = groups.select(F.col("least.doc_id").alias("d"), F.col("least.text_hash").alias("h")).distinct()
     hashed = docs.withColumn("text_hash", jaccard.text_hash())
     kept = hashed.join(least, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_hash") == F.col("h"))).dropDuplicates(["doc_id", "text_hash"])
-    return kept.select(*COLUMNS).unionByName(docs.where(~text_or_empty().rlike(WORD)).select(*COLUMNS))
+    return kept.select(*COLUMNS).unionByName(docs.where(~text_or_empty().rlike(WORD)))
 
 
 def not_leaked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
