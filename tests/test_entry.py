@@ -28,4 +28,4 @@ print(len(entry.queries()), len(entry.oracle_sql()), any(n.startswith("op") for
 def test_other_queries_are_there_without_the_text_operators():
     for blocked in (["millrace.llm", "corpus_pipeline"], ["xxhash"], ["millrace.llm"]):
         many, oracles, numbered, pipeline = names(blocked)
-        assert many == oracles >= 60 and not numbered and not pipeline
+        assert many == oracles >= 50 and not numbered and not pipeline
