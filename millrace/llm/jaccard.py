@@ -37,7 +37,7 @@ SIZE = 5
 THRESHOLD = (80, 100)
 BLOCK = 1024
 #: Random orders in which neighbours are tried before all pairs are.
-ROUNDS = 4
+ROUNDS = 3
 SKETCH_BITS = 21
 #: Longs of a set's parity bins.
 MARKS = 8
@@ -177,6 +177,14 @@ def _can_reach(count: Column, x: Column, y: Column, threshold: tuple[int, int])
     return (of * x >= over * y) & (count + F.greatest(beyond(x), beyond(y)) >= _needed(x, y, threshold))
 
 
+def _plausible(pairs: DataFrame, kept: DataFrame, threshold: tuple[int, int]) -> DataFrame:
+    """Pairs (a, b) whose kept entries have as many in common as their sizes ask for."""
+    of = lambda end: kept.select(F.col("node").alias(end), F.col("n").alias(f"n_{end}"), F.col("kept").alias(f"kept_{end}"))
+    count = F.size(F.array_intersect("kept_a", "kept_b"))
+    return pairs.select("a", "b").join(of("a"), "a").join(of("b"), "b").where(
+        _can_reach(count, F.least("n_a", "n_b"), F.greatest("n_a", "n_b"), threshold)).select("a", "b")
+
+
 def _linked(pairs: DataFrame, sets: DataFrame, threshold: tuple[int, int]) -> DataFrame:
     """Pairs (a, b) whose whole sets pass the threshold."""
     over, of = threshold
@@ -289,19 +297,23 @@ def near_duplicates(docs: DataFrame, size: int = SIZE, threshold: tuple[int, int
         .mapInArrow(_shared, "shingle long, node long, n int, place int, prev long, prev_n int"),
         "jaccard-shared",
     )
-    sets = stored(_whole_sets(docs, shared.select("node").distinct(), classes, size), "jaccard-sets")
-    parts = stored(shared.select("node", F.col("node").alias("root")).distinct(), "jaccard-parts")
+    def confirmed(pairs: DataFrame) -> DataFrame:
+        ends = pairs.select("a").distinct().union(pairs.select("b").distinct()).toDF("node").distinct()
+        return stored(_linked(pairs, _whole_sets(docs, ends, classes, size), threshold), "jaccard-links")
+
+    kept = stored(shared.groupBy("node").agg(F.first("n").alias("n"), F.collect_list("shingle").alias("kept")), "jaccard-kept")
+    parts = kept.select("node", F.col("node").alias("root"))
     pairs = shared.where("prev is not null").groupBy(F.col("prev").alias("a"), F.col("node").alias("b")).agg(F.count(F.lit(1)).alias("count"))
     pairs = pairs.groupBy("b").agg(F.max_by("a", F.struct("count", "a")).alias("a"))
     for turn in range(1, ROUNDS + 2):
-        links = stored(_linked(pairs, sets, threshold), "jaccard-links")
-        if links.isEmpty() and turn > 1:
+        likely = stored(_plausible(pairs, kept, threshold), "jaccard-likely")
+        if likely.isEmpty() and turn > 1:
             break
-        parts = _joined(parts, links)
+        parts = _joined(parts, confirmed(likely))
         pairs = _neighbours(shared, parts, turn)
-    last = stored(_linked(_products(shared, parts, classes, threshold), sets, threshold), "jaccard-links")
+    last = stored(_products(shared, parts, classes, threshold), "jaccard-last")
     if not last.isEmpty():
-        parts = _joined(parts, last)
+        parts = _joined(parts, confirmed(last))
     named = classes.select("node", "first_doc", "rows").join(parts, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = named.groupBy("root").agg(F.min("first_doc").alias("component_id"), F.sum("rows").alias("component_size"))
     named = stored(named.select("node", "root").join(least, "root").select("node", "root", "component_id", "component_size"), "jaccard-named")
