@@ -2,7 +2,7 @@
 
 The tree is fitted on a sample of at most ``SAMPLE`` vectors; all vectors are
 dealt to its leaves.  A query opens branches through a priority queue, nearest
-centre first, until it has met ``visits`` leaves.  How many that are is
+centre first, until it has met ``visits`` leaves and these hold enough vectors.  How many that are is
 calibrated: leaf visits widen until the recall of sampled queries, against
 brute force over the sample, reaches ``RECALL``.
 
@@ -75,13 +75,14 @@ class Tree:
         down(self.root, np.arange(len(points)))
         return out
 
-    def order(self, point: np.ndarray, visits: int) -> list[int]:
-        """The first leaves met, best bin first."""
-        heap, met, ties = [(0.0, 0, self.root)], [], 0
-        while heap and len(met) < visits:
+    def order(self, point: np.ndarray, visits: int, counts: np.ndarray | None = None, enough: int = 0) -> list[int]:
+        """The first leaves met, best bin first: ``visits`` of them, and more until they hold ``enough`` vectors."""
+        heap, met, ties, held = [(0.0, 0, self.root)], [], 0, 0
+        while heap and (len(met) < visits or held < enough):
             _, _, node = heapq.heappop(heap)
             if isinstance(node, int):
                 met.append(node)
+                held += int(counts[node]) if counts is not None else enough
                 continue
             for d, child in zip(((node[0] - point) ** 2).sum(1), node[1], strict=True):
                 ties += 1
@@ -158,11 +159,16 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, key: str = "vec_
 
     def sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists = [held.value.order(p, visits) for p in _matrix(batch.column(1), width)]
+            lists = [held.value.order(p, visits, counts, k + 1) for p in _matrix(batch.column(1), width)]
             yield batch.append_column("leaves", pa.array(lists, pa.list_(pa.int64())))
 
     base = stored(base.mapInArrow(dealt, "id long, v array<double>, leaf long"), "ann-leaves")
-    blocks = base.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
+    sizes = stored(base.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")), "ann-sizes")
+    blocks = sizes.select("leaf", F.ceil(F.col("n") / BLOCK).alias("blocks"))
+    # One number a leaf, so that no query ends with fewer than it could find.
+    counts = np.zeros(tree.leaves, np.int64)
+    for row in sizes.collect():
+        counts[row["leaf"]] = row["n"]
     cells = base.join(blocks, "leaf").withColumn("block", F.pmod(F.xxhash64("id"), "blocks")).select("leaf", "block", "id", "v")
     asked = _clean(queries, key, vector).where(F.size("v") == width).distinct()
     classes = stored(asked.withColumn("rep", F.min("id").over(Window.partitionBy("v"))), "ann-queries")

@@ -38,3 +38,24 @@ def test_odd_rows(text_spark):
         (100, 1, 0, 1.0), (100, 2, 1, 1.0), (100, 3, 2, 1.0)]
     assert search(df.limit(0), df).collect() == [] and search(df, df.limit(0)).collect() == []
     assert [r["vec_id"] for r in search(df.where("vec_id in (1, 2)"), df.where("vec_id = 1")).collect()] == [2]
+
+
+def test_leaves_of_one_vector_still_give_enough(text_spark, monkeypatch):
+    """Skewed vectors in leaves of one or two: every query finds as many as are asked for."""
+    monkeypatch.setattr(nearest, "LEAF", 1)
+    draw = np.random.default_rng(7)
+    points = np.concatenate([draw.normal(0, 0.01, (150, 3)), draw.normal(5, 3, (50, 3)), [[90.0, 90.0, 90.0]]])
+    df = text_spark.createDataFrame([(k, [float(x) for x in p]) for k, p in enumerate(points)], "vec_id long, embedding array<double>")
+    got = search(df, df.where("vec_id % 20 = 0")).collect()
+    found = {}
+    for r in got:
+        found.setdefault(r["query_id"], []).append(r["vec_id"])
+    assert set(found) == set(range(0, 201, 20)) and all(len(set(ids)) == 10 for ids in found.values())
+
+
+def test_visits_go_on_until_leaves_hold_enough():
+    points = np.arange(12, dtype=float)[:, None]
+    tree = nearest.Tree(points, 12)
+    counts = np.bincount(tree.leaf_of(points), minlength=tree.leaves)
+    met = tree.order(points[0], 1, counts, 5)
+    assert counts[met].sum() >= 5 and len(tree.order(points[0], 1)) == 1
