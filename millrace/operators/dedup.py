@@ -37,6 +37,11 @@ def distinct_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.select(*keys).distinct()
 
 
+def has_doubles(df: DataFrame, keys: Sequence[str]) -> bool:
+    """Whether a key comes more than once; reads the key columns alone and combines on the map side."""
+    return not df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_times")).filter("_times > 1").isEmpty()
+
+
 def require_unique(df: DataFrame, keys: Sequence[str], complete: bool = True) -> None:
     """Raise ValueError if a key comes more than once, or with ``complete`` if a row has none.
 

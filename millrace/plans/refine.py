@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions import date_of
+from millrace.operators.dedup import has_doubles
 from millrace.operators.incremental import batch_of, pending_batches, stamp_batch
 from millrace.operators.lastwriter import RANKS, fold, ranked
 from millrace.operators.quality import is_missing
@@ -25,7 +26,6 @@ from millrace.plans import lms, star
 from millrace.plans.audits import Audits, counted
 from millrace.plans.landing import Date, ingest, land, rejects_of
 from millrace.plans.specs import ConformSpec
-from millrace.session import staged
 from millrace.sources import csv
 from millrace.sources.tables import Origin, Table
 
@@ -102,7 +102,10 @@ def bronze(landing: Table, table: Table, rejects: Table, batch_date: Date) -> No
     _take_rejects(rejects, batch.withColumn("Reason", reason), "bronze", day, audits_of(table))
     keyed = batch.filter(reason.isNull())
     # Where a key comes twice, each column takes the value of the newest file that has one.
-    rows = fold(ranked(keyed, lms.FOLDED, drop_rank(day)), lms.KEYS)
+    rows = ranked(keyed, lms.FOLDED, drop_rank(day))
+    if has_doubles(keyed, lms.KEYS):
+        rows = fold(rows, lms.KEYS)
+    rows = rows.select(*lms.EXTRACT.names, RANKS)
     for column in (lms.BATCH, lms.LAST_BATCH, lms.NEWEST_BATCH):
         rows = stamp_batch(rows, day, column)
     table.merge(
@@ -181,17 +184,18 @@ def _taken(table: Table, day: str, revision: int | None) -> bool:
 
 
 def _take_rejects(table: Table, judged: DataFrame, stage: str, day: str, audits: Audits) -> None:
-    """Replace a day's rejects by the rows with a reason; the same pass counts rows read, kept and rejected.
+    """Count rows read, kept and rejected while looking for rejects, and replace those of the day.
 
-    Where there are none, and were none before, nothing is committed.
+    That pass reads the columns a reason depends on, no others.  Where there
+    are no rejects, and were none before, nothing is committed.
     """
     rejected = F.col("Reason").isNotNull()
-    counted_rows, watch = counted(judged, rejected)
-    rows = stamp_batch(counted_rows.filter(rejected).withColumn("Stage", F.lit(stage)), day, lms.BATCH)
-    with staged(rows.select(*table.schema.names), "rejects") as found:
-        counts = watch.get
-        if counts["n_rejected"] or table.exists():
-            table.overwrite(found, emptied=[day])
+    reasons, watch = counted(judged.select("Reason"), rejected)
+    reasons.write.format("noop").mode("overwrite").save()
+    counts = watch.get
+    if counts["n_rejected"] or table.exists():
+        rows = stamp_batch(judged.filter(rejected).withColumn("Stage", F.lit(stage)), day, lms.BATCH)
+        table.overwrite(rows, emptied=[day])
     audits.record(stage, day, counts)
 
 
@@ -200,6 +204,8 @@ def _settle(table: Table, entered: DataFrame, day: str) -> None:
     if not table.exists():
         return
     waiting = table.read().filter(F.col(lms.BATCH) != day)
+    if waiting.isEmpty():
+        return
     days = [row[0] for row in waiting.join(entered.select(*lms.KEYS), list(lms.KEYS), "left_semi").select(lms.BATCH).distinct().collect()]
     if days:
         table.overwrite(settle(waiting.filter(F.col(lms.BATCH).isin(days)), entered, lms.KEYS), emptied=days)
