@@ -9,8 +9,8 @@ for the target recall, in a trial for each class of item lengths.  Symbols are w
 
 A text is read in windows of every item length in use.  A window can only lie
 within the allowed distance of an item if it begins with one of the item's first
-words (the first that is kept) and holds enough of them, and enough pairs of neighbours (running counts tell), so
-other windows are never walked; no match is lost by that.  Windows that share a hash with an item are
+words (the first that is kept) and holds enough of them, and enough pairs of neighbours (running counts tell) that
+are of one and the same item, so other windows are never walked; no match is lost by that.  Windows that share a hash with an item are
 compared by exact edit distance.  Lengths for which ``MOST_WALKS`` do not reach the
 target are not walked: their windows are compared with every item of the length
 that has the window's first word among its first.
@@ -38,6 +38,8 @@ CLASS = 1.1
 SLICE = 32 << 20
 #: Numbers of walks that windows are walked in together; a window's hash in a walk does not depend on how many there are.
 TIERS = (0, 8, 16, 32, MOST_WALKS)
+#: Pairs of neighbours in more items than this count for every item.
+COMMON = 64
 #: Windows walked at once.
 HELD = 4096
 _EDGES = b".,;:!?\"'()[]{}"
@@ -112,6 +114,10 @@ class Index:
     walks: dict[int, int]
     table: dict[int, list[int]]
     heads: dict[tuple[int, int], list[int]]
+    #: Of each pair the items that have it, one after another, from ``owner_starts`` on; and the lengths of items.
+    owners: np.ndarray
+    owner_starts: np.ndarray
+    sizes: np.ndarray
 
     @classmethod
     def of(cls, items: list[tuple[int, bytes | None]], seed: int = 11) -> Index:
@@ -137,12 +143,17 @@ class Index:
                     symbols = coded[k][1]
                     for symbol in set(symbols[: allowed(len(symbols)) + 1].tolist()):
                         heads[len(symbols), symbol].append(k)
-        pairs = np.unique(np.concatenate([s[:-1] * PAIR + s[1:] for _, s in coded])) if coded else lengths
+        own = [np.unique(s[:-1] * PAIR + s[1:]) for _, s in coded]
+        every = np.concatenate([*own, np.empty(0, np.int64)])
+        owners = np.repeat(np.arange(len(coded)), [len(x) for x in own])
+        order = np.argsort(every, kind="stable")
+        pairs, counts = np.unique(every, return_counts=True)
+        owner_starts = np.concatenate([[0], np.cumsum(counts)])
         classes = sorted(set(lengths.tolist()))
         firsts = np.zeros((len(vocabulary) + 1, len(classes)), bool)
         for _, symbols in coded:
             firsts[symbols[: allowed(len(symbols)) + 1], classes.index(len(symbols))] = True
-        return cls(vocabulary, coded, classes, pairs, firsts, walks, dict(table), dict(heads))
+        return cls(vocabulary, coded, classes, pairs, firsts, walks, dict(table), dict(heads), owners[order], owner_starts, lengths)
 
     @classmethod
     def _walks(cls, items: list[np.ndarray], seed: int) -> dict[int, int]:
@@ -228,11 +239,13 @@ class Finder:
         if count[-1] < self.fewest:
             return []
         both = np.flatnonzero(known[:-1] & known[1:])
-        paired = np.zeros(len(symbols), np.int64)
+        paired, which, places = np.zeros(len(symbols), np.int64), both[:0], both[:0]
         if len(self.index.pairs):
             codes = symbols[both] * PAIR + symbols[both + 1]
             at = np.minimum(np.searchsorted(self.index.pairs, codes), len(self.index.pairs) - 1)
-            paired[both] = self.index.pairs[at] == codes
+            same = self.index.pairs[at] == codes
+            paired[both] = same
+            which, places = at[same], both[same]
         pairs = np.concatenate([[0], np.cumsum(paired)])
         if pairs[-1] < self.fewest_pairs:
             return []
@@ -242,7 +255,34 @@ class Finder:
         size, edit = self.lengths[kind], self.edit[kind]
         ends = np.minimum(at + size, len(symbols))
         enough = (count[ends] - count[at] >= size - edit) & (pairs[ends - 1] - pairs[at] >= size - 1 - 2 * edit)
-        return list(zip(at[enough].tolist(), size[enough].tolist(), strict=True))
+        return self._of_one_item(at[enough], size[enough], edit[enough], places, which)
+
+    def _of_one_item(self, at: np.ndarray, size: np.ndarray, edit: np.ndarray, places: np.ndarray, which: np.ndarray) -> list[tuple[int, int]]:
+        """Those windows whose pairs (numbers ``which`` at ``places``) are enough for one item of the window's length."""
+        if not len(at):
+            return []
+        starts = self.index.owner_starts
+        many = starts[which + 1] - starts[which]
+        common = many > COMMON
+        many = np.where(common, 0, many)
+        ends = np.concatenate([[0], np.cumsum(many)])
+        owners = self.index.owners[np.arange(ends[-1]) - np.repeat(ends[:-1] - starts[which], many)]
+        lengths = self.index.sizes[owners]
+        wild = np.concatenate([[0], np.cumsum(common)])
+        low, high = np.searchsorted(places, at), np.searchsorted(places, at + size - 1)
+        needed = size - 1 - 2 * edit - (wild[high] - wild[low])
+        out = []
+        for start, length, least, a, b in zip(at.tolist(), size.tolist(), needed.tolist(), ends[low].tolist(), ends[high].tolist(), strict=True):
+            if least <= 0:
+                out.append((start, length))
+            elif b - a >= least:
+                mine = owners[a:b][lengths[a:b] == length]
+                if len(mine) >= least:
+                    mine.sort()
+                    # A run of ``least`` equal numbers.
+                    if (mine[least - 1 :] == mine[: len(mine) - least + 1]).any():
+                        out.append((start, length))
+        return out
 
     def hits(self, texts: list[bytes | None]) -> list[list[int]]:
         """Per text (item_id, start word, distance) of each item found, its closest and first place, one after another."""
