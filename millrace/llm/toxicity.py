@@ -27,6 +27,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm.common import stored
+
 WINDOW, STEP = 24, 12
 WIDTH, STATE = 4, 6
 BUCKETS = 1 << 15
@@ -308,13 +310,13 @@ def sample(docs: DataFrame, labels: DataFrame, toxic: int = TOXIC, clean: int =
     """
     key = F.xxhash64("doc_id")
     fitting = docs.where(F.col("doc_id").isNotNull() & (F.coalesce(F.octet_length("text"), F.lit(0)) <= longest)).select("doc_id", "text")
-    out = []
-    for label, most in ((1, toxic), (0, clean)):
-        marked = labels.where(F.col("toxic") == label).select("doc_id").distinct()
-        chosen = fitting.select("doc_id").join(marked, "doc_id", "left_semi").distinct().orderBy(key, "doc_id").limit(most)
-        found = fitting.join(F.broadcast(chosen), "doc_id").select(F.lit(label).alias("label"), key.alias("key"), "doc_id", F.col("text").cast("binary").alias("text"))
-        out.append(found.orderBy("key", "doc_id", "text").limit(most))
-    return out[0].unionByName(out[1])
+    marks = labels.where("toxic in (0, 1)").select("doc_id", F.col("toxic").alias("label")).distinct()
+    there = stored(fitting.select("doc_id").join(marks, "doc_id").distinct(), "toxicity-ids")
+    first = lambda rows, by: [rows.where(F.col("label") == label).orderBy(*by).limit(most) for label, most in ((1, toxic), (0, clean))]
+    ones, zeros = first(there, (key, "doc_id"))
+    texts = fitting.join(F.broadcast(ones.unionByName(zeros)), "doc_id").select("label", key.alias("key"), "doc_id", F.col("text").cast("binary").alias("text"))
+    ones, zeros = first(stored(texts, "toxicity-sample"), ("key", "doc_id", "text"))
+    return ones.unionByName(zeros)
 
 
 def fitted(docs: DataFrame, labels: DataFrame) -> Net:
