@@ -7,71 +7,45 @@ these and the product of its children's weighted probabilities are mixed half
 and half.  The probability of a bit, given all training texts, is then a
 mixture of the estimates along its context, from the root down.
 
-Texts are dealt by hash of their id into chunks of about ``CHUNK`` bytes.  A
-chunk lists its distinct strings of a context and its byte with their training
-counts, zeros included, and likewise its words.  These lists are added up,
-turned into probabilities, and joined back to the chunks that asked, so the
-model is never held whole: trees are worked on by the last ``SUFFIX`` bytes of
-the context, and what lies above by place.
+Texts travel in compressed packs, which are dealt into chunks of about ``CHUNK``
+bytes.  A chunk sorts its strings of a context and its byte, nearest byte
+first, a nearest byte at a time, and sends each group of contexts one list of
+its distinct strings and their training counts, as compressed differences.  A
+group holds all contexts that end in the same ``SUFFIX`` bytes; it merges the
+lists of all chunks, and works its trees out level by level over the sorted
+strings.  The levels above go by place.  Each list is answered by one value a
+string, in the list's order, so the model is never held whole and no string
+travels back.  Words and their counts take the same way.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import WordHashes, mixed, stored, words_of
 
 DEPTH = 8
-#: Last bytes of a context by which trees are dealt to tasks.
+#: Last bytes of a context by which trees are dealt to groups.
 SUFFIX = 3
-CHUNK = 32 << 20
-#: Strings whose trees a task works on at once, and those of one more suffix.
-HELD = 100_000
+CHUNK = 64 << 20
+#: Groups of contexts for each chunk of text, and the parts a chunk's texts travel in.
+GROUPS, PACKS = 8, 16
 BEFORE, END = 0xFE, 0xFF
 #: A token no text holds, after the last word.
 END_WORD = b"\n"
 WORD_KIND, BYTE_KIND = 0, 1
+#: Values are sent as -log10 times this: exact to 6e-11, up to 2^31.
+UNIT = float(1 << 33)
 
 Batches = Iterator[pa.RecordBatch]
-
-
-def strings_of(text: bytes | None, depth: int) -> np.ndarray:
-    """Each byte of the lower-cased text, and its end, in a row with the ``depth`` bytes before it."""
-    data = np.frombuffer(bytes([BEFORE]) * depth + (text or b"").lower() + bytes([END]), np.uint8)
-    return np.lib.stride_tricks.sliding_window_view(data, depth + 1)
-
-
-def hashes_of(strings: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each row of bytes."""
-    value = np.zeros(len(strings), np.uint64)
-    for column in strings.T:
-        value *= np.uint64(0x9E3779B97F4A7C15)
-        value += column
-        value += np.uint64(1)
-    return mixed(value).view(np.int64)
-
-
-def packed(strings: np.ndarray) -> pa.Array:
-    """Rows of bytes as binary values."""
-    ends = pa.array(np.arange(len(strings) + 1, dtype=np.int32) * strings.shape[1])
-    return pa.Array.from_buffers(pa.binary(), len(strings), [None, ends.buffers()[1], pa.py_buffer(np.ascontiguousarray(strings).tobytes())])
-
-
-def unpacked(column: pa.ChunkedArray, width: int) -> np.ndarray:
-    """Binary values of ``width`` bytes each, none of them null, as rows of bytes."""
-    parts = [np.empty(0, np.uint8)]
-    for chunk in column.chunks:
-        chunk = chunk.cast(pa.large_binary())
-        if len(chunk):
-            start = np.frombuffer(chunk.buffers()[1], np.int64)[chunk.offset]
-            parts.append(np.frombuffer(chunk.buffers()[2], np.uint8, len(chunk) * width, start))
-    return np.concatenate(parts).reshape(-1, width)
+LISTS = "group long, chunk long, n long, keys binary, counts binary"
 
 
 def log_gamma(x: np.ndarray) -> np.ndarray:
@@ -82,230 +56,436 @@ def log_gamma(x: np.ndarray) -> np.ndarray:
     return (y - 0.5) * np.log(y) - y + 0.5 * np.log(2 * np.pi) + 1 / (12 * y) - 1 / (360 * y**3) + 1 / (1260 * y**5) - np.log(product)
 
 
+_HALVES, _WHOLES = log_gamma(np.arange(4096) + 0.5), log_gamma(np.arange(4096) + 1.0) + np.log(np.pi)
+
+
 def log_kt(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     """Natural logarithm of the Krichevsky-Trofimov probability of a sequence with these counts."""
-    return log_gamma(zeros + 0.5) + log_gamma(ones + 0.5) - log_gamma(zeros + ones + 1.0) - np.log(np.pi)
+    total = zeros + ones
+    large = np.flatnonzero(total >= len(_HALVES))
+    if not len(large):
+        return _HALVES[zeros] + _HALVES[ones] - _WHOLES[total]
+    most = len(_HALVES) - 1
+    out = _HALVES[np.minimum(zeros, most)] + _HALVES[np.minimum(ones, most)] - _WHOLES[np.minimum(total, most)]
+    z, o = zeros[large], ones[large]
+    out[large] = log_gamma(z + 0.5) + log_gamma(o + 0.5) - log_gamma(z + o + 1.0) - np.log(np.pi)
+    return out
 
 
-class Level:
-    """Counts and weights of all nodes of one depth; nodes are numbers of contexts * 256 + place."""
+def log_mean(own: np.ndarray, below: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Logarithm of the mean of two probabilities given by theirs, and the first one's share in it."""
+    with np.errstate(over="ignore"):
+        odds = np.exp(below - own)
+        share = 1 / (1 + odds)
+        # Where the odds are past what a double holds, the second is all there is.
+        total = np.where(odds < 1e300, own + np.log1p(np.minimum(odds, 1e300)), below)
+    return total - np.log(2), share
 
-    def __init__(self, nodes: np.ndarray, zeros: np.ndarray, ones: np.ndarray, below: np.ndarray | None) -> None:
-        self.nodes, self.zeros, self.ones = nodes, zeros, ones
-        own = log_kt(zeros, ones)
-        self.weighted = own if below is None else np.logaddexp(own, below) - np.log(2)
-        # The share of the node's own estimate in its mixture.
-        self.share = np.ones(len(nodes)) if below is None else np.exp(own - np.logaddexp(own, below))
 
-    def mix(self, at: np.ndarray, bit: np.ndarray, deeper: np.ndarray | None) -> np.ndarray:
-        n = np.where(bit == 1, self.ones[at], self.zeros[at])
-        own = (n + 0.5) / (self.zeros[at] + self.ones[at] + 1)
-        return own if deeper is None else self.share[at] * own + (1 - self.share[at]) * deeper
+# Numbers in transit: the bytes of all, place by place, compressed.
 
 
-def bits_of(strings: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The eight places and bits of each string's last byte."""
-    byte = strings[:, -1].astype(np.int64)
-    t = np.arange(8)
-    return (1 << t) | (byte[:, None] >> (8 - t)), (byte[:, None] >> (7 - t)) & 1
+def squeezed(values: np.ndarray) -> bytes:
+    return pa.compress(np.ascontiguousarray(values.astype(">u8").view(np.uint8).reshape(-1, 8).T).tobytes(), codec="zstd", asbytes=True)
 
 
-def suffixes_of(strings: np.ndarray, top: int) -> np.ndarray:
-    """The last ``top`` context bytes of each string as one number."""
-    out = np.zeros(len(strings), np.int64)
-    for column in strings[:, -1 - top : -1].T:
-        out = (out << 8) | column
-    return out
+def unsqueezed(data: bytes, n: int) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(data, n * 8, codec="zstd"), np.uint8).reshape(8, n)
+    return np.ascontiguousarray(planes.T).view(">u8").reshape(-1).astype(np.uint64)
 
 
-def levels_of(strings: np.ndarray, counts: np.ndarray, top: int) -> tuple[list[tuple[Level, np.ndarray]], np.ndarray]:
-    """Levels from the strings' depth up to ``top``, each with every (string, bit)'s node in it, and the bits.
+def squeezed_keys(words: list[np.ndarray]) -> bytes:
+    """Sorted keys of one word or more; each word is sent by what it differs in from the one before."""
+    return squeezed(np.concatenate([np.bitwise_xor(w, np.concatenate([np.zeros(1, np.uint64), w[:-1]])) for w in words]))
+
+
+def unsqueezed_keys(data: bytes, n: int, width: int) -> list[np.ndarray]:
+    return [np.bitwise_xor.accumulate(w) for w in unsqueezed(data, n * width).reshape(width, n)]
+
+
+def sorted_keys(words: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The order of the keys, and where in that order a new key begins."""
+    order = np.argsort(words[0]) if len(words) == 1 else np.lexsort(words[::-1])
+    new = np.zeros(len(order), bool)
+    new[:1] = True
+    for w in words:
+        s = w[order]
+        new[1:] |= s[1:] != s[:-1]
+    return order, new
+
+
+class Dealing:
+    """Which group a context, or a word, belongs to; frequent nearest bytes have more groups."""
+
+    def __init__(self, depth: int, seen: dict[int, int], groups: int) -> None:
+        self.depth, self.top = depth, min(SUFFIX, depth)
+        total = sum(seen.values()) or 1
+        many = [max(1, round(groups * seen.get(v, 0) / total)) if self.top > 1 else 1 for v in range(256)]
+        self.first = np.concatenate([[0], np.cumsum(many)])
+        self.words = max(1, groups // 8)
+
+    @property
+    def rest(self) -> int:
+        """Bytes of a string besides the nearest one."""
+        return max(1, self.depth)
+
+    @property
+    def width(self) -> int:
+        return -(-self.rest // 8)
+
+    def byte(self, words: list[np.ndarray], k: int) -> np.ndarray:
+        """The k-th byte after the nearest of each string; the last of these is the byte itself."""
+        left = self.rest - 8 * (k // 8)
+        return (words[k // 8] >> np.uint64(8 * (min(8, left) - 1 - k % 8))).astype(np.uint8)
+
+    def of_strings(self, nearest: int, words: list[np.ndarray]) -> np.ndarray:
+        low, many = self.first[nearest], self.first[nearest + 1] - self.first[nearest]
+        if many == 1:
+            return np.full(len(words[0]), low, np.int64)
+        value = np.zeros(len(words[0]), np.uint64)
+        for k in range(self.top - 1):
+            value = value << np.uint64(8) | self.byte(words, k)
+        return low + (mixed(value) % np.uint64(many)).astype(np.int64)
+
+    def of_words(self, hashes: np.ndarray) -> np.ndarray:
+        return self.first[256] + (mixed(hashes) % np.uint64(self.words)).astype(np.int64)
+
+    def kind(self, group: int) -> int:
+        return BYTE_KIND if group < self.first[256] else WORD_KIND
+
+    def nearest(self, group: int) -> int:
+        return int(np.searchsorted(self.first, group, side="right")) - 1
+
+
+class Chunk:
+    """The texts of a chunk, one after the other, each with ``depth`` bytes before it and its end."""
+
+    def __init__(self, packs: list[bytes], depth: int) -> None:
+        self.depth = depth
+        tables = [pa.ipc.open_stream(p).read_all() for p in packs]
+        self.rows = pa.concat_tables(tables)
+        self.taught = ~self.rows.column("held_out").to_numpy().astype(bool)
+        texts = [t.lower() for t in self.rows.column("bytes").to_pylist()]
+        self.hashes = self._words(texts)
+        before, end = bytes([BEFORE]) * depth, bytes([END])
+        self.starts = np.cumsum([0] + [len(t) + depth + 1 for t in texts])[:-1]
+        self.data = np.frombuffer(b"".join(x for t in texts for x in (before, t, end)), np.uint8)
+        self.target = np.ones(len(self.data), bool)
+        for k in range(depth):
+            self.target[self.starts + k] = False
+
+    def _words(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of all tokens and how many each text has."""
+        known, parts, sizes = WordHashes(), [], []
+        for t in texts:
+            parts.append(known.of([*words_of(t), END_WORD]))
+            sizes.append(len(parts[-1]))
+        return np.concatenate(parts), np.array(sizes)
+
+    def row_of(self, at: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.starts, at, side="right") - 1
+
+    def strings(self) -> Iterator[tuple[int, np.ndarray, list[np.ndarray]]]:
+        """For each nearest byte the places of the bytes after it, and their strings' words."""
+        if not self.depth:
+            yield 0, np.arange(len(self.data)), [self.data.astype(np.uint64)]
+            return
+        for v in np.flatnonzero(np.bincount(self.data, minlength=256)):
+            at = np.flatnonzero((self.data[:-1] == v) & self.target[1:]) + 1
+            if not len(at):
+                continue
+            words = []
+            for low in range(0, self.depth, 8):
+                word = np.zeros(len(at), np.uint64)
+                for k in range(low, min(low + 8, self.depth)):
+                    word <<= np.uint64(8)
+                    word |= self.data[at - 2 - k] if k < self.depth - 1 else self.data[at]
+                words.append(word)
+            yield int(v), at, words
+
+
+def _packs(chunks: int, size: int):
+    """Rows in compressed packs, each dealt to a chunk."""
+
+    def run(batches: Batches) -> Batches:
+        part, made, held, room = TaskContext.get().partitionId(), 0, [], 0
 
-    The nodes of the last level are by the number that ``suffixes_of`` gives.
-    """
-    place, bit = bits_of(strings)
-    weight = np.repeat(counts, 8).astype(np.float64)
-    flat_bit, out, below = bit.ravel(), [], None
-    contexts = []
-    number = suffixes_of(strings, top)
-    for depth in range(top, strings.shape[1]):
-        if depth > top:
-            # A context goes on from its shorter one by one byte further back.
-            number = np.unique(number * 256 + strings[:, -1 - depth], return_inverse=True)[1].reshape(-1)
-        contexts.append(number)
-    for number in reversed(contexts):
-        nodes, at = np.unique((number[:, None] * 256 + place).ravel(), return_inverse=True)
-        at = at.reshape(-1)
-        ones = np.bincount(at, weight * flat_bit, len(nodes))
-        zeros = np.bincount(at, weight * (1 - flat_bit), len(nodes))
-        summed = None
-        if below is not None:
-            deeper, parent = below
-            first = np.full(len(deeper.nodes), -1, np.int64)
-            first[parent] = at
-            summed = np.bincount(first, deeper.weighted, len(nodes))
-        level = Level(nodes, zeros, ones, summed)
-        out.append((level, at))
-        below = (level, at)
-    return out, flat_bit
-
-
-def _by_suffix(batches: Batches) -> Iterator[pa.Table]:
-    """Rows in order of their suffix, the first column, in tables that no suffix is split over."""
-    held: list[pa.RecordBatch] = []
-    for batch in batches:
-        if not len(batch):
-            continue
-        if sum(map(len, held)) >= HELD:
-            suffix = batch.column(0).to_numpy()
-            new = np.flatnonzero(suffix != held[-1].column(0)[-1].as_py())
-            cut = int(new[0]) if len(new) else len(batch)
-            held.append(batch.slice(0, cut))
-            if len(new):
-                yield pa.Table.from_batches(held)
-                held = [batch.slice(cut)]
-        else:
-            held.append(batch)
-    if held:
-        yield pa.Table.from_batches(held)
-
-
-def _subtrees(depth: int, top: int):
-    """The counts and weights of the nodes at ``top``, for the levels above."""
+        def pack() -> pa.RecordBatch:
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, held[0].schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 6))) as out:
+                out.write_table(pa.Table.from_batches(held).combine_chunks())
+            chunk = int(mixed(np.array([part << 32 | made], np.uint64))[0] % np.uint64(chunks))
+            return pa.RecordBatch.from_arrays([pa.array([chunk], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary())], names=["chunk", "pack"])
 
-    def run(batches: Batches) -> Batches:
-        for table in _by_suffix(batches):
-            strings = unpacked(table.column("key"), depth + 1)
-            level, _ = levels_of(strings, table.column("c").to_numpy(), top)[0][-1]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(level.nodes & 0xFF), pa.array(level.nodes >> 8), pa.array(level.zeros), pa.array(level.ones), pa.array(level.weighted)],
-                names=["place", "suffix", "zeros", "ones", "weighted"])
+        for batch in batches:
+            for low in range(0, len(batch), 64):
+                held.append(batch.slice(low, 64))
+                room += held[-1].nbytes
+                if room >= size:
+                    yield pack()
+                    made, held, room = made + 1, [], 0
+        if held:
+            yield pack()
 
     return run
 
 
-def _tops(top: int):
-    """Of one place: per suffix what the levels above it give to 0 and to 1, and what they leave."""
+def _seen(batches: Batches) -> Batches:
+    """How often each word is taught, and how often each byte comes."""
+    known = WordHashes()
+    for batch in batches:
+        texts = [t.lower() for t in batch.column(0).to_pylist()]
+        held = batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
+        hashes = [known.of([*words_of(t), END_WORD]) for t in texts]
+        names, at = np.unique(np.concatenate(hashes), return_inverse=True) if texts else (np.empty(0, np.uint64), np.empty(0, int))
+        taught = np.bincount(at, np.repeat(~held, [len(h) for h in hashes]), len(names)).astype(np.int64)
+        counts = np.bincount(np.frombuffer(b"".join(texts), np.uint8), minlength=256)
+        counts[BEFORE] += len(texts)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.repeat(np.array([WORD_KIND, BYTE_KIND], np.int32), [len(names), 256])),
+             pa.array(np.concatenate([names.view(np.int64), np.arange(256)])), pa.array(np.concatenate([taught, counts]))], names=["kind", "key", "n"])
+
+
+def _lists(dealing: Dealing):
+    """For each group the distinct words or strings of a chunk, sorted, with their training counts."""
+
+    def listed(chunk: int, group: np.ndarray, words: list[np.ndarray], counts: np.ndarray) -> Batches:
+        order = np.argsort(group, kind="stable")
+        cuts = np.flatnonzero(np.diff(group[order], prepend=-1, append=-1))
+        for low, high in pairwise(cuts):
+            some = order[low:high]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([int(group[some[0]])], pa.int64()), pa.array([chunk], pa.int64()), pa.array([len(some)], pa.int64()),
+                 pa.array([squeezed_keys([w[some] for w in words])], pa.binary()),
+                 pa.array([squeezed(counts[some].astype(np.uint64))], pa.binary())], names=["group", "chunk", "n", "keys", "counts"])
 
     def run(key: tuple, batches: Batches) -> Batches:
-        suffix, zeros, ones, weighted = _columns(batches, 1, 2, 3, 4)
-        given, rest = [np.zeros(len(suffix)) for _ in range(2)], np.ones(len(suffix))
-        levels, nodes, at = [], suffix, np.arange(len(suffix))
-        for depth in range(top - 1, -1, -1):
-            nodes, up = np.unique(nodes & ((1 << 8 * depth) - 1), return_inverse=True)
-            up = up.reshape(-1)
-            zeros, ones, weighted = (np.bincount(up, values, len(nodes)) for values in (zeros, ones, weighted))
-            level, at = Level(nodes, zeros, ones, weighted), up[at]
-            weighted = level.weighted
-            levels.append((level, at))
-        for level, at in reversed(levels):
-            for bit in (0, 1):
-                own = level.mix(at, np.full(len(at), bit), None)
-                given[bit] += rest * level.share[at] * own
-            rest = rest * (1 - level.share[at])
-        place = np.full(len(suffix), key[0].as_py(), np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (suffix, place, *given, rest)], names=["suffix", "place", "g0", "g1", "rest"])
+        number = key[0].as_py()
+        chunk = Chunk([p for b in batches for p in b.column("pack").to_pylist()], dealing.depth)
+        hashes, sizes = chunk.hashes
+        names, at = np.unique(hashes, return_inverse=True)
+        counts = np.bincount(at, np.repeat(chunk.taught, sizes), len(names)).astype(np.int64)
+        yield from listed(number, dealing.of_words(names), [names], counts)
+        for nearest, places, words in chunk.strings():
+            order, new = sorted_keys(words)
+            taught = chunk.taught[chunk.row_of(places)][order]
+            first = np.flatnonzero(new)
+            counts = np.add.reduceat(taught, first, dtype=np.int64)
+            distinct = [w[order[first]] for w in words]
+            yield from listed(number, dealing.of_strings(nearest, distinct), distinct, counts)
 
     return run
 
 
-def _columns(batches: Batches, *which: int) -> list[np.ndarray]:
-    parts = [[b.column(k).to_numpy(zero_copy_only=False) for k in which] for b in batches]
-    return [np.concatenate(p) for p in zip(*parts, strict=True)]
+class Merged:
+    """The lists of a group put together: distinct keys in order, their counts, and where each list's keys are."""
+
+    def __init__(self, table: pa.Table, width: int) -> None:
+        self.chunks = table.column("chunk").to_pylist()
+        sizes = table.column("n").to_pylist()
+        parts = [unsqueezed_keys(k, n, width) for k, n in zip(table.column("keys").to_pylist(), sizes, strict=True)]
+        counts = np.concatenate([unsqueezed(c, n) for c, n in zip(table.column("counts").to_pylist(), sizes, strict=True)]).astype(np.int64)
+        words = [np.concatenate(p) for p in zip(*parts, strict=True)]
+        order, new = sorted_keys(words)
+        first = np.flatnonzero(new)
+        self.words = [w[order[first]] for w in words]
+        self.counts = np.add.reduceat(counts[order], first)
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.cumsum(new) - 1
+        self.ranks = np.split(rank, np.cumsum(sizes)[:-1])
+
+    def answers(self, group: int, values: np.ndarray) -> Batches:
+        for chunk, rank in zip(self.chunks, self.ranks, strict=True):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([chunk], pa.int64()), pa.array([group], pa.int64()), pa.array([len(rank)], pa.int64()), pa.array([squeezed(values[rank])], pa.binary())],
+                names=["chunk", "group", "n", "answers"])
+
+
+class Nodes:
+    """The nodes of one level at one place depth: runs of items that share a context and their byte's first bits."""
+
+    def __init__(self, t: int, new_context: np.ndarray, byte: np.ndarray, counts: np.ndarray, below: np.ndarray | None) -> None:
+        new = new_context.copy()
+        if t:
+            high = byte >> np.uint8(8 - t)
+            new[1:] |= high[1:] != high[:-1]
+        self.first = np.flatnonzero(new)
+        self.lengths = np.diff(self.first, append=len(byte))
+        bit = (byte >> np.uint8(7 - t)) & np.uint8(1)
+        total = np.add.reduceat(counts, self.first)
+        self.ones = np.add.reduceat(counts * bit, self.first)
+        self.zeros = total - self.ones
+        self.weighted, self.share = log_kt(self.zeros, self.ones), None
+        if below is not None:
+            self.weighted, self.share = log_mean(self.weighted, np.add.reduceat(below, self.first))
+        self.bit = bit
 
+    def per_item(self, values: np.ndarray) -> np.ndarray:
+        return np.repeat(values, self.lengths)
 
-def _probabilities(depth: int, top: int):
-    def run(batches: Batches) -> Batches:
-        for table in _by_suffix(batches):
-            own = table.filter(pc.is_valid(table.column("key")))
-            above = table.filter(pc.is_null(table.column("key")))
-            strings = unpacked(own.column("key"), depth + 1)
-            levels, bit = levels_of(strings, own.column("c").to_numpy(), top)
-            deeper = None
-            for level, at in levels:
-                deeper = level.mix(at, bit, deeper)
-            # The last level has the nodes of the rows from above.
-            order = np.argsort(above.column("suffix").to_numpy() * 256 + above.column("place").to_numpy())
-            g0, g1, rest = (above.column(name).to_numpy()[order][at] for name in ("g0", "g1", "rest"))
-            chance = np.where(bit == 1, g1, g0) + rest * deeper
-            logs = np.log10(chance).reshape(-1, 8).sum(1)
-            yield pa.RecordBatch.from_arrays([packed(strings), pa.array(logs)], names=["key", "value"])
+    def estimates(self) -> np.ndarray:
+        """The node's own estimate of each item's bit."""
+        zeros, ones = self.per_item(self.zeros), self.per_item(self.ones)
+        return (np.where(self.bit == 1, ones, zeros) + 0.5) / (zeros + ones + 1.0)
 
-    return run
 
+def levels(dealing: Dealing, words: list[np.ndarray], counts: np.ndarray) -> Iterator[tuple]:
+    """From the deepest level up: its depth, the item of each string, each item's byte and one string of it, and nodes by place depth.
 
-def _lists(depth: int):
-    """The distinct words and byte strings of a chunk with their training counts."""
+    An item is a context of that depth with a byte.  Items come in order of context and byte, so
+    nodes are runs; what a node weighs is left at its first item, which falls into the parent's run a level up.
+    """
+    n, depth = len(words[0]), dealing.depth
+    byte = dealing.byte(words, dealing.rest - 1)
+    # At how many context bytes each string parts from the one before it.
+    common = np.full(n, depth, np.int16)
+    for k in range(depth - 2, -1, -1):
+        b = dealing.byte(words, k)
+        common[1:][b[1:] != b[:-1]] = k + 1
+    common[0] = 0
+    sample, item, starts = np.arange(n), np.arange(n), common < depth
+    starts[0] = True
+    below: list[np.ndarray] | None = None
+    for d in range(depth, dealing.top - 1, -1):
+        if d < depth:
+            # Contexts one byte shorter: their items are sorted anew and equal ones put together.
+            new = starts & (common < d)
+            new[0] = True
+            parted, key = common[new], (np.cumsum(new) << 8) | byte
+            order = np.argsort(key, kind="stable")
+            key = key[order]
+            first = np.flatnonzero(np.diff(key, prepend=-1))
+            up = np.empty(len(order), np.int64)
+            up[order] = np.repeat(np.arange(len(first)), np.diff(first, append=len(order)))
+            item = up[item]
+            counts = np.add.reduceat(counts[order], first)
+            below = [np.add.reduceat(w[order], first) for w in below]
+            byte, starts = (key[first] & 255).astype(np.uint8), np.diff(key[first] >> 8, prepend=-1) != 0
+            sample, common = sample[order[first]], np.full(len(first), depth, np.int16)
+            common[starts] = parted
+        made, left = [], []
+        for t in range(8):
+            nodes = Nodes(t, starts, byte, counts, below[t] if below else None)
+            made.append(nodes)
+            weighted = np.zeros(len(byte))
+            weighted[nodes.first] = nodes.weighted
+            left.append(weighted)
+        yield d, item, byte, sample, made
+        below = left
+
+
+def suffixes(dealing: Dealing, nearest: int, words: list[np.ndarray], at: np.ndarray) -> np.ndarray:
+    """The last ``top`` context bytes of some strings as one number, the nearest byte lowest."""
+    out = np.full(len(at), nearest if dealing.top else 0, np.int64)
+    for k in range(dealing.top - 1):
+        out |= dealing.byte([w[at] for w in words], k).astype(np.int64) << (8 * (k + 1))
+    return out
 
-    def words_in(texts: list, hashes: WordHashes) -> np.ndarray:
-        found = np.concatenate([hashes.of([*words_of(t), END_WORD]) for t in texts])
-        return found.view(np.uint8).reshape(-1, 8)
 
-    def merged(parts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        names, first, at = np.unique(np.concatenate([p[0] for p in parts]), return_index=True, return_inverse=True)
-        counts = np.bincount(at.reshape(-1), np.concatenate([p[1] for p in parts]), len(names)).astype(np.int64)
-        return names, counts, np.concatenate([p[2] for p in parts])[first]
+def _subtrees(dealing: Dealing):
+    """The counts and weights of the nodes at ``top``, for the levels above."""
 
-    def slices(parts: list) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """The parts merged a sixteenth of all names at a time, so that little is held twice."""
-        bounds = np.array([(-1 << 63) + (k << 60) for k in range(1, 16)], np.int64)
-        cuts = [[0, *np.searchsorted(p[0], bounds), len(p[0])] for p in parts]
-        for k in range(16):
-            yield merged([tuple(x[c[k] : c[k + 1]] for x in p) for p, c in zip(parts, cuts, strict=True)])
+    def run(key: tuple, batches: Batches) -> Batches:
+        group = key[0].as_py()
+        if dealing.kind(group) == WORD_KIND:
+            return
+        merged = Merged(pa.Table.from_batches(batches), dealing.width)
+        for _, _, byte, sample, made in levels(dealing, merged.words, merged.counts):
+            pass
+        suffix = suffixes(dealing, dealing.nearest(group), merged.words, sample)
+        for t, nodes in enumerate(made):
+            place = (1 << t) | (byte[nodes.first].astype(np.int64) >> (8 - t))
+            arrays = [place, suffix[nodes.first], np.full(len(place), group, np.int64), nodes.zeros, nodes.ones, nodes.weighted]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], names=["place", "suffix", "group", "zeros", "ones", "weighted"])
+
+    return run
+
+
+def _tops(top: int):
+    """Of one place: per suffix what the levels above it give to 0 and to 1, and what they leave."""
 
     def run(key: tuple, batches: Batches) -> Batches:
-        hashes = WordHashes()
-        held: dict[int, list] = {WORD_KIND: [], BYTE_KIND: []}
-        for batch in batches:
-            for train in (True, False):
-                texts = [t for t, h in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True) if h != train]
-                for at in range(0, len(texts), 200):
-                    some = texts[at : at + 200]
-                    for kind in (WORD_KIND, BYTE_KIND):
-                        rows = words_in(some, hashes) if kind == WORD_KIND else np.concatenate([strings_of(t, depth) for t in some])
-                        names, first, counts = np.unique(hashes_of(rows), return_index=True, return_counts=True)
-                        held[kind].append((names, counts if train else np.zeros(len(names), np.int64), rows[first]))
-                        if len(held[kind]) >= 16:
-                            held[kind] = [tuple(np.concatenate(x) for x in zip(*slices(held[kind]), strict=True))]
-        for kind, parts in held.items():
-            for _, counts, rows in slices(parts) if parts else ():
-                # Strings with one beginning next to one another take less room.
-                order = np.lexsort(rows[:, :4].T[::-1])
-                for at in range(0, len(order), 100_000):
-                    some = order[at : at + 100_000]
-                    n = len(some)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(n, key[0].as_py(), np.int64)), pa.array(np.full(n, kind, np.int32)), packed(rows[some]), pa.array(counts[some])],
-                        names=["chunk", "kind", "key", "count"])
+        rows = pa.Table.from_batches(batches)
+        suffix, group, zeros, ones, weighted = (rows.column(c).to_numpy() for c in ("suffix", "group", "zeros", "ones", "weighted"))
+        given, rest = [np.zeros(len(suffix)) for _ in range(2)], np.ones(len(suffix))
+        made, nodes, at = [], suffix, np.arange(len(suffix))
+        for depth in range(top - 1, -1, -1):
+            nodes, up = np.unique(nodes & ((1 << 8 * depth) - 1), return_inverse=True)
+            zeros, ones = (np.bincount(up, x, len(nodes)).astype(np.int64) for x in (zeros, ones))
+            weighted, share = log_mean(log_kt(zeros, ones), np.bincount(up, weighted, len(nodes)))
+            at = up[at]
+            made.append((share[at], zeros[at], ones[at]))
+        for share, zeros, ones in reversed(made):
+            for bit, n in enumerate((zeros, ones)):
+                given[bit] += rest * share * (n + 0.5) / (zeros + ones + 1.0)
+            rest = rest * (1 - share)
+        place = np.full(len(suffix), key[0].as_py(), np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (group, suffix, place, *given, rest)], names=["group", "suffix", "place", "g0", "g1", "rest"])
 
     return run
 
 
-def _scored(total: int, distinct: int, depth: int):
-    def run(docs: pa.Table, values: pa.Table) -> pa.Table:
-        hashes = WordHashes()
-        sorted_of = {}
-        for k, width in ((WORD_KIND, 8), (BYTE_KIND, depth + 1)):
-            mine = values.filter(pc.equal(values.column("kind"), k))
-            keys = hashes_of(unpacked(mine.column("key"), width))
-            order = np.argsort(keys)
-            sorted_of[k] = keys[order], mine.column("value").to_numpy()[order]
-        names = ("n_tokens", "n_known", "base_score", "score")
-        out: dict[str, list] = {n: [] for n in names}
-        bottom = total + 0.1 * (distinct + 1)
-        for batch in docs.select(["bytes"]).to_batches(max_chunksize=256):
-            for text in batch.column(0).to_pylist():
-                known_keys, known = sorted_of[WORD_KIND]
-                words = hashes.of([*words_of(text), END_WORD]).view(np.uint8).reshape(-1, 8)
-                counts = known[np.searchsorted(known_keys, hashes_of(words))]
-                out["n_tokens"].append(len(counts))
-                out["n_known"].append(int((counts > 0).sum()))
-                out["base_score"].append(float(np.log10((counts + 0.1) / bottom).sum()))
-                known_keys, known = sorted_of[BYTE_KIND]
-                out["score"].append(float(known[np.searchsorted(known_keys, hashes_of(strings_of(text, depth)))].sum()))
-        kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64())
-        return pa.table([docs.column("doc_id"), docs.column("held_out"), *[pa.array(out[n], t) for n, t in zip(names, kinds, strict=True)]],
-                        names=["doc_id", "held_out", *names])
+def _answers(dealing: Dealing):
+    """One value for each key of each list: a word's count, or what a string's byte takes in ``UNIT`` parts of a digit."""
+
+    def chances(group: int, merged: Merged, above: pa.Table) -> np.ndarray:
+        chance: list = [None] * 8
+        for d, item, byte, sample, made in levels(dealing, merged.words, merged.counts):
+            for t, nodes in enumerate(made):
+                own = nodes.estimates()
+                if chance[t] is None:
+                    chance[t] = own
+                else:
+                    share = nodes.per_item(nodes.share)
+                    chance[t] *= (1 - share)[item]
+                    chance[t] += (share * own)[item]
+        known = above.column("suffix").to_numpy() << 8 | above.column("place").to_numpy()
+        order = np.argsort(known)
+        g0, g1, rest = (above.column(c).to_numpy()[order] for c in ("g0", "g1", "rest"))
+        suffix, total = suffixes(dealing, dealing.nearest(group), merged.words, sample), 1.0
+        for t, nodes in enumerate(made):
+            place = (1 << t) | (byte[nodes.first].astype(np.int64) >> (8 - t))
+            at = nodes.per_item(np.searchsorted(known[order], suffix[nodes.first] << 8 | place))
+            total = total * (np.where(nodes.bit == 1, g1[at], g0[at])[item] + rest[at][item] * chance[t])
+        return np.rint(np.maximum(-np.log10(total), 0.0) * UNIT).astype(np.uint64)
+
+    def run(key: tuple, lists: Batches, tops: Batches) -> Batches:
+        group, lists, tops = key[0].as_py(), list(lists), list(tops)
+        words = dealing.kind(group) == WORD_KIND
+        merged = Merged(pa.Table.from_batches(lists), 1 if words else dealing.width)
+        yield from merged.answers(group, merged.counts.astype(np.uint64) if words else chances(group, merged, pa.Table.from_batches(tops)))
+
+    return lambda key, lists, tops: pa.Table.from_batches(run(key, lists.to_batches(), tops.to_batches()))
+
+
+def _scored(total: int, distinct: int, dealing: Dealing):
+    def run(packs: pa.Table, answers: pa.Table) -> pa.Table:
+        chunk = Chunk(packs.column("pack").to_pylist(), dealing.depth)
+        found = dict(zip(answers.column("group").to_pylist(), zip(answers.column("n").to_pylist(), answers.column("answers").to_pylist(), strict=True), strict=True))
+
+        def values(group: np.ndarray) -> np.ndarray:
+            """The answers to the keys, sorted in each group as they were listed."""
+            order = np.argsort(group, kind="stable")
+            out = np.empty(len(group))
+            out[order] = np.concatenate([unsqueezed(data, n) for n, data in (found[g] for g in np.unique(group).tolist())])
+            return out
+
+        many = len(chunk.starts)
+        hashes, sizes = chunk.hashes
+        names, at = np.unique(hashes, return_inverse=True)
+        counts = values(dealing.of_words(names))[at]
+        row = np.repeat(np.arange(many), sizes)
+        base = np.bincount(row, np.log10((counts + 0.1) / (total + 0.1 * (distinct + 1))), many)
+        score = np.zeros(many)
+        for nearest, places, words in chunk.strings():
+            order, new = sorted_keys(words)
+            first = np.flatnonzero(new)
+            value = values(dealing.of_strings(nearest, [w[order[first]] for w in words]))
+            value = np.repeat(value, np.diff(first, append=len(order)))
+            score += np.bincount(chunk.row_of(places[order]), value, many)
+        known = np.bincount(row, counts > 0, many).astype(np.int64)
+        return pa.table([chunk.rows.column("doc_id"), chunk.rows.column("held_out"), *[pa.array(x) for x in (sizes.astype(np.int64), known, base, -score / UNIT)]],
+                        names=["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"])
 
     return run
 
@@ -321,26 +501,19 @@ def score_texts(docs: DataFrame, held_out: Column, depth: int = DEPTH) -> DataFr
     every bit is even.  An empty table gives an empty table.  Contexts are of up
     to ``depth`` bytes.
     """
-    top = min(SUFFIX, depth)
     rows = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("bytes"), held_out.alias("held_out"))
-    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    chunk = F.pmod(F.xxhash64("doc_id", F.length("bytes")), F.lit(max(1, -(-size // CHUNK)))).alias("chunk")
-    rows = rows.select(chunk, "bytes", "held_out", "doc_id")
-    lists = stored(
-        rows.select("chunk", "bytes", "held_out").groupBy("chunk").applyInArrow(_lists(depth), "chunk long, kind int, key binary, count long"), "ctw-lists")
-    words = stored(lists.where(F.col("kind") == WORD_KIND).groupBy("key").agg(F.sum("count").alias("c")), "ctw-words")
-    total, distinct = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.when(F.col("c") > 0, 1))).first()
-    suffix = F.coalesce(F.conv(F.hex(F.substring("key", depth - top + 1, top)), 16, 10).cast("long"), F.lit(0)).alias("suffix")
-    strings = stored(
-        lists.where(F.col("kind") == BYTE_KIND).groupBy("key").agg(F.sum("count").alias("c")).select(suffix, "key", "c"), "ctw-strings")
-    dealt = lambda rows: rows.repartition("suffix").sortWithinPartitions("suffix")
-    below = dealt(strings).mapInArrow(_subtrees(depth, top), "place long, suffix long, zeros double, ones double, weighted double")
-    tops = below.groupBy("place").applyInArrow(_tops(top), "suffix long, place long, g0 double, g1 double, rest double")
-    chances = stored(
-        dealt(strings.unionByName(tops, allowMissingColumns=True)).mapInArrow(_probabilities(depth, top), "key binary, value double"), "ctw-chances")
-    known = words.select(F.lit(WORD_KIND).alias("kind"), "key", F.col("c").cast("double").alias("value")).unionByName(
-        chances.select(F.lit(BYTE_KIND).alias("kind"), "key", "value"))
-    values = lists.select("chunk", "kind", "key").join(known, ["kind", "key"]).select("chunk", "kind", "key", "value")
-    scored = rows.groupBy("chunk").cogroup(values.groupBy("chunk")).applyInArrow(
-        _scored(total, distinct, depth), "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
+    seen = stored(rows.select("bytes", "held_out").mapInArrow(_seen, "kind int, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n")), "ctw-seen")
+    bytes_seen = {r["key"]: r["n"] for r in seen.where((F.col("kind") == BYTE_KIND) & (F.col("n") > 0)).collect()}
+    total, distinct = seen.where(F.col("kind") == WORD_KIND).agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.when(F.col("n") > 0, 1))).first()
+    chunks = max(1, -(-sum(bytes_seen.values()) // CHUNK))
+    dealing = Dealing(depth, bytes_seen, GROUPS * chunks)
+    # One plan: the shuffles of the packs and of the lists are read twice, not made twice.
+    packs = rows.mapInArrow(_packs(chunks, CHUNK // PACKS), "chunk long, pack binary")
+    lists = packs.groupBy("chunk").applyInArrow(_lists(dealing), LISTS)
+    subtrees = lists.groupBy("group").applyInArrow(
+        _subtrees(dealing), "place long, suffix long, group long, zeros long, ones long, weighted double")
+    tops = subtrees.groupBy("place").applyInArrow(_tops(dealing.top), "group long, suffix long, place long, g0 double, g1 double, rest double")
+    answers = lists.groupBy("group").cogroup(tops.groupBy("group")).applyInArrow(_answers(dealing), "chunk long, group long, n long, answers binary")
+    scored = packs.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
+        _scored(total, distinct, dealing), "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
     return scored.withColumn("train_tokens", F.lit(total).cast("long"))
