@@ -21,7 +21,6 @@ travels back.  Words and their counts take the same way.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import WordHashes, mixed, stored, words_of
+from millrace.llm.common import mixed, stored
 
 DEPTH = 8
 #: Last bytes of a context by which trees are dealt to groups.
@@ -38,13 +37,18 @@ CHUNK = 64 << 20
 #: Groups of contexts for each chunk of text, and the parts a chunk's texts travel in.
 GROUPS, PACKS = 8, 16
 BEFORE, END = 0xFE, 0xFF
-#: A token no text holds, after the last word.
-END_WORD = b"\n"
 WORD_KIND, BYTE_KIND = 0, 1
 #: Values are sent as -log10 times this: exact to 6e-11, up to 2^31.
 UNIT = float(1 << 33)
 
 Batches = Iterator[pa.RecordBatch]
+#: Bytes whose tokens are hashed at once; bytes between words, and those no word goes on over.
+PIECE = 1 << 20
+GAP = np.isin(np.arange(256), [0x20, *range(9, 14), BEFORE])
+APART = GAP | (np.arange(256) == END)
+ODD = np.uint64(0x9E3779B97F4A7C15)
+RANDOM = mixed(np.arange(1, 257, dtype=np.uint64) * ODD)
+
 LISTS = "group long, chunk long, n long, keys binary, counts binary"
 
 
@@ -114,6 +118,34 @@ def sorted_keys(words: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return order, new
 
 
+def counted_keys(words: list[np.ndarray], taught: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+    """The distinct keys in order, and how often each is taught."""
+    if len(words) > 1:
+        order, new = sorted_keys(words)
+        first = np.flatnonzero(new)
+        return [w[order[first]] for w in words], np.add.reduceat(taught[order], first, dtype=np.int64)
+    known, other = np.sort(words[0][taught]), np.sort(words[0][~taught])
+    first = np.flatnonzero(np.diff(known, prepend=~known[:1]))
+    known, counts = known[first], np.diff(first, append=len(known))
+    other = other[np.flatnonzero(np.diff(other, prepend=~other[:1]))]
+    if len(known):
+        other = other[known[np.minimum(np.searchsorted(known, other), len(known) - 1)] != other]
+    if len(other):
+        known, counts = np.concatenate([known, other]), np.concatenate([counts, np.zeros(len(other), np.int64)])
+        order = np.argsort(known)
+        known, counts = known[order], counts[order]
+    return [known], counts
+
+
+def by_group(group: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """The order that brings groups together, and each group with where it begins and ends there."""
+    low = int(group.min())
+    sizes = np.bincount(group - low)
+    order = np.argsort((group - low).astype(np.uint16 if len(sizes) <= 1 << 16 else np.int64), kind="stable")
+    ends = np.cumsum(sizes)
+    return order, [(low + g, int(ends[g] - sizes[g]), int(ends[g])) for g in np.flatnonzero(sizes).tolist()]
+
+
 class Dealing:
     """Which group a context, or a word, belongs to; frequent nearest bytes have more groups."""
 
@@ -157,51 +189,93 @@ class Dealing:
         return int(np.searchsorted(self.first, group, side="right")) - 1
 
 
+def tokens(data: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """First bytes and hashes of all tokens of lower-cased texts, each of which ends with END, a token too.
+
+    A hash is the sum over a token's bytes of a random number for the byte times a power
+    of an odd number for its place, with the token's length.
+    """
+    low = 0
+    while low < len(data):
+        # Pieces end where a token does.
+        high = low + PIECE
+        while high < len(data) and not APART[data[high - 1]]:
+            high = min(len(data), high + 1 + int(np.argmax(APART[data[high : high + PIECE]])) if APART[data[high : high + PIECE]].any() else high + PIECE)
+        piece = data[low:high]
+        gap, end = GAP[piece], piece == END
+        inside = ~gap
+        first = inside.copy()
+        first[1:] &= gap[:-1] | end[:-1] | end[1:]
+        last = inside.copy()
+        last[:-1] &= gap[1:] | end[1:] | end[:-1]
+        first, last = np.flatnonzero(first), np.flatnonzero(last)
+        power = np.full(len(piece), ODD, np.uint64)
+        power[0] = 1
+        np.multiply.accumulate(power, out=power)
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(RANDOM[piece] * power)])
+        # Brought to one place by the inverse of the first byte's power.
+        back = np.full(len(piece), pow(int(ODD), -1, 1 << 64), np.uint64)
+        back[0] = 1
+        np.multiply.accumulate(back, out=back)
+        yield low + first, mixed((sums[last + 1] - sums[first]) * back[first] + (last + 1 - first).astype(np.uint64))
+        low = high
+
+
 class Chunk:
     """The texts of a chunk, one after the other, each with ``depth`` bytes before it and its end."""
 
     def __init__(self, packs: list[bytes], depth: int) -> None:
         self.depth = depth
-        tables = [pa.ipc.open_stream(p).read_all() for p in packs]
-        self.rows = pa.concat_tables(tables)
+        self.rows = pa.concat_tables([pa.ipc.open_stream(p).read_all() for p in packs])
         self.taught = ~self.rows.column("held_out").to_numpy().astype(bool)
-        texts = [t.lower() for t in self.rows.column("bytes").to_pylist()]
-        self.hashes = self._words(texts)
-        before, end = bytes([BEFORE]) * depth, bytes([END])
-        self.starts = np.cumsum([0] + [len(t) + depth + 1 for t in texts])[:-1]
-        self.data = np.frombuffer(b"".join(x for t in texts for x in (before, t, end)), np.uint8)
+        self.data, self.starts = laid([t.lower() for t in self.rows.column("bytes").to_pylist()], depth)
         self.target = np.ones(len(self.data), bool)
         for k in range(depth):
             self.target[self.starts + k] = False
 
-    def _words(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    def words(self) -> tuple[np.ndarray, np.ndarray]:
         """Hashes of all tokens and how many each text has."""
-        known, parts, sizes = WordHashes(), [], []
-        for t in texts:
-            parts.append(known.of([*words_of(t), END_WORD]))
-            sizes.append(len(parts[-1]))
-        return np.concatenate(parts), np.array(sizes)
+        found = list(tokens(self.data))
+        return np.concatenate([h for _, h in found]), self.sizes(np.concatenate([at for at, _ in found]))
 
-    def row_of(self, at: np.ndarray) -> np.ndarray:
-        return np.searchsorted(self.starts, at, side="right") - 1
+    def sizes(self, places: np.ndarray) -> np.ndarray:
+        """How many of these places, in order, each text has."""
+        return np.diff(np.searchsorted(places, self.starts), append=len(places))
 
     def strings(self) -> Iterator[tuple[int, np.ndarray, list[np.ndarray]]]:
-        """For each nearest byte the places of the bytes after it, and their strings' words."""
+        """For each nearest byte the places of the bytes after it, in order, and their strings' words."""
         if not self.depth:
             yield 0, np.arange(len(self.data)), [self.data.astype(np.uint64)]
             return
-        for v in np.flatnonzero(np.bincount(self.data, minlength=256)):
-            at = np.flatnonzero((self.data[:-1] == v) & self.target[1:]) + 1
-            if not len(at):
-                continue
-            words = []
-            for low in range(0, self.depth, 8):
-                word = np.zeros(len(at), np.uint64)
-                for k in range(low, min(low + 8, self.depth)):
-                    word <<= np.uint64(8)
-                    word |= self.data[at - 2 - k] if k < self.depth - 1 else self.data[at]
-                words.append(word)
-            yield int(v), at, words
+        seen = np.bincount(self.data, minlength=256)
+        # Nearest bytes are taken some at a time, about a twelfth of the chunk.
+        turn = (np.cumsum(seen) * 12 // max(1, len(self.data))).astype(np.uint8)
+        turns = turn[self.data]
+        for now in np.unique(turn[seen > 0]):
+            some = np.flatnonzero((turns[:-1] == now) & self.target[1:]) + 1
+            nearest = self.data[some - 1]
+            some = some[np.argsort(nearest, kind="stable")]
+            ends = np.cumsum(np.bincount(nearest, minlength=256))
+            for v in np.unique(nearest).tolist():
+                at = some[ends[v - 1] if v else 0 : ends[v]]
+                yield v, at, self._words_of(at)
+
+    def _words_of(self, at: np.ndarray) -> list[np.ndarray]:
+        words = []
+        for low in range(0, self.depth, 8):
+            word = np.zeros(len(at), np.uint64)
+            for k in range(low, min(low + 8, self.depth)):
+                word <<= np.uint64(8)
+                word |= self.data[at - 2 - k] if k < self.depth - 1 else self.data[at]
+            words.append(word)
+        return words
+
+
+def laid(texts: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Texts one after the other, each with ``depth`` bytes before it and its end, and where each begins."""
+    before, end = bytes([BEFORE]) * depth, bytes([END])
+    starts = np.cumsum([0] + [len(t) + depth + 1 for t in texts])[:-1]
+    return np.frombuffer(b"".join(x for t in texts for x in (before, t, end)), np.uint8), starts
 
 
 def _packs(chunks: int, size: int):
@@ -232,15 +306,16 @@ def _packs(chunks: int, size: int):
 
 def _seen(batches: Batches) -> Batches:
     """How often each word is taught, and how often each byte comes."""
-    known = WordHashes()
     for batch in batches:
-        texts = [t.lower() for t in batch.column(0).to_pylist()]
+        if not len(batch):
+            continue
+        data, starts = laid([t.lower() for t in batch.column(0).to_pylist()], 0)
         held = batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
-        hashes = [known.of([*words_of(t), END_WORD]) for t in texts]
-        names, at = np.unique(np.concatenate(hashes), return_inverse=True) if texts else (np.empty(0, np.uint64), np.empty(0, int))
-        taught = np.bincount(at, np.repeat(~held, [len(h) for h in hashes]), len(names)).astype(np.int64)
-        counts = np.bincount(np.frombuffer(b"".join(texts), np.uint8), minlength=256)
-        counts[BEFORE] += len(texts)
+        places, hashes = (np.concatenate(x) for x in zip(*tokens(data), strict=True))
+        names, at = np.unique(hashes, return_inverse=True)
+        taught = np.bincount(at, np.repeat(~held, np.diff(np.searchsorted(places, starts), append=len(places))), len(names)).astype(np.int64)
+        counts = np.bincount(data, minlength=256)
+        counts[BEFORE], counts[END] = len(starts), 0
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.repeat(np.array([WORD_KIND, BYTE_KIND], np.int32), [len(names), 256])),
              pa.array(np.concatenate([names.view(np.int64), np.arange(256)])), pa.array(np.concatenate([taught, counts]))], names=["kind", "key", "n"])
@@ -250,28 +325,23 @@ def _lists(dealing: Dealing):
     """For each group the distinct words or strings of a chunk, sorted, with their training counts."""
 
     def listed(chunk: int, group: np.ndarray, words: list[np.ndarray], counts: np.ndarray) -> Batches:
-        order = np.argsort(group, kind="stable")
-        cuts = np.flatnonzero(np.diff(group[order], prepend=-1, append=-1))
-        for low, high in pairwise(cuts):
+        order, groups = by_group(group)
+        for g, low, high in groups:
             some = order[low:high]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([int(group[some[0]])], pa.int64()), pa.array([chunk], pa.int64()), pa.array([len(some)], pa.int64()),
+                [pa.array([g], pa.int64()), pa.array([chunk], pa.int64()), pa.array([len(some)], pa.int64()),
                  pa.array([squeezed_keys([w[some] for w in words])], pa.binary()),
                  pa.array([squeezed(counts[some].astype(np.uint64))], pa.binary())], names=["group", "chunk", "n", "keys", "counts"])
 
     def run(key: tuple, batches: Batches) -> Batches:
         number = key[0].as_py()
         chunk = Chunk([p for b in batches for p in b.column("pack").to_pylist()], dealing.depth)
-        hashes, sizes = chunk.hashes
+        hashes, sizes = chunk.words()
         names, at = np.unique(hashes, return_inverse=True)
         counts = np.bincount(at, np.repeat(chunk.taught, sizes), len(names)).astype(np.int64)
         yield from listed(number, dealing.of_words(names), [names], counts)
         for nearest, places, words in chunk.strings():
-            order, new = sorted_keys(words)
-            taught = chunk.taught[chunk.row_of(places)][order]
-            first = np.flatnonzero(new)
-            counts = np.add.reduceat(taught, first, dtype=np.int64)
-            distinct = [w[order[first]] for w in words]
+            distinct, counts = counted_keys(words, np.repeat(chunk.taught, chunk.sizes(places)))
             yield from listed(number, dealing.of_strings(nearest, distinct), distinct, counts)
 
     return run
@@ -301,76 +371,88 @@ class Merged:
                 names=["chunk", "group", "n", "answers"])
 
 
+def summed(counts: np.ndarray) -> np.ndarray:
+    """The sum before each entry, and that of all."""
+    out = np.zeros(len(counts) + 1, np.int64)
+    np.cumsum(counts, out=out[1:])
+    return out
+
+
 class Nodes:
     """The nodes of one level at one place depth: runs of items that share a context and their byte's first bits."""
 
-    def __init__(self, t: int, new_context: np.ndarray, byte: np.ndarray, counts: np.ndarray, below: np.ndarray | None) -> None:
-        new = new_context.copy()
+    def __init__(self, t: int, new_context: np.ndarray, byte: np.ndarray, counts: np.ndarray, sums: np.ndarray, below: tuple | None) -> None:
+        new = new_context
         if t:
             high = byte >> np.uint8(8 - t)
+            new = new_context.copy()
             new[1:] |= high[1:] != high[:-1]
         self.first = np.flatnonzero(new)
-        self.lengths = np.diff(self.first, append=len(byte))
-        bit = (byte >> np.uint8(7 - t)) & np.uint8(1)
-        total = np.add.reduceat(counts, self.first)
-        self.ones = np.add.reduceat(counts * bit, self.first)
-        self.zeros = total - self.ones
+        ends = np.append(self.first, len(byte))
+        self.lengths = np.diff(ends)
+        self.bit = (byte >> np.uint8(7 - t)) & np.uint8(1)
+        self.ones = np.diff(summed(counts * self.bit)[ends])
+        self.zeros = np.diff(sums[ends]) - self.ones
         self.weighted, self.share = log_kt(self.zeros, self.ones), None
         if below is not None:
-            self.weighted, self.share = log_mean(self.weighted, np.add.reduceat(below, self.first))
-        self.bit = bit
+            weights, begins = below
+            self.weighted, self.share = log_mean(self.weighted, np.add.reduceat(weights, begins[self.first]))
 
     def per_item(self, values: np.ndarray) -> np.ndarray:
         return np.repeat(values, self.lengths)
 
     def estimates(self) -> np.ndarray:
         """The node's own estimate of each item's bit."""
-        zeros, ones = self.per_item(self.zeros), self.per_item(self.ones)
-        return (np.where(self.bit == 1, ones, zeros) + 0.5) / (zeros + ones + 1.0)
+        one = self.per_item((self.ones + 0.5) / (self.zeros + self.ones + 1.0))
+        return np.where(self.bit == 1, one, 1 - one)
 
 
 def levels(dealing: Dealing, words: list[np.ndarray], counts: np.ndarray) -> Iterator[tuple]:
-    """From the deepest level up: its depth, the item of each string, each item's byte and one string of it, and nodes by place depth.
+    """From the deepest level up: strings that enter there, the item of each one in, each item's byte and one string of it, and nodes by place depth.
 
     An item is a context of that depth with a byte.  Items come in order of context and byte, so
     nodes are runs; what a node weighs is left at its first item, which falls into the parent's run a level up.
+    A string seen once at most, alone in its context, weighs a half a bit there and at all levels
+    below, so it enters at the first level where it is not alone.
     """
     n, depth = len(words[0]), dealing.depth
     byte = dealing.byte(words, dealing.rest - 1)
-    # At how many context bytes each string parts from the one before it.
+    # How many context bytes each string shares with the one before it.
     common = np.full(n, depth, np.int16)
     for k in range(depth - 2, -1, -1):
         b = dealing.byte(words, k)
         common[1:][b[1:] != b[:-1]] = k + 1
     common[0] = 0
-    sample, item, starts = np.arange(n), np.arange(n), common < depth
-    starts[0] = True
-    below: list[np.ndarray] | None = None
+    enters = np.maximum(np.maximum(common, np.append(common[1:], np.int16(0))), dealing.top)
+    enters[counts > 1] = depth
+    sample, item = np.empty(0, np.int64), np.empty(0, np.int64)
+    held, below = np.empty(0, np.int64), [np.empty(0)] * 8
     for d in range(depth, dealing.top - 1, -1):
-        if d < depth:
-            # Contexts one byte shorter: their items are sorted anew and equal ones put together.
-            new = starts & (common < d)
-            new[0] = True
-            parted, key = common[new], (np.cumsum(new) << 8) | byte
-            order = np.argsort(key, kind="stable")
-            key = key[order]
-            first = np.flatnonzero(np.diff(key, prepend=-1))
-            up = np.empty(len(order), np.int64)
-            up[order] = np.repeat(np.arange(len(first)), np.diff(first, append=len(order)))
-            item = up[item]
-            counts = np.add.reduceat(counts[order], first)
-            below = [np.add.reduceat(w[order], first) for w in below]
-            byte, starts = (key[first] & 255).astype(np.uint8), np.diff(key[first] >> 8, prepend=-1) != 0
-            sample, common = sample[order[first]], np.full(len(first), depth, np.int16)
-            common[starts] = parted
+        entering = np.flatnonzero(enters == d)
+        if not len(entering) and not len(sample):
+            yield entering, item, byte[:0], sample, []
+            continue
+        item = np.concatenate([item, len(sample) + np.arange(len(entering))])
+        sample, held = np.concatenate([sample, entering]), np.concatenate([held, counts[entering]])
+        context = np.cumsum(common < d)
+        key = (context[sample] << 8) | byte[sample]
+        order = np.argsort(key, kind="stable")
+        key = key[order]
+        first = np.flatnonzero(np.diff(key, prepend=-1))
+        up = np.empty(len(order), np.int64)
+        up[order] = np.repeat(np.arange(len(first)), np.diff(first, append=len(order)))
+        item, sample, held = up[item], sample[order[first]], np.add.reduceat(held[order], first)
+        alone, sums = counts[entering] * -np.log(2), summed(held)
+        starts, own = np.diff(key[first] >> 8, prepend=-1) != 0, (key[first] & 255).astype(np.uint8)
         made, left = [], []
         for t in range(8):
-            nodes = Nodes(t, starts, byte, counts, below[t] if below else None)
+            weights = (np.concatenate([below[t], alone])[order], first) if d < depth else None
+            nodes = Nodes(t, starts, own, held, sums, weights)
             made.append(nodes)
-            weighted = np.zeros(len(byte))
+            weighted = np.zeros(len(own))
             weighted[nodes.first] = nodes.weighted
             left.append(weighted)
-        yield d, item, byte, sample, made
+        yield entering, item, own, sample, made
         below = left
 
 
@@ -429,16 +511,20 @@ def _answers(dealing: Dealing):
     """One value for each key of each list: a word's count, or what a string's byte takes in ``UNIT`` parts of a digit."""
 
     def chances(group: int, merged: Merged, above: pa.Table) -> np.ndarray:
-        chance: list = [None] * 8
-        for d, item, byte, sample, made in levels(dealing, merged.words, merged.counts):
+        chance, who, deepest = [np.empty(0)] * 8, np.empty(0, np.int64), True
+        for entering, item, byte, sample, made in levels(dealing, merged.words, merged.counts):
+            who = np.concatenate([who, entering])
+            alone = np.where(merged.counts[entering] == 1, 0.75, 0.5)
             for t, nodes in enumerate(made):
                 own = nodes.estimates()
-                if chance[t] is None:
-                    chance[t] = own
+                if deepest:
+                    chance[t] = own[item]
                 else:
                     share = nodes.per_item(nodes.share)
+                    chance[t] = np.concatenate([chance[t], alone])
                     chance[t] *= (1 - share)[item]
                     chance[t] += (share * own)[item]
+            deepest = False
         known = above.column("suffix").to_numpy() << 8 | above.column("place").to_numpy()
         order = np.argsort(known)
         g0, g1, rest = (above.column(c).to_numpy()[order] for c in ("g0", "g1", "rest"))
@@ -447,7 +533,9 @@ def _answers(dealing: Dealing):
             place = (1 << t) | (byte[nodes.first].astype(np.int64) >> (8 - t))
             at = nodes.per_item(np.searchsorted(known[order], suffix[nodes.first] << 8 | place))
             total = total * (np.where(nodes.bit == 1, g1[at], g0[at])[item] + rest[at][item] * chance[t])
-        return np.rint(np.maximum(-np.log10(total), 0.0) * UNIT).astype(np.uint64)
+        out = np.empty(len(who), np.uint64)
+        out[who] = np.rint(np.maximum(-np.log10(total), 0.0) * UNIT).astype(np.uint64)
+        return out
 
     def run(key: tuple, lists: Batches, tops: Batches) -> Batches:
         group, lists, tops = key[0].as_py(), list(lists), list(tops)
@@ -465,13 +553,14 @@ def _scored(total: int, distinct: int, dealing: Dealing):
 
         def values(group: np.ndarray) -> np.ndarray:
             """The answers to the keys, sorted in each group as they were listed."""
-            order = np.argsort(group, kind="stable")
+            order, groups = by_group(group)
             out = np.empty(len(group))
-            out[order] = np.concatenate([unsqueezed(data, n) for n, data in (found[g] for g in np.unique(group).tolist())])
+            for g, low, high in groups:
+                out[order[low:high]] = unsqueezed(found[g][1], found[g][0])
             return out
 
         many = len(chunk.starts)
-        hashes, sizes = chunk.hashes
+        hashes, sizes = chunk.words()
         names, at = np.unique(hashes, return_inverse=True)
         counts = values(dealing.of_words(names))[at]
         row = np.repeat(np.arange(many), sizes)
@@ -482,7 +571,7 @@ def _scored(total: int, distinct: int, dealing: Dealing):
             first = np.flatnonzero(new)
             value = values(dealing.of_strings(nearest, [w[order[first]] for w in words]))
             value = np.repeat(value, np.diff(first, append=len(order)))
-            score += np.bincount(chunk.row_of(places[order]), value, many)
+            score += np.bincount(np.repeat(np.arange(many), chunk.sizes(places))[order], value, many)
         known = np.bincount(row, counts > 0, many).astype(np.int64)
         return pa.table([chunk.rows.column("doc_id"), chunk.rows.column("held_out"), *[pa.array(x) for x in (sizes.astype(np.int64), known, base, -score / UNIT)]],
                         names=["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"])
