@@ -28,12 +28,12 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import mixed, stored
+from millrace.llm.common import mixed
 
 DEPTH = 8
 #: Last bytes of a context by which trees are dealt to groups.
 SUFFIX = 3
-CHUNK = 64 << 20
+CHUNK = 48 << 20
 #: Groups of contexts for each chunk of text, and the parts a chunk's texts travel in.
 GROUPS, PACKS = 8, 16
 BEFORE, END = 0xFE, 0xFF
@@ -226,17 +226,45 @@ class Chunk:
 
     def __init__(self, packs: list[bytes], depth: int) -> None:
         self.depth = depth
-        self.rows = pa.concat_tables([pa.ipc.open_stream(p).read_all() for p in packs])
+        # One pack after the other, so that few copies of the texts are held at once.
+        rows, parts = [], []
+        for pack in packs:
+            table = pa.ipc.open_stream(pack).read_all()
+            rows.append(table.drop_columns("bytes"))
+            parts.append(laid([t.lower() for t in table.column("bytes").to_pylist()], depth))
+        self.rows = pa.concat_tables(rows)
         self.taught = ~self.rows.column("held_out").to_numpy().astype(bool)
-        self.data, self.starts = laid([t.lower() for t in self.rows.column("bytes").to_pylist()], depth)
-        self.target = np.ones(len(self.data), bool)
-        for k in range(depth):
-            self.target[self.starts + k] = False
-
-    def words(self) -> tuple[np.ndarray, np.ndarray]:
-        """Hashes of all tokens and how many each text has."""
-        found = list(tokens(self.data))
-        return np.concatenate([h for _, h in found]), self.sizes(np.concatenate([at for at, _ in found]))
+        before = np.cumsum([0] + [len(data) for data, _ in parts])
+        self.starts = np.concatenate([low + starts for low, (_, starts) in zip(before, parts, strict=False)])
+        self.data = np.empty(before[-1], np.uint8)
+        for low in before[:-1].tolist():
+            data, _ = parts.pop(0)
+            self.data[low : low + len(data)] = data
+
+    def words(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Hashes of tokens and the row each is in, some at a time."""
+        for at, hashes in tokens(self.data):
+            yield hashes, np.searchsorted(self.starts, at, side="right") - 1
+
+    def names(self) -> tuple[np.ndarray, np.ndarray]:
+        """The distinct words' hashes in order, and how often each is taught."""
+        names, counts = np.empty(0, np.uint64), np.empty(0, np.int64)
+        held: list = []
+
+        def merge() -> None:
+            nonlocal names, counts
+            every = np.concatenate([names, *[h for h, _ in held]])
+            names, at = np.unique(every, return_inverse=True)
+            counts = np.bincount(at, np.concatenate([counts, *[c for _, c in held]]), len(names)).astype(np.int64)
+            held.clear()
+
+        for hashes, row in self.words():
+            [some], times = counted_keys([hashes], self.taught[row])
+            held.append((some, times))
+            if len(held) >= 16:
+                merge()
+        merge()
+        return names, counts
 
     def sizes(self, places: np.ndarray) -> np.ndarray:
         """How many of these places, in order, each text has."""
@@ -248,15 +276,23 @@ class Chunk:
             yield 0, np.arange(len(self.data)), [self.data.astype(np.uint64)]
             return
         seen = np.bincount(self.data, minlength=256)
-        # Nearest bytes are taken some at a time, about a twelfth of the chunk.
-        turn = (np.cumsum(seen) * 12 // max(1, len(self.data))).astype(np.uint8)
-        turns = turn[self.data]
+        # Nearest bytes are taken some at a time: a frequent one alone, others together.
+        frequent = seen * 32 > len(self.data)
+        turn = np.cumsum(frequent) + np.cumsum(np.append(False, frequent[:-1])) + np.cumsum(seen) * 32 // len(self.data)
+        turns = turn.astype(np.uint8)[self.data]
+        turns[-1] = 255
+        for k in range(self.depth):
+            # What follows here is no byte of a text, but one of those before it.
+            turns[(self.starts + k - 1)[self.starts + k > 0]] = 255
         for now in np.unique(turn[seen > 0]):
-            some = np.flatnonzero((turns[:-1] == now) & self.target[1:]) + 1
+            some = (np.flatnonzero(turns == now) + 1).astype(np.uint32 if len(self.data) < 1 << 32 else np.int64)
+            if not len(some):
+                continue
             nearest = self.data[some - 1]
-            some = some[np.argsort(nearest, kind="stable")]
+            if (nearest != nearest[0]).any():
+                some = some[np.argsort(nearest, kind="stable")]
             ends = np.cumsum(np.bincount(nearest, minlength=256))
-            for v in np.unique(nearest).tolist():
+            for v in np.flatnonzero(np.diff(ends, prepend=0)).tolist():
                 at = some[ends[v - 1] if v else 0 : ends[v]]
                 yield v, at, self._words_of(at)
 
@@ -305,20 +341,12 @@ def _packs(chunks: int, size: int):
 
 
 def _seen(batches: Batches) -> Batches:
-    """How often each word is taught, and how often each byte comes."""
+    """How often each byte comes."""
     for batch in batches:
-        if not len(batch):
-            continue
-        data, starts = laid([t.lower() for t in batch.column(0).to_pylist()], 0)
-        held = batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
-        places, hashes = (np.concatenate(x) for x in zip(*tokens(data), strict=True))
-        names, at = np.unique(hashes, return_inverse=True)
-        taught = np.bincount(at, np.repeat(~held, np.diff(np.searchsorted(places, starts), append=len(places))), len(names)).astype(np.int64)
-        counts = np.bincount(data, minlength=256)
-        counts[BEFORE], counts[END] = len(starts), 0
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.repeat(np.array([WORD_KIND, BYTE_KIND], np.int32), [len(names), 256])),
-             pa.array(np.concatenate([names.view(np.int64), np.arange(256)])), pa.array(np.concatenate([taught, counts]))], names=["kind", "key", "n"])
+        counts = np.bincount(np.frombuffer(b"".join(batch.column(0).to_pylist()).lower(), np.uint8), minlength=256)
+        counts[BEFORE] += len(batch)
+        some = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(counts[some])], names=["key", "n"])
 
 
 def _lists(dealing: Dealing):
@@ -336,9 +364,7 @@ def _lists(dealing: Dealing):
     def run(key: tuple, batches: Batches) -> Batches:
         number = key[0].as_py()
         chunk = Chunk([p for b in batches for p in b.column("pack").to_pylist()], dealing.depth)
-        hashes, sizes = chunk.words()
-        names, at = np.unique(hashes, return_inverse=True)
-        counts = np.bincount(at, np.repeat(chunk.taught, sizes), len(names)).astype(np.int64)
+        names, counts = chunk.names()
         yield from listed(number, dealing.of_words(names), [names], counts)
         for nearest, places, words in chunk.strings():
             distinct, counts = counted_keys(words, np.repeat(chunk.taught, chunk.sizes(places)))
@@ -364,11 +390,13 @@ class Merged:
         rank[order] = np.cumsum(new) - 1
         self.ranks = np.split(rank, np.cumsum(sizes)[:-1])
 
-    def answers(self, group: int, values: np.ndarray) -> Batches:
-        for chunk, rank in zip(self.chunks, self.ranks, strict=True):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([chunk], pa.int64()), pa.array([group], pa.int64()), pa.array([len(rank)], pa.int64()), pa.array([squeezed(values[rank])], pa.binary())],
-                names=["chunk", "group", "n", "answers"])
+    def answers(self, group: int, values: np.ndarray, chunks: int = 0) -> Batches:
+        """A row for each list; with ``chunks`` also for those without one, and what all need to know of the counts."""
+        ranks = {c: np.empty(0, np.int64) for c in range(chunks)} | dict(zip(self.chunks, self.ranks, strict=True))
+        taught, distinct = (int(self.counts.sum()), int((self.counts > 0).sum())) if chunks else (0, 0)
+        for chunk, rank in ranks.items():
+            whole = [pa.array([x], pa.int64()) for x in (chunk, group, len(rank), taught, distinct)]
+            yield pa.RecordBatch.from_arrays([*whole, pa.array([squeezed(values[rank])], pa.binary())], names=["chunk", "group", "n", "taught", "distinct", "answers"])
 
 
 def summed(counts: np.ndarray) -> np.ndarray:
@@ -507,7 +535,7 @@ def _tops(top: int):
     return run
 
 
-def _answers(dealing: Dealing):
+def _answers(dealing: Dealing, chunks: int):
     """One value for each key of each list: a word's count, or what a string's byte takes in ``UNIT`` parts of a digit."""
 
     def chances(group: int, merged: Merged, above: pa.Table) -> np.ndarray:
@@ -539,16 +567,24 @@ def _answers(dealing: Dealing):
 
     def run(key: tuple, lists: Batches, tops: Batches) -> Batches:
         group, lists, tops = key[0].as_py(), list(lists), list(tops)
-        words = dealing.kind(group) == WORD_KIND
-        merged = Merged(pa.Table.from_batches(lists), 1 if words else dealing.width)
-        yield from merged.answers(group, merged.counts.astype(np.uint64) if words else chances(group, merged, pa.Table.from_batches(tops)))
+        if dealing.kind(group) == WORD_KIND:
+            merged = Merged(pa.Table.from_batches(lists), 1)
+            yield from merged.answers(group, merged.counts.astype(np.uint64), chunks)
+        else:
+            merged = Merged(pa.Table.from_batches(lists), dealing.width)
+            yield from merged.answers(group, chances(group, merged, pa.Table.from_batches(tops)))
 
     return lambda key, lists, tops: pa.Table.from_batches(run(key, lists.to_batches(), tops.to_batches()))
 
 
-def _scored(total: int, distinct: int, dealing: Dealing):
+def _scored(dealing: Dealing):
+    names_out = ("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
     def run(packs: pa.Table, answers: pa.Table) -> pa.Table:
+        if not len(packs):
+            return pa.table({c: [] for c in names_out})
         chunk = Chunk(packs.column("pack").to_pylist(), dealing.depth)
+        total, distinct = (int(np.sum(answers.column(c).to_numpy())) for c in ("taught", "distinct"))
         found = dict(zip(answers.column("group").to_pylist(), zip(answers.column("n").to_pylist(), answers.column("answers").to_pylist(), strict=True), strict=True))
 
         def values(group: np.ndarray) -> np.ndarray:
@@ -560,11 +596,15 @@ def _scored(total: int, distinct: int, dealing: Dealing):
             return out
 
         many = len(chunk.starts)
-        hashes, sizes = chunk.words()
-        names, at = np.unique(hashes, return_inverse=True)
-        counts = values(dealing.of_words(names))[at]
-        row = np.repeat(np.arange(many), sizes)
-        base = np.bincount(row, np.log10((counts + 0.1) / (total + 0.1 * (distinct + 1))), many)
+        names, _ = chunk.names()
+        counts = values(dealing.of_words(names))
+        logs = np.log10((counts + 0.1) / (total + 0.1 * (distinct + 1)))
+        sizes, known, base = np.zeros(many, np.int64), np.zeros(many, np.int64), np.zeros(many)
+        for hashes, row in chunk.words():
+            at = np.searchsorted(names, hashes)
+            sizes += np.bincount(row, minlength=many)
+            known += np.bincount(row[counts[at] > 0], minlength=many)
+            base += np.bincount(row, logs[at], many)
         score = np.zeros(many)
         for nearest, places, words in chunk.strings():
             order, new = sorted_keys(words)
@@ -572,9 +612,8 @@ def _scored(total: int, distinct: int, dealing: Dealing):
             value = values(dealing.of_strings(nearest, [w[order[first]] for w in words]))
             value = np.repeat(value, np.diff(first, append=len(order)))
             score += np.bincount(np.repeat(np.arange(many), chunk.sizes(places))[order], value, many)
-        known = np.bincount(row, counts > 0, many).astype(np.int64)
-        return pa.table([chunk.rows.column("doc_id"), chunk.rows.column("held_out"), *[pa.array(x) for x in (sizes.astype(np.int64), known, base, -score / UNIT)]],
-                        names=["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"])
+        taught = np.full(many, total, np.int64)
+        return pa.table([chunk.rows.column("doc_id"), chunk.rows.column("held_out"), *[pa.array(x) for x in (sizes, known, taught, base, -score / UNIT)]], names=names_out)
 
     return run
 
@@ -591,9 +630,8 @@ def score_texts(docs: DataFrame, held_out: Column, depth: int = DEPTH) -> DataFr
     to ``depth`` bytes.
     """
     rows = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("bytes"), held_out.alias("held_out"))
-    seen = stored(rows.select("bytes", "held_out").mapInArrow(_seen, "kind int, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n")), "ctw-seen")
-    bytes_seen = {r["key"]: r["n"] for r in seen.where((F.col("kind") == BYTE_KIND) & (F.col("n") > 0)).collect()}
-    total, distinct = seen.where(F.col("kind") == WORD_KIND).agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.when(F.col("n") > 0, 1))).first()
+    seen = rows.select("bytes").mapInArrow(_seen, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    bytes_seen = {r["key"]: r["n"] for r in seen.collect()}
     chunks = max(1, -(-sum(bytes_seen.values()) // CHUNK))
     dealing = Dealing(depth, bytes_seen, GROUPS * chunks)
     # One plan: the shuffles of the packs and of the lists are read twice, not made twice.
@@ -602,7 +640,7 @@ def score_texts(docs: DataFrame, held_out: Column, depth: int = DEPTH) -> DataFr
     subtrees = lists.groupBy("group").applyInArrow(
         _subtrees(dealing), "place long, suffix long, group long, zeros long, ones long, weighted double")
     tops = subtrees.groupBy("place").applyInArrow(_tops(dealing.top), "group long, suffix long, place long, g0 double, g1 double, rest double")
-    answers = lists.groupBy("group").cogroup(tops.groupBy("group")).applyInArrow(_answers(dealing), "chunk long, group long, n long, answers binary")
-    scored = packs.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
-        _scored(total, distinct, dealing), "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
-    return scored.withColumn("train_tokens", F.lit(total).cast("long"))
+    answers = lists.groupBy("group").cogroup(tops.groupBy("group")).applyInArrow(
+        _answers(dealing, chunks), "chunk long, group long, n long, taught long, distinct long, answers binary")
+    return packs.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
+        _scored(dealing), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
