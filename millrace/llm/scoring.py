@@ -33,7 +33,7 @@ from millrace.llm.common import mixed
 DEPTH = 8
 #: Last bytes of a context by which trees are dealt to groups.
 SUFFIX = 3
-CHUNK = 48 << 20
+CHUNK = 32 << 20
 #: Groups of contexts for each chunk of text, and the parts a chunk's texts travel in.
 GROUPS, PACKS = 8, 16
 BEFORE, END = 0xFE, 0xFF
@@ -221,6 +221,12 @@ def tokens(data: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         low = high
 
 
+def released(batches: Batches) -> Batches:
+    """The same batches; then Arrow's unused memory goes back, as Python workers outlive their tasks."""
+    yield from batches
+    pa.default_memory_pool().release_unused()
+
+
 class Chunk:
     """The texts of a chunk, one after the other, each with ``depth`` bytes before it and its end."""
 
@@ -370,7 +376,10 @@ def _lists(dealing: Dealing):
             distinct, counts = counted_keys(words, np.repeat(chunk.taught, chunk.sizes(places)))
             yield from listed(number, dealing.of_strings(nearest, distinct), distinct, counts)
 
-    return run
+    def freed(key: tuple, batches: Batches) -> Batches:
+        return released(run(key, batches))
+
+    return freed
 
 
 class Merged:
@@ -508,7 +517,10 @@ def _subtrees(dealing: Dealing):
             arrays = [place, suffix[nodes.first], np.full(len(place), group, np.int64), nodes.zeros, nodes.ones, nodes.weighted]
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], names=["place", "suffix", "group", "zeros", "ones", "weighted"])
 
-    return run
+    def freed(key: tuple, batches: Batches) -> Batches:
+        return released(run(key, batches))
+
+    return freed
 
 
 def _tops(top: int):
@@ -574,7 +586,7 @@ def _answers(dealing: Dealing, chunks: int):
             merged = Merged(pa.Table.from_batches(lists), dealing.width)
             yield from merged.answers(group, chances(group, merged, pa.Table.from_batches(tops)))
 
-    return lambda key, lists, tops: pa.Table.from_batches(run(key, lists.to_batches(), tops.to_batches()))
+    return lambda key, lists, tops: pa.Table.from_batches(released(run(key, lists.to_batches(), tops.to_batches())))
 
 
 def _scored(dealing: Dealing):
@@ -613,6 +625,7 @@ def _scored(dealing: Dealing):
             value = np.repeat(value, np.diff(first, append=len(order)))
             score += np.bincount(np.repeat(np.arange(many), chunk.sizes(places))[order], value, many)
         taught = np.full(many, total, np.int64)
+        pa.default_memory_pool().release_unused()
         return pa.table([chunk.rows.column("doc_id"), chunk.rows.column("held_out"), *[pa.array(x) for x in (sizes, known, taught, base, -score / UNIT)]], names=names_out)
 
     return run
