@@ -21,12 +21,20 @@ from millrace.sources.headers import headers_of, match, scan_layouts
 
 INT, LONG, DOUBLE, DATE, TEXT = 1, 2, 4, 8, 16
 
+# What a text must look like for a cast to a number to have a chance, blanks and
+# control characters around it left aside.  A cast that fails builds an error
+# first, which costs many times the look.
+_BLANK = r"[\x00-\x20\x7F]*"
+WHOLE = rf"^{_BLANK}[+-]?[0-9]+{_BLANK}$"
+NUMBER = rf"^{_BLANK}[+-]?([0-9.][0-9A-Fa-fXx.]*([EePp][+-]?[0-9]+)?[DdFf]?|[NnIi][A-Za-z]+){_BLANK}$"
+
 
 def kind_of(value: Column, date_format: str) -> Column:
     """The narrowest kind a text value fits, as one bit; 0 for no value."""
+    whole, number = value.rlike(WHOLE), value.rlike(NUMBER)
     return (
-        F.when(value.isNull(), 0).when(value.try_cast("int").isNotNull(), INT).when(value.try_cast("bigint").isNotNull(), LONG)
-        .when(value.try_cast("double").isNotNull(), DOUBLE).when(parse_date(value, date_format).isNotNull(), DATE).otherwise(TEXT)
+        F.when(value.isNull(), 0).when(whole & value.try_cast("int").isNotNull(), INT).when(whole & value.try_cast("bigint").isNotNull(), LONG)
+        .when(number & value.try_cast("double").isNotNull(), DOUBLE).when(parse_date(value, date_format).isNotNull(), DATE).otherwise(TEXT)
     )
 
 
@@ -57,15 +65,19 @@ def _texts(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     return scan_layouts(spark, groups, schema).select(*names, SOURCE_FILE)
 
 
-def types_by_file(spark: SparkSession, paths: str | Sequence[str], date_format: str = "yyyy-MM-dd") -> DataFrame:
+def types_by_file(
+    spark: SparkSession, paths: str | Sequence[str], date_format: str = "yyyy-MM-dd", by_folder: bool = False
+) -> DataFrame:
     """path, column, type, common, differs: what each file's column looks like, and what all files' do.
 
     A file without rows does not appear.  One pass over the texts; the report
-    has one row per file and column.
+    has one row per file and column.  With ``by_folder`` the files of a folder
+    count as parts of one, as Spark writes them, and ``path`` is the folder's.
     """
     rows = _texts(spark, paths)
     names = [c for c in rows.columns if c != SOURCE_FILE]
-    kinds = rows.groupBy(F.col(SOURCE_FILE).alias("path")).agg(*[F.bit_or(kind_of(F.col(f"`{c}`"), date_format)).alias(c) for c in names])
+    path = F.regexp_replace(SOURCE_FILE, "/[^/]*$", "") if by_folder else F.col(SOURCE_FILE)
+    kinds = rows.groupBy(path.alias("path")).agg(*[F.bit_or(kind_of(F.col(f"`{c}`"), date_format)).alias(c) for c in names])
     cells = kinds.select("path", F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").alias("kinds")) for c in names])).alias("c")).select("path", "c.*")
     common = cells.groupBy("column").agg(type_of(F.bit_or("kinds")).alias("common"))

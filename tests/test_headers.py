@@ -66,3 +66,32 @@ def test_type_lattice(spark):
                 c.DATE | c.INT: "string", c.TEXT: "string", c.TEXT | c.DATE: "string"}
     got = spark.createDataFrame([(k,) for k in expected], "k int").select("k", c.type_of(F.col("k")).alias("t")).collect()
     assert {r.k: r.t for r in got} == expected
+
+
+def test_files_of_a_folder_count_as_parts_of_one(spark, tmp_path):
+    for name, line in (("d=1/a", "1"), ("d=1/b", "3000000000"), ("d=2/a", "x")):
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / f"{name}.csv").write_text(f"id\n{line}\n")
+    found = types_by_file(spark, str(tmp_path), by_folder=True).collect()
+    assert sorted((r.path.rsplit("/", 1)[1], r.type, r.common, r.differs) for r in found) == [("d=1", "bigint", "string", True), ("d=2", "string", "string", False)]
+
+
+def test_a_look_at_the_text_rules_out_no_number(spark):
+    texts = ["1", " 1\t", "+7", "-7", "-", "+", "", " ", "1.5", "1.", ".5", ".", "1e3", "1E-3", "1e", "1d", "1F", "1L", "0x1p3", "0x1.8p-1", "0xAp0", "2147483648", "9223372036854775808",
+             "NaN", "nan", "inf", "-Infinity", "+INF", "infinite", "2024-01-02", "2024-13-02", "K12", "1 2", "1,5", "\x0012\x1f", "12\x7f", "١", " 1", "1e400", "--1", "1\n", None]
+    v = F.col("v")
+    slow = F.when(v.isNull(), 0).when(v.try_cast("int").isNotNull(), c.INT).when(v.try_cast("bigint").isNotNull(), c.LONG).when(
+        v.try_cast("double").isNotNull(), c.DOUBLE).when(F.try_to_date(v, "yyyy-MM-dd").isNotNull(), c.DATE).otherwise(c.TEXT)
+    got = spark.createDataFrame([(t,) for t in texts], "v string").select("v", c.kind_of(v, "yyyy-MM-dd").alias("kind"), slow.alias("expected")).collect()
+    assert [r for r in got if r.kind != r.expected] == []
+
+
+def test_the_types_query_writes_each_drop_in_many_tasks(spark, tmp_path, monkeypatch):
+    from millrace.catalog import arrivals
+
+    spark.range(4000).repartition(4).selectExpr(
+        "id as o_orderkey", "id as o_custkey", "1.5 * id as o_totalprice", "date'2024-01-01' as o_orderdate", "substr('FOP', cast(id % 3 as int) + 1, 1) as o_orderstatus"
+    ).write.parquet(str(tmp_path / "orders.parquet"))
+    monkeypatch.setattr(arrivals, "scratch_path", lambda spark, name: str(tmp_path / "drops"))
+    assert len(arrivals.csv_types_by_file(spark, str(tmp_path)).collect()) == 12
+    assert len(list((tmp_path / "drops/o_orderstatus=F").glob("*.csv"))) > 1
