@@ -1,3 +1,4 @@
+import gzip
 import os
 
 import pytest
@@ -138,3 +139,20 @@ def test_outcomes_decide_what_is_new(spark, tmp_path, rows):
     manifest.record([Outcome("a", old, LANDED, 1), Outcome("b", old, QUARANTINED), Outcome("c", now, SKIPPED, 0), Outcome("d", now, CLAIMED)])
     assert sorted(r.path for r in manifest.unseen(listing).collect()) == ["b", "d"]
     assert [r.path for r in manifest.unfinished(listing).collect()] == ["d"]
+
+
+def test_rows_land_without_a_staged_copy(spark, layers, drops, monkeypatch):
+    drops("a.csv", csv_text(row("1", Age="sixteen"), row("2")))
+    staged, real = [], landing.staged
+    monkeypatch.setattr(landing, "staged", lambda df, name: (staged.append(name), real(df, name))[1])
+    assert ingest(spark, drops.folder, layers.landing, DAY1) == 1
+    assert staged == ["bad-lines"]
+    assert [r.Line.split(",")[0] for r in landing.rejects_of(layers.landing).read().collect()] == ["1"]
+
+
+def test_compressed_drops_land_like_others(spark, layers, drops):
+    with gzip.open(f"{drops.folder}/a.csv.gz", "wt", newline="") as file:
+        file.write(csv_text(row("1", Name="Ann"), row("2")))
+    assert ingest(spark, drops.folder, layers.landing, DAY1) == 1
+    assert sorted((r.Student_ID, r.Name) for r in layers.landing.read().collect()) == [("1", "Ann"), ("2", "John Doe")]
+    assert ingest(spark, drops.folder, layers.landing, DAY1) == 0

@@ -160,3 +160,23 @@ def test_unused_folders_can_be_removed(spark, table, make, rows, tmp_path):
     for v in "xyz":
         dim.merge(make((1, v, "d")), ["k"])
     assert dim.remove_unused() == 2 and rows(dim.read()) == [(1, "z", "d")]
+
+
+@pytest.mark.parametrize("bits", [3, 27])
+def test_a_large_merge_shuffles_only_rows_met_on_both_sides(spark, tmp_path, rows, plan, monkeypatch, bits):
+    # With few bits many rows meet by chance, which changes nothing.
+    monkeypatch.setattr("millrace.sources.tables.SLOT_BITS", bits)
+    base = [(k, f"old{k}", "d1" if k % 2 else None) for k in range(40)] + [(None, "no key", "d1")]
+    new = [(k, f"new{k}" if k % 3 else None, "d2") for k in range(30, 60)]
+    results = []
+    for strategy in ("patch", "full_outer"):
+        table = Table(spark, str(tmp_path / f"{strategy}{bits}"), SCHEMA, "day")
+        table.append(spark.createDataFrame(base, SCHEMA))
+        seen = []
+        write = table._write
+        monkeypatch.setattr(table, "_write", lambda df, *a, **k: (seen.append(df), write(df, *a, **k))[1])
+        table.merge(spark.createDataFrame(new, SCHEMA), ["k"], ["day"], strategy=strategy, origin=Origin(batch="b"))
+        results.append(rows(table.read()))
+    assert results[0] == results[1] and len(results[0]) == 61
+    if bits == 27:
+        assert "REBALANCE" not in plan(seen[0]).upper() and plan(seen[0]).count("BroadcastHashJoin") >= 4
