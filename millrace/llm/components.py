@@ -12,21 +12,18 @@ def components(links: DataFrame) -> DataFrame:
     """(node, root) of every node of the links (a, b); the root is the smallest node reachable.
 
     Each round hangs every node's larger neighbours, then its smaller ones, on
-    the smallest node around it, until nothing moves.  The number of rounds grows
-    with the logarithm of the longest chain.  Nothing but two sums per round
-    comes to the driver.
+    the smallest node around it, until every node either hangs on one other or has
+    others hang on it.  The number of rounds grows with the logarithm of the
+    longest chain.  Nothing but one count per round comes to the driver.
     """
     pairs = links.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    pairs, before = stored(pairs, "links"), None
+    pairs = stored(pairs, "links")
     while True:
-        now = pairs.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if tuple(now) == before or now[0] == 0:
-            return pairs.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("root")).unionByName(
-                pairs.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct().join(
-                    pairs.select(F.col("a").alias("node")), "node", "left_anti"))
-        before = tuple(now)
-        both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least("a", F.min("b")).alias("m"))
+        both = pairs.select("a", "b", F.lit(1).alias("up")).unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), F.lit(0).alias("up")))
+        around = stored(both.groupBy("a").agg(F.least("a", F.min("b")).alias("m"), F.sum("up").alias("up"), F.count(F.lit(1)).alias("n")), "links-around")
+        if not around.where("up > 0 and n > 1").agg(F.count(F.lit(1))).first()[0]:
+            return around.select(F.col("a").alias("node"), F.col("m").alias("root"))
+        least = around.select("a", "m")
         large = both.where("b > a").join(least, "a").where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         down = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(down, "a").where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(

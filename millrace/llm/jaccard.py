@@ -15,7 +15,7 @@ order and then in ``ROUNDS`` random orders, and of each document's neighbours in
 other components the one met most often; the pairs that whole sets confirm join
 components.  Each costs no more than the entries there are.  The last product
 takes every pair of a column whose components still differ, in blocks of
-``BLOCK`` by ``BLOCK`` entries.  No pair is left out but those whose ends are known to be connected, or
+``BLOCK`` by ``BLOCK`` entries, at the first columns that the two have in common only.  No pair is left out but those whose ends are known to be connected, or
 whose sets differ in too many n-grams: each set has the parity of its n-grams in
 ``64 * MARKS`` bins, and bins of unlike parity hold one differing n-gram at least.
 """
@@ -41,6 +41,8 @@ ROUNDS = 3
 SKETCH_BITS = 21
 #: Longs of a set's parity bins.
 MARKS = 8
+#: Entries before an entry that tell whether a pair has met already.
+RECENT = 4
 #: Counters of the sketch that are added up together.
 SLICE = 1 << 16
 _SHIFT = np.uint64(64 - SKETCH_BITS)
@@ -241,31 +243,38 @@ def _joined(parts: DataFrame, links: DataFrame) -> DataFrame:
     return stored(parts.join(moved, "root", "left").select("node", F.coalesce("to", "root").alias("root")), "jaccard-parts")
 
 
-def _products(shared: DataFrame, parts: DataFrame, classes: DataFrame, threshold: tuple[int, int]) -> DataFrame:
-    """Pairs (a, b) in different parts whose counted overlaps can reach what is needed."""
+def _meetings(shared: DataFrame, parts: DataFrame, classes: DataFrame, threshold: tuple[int, int]) -> DataFrame:
+    """Pairs (a, b) in different parts that have a kept n-gram in common early enough for the overlap that is needed; a few come more than once.
+
+    At the first of its common n-grams a pair can still reach what it needs, so
+    places behind that bound are not looked at.  Of a pair's other common n-grams
+    most are known for later ones: each entry brings the ``RECENT`` before it,
+    and two entries with one of these in common have met there or earlier.
+    """
     marks = [f"m{k}" for k in range(MARKS)]
-    nodes = classes.join(parts, "node").select("node", F.col("root").alias("part"), *marks)
-    rows = shared.select("shingle", "node", "n", "place").join(nodes, "node")
-    mixed_columns = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("c"), F.min("part").alias("p0"), F.max("part").alias("p1")).where("p0 != p1")
-    rows = stored(rows.join(mixed_columns.select("shingle", "c"), "shingle"), "product-rows")
+    entries = shared.select("shingle", "node", "n", "place").join(parts.withColumnRenamed("root", "part"), "node")
+    mixed_columns = entries.groupBy("shingle").agg(F.count(F.lit(1)).alias("c"), F.min("part").alias("p0"), F.max("part").alias("p1")).where("p0 != p1")
+    before = Window.partitionBy("node").orderBy("place").rowsBetween(-RECENT, -1)
+    rows = entries.join(mixed_columns.select("shingle", "c"), "shingle").withColumn("recent", F.collect_list("shingle").over(before))
+    rows = stored(rows.join(classes.select("node", *marks), "node"), "product-rows")
     ranked = rows.where(F.col("c") > BLOCK).withColumn(
         "block", F.floor((F.row_number().over(Window.partitionBy("shingle").orderBy("n", "node")) - 1) / BLOCK))
     blocks = F.ceil(F.col("c") / BLOCK)
     few = rows.where(F.col("c") <= BLOCK).withColumn("block", F.lit(0).cast("long"))
     rows = few.unionByName(ranked)
     left = rows.withColumn("other", F.explode(F.sequence(F.col("block"), blocks - 1))).select(
-        "shingle", F.col("block").alias("i"), F.col("other").alias("j"), F.col("node").alias("a"), F.col("n").alias("x"), F.col("place").alias("px"), F.col("part").alias("pa"), *[F.col(m).alias(f"a{m}") for m in marks])
+        "shingle", F.col("block").alias("i"), F.col("other").alias("j"), F.col("node").alias("a"), F.col("n").alias("x"), F.col("place").alias("px"), F.col("part").alias("pa"), F.col("recent").alias("ra"), *[F.col(m).alias(f"a{m}") for m in marks])
     right = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("block")))).select(
-        "shingle", F.col("other").alias("i"), F.col("block").alias("j"), F.col("node").alias("b"), F.col("n").alias("y"), F.col("place").alias("py"), F.col("part").alias("pb"), *[F.col(m).alias(f"b{m}") for m in marks])
+        "shingle", F.col("other").alias("i"), F.col("block").alias("j"), F.col("node").alias("b"), F.col("n").alias("y"), F.col("place").alias("py"), F.col("part").alias("pb"), F.col("recent").alias("rb"), *[F.col(m).alias(f"b{m}") for m in marks])
     over, of = threshold
     x, y = F.col("x"), F.col("y")
-    most = F.least("px", "py") + 1 + F.least(x - F.col("px") - 1, y - F.col("py") - 1)
+    most = F.least(x - F.col("px"), y - F.col("py"))
     differ = sum((F.bit_count(F.col(f"a{m}").bitwiseXOR(F.col(f"b{m}"))) for m in marks), F.lit(0))
     pairs = left.join(right, ["shingle", "i", "j"]).where(
         ((x < y) | ((x == y) & (F.col("a") < F.col("b")))) & (F.col("pa") != F.col("pb"))
-        & (of * x >= over * y) & (most >= _needed(x, y, threshold)) & (differ <= x + y - 2 * _needed(x, y, threshold)))
-    return pairs.groupBy("a", "b", "x", "y").agg(F.count(F.lit(1)).alias("count")).where(
-        _can_reach(F.col("count"), x, y, threshold))
+        & (of * x >= over * y) & (most >= _needed(x, y, threshold)) & (differ <= x + y - 2 * _needed(x, y, threshold))
+        & ~F.arrays_overlap("ra", "rb"))
+    return pairs.select("a", "b")
 
 
 def near_duplicates(docs: DataFrame, size: int = SIZE, threshold: tuple[int, int] = THRESHOLD) -> DataFrame:
@@ -298,7 +307,7 @@ def near_duplicates(docs: DataFrame, size: int = SIZE, threshold: tuple[int, int
         "jaccard-shared",
     )
     def confirmed(pairs: DataFrame) -> DataFrame:
-        ends = pairs.select("a").distinct().union(pairs.select("b").distinct()).toDF("node").distinct()
+        ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
         return stored(_linked(pairs, _whole_sets(docs, ends, classes, size), threshold), "jaccard-links")
 
     kept = stored(shared.groupBy("node").agg(F.first("n").alias("n"), F.collect_list("shingle").alias("kept")), "jaccard-kept")
@@ -311,7 +320,7 @@ def near_duplicates(docs: DataFrame, size: int = SIZE, threshold: tuple[int, int
             break
         parts = _joined(parts, confirmed(likely))
         pairs = _neighbours(shared, parts, turn)
-    last = stored(_products(shared, parts, classes, threshold), "jaccard-last")
+    last = stored(_plausible(_meetings(shared, parts, classes, threshold).distinct(), kept, threshold), "jaccard-last")
     if not last.isEmpty():
         parts = _joined(parts, confirmed(last))
     named = classes.select("node", "first_doc", "rows").join(parts, "node", "left").withColumn("root", F.coalesce("root", "node"))

@@ -7,6 +7,7 @@ from collections import defaultdict
 
 import numpy as np
 
+from millrace.llm import components as component_rounds
 from millrace.llm import jaccard
 from millrace.llm.components import components
 from millrace.llm.jaccard import near_duplicates
@@ -90,3 +91,25 @@ def test_unlike_bins_never_exceed_the_difference():
             bins = sum(int(m).bit_count() for m in (jaccard.marks_of(x) ^ jaccard.marks_of(y)).view(np.uint64))
             assert bins <= len(np.setxor1d(x, y))
             assert extra or bins == 0
+
+
+def test_long_texts_that_miss_the_threshold_meet_once_in_the_last_product(text_spark):
+    """Three sets with every kept n-gram of 200 in common but 50, not once for each of them; none too late."""
+    rows = [(1000 * (k % 4 == 0) * node + k, node, 1000, k) for k in range(200) for node in (1, 2, 3)]
+    rows += [(7000 + k, node, 1000, 112 + k) for k in range(80) for node in (4, 5)]
+    shared = text_spark.createDataFrame(rows, "shingle long, node long, n int, place int")
+    parts = text_spark.createDataFrame([(node, node) for node in range(1, 6)], "node long, root long")
+    marks = [f"m{k}" for k in range(jaccard.MARKS)]
+    classes = text_spark.createDataFrame([(node, *[0] * len(marks)) for node in range(1, 6)], ", ".join(f"{c} long" for c in ("node", *marks)))
+    got = jaccard._meetings(shared, parts, classes, (80, 100))
+    assert sorted(map(tuple, got.collect())) == [(1, 2), (1, 3), (2, 3)]
+
+
+def test_stars_take_no_round(text_spark, monkeypatch):
+    written = []
+    store = component_rounds.stored
+    monkeypatch.setattr(component_rounds, "stored", lambda df, name: written.append(name) or store(df, name))
+    links = text_spark.createDataFrame([(k, 0) for k in range(1, 20)] + [(50, 51)], "a long, b long")
+    got = {r["node"]: r["root"] for r in components(links).collect()}
+    assert got == {**{k: 0 for k in range(20)}, 50: 50, 51: 50}
+    assert len(written) == 2
