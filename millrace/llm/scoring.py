@@ -107,9 +107,25 @@ def unsqueezed_keys(data: bytes, n: int, width: int) -> list[np.ndarray]:
     return [np.bitwise_xor.accumulate(w) for w in unsqueezed(data, n * width).reshape(width, n)]
 
 
+def order_of(keys: np.ndarray) -> np.ndarray:
+    """The stable order of the keys: by their low halves, then by their high ones, each sorted as one number with its place."""
+    if len(keys) >= 1 << 32:
+        return np.argsort(keys, kind="stable")
+    places, low = np.arange(len(keys), dtype=np.uint32), np.uint64(0xFFFFFFFF)
+
+    def sorted_places(high: np.ndarray) -> np.ndarray:
+        high |= places
+        high.sort()
+        high &= low
+        return high.view(np.int64)
+
+    order = sorted_places(keys << np.uint64(32))
+    return order[sorted_places(keys[order] & ~low)]
+
+
 def sorted_keys(words: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """The order of the keys, and where in that order a new key begins."""
-    order = np.argsort(words[0]) if len(words) == 1 else np.lexsort(words[::-1])
+    order = order_of(words[0]) if len(words) == 1 else np.lexsort(words[::-1])
     new = np.zeros(len(order), bool)
     new[:1] = True
     for w in words:
@@ -242,7 +258,9 @@ class Chunk:
         self.taught = ~self.rows.column("held_out").to_numpy().astype(bool)
         before = np.cumsum([0] + [len(data) for data, _ in parts])
         self.starts = np.concatenate([low + starts for low, (_, starts) in zip(before, parts, strict=False)])
-        self.data = np.empty(before[-1], np.uint8)
+        # Eight bytes more, so that eight can be read up to any place.
+        self.padded = np.zeros(8 + before[-1], np.uint8)
+        self.data = self.padded[8:]
         for low in before[:-1].tolist():
             data, _ = parts.pop(0)
             self.data[low : low + len(data)] = data
@@ -303,12 +321,17 @@ class Chunk:
                 yield v, at, self._words_of(at)
 
     def _words_of(self, at: np.ndarray) -> list[np.ndarray]:
+        # Eight bytes read as one number have the last one, which is nearest, on top.
+        eight = np.ndarray(len(self.data) + 1, "<u8", self.padded, strides=(1,))
         words = []
         for low in range(0, self.depth, 8):
-            word = np.zeros(len(at), np.uint64)
-            for k in range(low, min(low + 8, self.depth)):
+            context = min(low + 8, self.depth - 1) - low
+            word = eight[at - 1 - low] if context else np.zeros(len(at), np.uint64)
+            if context < 8:
+                word >>= np.uint64(8 * (8 - context) % 64)
+            if low + context == self.depth - 1 and context < 8:
                 word <<= np.uint64(8)
-                word |= self.data[at - 2 - k] if k < self.depth - 1 else self.data[at]
+                word |= self.data[at]
             words.append(word)
         return words
 

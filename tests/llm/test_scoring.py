@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -110,3 +111,30 @@ def test_contexts_reach_over_a_word(documents):
     rows = [(k, t, "s") for k, t in enumerate([*seen, "abcd----x", "abcd----y"])]
     got = {r["doc_id"]: r["score"] for r in score_texts(documents(rows), F.col("doc_id") >= 40).collect()}
     assert got[40] > got[41] + 1
+
+
+def test_order_of_keys_is_the_stable_one():
+    rng = np.random.default_rng(3)
+    for n in (0, 1, 2, 5000):
+        for high in (3, 1 << 33, (1 << 64) - 1):
+            keys = rng.integers(0, high, n, np.uint64, endpoint=True)
+            assert scoring.order_of(keys).tolist() == np.argsort(keys, kind="stable").tolist()
+
+
+def test_strings_hold_the_bytes_before_nearest_first():
+    texts = [b"abcab", b"", bytes(range(1, 250)), b"\xff" * 12]
+    for depth in (1, 2, 5, 8, 9, 16, 17):
+        chunk = scoring.Chunk.__new__(scoring.Chunk)
+        chunk.depth = depth
+        data, chunk.starts = scoring.laid(texts, depth)
+        chunk.padded = np.concatenate([np.zeros(8, np.uint8), data])
+        chunk.data = chunk.padded[8:]
+        found = {}
+        for nearest, places, words in chunk.strings():
+            for at, *word in zip(places.tolist(), *[w.tolist() for w in words], strict=True):
+                assert data[at - 1] == nearest
+                found[at] = word
+        for at, word in found.items():
+            want = [*data[at - depth:at - 1][::-1].tolist(), int(data[at])]
+            assert word == [int.from_bytes(bytes(want[k:k + 8])) for k in range(0, depth, 8)]
+        assert len(found) == sum(len(t) + 1 for t in texts)
