@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import WordHashes, mixed, shingles, stored, words_of
+from millrace.llm.common import mixed, shingles, stored, word_hashes, word_places
 from millrace.llm.components import components
 
 SIZE = 5
@@ -54,21 +54,39 @@ def text_hash() -> Column:
     return F.xxhash64(F.col("text").cast("binary"))
 
 
-def set_of(text: bytes | None, size: int, hashes: WordHashes) -> np.ndarray:
-    return np.unique(shingles(hashes.of(words_of(text)), size))
-
-
-def node_of(values: np.ndarray) -> int:
-    """A 64-bit name of a set of n-grams."""
-    both = mixed(values ^ np.uint64(0xA5A5A5A5A5A5A5A5))
-    with np.errstate(over="ignore"):
-        total = np.array([both.sum(dtype=np.uint64) + np.uint64(len(values))])
-    return int(mixed(total).view(np.int64)[0])
-
-
-def marks_of(values: np.ndarray) -> np.ndarray:
-    """The parity of a set's n-grams in each of ``64 * MARKS`` bins."""
-    bins = np.bincount((values & np.uint64(64 * MARKS - 1)).astype(np.int64), minlength=64 * MARKS)
+def sets_of(texts: list[bytes | None], size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The texts' sets of n-grams, each in order, one after the other, and where each ends, from 0."""
+    data = b"\n".join(t or b"" for t in texts).lower()
+    starts = np.cumsum([0, *(len(t or b"") + 1 for t in texts)])
+    padded = np.frombuffer(data + bytes(8), np.uint8)
+    first, length = word_places(padded[: len(data)])
+    ends = np.searchsorted(first, starts)
+    words, many = word_hashes(padded, first, length), np.diff(ends)
+    grams = np.where(many < size, np.minimum(many, 1), many - size + 1)
+    bounds = np.concatenate([[0], np.cumsum(grams)])
+    values, text = np.empty(bounds[-1], np.uint64), np.repeat(np.arange(len(texts)), grams)
+    # A run that ends in another text is none.
+    of_word, last = np.repeat(np.arange(len(texts)), many), max(0, len(words) - size + 1)
+    values[(many >= size)[text]] = shingles(words, size)[:last][of_word[:last] == of_word[len(words) - last :]]
+    for k in np.flatnonzero((many > 0) & (many < size)).tolist():
+        values[bounds[k]] = shingles(words[ends[k] : ends[k + 1]], size)[0]
+    for low, high in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+        values[low:high].sort()
+    new = np.ones(len(values), bool)
+    new[1:] = (values[1:] != values[:-1]) | (text[1:] != text[:-1])
+    return values[new], np.concatenate([[0], np.cumsum(np.bincount(text[new], minlength=len(texts)))])
+
+
+def nodes_of(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit names of sets of n-grams."""
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed(values ^ np.uint64(0xA5A5A5A5A5A5A5A5)))])[ends]
+    return mixed(np.diff(sums) + np.diff(ends).astype(np.uint64)).view(np.int64)
+
+
+def marks_of(values: np.ndarray, owner: np.ndarray | int = 0, many: int = 1) -> np.ndarray:
+    """The parity of the n-grams in each of ``64 * MARKS`` bins, for each of the sets that own them."""
+    width = 64 * MARKS
+    bins = np.bincount((values & np.uint64(width - 1)).astype(np.int64) + owner * width, minlength=many * width)
     return np.packbits((bins & 1).astype(np.uint8)).view(np.int64)
 
 
@@ -76,20 +94,16 @@ def _profiles(size: int) -> Callable[[Batches], Batches]:
     """Per document: its set's name, size and parities; per task the slices of its sketch, with n = -1."""
 
     def run(batches: Batches) -> Batches:
-        hashes, sketch = WordHashes(), np.zeros(1 << SKETCH_BITS, np.uint32)
+        sketch = np.zeros(1 << SKETCH_BITS, np.uint32)
         names = [f"m{k}" for k in range(MARKS)]
         schema = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("node", pa.int64()), ("n", pa.int64()), ("counts", pa.binary()), *((m, pa.int64()) for m in names)])
         for batch in batches:
-            nodes, counts, marks = [], [], []
-            for text in batch.column(1).to_pylist():
-                values = set_of(text, size, hashes)
-                np.add.at(sketch, (values >> _SHIFT).astype(np.int64), 1)
-                nodes.append(node_of(values))
-                counts.append(len(values))
-                marks.append(marks_of(values))
-            columns = np.array(marks, np.int64).reshape(-1, MARKS).T
+            many = len(batch)
+            values, ends = sets_of(batch.column(1).to_pylist(), size)
+            sketch += np.bincount((values >> _SHIFT).astype(np.int64), minlength=len(sketch)).astype(np.uint32)
+            columns = marks_of(values, np.repeat(np.arange(many), np.diff(ends)), many).reshape(-1, MARKS).T
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), pa.array(nodes, pa.int64()), pa.array(counts, pa.int64()), pa.nulls(len(nodes), pa.binary()), *map(pa.array, columns)], schema=schema)
+                [batch.column(0), batch.column(2), pa.array(nodes_of(values, ends)), pa.array(np.diff(ends)), pa.nulls(many, pa.binary()), *map(pa.array, columns)], schema=schema)
         slices = [part.tobytes() for part in sketch.reshape(-1, SLICE)]
         none = pa.nulls(len(slices), pa.int64())
         yield pa.RecordBatch.from_arrays(
@@ -112,19 +126,23 @@ def _prefixes(size: int, threshold: tuple[int, int], sketch) -> Callable[[Batche
     over, of = threshold
 
     def run(batches: Batches) -> Batches:
-        hashes, counts, seen = WordHashes(), sketch.value, set()
+        counts, seen = sketch.value, set()
         schema = pa.schema([("shingle", pa.int64()), ("node", pa.int64()), ("n", pa.int32()), ("place", pa.int32())])
         for batch in batches:
             parts: list[tuple[np.ndarray, ...]] = []
-            for text in batch.column(0).to_pylist():
-                values = set_of(text, size, hashes)
-                node, n = node_of(values), len(values)
+            values, ends = sets_of(batch.column(0).to_pylist(), size)
+            # Each n-gram's count over its place, so that one sort orders a set.
+            order = counts[(values >> _SHIFT).astype(np.int64)].astype(np.uint64) << np.uint64(32) | np.arange(len(values), dtype=np.uint64)
+            bounds = ends.tolist()
+            for node, low, high in zip(nodes_of(values, ends).tolist(), bounds[:-1], bounds[1:], strict=True):
+                n = high - low
                 if not n or node in seen:
                     continue
                 seen.add(node)
                 keep = n - -(-over * n // of) + 1
-                order = np.lexsort((values, counts[(values >> _SHIFT).astype(np.int64)]))[:keep]
-                parts.append((values[order].view(np.int64), np.full(keep, node), np.full(keep, n, np.int32), np.arange(keep, dtype=np.int32)))
+                order[low:high].sort()
+                some = (order[low : low + keep] & np.uint64(0xFFFFFFFF)).astype(np.int64)
+                parts.append((values[some].view(np.int64), np.full(keep, node), np.full(keep, n, np.int32), np.arange(keep, dtype=np.int32)))
             if parts:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*parts, strict=True)], schema=schema)
 
@@ -204,14 +222,11 @@ def _whole_sets(docs: DataFrame, nodes: DataFrame, classes: DataFrame, size: int
     """The whole set of each of the nodes, from one document of each."""
 
     def run(batches: Batches) -> Batches:
-        hashes = WordHashes()
         schema = pa.schema([("node", pa.int64()), ("values", pa.list_(pa.int64()))])
         for batch in batches:
-            values = [set_of(text, size, hashes) for text in batch.column(0).to_pylist()]
-            ends = np.cumsum([0, *map(len, values)]).astype(np.int32)
-            flat = np.concatenate([*values, np.empty(0, np.uint64)]).view(np.int64)
+            values, ends = sets_of(batch.column(0).to_pylist(), size)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([node_of(v) for v in values], pa.int64()), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], schema=schema)
+                [pa.array(nodes_of(values, ends)), pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(values.view(np.int64)))], schema=schema)
 
     wanted = classes.join(nodes, "node", "left_semi").select(F.col("first_doc").alias("d")).distinct()
     texts = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("d")), "left_semi").select("bytes")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 from collections import defaultdict
+from itertools import chain
 
 import numpy as np
 
@@ -113,3 +114,30 @@ def test_stars_take_no_round(text_spark, monkeypatch):
     got = {r["node"]: r["root"] for r in components(links).collect()}
     assert got == {**{k: 0 for k in range(20)}, 50: 50, 51: 50}
     assert len(written) == 2
+
+
+def test_sets_of_a_batch_are_made_together(monkeypatch):
+    """The n-grams of each text as by itself, whatever stands beside it, with one call for all words."""
+    calls, hashes = [], jaccard.word_hashes
+    monkeypatch.setattr(jaccard, "word_hashes", lambda *a: calls.append(1) or hashes(*a))
+    long = "x" * 63
+    texts = [None, "", " \n", "one", "One\ttwo three four", "a b c d e", "a b c d e f a b c d e", "a b c d e", None, "é " * 9, long, long + "y", long + "yz", long + "zy", "abcdefgh abcdefghi abcdefghj 1 2 3", "two", ""]
+    texts = [None if t is None else t.encode() for t in texts]
+    values, ends = jaccard.sets_of(texts, 5)
+    assert len(calls) == 1 and len(ends) == len(texts) + 1
+    got = [values[low:high].tolist() for low, high in zip(ends[:-1], ends[1:], strict=True)]
+    names = {}
+    for text, some in zip(texts, got, strict=True):
+        w = (text or b"").lower().split()
+        grams = {tuple(w[k:k + 5]) for k in range(max(1, len(w) - 4))} if w else set()
+        assert some == sorted(set(some)) and len(some) == len(grams)
+        assert some == jaccard.sets_of([text], 5)[0].tolist()
+        assert names.setdefault(frozenset(grams), some) == some
+    assert len({tuple(some) for some in names.values()}) == len(names)
+    assert len(set(chain(*names.values()))) == len(set(chain(*names)))
+    nodes = jaccard.nodes_of(values, ends).tolist()
+    assert len(set(nodes)) == len(names) and nodes[5] == nodes[7] and nodes[0] == nodes[1]
+    marks = jaccard.marks_of(values, np.repeat(np.arange(len(texts)), np.diff(ends)), len(texts)).reshape(len(texts), -1)
+    for some, own in zip(got, marks.tolist(), strict=True):
+        assert own == jaccard.marks_of(np.array(some, np.uint64)).tolist()
+    assert [len(x) for x in jaccard.sets_of([], 5)] == [0, 1]
