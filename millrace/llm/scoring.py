@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import mixed
+from millrace.llm.common import in_words, mixed, word_hashes
 
 DEPTH = 8
 #: Last bytes of a context by which trees are dealt to groups.
@@ -46,10 +46,10 @@ Batches = Iterator[pa.RecordBatch]
 PIECE = 1 << 20
 GAP = np.isin(np.arange(256), [0x20, *range(9, 14), BEFORE])
 APART = GAP | (np.arange(256) == END)
-ODD = np.uint64(0x9E3779B97F4A7C15)
-RANDOM = mixed(np.arange(1, 257, dtype=np.uint64) * ODD)
+#: Bytes whose places are sorted at once; a place among them takes two bytes.
+STRETCH = 1 << 16
 
-LISTS = "group long, chunk long, n long, keys binary, counts binary"
+LISTS = "group long, chunk long, part long, n long, keys binary, counts binary"
 
 
 def log_gamma(x: np.ndarray) -> np.ndarray:
@@ -108,19 +108,35 @@ def unsqueezed_keys(data: bytes, n: int, width: int) -> list[np.ndarray]:
 
 
 def order_of(keys: np.ndarray) -> np.ndarray:
-    """The stable order of the keys: by their low halves, then by their high ones, each sorted as one number with its place."""
+    """The stable order of the keys: by their first bytes, then those of one first byte by their low halves and by their high ones, each sorted as one number with its place."""
     if len(keys) >= 1 << 32:
         return np.argsort(keys, kind="stable")
-    places, low = np.arange(len(keys), dtype=np.uint32), np.uint64(0xFFFFFFFF)
+    low = np.uint64(0xFFFFFFFF)
 
     def sorted_places(high: np.ndarray) -> np.ndarray:
-        high |= places
+        high |= np.arange(len(high), dtype=np.uint32)
         high.sort()
         high &= low
         return high.view(np.int64)
 
-    order = sorted_places(keys << np.uint64(32))
-    return order[sorted_places(keys[order] & ~low)]
+    top = (keys >> np.uint64(56)).astype(np.uint8)
+    order = np.argsort(top, kind="stable").astype(np.uint32)
+    ends = np.cumsum(np.bincount(top, minlength=256))
+    for begin, end in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True):
+        if end - begin > 1:
+            some = keys[order[begin:end]]
+            within = sorted_places(some << np.uint64(32))
+            some = some[within]
+            some &= ~low
+            order[begin:end] = order[begin:end][within[sorted_places(some)]]
+    return order
+
+
+def first_places(keys: np.ndarray) -> np.ndarray:
+    """Where a new key begins among sorted ones."""
+    new = np.ones(len(keys), bool)
+    np.not_equal(keys[1:], keys[:-1], out=new[1:])
+    return np.flatnonzero(new)
 
 
 def sorted_keys(words: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -140,10 +156,12 @@ def counted_keys(words: list[np.ndarray], taught: np.ndarray) -> tuple[list[np.n
         order, new = sorted_keys(words)
         first = np.flatnonzero(new)
         return [w[order[first]] for w in words], np.add.reduceat(taught[order], first, dtype=np.int64)
-    known, other = np.sort(words[0][taught]), np.sort(words[0][~taught])
-    first = np.flatnonzero(np.diff(known, prepend=~known[:1]))
+    known, other = words[0][taught], words[0][~taught]
+    known.sort()
+    other.sort()
+    first = first_places(known)
     known, counts = known[first], np.diff(first, append=len(known))
-    other = other[np.flatnonzero(np.diff(other, prepend=~other[:1]))]
+    other = other[first_places(other)]
     if len(known):
         other = other[known[np.minimum(np.searchsorted(known, other), len(known) - 1)] != other]
     if len(other):
@@ -205,35 +223,21 @@ class Dealing:
         return int(np.searchsorted(self.first, group, side="right")) - 1
 
 
-def tokens(data: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """First bytes and hashes of all tokens of lower-cased texts, each of which ends with END, a token too.
-
-    A hash is the sum over a token's bytes of a random number for the byte times a power
-    of an odd number for its place, with the token's length.
-    """
-    low = 0
+def tokens(padded: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """First bytes and hashes of all tokens of lower-cased texts, each of which ends with END, a token too; eight more bytes follow."""
+    data, low = padded[:-8], 0
     while low < len(data):
         # Pieces end where a token does.
         high = low + PIECE
         while high < len(data) and not APART[data[high - 1]]:
             high = min(len(data), high + 1 + int(np.argmax(APART[data[high : high + PIECE]])) if APART[data[high : high + PIECE]].any() else high + PIECE)
         piece = data[low:high]
-        gap, end = GAP[piece], piece == END
-        inside = ~gap
-        first = inside.copy()
+        inside, end = in_words(piece) & (piece != BEFORE), piece == END
+        first, last, gap = inside.copy(), inside.copy(), ~inside
         first[1:] &= gap[:-1] | end[:-1] | end[1:]
-        last = inside.copy()
         last[:-1] &= gap[1:] | end[1:] | end[:-1]
         first, last = np.flatnonzero(first), np.flatnonzero(last)
-        power = np.full(len(piece), ODD, np.uint64)
-        power[0] = 1
-        np.multiply.accumulate(power, out=power)
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(RANDOM[piece] * power)])
-        # Brought to one place by the inverse of the first byte's power.
-        back = np.full(len(piece), pow(int(ODD), -1, 1 << 64), np.uint64)
-        back[0] = 1
-        np.multiply.accumulate(back, out=back)
-        yield low + first, mixed((sums[last + 1] - sums[first]) * back[first] + (last + 1 - first).astype(np.uint64))
+        yield low + first, word_hashes(padded[low : low + len(piece) + 8], first, last + 1 - first)
         low = high
 
 
@@ -246,7 +250,7 @@ def released(batches: Batches) -> Batches:
 class Chunk:
     """The texts of a chunk, one after the other, each with ``depth`` bytes before it and its end."""
 
-    def __init__(self, packs: list[bytes], depth: int) -> None:
+    def __init__(self, packs: list[pa.Buffer], depth: int) -> None:
         self.depth = depth
         # One pack after the other, so that few copies of the texts are held at once.
         rows, parts = [], []
@@ -258,17 +262,17 @@ class Chunk:
         self.taught = ~self.rows.column("held_out").to_numpy().astype(bool)
         before = np.cumsum([0] + [len(data) for data, _ in parts])
         self.starts = np.concatenate([low + starts for low, (_, starts) in zip(before, parts, strict=False)])
-        # Eight bytes more, so that eight can be read up to any place.
-        self.padded = np.zeros(8 + before[-1], np.uint8)
-        self.data = self.padded[8:]
+        # Eight bytes more, so that eight can be read up to any place, and from any.
+        self.padded = np.zeros(16 + before[-1], np.uint8)
+        self.data = self.padded[8:-8]
         for low in before[:-1].tolist():
             data, _ = parts.pop(0)
             self.data[low : low + len(data)] = data
 
     def words(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Hashes of tokens and the row each is in, some at a time."""
-        for at, hashes in tokens(self.data):
-            yield hashes, np.searchsorted(self.starts, at, side="right") - 1
+        for at, hashes in tokens(self.padded[8:]):
+            yield hashes, np.repeat(np.arange(len(self.starts)), self.sizes(at))
 
     def names(self) -> tuple[np.ndarray, np.ndarray]:
         """The distinct words' hashes in order, and how often each is taught."""
@@ -292,33 +296,38 @@ class Chunk:
 
     def sizes(self, places: np.ndarray) -> np.ndarray:
         """How many of these places, in order, each text has."""
-        return np.diff(np.searchsorted(places, self.starts), append=len(places))
+        return np.diff(np.searchsorted(places, self.starts.astype(places.dtype)), append=len(places))
 
     def strings(self) -> Iterator[tuple[int, np.ndarray, list[np.ndarray]]]:
-        """For each nearest byte the places of the bytes after it, in order, and their strings' words."""
+        """For each nearest byte the places of the bytes after it, in order, and their strings' words; a frequent one's by the byte before it, about ``PIECE`` at a time."""
         if not self.depth:
             yield 0, np.arange(len(self.data)), [self.data.astype(np.uint64)]
             return
-        seen = np.bincount(self.data, minlength=256)
-        # Nearest bytes are taken some at a time: a frequent one alone, others together.
-        frequent = seen * 32 > len(self.data)
-        turn = np.cumsum(frequent) + np.cumsum(np.append(False, frequent[:-1])) + np.cumsum(seen) * 32 // len(self.data)
-        turns = turn.astype(np.uint8)[self.data]
-        turns[-1] = 255
-        for k in range(self.depth):
-            # What follows here is no byte of a text, but one of those before it.
-            turns[(self.starts + k - 1)[self.starts + k > 0]] = 255
-        for now in np.unique(turn[seen > 0]):
-            some = (np.flatnonzero(turns == now) + 1).astype(np.uint32 if len(self.data) < 1 << 32 else np.int64)
-            if not len(some):
+        # Places by the byte there, a stretch at a time, and where each byte's begin in each stretch.
+        places, stretches = np.empty(len(self.data), np.uint16), range(0, len(self.data), STRETCH)
+        begins = np.zeros((len(stretches), 257), np.int64)
+        for k, low in enumerate(stretches):
+            some = self.data[low : low + STRETCH]
+            places[low : low + STRETCH] = np.argsort(some, kind="stable")
+            begins[k, 1:] = np.cumsum(np.bincount(some, minlength=256))
+        sizes = np.diff(begins, axis=1)
+        begins += np.arange(len(stretches))[:, None] * STRETCH
+        after = np.array(stretches, np.uint32 if len(self.data) < 1 << 32 else np.int64) + 1
+        for v in np.flatnonzero(sizes.sum(axis=0)).tolist():
+            at = np.concatenate([places[low:high] for low, high in begins[:, v : v + 2].tolist()]) + np.repeat(after, sizes[:, v])
+            if v >= BEFORE:
+                # What follows here may be no byte of a text, but one of those before it.
+                at = at[at < len(self.data)]
+                at = at[at - self.starts[np.searchsorted(self.starts, at, side="right") - 1] >= self.depth]
+            if len(at) <= PIECE or self.depth == 1:
+                if len(at):
+                    yield v, at, self._words_of(at)
                 continue
-            nearest = self.data[some - 1]
-            if (nearest != nearest[0]).any():
-                some = some[np.argsort(nearest, kind="stable")]
-            ends = np.cumsum(np.bincount(nearest, minlength=256))
-            for v in np.flatnonzero(np.diff(ends, prepend=0)).tolist():
-                at = some[ends[v - 1] if v else 0 : ends[v]]
-                yield v, at, self._words_of(at)
+            second = self.data[at - 2]
+            part = np.cumsum(np.bincount(second, minlength=256)) // PIECE
+            for some in np.unique(part[second]).tolist():
+                yield v, (now := at[(part == some)[second]]), self._words_of(now)
+                del now
 
     def _words_of(self, at: np.ndarray) -> list[np.ndarray]:
         # Eight bytes read as one number have the last one, which is nearest, on top.
@@ -326,7 +335,7 @@ class Chunk:
         words = []
         for low in range(0, self.depth, 8):
             context = min(low + 8, self.depth - 1) - low
-            word = eight[at - 1 - low] if context else np.zeros(len(at), np.uint64)
+            word = eight[at - (1 + low)] if context else np.zeros(len(at), np.uint64)
             if context < 8:
                 word >>= np.uint64(8 * (8 - context) % 64)
             if low + context == self.depth - 1 and context < 8:
@@ -381,23 +390,25 @@ def _seen(batches: Batches) -> Batches:
 def _lists(dealing: Dealing):
     """For each group the distinct words or strings of a chunk, sorted, with their training counts."""
 
-    def listed(chunk: int, group: np.ndarray, words: list[np.ndarray], counts: np.ndarray) -> Batches:
+    def listed(chunk: int, part: int, group: np.ndarray, words: list[np.ndarray], counts: np.ndarray) -> Batches:
         order, groups = by_group(group)
         for g, low, high in groups:
             some = order[low:high]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([g], pa.int64()), pa.array([chunk], pa.int64()), pa.array([len(some)], pa.int64()),
+                [*(pa.array([x], pa.int64()) for x in (g, chunk, part, len(some))),
                  pa.array([squeezed_keys([w[some] for w in words])], pa.binary()),
-                 pa.array([squeezed(counts[some].astype(np.uint64))], pa.binary())], names=["group", "chunk", "n", "keys", "counts"])
+                 pa.array([squeezed(counts[some].astype(np.uint64))], pa.binary())], names=["group", "chunk", "part", "n", "keys", "counts"])
 
     def run(key: tuple, batches: Batches) -> Batches:
         number = key[0].as_py()
-        chunk = Chunk([p for b in batches for p in b.column("pack").to_pylist()], dealing.depth)
+        chunk = Chunk([p.as_buffer() for b in batches for p in b.column("pack")], dealing.depth)
         names, counts = chunk.names()
-        yield from listed(number, dealing.of_words(names), [names], counts)
-        for nearest, places, words in chunk.strings():
+        yield from listed(number, 0, dealing.of_words(names), [names], counts)
+        for part, (nearest, places, words) in enumerate(chunk.strings()):
             distinct, counts = counted_keys(words, np.repeat(chunk.taught, chunk.sizes(places)))
-            yield from listed(number, dealing.of_strings(nearest, distinct), distinct, counts)
+            # The largest arrays go before the next are made.
+            del places, words
+            yield from listed(number, part, dealing.of_strings(nearest, distinct), distinct, counts)
 
     def freed(key: tuple, batches: Batches) -> Batches:
         return released(run(key, batches))
@@ -409,7 +420,7 @@ class Merged:
     """The lists of a group put together: distinct keys in order, their counts, and where each list's keys are."""
 
     def __init__(self, table: pa.Table, width: int) -> None:
-        self.chunks = table.column("chunk").to_pylist()
+        self.lists = [*zip(table.column("chunk").to_pylist(), table.column("part").to_pylist(), strict=True)]
         sizes = table.column("n").to_pylist()
         parts = [unsqueezed_keys(k, n, width) for k, n in zip(table.column("keys").to_pylist(), sizes, strict=True)]
         counts = np.concatenate([unsqueezed(c, n) for c, n in zip(table.column("counts").to_pylist(), sizes, strict=True)]).astype(np.int64)
@@ -424,11 +435,11 @@ class Merged:
 
     def answers(self, group: int, values: np.ndarray, chunks: int = 0) -> Batches:
         """A row for each list; with ``chunks`` also for those without one, and what all need to know of the counts."""
-        ranks = {c: np.empty(0, np.int64) for c in range(chunks)} | dict(zip(self.chunks, self.ranks, strict=True))
+        ranks = {(c, 0): np.empty(0, np.int64) for c in range(chunks)} | dict(zip(self.lists, self.ranks, strict=True))
         taught, distinct = (int(self.counts.sum()), int((self.counts > 0).sum())) if chunks else (0, 0)
-        for chunk, rank in ranks.items():
-            whole = [pa.array([x], pa.int64()) for x in (chunk, group, len(rank), taught, distinct)]
-            yield pa.RecordBatch.from_arrays([*whole, pa.array([squeezed(values[rank])], pa.binary())], names=["chunk", "group", "n", "taught", "distinct", "answers"])
+        for (chunk, part), rank in ranks.items():
+            whole = [pa.array([x], pa.int64()) for x in (chunk, group, part, len(rank), taught, distinct)]
+            yield pa.RecordBatch.from_arrays([*whole, pa.array([squeezed(values[rank])], pa.binary())], names=["chunk", "group", "part", "n", "taught", "distinct", "answers"])
 
 
 def summed(counts: np.ndarray) -> np.ndarray:
@@ -618,35 +629,45 @@ def _scored(dealing: Dealing):
     def run(packs: pa.Table, answers: pa.Table) -> pa.Table:
         if not len(packs):
             return pa.table({c: [] for c in names_out})
-        chunk = Chunk(packs.column("pack").to_pylist(), dealing.depth)
+        chunk = Chunk([p.as_buffer() for p in packs.column("pack")], dealing.depth)
         total, distinct = (int(np.sum(answers.column(c).to_numpy())) for c in ("taught", "distinct"))
-        found = dict(zip(answers.column("group").to_pylist(), zip(answers.column("n").to_pylist(), answers.column("answers").to_pylist(), strict=True), strict=True))
+        found = dict(zip(zip(answers.column("group").to_pylist(), answers.column("part").to_pylist(), strict=True), zip(answers.column("n").to_pylist(), (a.as_buffer() for a in answers.column("answers")), strict=True), strict=True))
 
-        def values(group: np.ndarray) -> np.ndarray:
+        def values(group: np.ndarray, part: int = 0) -> np.ndarray:
             """The answers to the keys, sorted in each group as they were listed."""
             order, groups = by_group(group)
             out = np.empty(len(group))
             for g, low, high in groups:
-                out[order[low:high]] = unsqueezed(found[g][1], found[g][0])
+                out[order[low:high]] = unsqueezed(found[g, part][1], found[g, part][0])
             return out
 
         many = len(chunk.starts)
-        names, _ = chunk.names()
+        words = []
+        for hashes, row in chunk.words():
+            coded = pa.array(hashes).dictionary_encode()
+            words.append((coded.dictionary.to_numpy(), coded.indices.to_numpy(), row.astype(np.int32)))
+        names = np.sort(np.concatenate([some for some, _, _ in words]))
+        names = names[first_places(names)]
         counts = values(dealing.of_words(names))
         logs = np.log10((counts + 0.1) / (total + 0.1 * (distinct + 1)))
         sizes, known, base = np.zeros(many, np.int64), np.zeros(many, np.int64), np.zeros(many)
-        for hashes, row in chunk.words():
-            at = np.searchsorted(names, hashes)
+        while words:
+            some, code, row = words.pop(0)
+            at = np.searchsorted(names, some)[code]
             sizes += np.bincount(row, minlength=many)
             known += np.bincount(row[counts[at] > 0], minlength=many)
             base += np.bincount(row, logs[at], many)
+        del names, counts, logs
         score = np.zeros(many)
-        for nearest, places, words in chunk.strings():
+        for part, (nearest, places, words) in enumerate(chunk.strings()):
             order, new = sorted_keys(words)
             first = np.flatnonzero(new)
-            value = values(dealing.of_strings(nearest, [w[order[first]] for w in words]))
+            distinct = [w[order[first]] for w in words]
+            del new, words
+            value = values(dealing.of_strings(nearest, distinct), part)
             value = np.repeat(value, np.diff(first, append=len(order)))
             score += np.bincount(np.repeat(np.arange(many), chunk.sizes(places))[order], value, many)
+            del places, order, distinct
         taught = np.full(many, total, np.int64)
         pa.default_memory_pool().release_unused()
         return pa.table([chunk.rows.column("doc_id"), chunk.rows.column("held_out"), *[pa.array(x) for x in (sizes, known, taught, base, -score / UNIT)]], names=names_out)
@@ -677,6 +698,6 @@ def score_texts(docs: DataFrame, held_out: Column, depth: int = DEPTH) -> DataFr
         _subtrees(dealing), "place long, suffix long, group long, zeros long, ones long, weighted double")
     tops = subtrees.groupBy("place").applyInArrow(_tops(dealing.top), "group long, suffix long, place long, g0 double, g1 double, rest double")
     answers = lists.groupBy("group").cogroup(tops.groupBy("group")).applyInArrow(
-        _answers(dealing, chunks), "chunk long, group long, n long, taught long, distinct long, answers binary")
+        _answers(dealing, chunks), "chunk long, group long, part long, n long, taught long, distinct long, answers binary")
     return packs.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
         _scored(dealing), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

@@ -138,3 +138,28 @@ def test_strings_hold_the_bytes_before_nearest_first():
             want = [*data[at - depth:at - 1][::-1].tolist(), int(data[at])]
             assert word == [int.from_bytes(bytes(want[k:k + 8])) for k in range(0, depth, 8)]
         assert len(found) == sum(len(t) + 1 for t in texts)
+
+
+def test_tokens_are_hashed_once_a_pass(documents, monkeypatch):
+    """Once for the lists of a chunk and once for its scores, by one task each."""
+    calls, hashed = [], scoring.tokens
+    monkeypatch.setattr(scoring, "tokens", lambda data: calls.append(1) or hashed(data))
+    # Also frequent nearest bytes in parts.
+    monkeypatch.setattr(scoring, "PIECE", 64)
+    texts = [b"the cat sat on the mat", b"", b"a dog and " + b"z" * 200 + b"yz" * 90 + b"xz" * 90, b"the cat"]
+    sink = scoring.pa.BufferOutputStream()
+    table = scoring.pa.table({"doc_id": range(4), "bytes": scoring.pa.array(texts, scoring.pa.binary()), "held_out": [False] * 4})
+    with scoring.pa.ipc.new_stream(sink, table.schema) as out:
+        out.write_table(table)
+    packs = scoring.pa.table({"pack": scoring.pa.array([sink.getvalue().to_pybytes()], scoring.pa.binary())})
+    dealing = scoring.Dealing(DEPTH, dict(Counter(b"".join(texts))), 8)
+    key = (scoring.pa.scalar(0),)
+    lists = scoring.pa.Table.from_batches(scoring._lists(dealing)(key, iter(packs.to_batches())))
+    assert len(calls) == 1
+    ones = [(g, n, scoring.squeezed(np.full(n, scoring.UNIT if dealing.kind(g) else 1, np.uint64))) for g, n in zip(lists["group"].to_pylist(), lists["n"].to_pylist(), strict=True)]
+    parts = lists["part"].to_pylist()
+    assert len(set(zip(lists["group"].to_pylist(), parts, strict=True))) == len(parts) > len(set(lists["group"].to_pylist()))
+    answers = scoring.pa.table({"part": parts, "group": [g for g, _, _ in ones], "n": [n for _, n, _ in ones], "taught": [0] * len(ones), "distinct": [0] * len(ones), "answers": scoring.pa.array([a for _, _, a in ones], scoring.pa.binary())})
+    got = scoring._scored(dealing)(packs, answers)
+    assert len(calls) == 2
+    assert got["n_tokens"].to_pylist() == [7, 1, 5, 3] and got["score"].to_pylist() == [-len(t) - 1 for t in texts]
