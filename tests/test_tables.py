@@ -180,3 +180,30 @@ def test_a_large_merge_shuffles_only_rows_met_on_both_sides(spark, tmp_path, row
     assert results[0] == results[1] and len(results[0]) == 61
     if bits == 27:
         assert "REBALANCE" not in plan(seen[0]).upper() and plan(seen[0]).count("BroadcastHashJoin") >= 4
+
+
+def test_the_field_of_a_large_merge_is_a_few_long_rows(spark, tmp_path, rows, monkeypatch):
+    # A row for each word of the field takes the driver many times the field's size.
+    table = Table(spark, str(tmp_path / "field"), SCHEMA, "day")
+    table.append(spark.range(3000).selectExpr("cast(id as int) as k", "'old' as v", "'d1' as day"))
+    sent = []
+    broadcast = F.broadcast
+    monkeypatch.setattr(F, "broadcast", lambda df: (sent.append(df.count()), broadcast(df))[1])
+    batch = spark.range(1000, 4000).selectExpr("cast(id as int) as k", "'new' as v", "'d2' as day")
+    table.merge(batch, ["k"], ["day"], strategy="full_outer", origin=Origin(batch="b"))
+    assert sent and max(sent) <= 4
+    assert rows(table.read()) == sorted([(k, "new" if k >= 1000 else "old", "d1" if k < 3000 else "d2") for k in range(4000)], key=repr)
+
+
+def test_a_batch_that_is_small_in_its_files_alone_is_not_broadcast(spark, tmp_path, plan, settings, monkeypatch):
+    settings(spark__sql__autoBroadcastJoinThreshold="1m")
+    table = Table(spark, str(tmp_path / "packed"), SCHEMA)
+    table.append(spark.range(10).selectExpr("cast(id as int) as k", "'old' as v", "'d1' as day"))
+    batch = spark.range(40_000).selectExpr("cast(id as int) as k", "'the same in every row' as v", "'d2' as day")
+    seen = []
+    write = table._write
+    monkeypatch.setattr(table, "_write", lambda df, *a, **k: (seen.append(df), write(df, *a, **k))[1])
+    table.merge(batch, ["k"], unique=True)
+    assert "FullOuter" in plan(seen[0]) and table.read().count() == 40_000
+    table.merge(batch.limit(100), ["k"], unique=True)
+    assert "FullOuter" not in plan(seen[1])
