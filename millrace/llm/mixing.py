@@ -17,7 +17,8 @@ sees more than a bucket of it at a time.
 The document left at a source's root may be a long one, and rounding it leaves
 words over or short.  These are carried on from long to short texts: of each
 size class (a factor of two) at most ``CARRIERS`` documents may give or take
-one copy, so what is left in the end is less than a short text.
+one copy.  Where sizes have gaps that is not enough; then as many more as the
+words that are left ask for do, so these are less than a short text in the end.
 """
 
 from __future__ import annotations
@@ -102,20 +103,21 @@ def _paired(items: Column, seed: int) -> Column:
     return F.aggregate(items, start, step)
 
 
-def _carried(units: DataFrame, cap: int, seed: int) -> DataFrame:
+def _carried(units: DataFrame, cap: int, seed: int, carriers: int | Column = CARRIERS) -> DataFrame:
     """Rounded documents with the words a source is over or short given to few others, from long to short.
 
-    Of each source and size class the first ``CARRIERS`` documents in hash order
+    Of each source and size class the first ``carriers`` documents in hash order
     that can take (or give) a copy are asked, the longest first; one is taken if
-    it does not overshoot.  No copies pass 0 or ``cap``.
+    it does not overshoot.  No copies pass 0 or ``cap``, and a document that is
+    ``moved`` already is not asked.
     """
     words = F.col("copies") * F.col("size")
     rest = units.groupBy(F.col("source").alias("of")).agg((F.first("target") - F.sum(words)).alias("rest"))
     able = units.join(rest, F.col("source").eqNullSafe(F.col("of"))).where(
-        (F.col("size") > 0) & (F.col("size") <= F.abs("rest"))
+        ~F.col("moved") & (F.col("size") > 0) & (F.col("size") <= F.abs("rest"))
         & F.when(F.col("rest") > 0, F.col("copies") < cap * F.col("rows")).otherwise(F.col("copies") > 0))
     order = Window.partitionBy("of", F.floor(F.log2("size"))).orderBy(F.xxhash64(F.lit(seed), "doc_id", "size"), "doc_id", "size")
-    few = able.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= CARRIERS)
+    few = able.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= carriers)
     asked = few.groupBy("of").agg(F.first("rest").alias("rest"), F.sort_array(F.collect_list(F.struct("size", "doc_id")), asc=False).alias("asked"))
     kind = "array<struct<size:bigint,doc_id:bigint>>"
 
@@ -129,7 +131,8 @@ def _carried(units: DataFrame, cap: int, seed: int) -> DataFrame:
     moved = asked.select("of", F.signum("rest").cast("long").alias("sign"), F.explode(F.aggregate("asked", start, step, lambda s: s["taken"])).alias("item")).select(
         "of", "sign", F.col("item.size").alias("s"), F.col("item.doc_id").alias("d"))
     same = F.col("source").eqNullSafe(F.col("of")) & (F.col("size") == F.col("s")) & F.col("doc_id").eqNullSafe(F.col("d"))
-    return units.join(moved, same, "left").withColumn("copies", F.col("copies") + F.coalesce("sign", F.lit(0))).drop("of", "sign", "s", "d")
+    return units.join(moved, same, "left").withColumns({
+        "copies": F.col("copies") + F.coalesce("sign", F.lit(0)), "moved": F.col("moved") | F.col("sign").isNotNull()}).drop("of", "sign", "s", "d")
 
 
 def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: int = CAP, seed: int = 17) -> DataFrame:
@@ -194,7 +197,9 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: int = CAP, s
     for part in finished:
         result = result.unionByName(part)
     result = result.withColumn("copies", F.col("whole") + F.round("part").cast("long")).drop("whole", "part")
-    result = _carried(stored(result, "mix-rounded"), cap, seed)
+    result = _carried(stored(result.withColumn("moved", F.lit(False)), "mix-rounded"), cap, seed)
+    asked_for = F.ceil(F.abs("rest") / F.pow(F.lit(2.0), F.floor(F.log2("size"))))
+    result = _carried(stored(result, "mix-carried"), cap, seed, asked_for)
     copies = F.col("copies")
     even = F.floor(copies / F.col("rows")).cast("long")
     mine = even + F.when(F.col("row") < copies - even * F.col("rows"), 1).otherwise(0)
